@@ -135,3 +135,118 @@ SELECT c.customer_id, CAST(c.age AS BIGINT) AS age, coalesce(c.gender, '') AS ge
        (SELECT max("timestamp") FROM transactions) AS event_timestamp,
        (SELECT max("timestamp") FROM transactions) AS created_timestamp
 FROM customers c LEFT JOIN r ON c.customer_id = r.customer_id"""
+
+
+# ------------------------------------------------------------- daily / sku --
+def _win(n):
+    return f"OVER (PARTITION BY sku_id ORDER BY date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+
+
+_CAL = """CAST(isodow(date) - 1 AS BIGINT) AS day_of_week, CAST(month(date) AS BIGINT) AS month,
+       CAST(isodow(date) IN (6, 7) AS BIGINT) AS is_weekend, CAST(last_day(date) = date AS BIGINT) AS is_month_end,
+       CAST(quarter(date) AS BIGINT) AS quarter,
+       CAST((month(date) = 1 AND day(date) <= 7) OR (month(date) = 12 AND day(date) >= 25) AS BIGINT) AS is_holiday_proxy"""
+
+ORACLE["sku_daily_features"] = with_views("transactions", extra="""daily AS (
+  SELECT sku_id, CAST("timestamp" AS DATE) AS date, CAST(sum(quantity) AS BIGINT) AS daily_qty,
+         sum(total_amount) AS daily_revenue, CAST(count(DISTINCT transaction_id) AS BIGINT) AS daily_txn_count
+  FROM transactions GROUP BY 1, 2)""") + "SELECT sku_id, strftime(date, '%Y-%m-%d') AS date, daily_qty, " + \
+    r6("daily_revenue") + " AS daily_revenue, daily_txn_count,\n" + ",\n".join(
+        f"round(avg(daily_qty) {_win(n)}, 6) AS qty_roll_{n}d, "
+        f"round(avg(CAST(daily_revenue AS DOUBLE)) {_win(n)}, 6) AS rev_roll_{n}d" for n in (7, 14, 28)) + ",\n" + \
+    ",\n".join(f"CAST(coalesce(lag(daily_qty, {k}) OVER (PARTITION BY sku_id ORDER BY date), 0) AS BIGINT) AS qty_lag_{k}d"
+               for k in (1, 7, 14)) + ",\n" + _CAL + "\nFROM daily"
+
+ORACLE["daily_demand"] = with_views("transactions") + """
+SELECT strftime(CAST("timestamp" AS DATE), '%Y-%m-%d') AS date, sku_id, CAST(sum(quantity) AS BIGINT) AS daily_demand
+FROM transactions GROUP BY CAST("timestamp" AS DATE), sku_id"""
+
+ORACLE["platform_daily"] = with_views("transactions") + """
+SELECT strftime(CAST("timestamp" AS DATE), '%Y-%m-%d') AS ds, CAST(sum(quantity) AS BIGINT) AS y
+FROM transactions GROUP BY CAST("timestamp" AS DATE)"""
+
+_STATS = """daily AS (
+  SELECT sku_id, CAST("timestamp" AS DATE) AS date, sum(quantity) AS q,
+         min("timestamp") AS f, max("timestamp") AS l
+  FROM transactions GROUP BY 1, 2),
+stats AS (
+  SELECT sku_id, """ + elapsed("max(l)", "min(f)") + """ + 1 AS date_range, CAST(sum(q) AS BIGINT) AS total_qty,
+         sum(q) / greatest(""" + elapsed("max(l)", "min(f)") + """ + 1, 1) AS avg_daily_demand,
+         stddev_samp(q) AS demand_std, max(l) AS last_sale
+  FROM daily GROUP BY sku_id)"""
+
+ORACLE["sku_demand_stats"] = with_views("transactions", extra=_STATS) + f"""
+SELECT sku_id, date_range, total_qty, {r6('avg_daily_demand')} AS avg_daily_demand,
+       {r6('demand_std')} AS demand_std, last_sale FROM stats"""
+
+ORACLE["revenue_by_sku"] = with_views("transactions") + f"""
+SELECT sku_id, {r6('sum(total_amount)')} AS revenue FROM transactions GROUP BY sku_id"""
+
+ORACLE["revenue_by_category"] = with_views("transactions", "products") + f"""
+SELECT p.category, {r6('sum(t.total_amount)')} AS revenue
+FROM transactions t LEFT JOIN products p ON t.sku_id = p.sku_id GROUP BY p.category"""
+
+_ABC = """rev AS (SELECT sku_id, sum(total_amount) AS revenue FROM transactions GROUP BY sku_id),
+cum AS (
+  SELECT sku_id, revenue,
+         sum(revenue) OVER (ORDER BY revenue DESC, sku_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c,
+         sum(revenue) OVER () AS tot
+  FROM rev),
+abc AS (
+  SELECT sku_id, revenue, CAST(c AS DOUBLE) / CAST(tot AS DOUBLE) AS cumulative_share,
+         CASE WHEN c * 10 <= tot * 7 THEN 'A' WHEN c * 10 <= tot * 9 THEN 'B' ELSE 'C' END AS abc_class
+  FROM cum)"""
+
+ORACLE["abc_classes"] = with_views("transactions", extra=_ABC) + f"""
+SELECT sku_id, {r6('revenue')} AS revenue, {r6('cumulative_share')} AS cumulative_share, abc_class FROM abc"""
+
+
+def _report_sql(lead: str) -> str:
+    return with_views("transactions", "products", "inventory", extra=_STATS + ",\n" + _ABC + f""",
+base AS (
+  SELECT p.sku_id, coalesce(i.current_stock, 0) AS stock,
+         coalesce(CAST(p.cost_price AS DOUBLE), 10.0) AS cost,
+         CASE WHEN s.total_qty IS NOT NULL THEN s.avg_daily_demand ELSE 5.0 END AS avg_d,
+         coalesce(CASE WHEN s.total_qty IS NOT NULL THEN s.demand_std ELSE 2.0 END, 2.0) AS sd,
+         {lead} AS lead, s.total_qty, s.last_sale, a.abc_class
+  FROM products p LEFT JOIN inventory i ON p.sku_id = i.sku_id
+  LEFT JOIN stats s ON p.sku_id = s.sku_id LEFT JOIN abc a ON p.sku_id = a.sku_id),
+calc AS (
+  SELECT *, 1.65 * sd * sqrt(lead) AS safety, avg_d * lead + 1.65 * sd * sqrt(lead) AS rop,
+         CASE WHEN cost * 0.2 > 0 AND avg_d * 365 > 0 THEN sqrt(2 * avg_d * 365 * 50.0 / (cost * 0.2)) ELSE 100.0 END AS eoq
+  FROM base)
+SELECT sku_id, CAST(stock AS BIGINT) AS current_stock,
+       CAST(round_even(eoq, 0) AS BIGINT) AS recommended_reorder_qty,
+       CAST(round_even(safety, 0) AS BIGINT) AS safety_stock,
+       {r6('rop')} AS reorder_point,
+       {r6('round_even(greatest(0.0, least(1.0, 1.0 - stock / greatest(rop, 1.0))), 4)')} AS stockout_risk,
+       {r6('round_even(stock / greatest(avg_d, 0.1), 1)')} AS days_of_supply,
+       coalesce(abc_class, 'C') AS abc_class,
+       CASE WHEN total_qty IS NOT NULL THEN {elapsed('(SELECT max("timestamp") FROM transactions)', 'last_sale')} > 90
+            ELSE TRUE END AS dead_stock
+FROM calc""")
+
+
+ORACLE["inventory_report"] = "SELECT *, CASE WHEN stockout_risk < 0.3 THEN 'green' WHEN stockout_risk < 0.6 " \
+    "THEN 'orange' ELSE 'red' END AS risk_band FROM (" + _report_sql("7.0") + ")"
+ORACLE["inventory_report_own_lead"] = _report_sql("CAST(i.supplier_lead_time_days AS DOUBLE)")
+ORACLE["inventory_kpis"] = f"""SELECT CAST(count(*) AS BIGINT) AS sku_count,
+       CAST(count(*) FILTER (WHERE stockout_risk > 0.5) AS BIGINT) AS high_risk_count,
+       CAST(count(*) FILTER (WHERE dead_stock) AS BIGINT) AS dead_stock_count,
+       {r6('avg(days_of_supply)')} AS avg_days_of_supply FROM (""" + _report_sql("7.0") + ")"
+ORACLE["abc_summary"] = """SELECT abc_class, CAST(count(*) AS BIGINT) AS sku_count, min(sku_id) AS first_sku,
+       max(sku_id) AS last_sku FROM (""" + _report_sql("7.0") + ") GROUP BY abc_class"
+
+_SPAN = elapsed('(SELECT max("timestamp") FROM transactions)', '(SELECT min("timestamp") FROM transactions)')
+ORACLE["sales_velocity"] = with_views("transactions") + f"""
+SELECT sku_id, {r6(f'sum(quantity) * 1.0 / {_SPAN}')} AS velocity FROM transactions GROUP BY sku_id"""
+
+ORACLE["product_catalog"] = with_views("transactions", "products", "inventory", extra=f"""vel AS (
+  SELECT sku_id, sum(quantity) * 1.0 / {_SPAN} AS velocity FROM transactions GROUP BY sku_id)""") + f"""
+SELECT p.sku_id, p.category, {r6('p.base_price')} AS base_price, {r6('p.cost_price')} AS cost_price,
+       CAST(i.current_stock AS BIGINT) AS current_stock, CAST(i.reorder_point AS BIGINT) AS reorder_point,
+       CAST(i.supplier_lead_time_days AS BIGINT) AS supplier_lead_time_days,
+       {r6('round((p.base_price - p.cost_price) / p.base_price * 100, 2)')} AS margin_pct,
+       {r6('round_even(i.current_stock / v.velocity, 1)')} AS days_of_stock,
+       {r6('CASE WHEN p.cost_price >= p.base_price THEN CAST(p.base_price * CAST(0.6 AS DECIMAL(2,1)) AS DECIMAL(12,2)) ELSE p.cost_price END')} AS capped_cost
+FROM products p LEFT JOIN inventory i ON p.sku_id = i.sku_id LEFT JOIN vel v ON p.sku_id = v.sku_id"""

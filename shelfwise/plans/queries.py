@@ -54,3 +54,81 @@ def q_last_sku(spark, root):
 def q_serving(spark, root):
     return finalize(cu.serving_features(v.customers(spark, root), v.baskets(spark, root),
                                         v.transactions(spark, root)))
+
+
+# ------------------------------------------------------------- daily / sku --
+from ..operators import daily as dl  # noqa: E402
+from ..operators import inventory as inv  # noqa: E402
+
+
+@register("sku_daily_features")
+def q_sku_daily_features(spark, root):
+    return finalize(dl.timeseries_features(v.transactions(spark, root)))
+
+
+@register("daily_demand")
+def q_daily_demand(spark, root):
+    return finalize(dl.daily_demand(v.transactions(spark, root)))
+
+
+@register("platform_daily")
+def q_platform_daily(spark, root):
+    return finalize(dl.platform_daily(v.transactions(spark, root)))
+
+
+@register("sku_demand_stats")
+def q_demand_stats(spark, root):
+    return finalize(inv.demand_stats(v.transactions(spark, root)))
+
+
+@register("revenue_by_sku")
+def q_rev_sku(spark, root):
+    return finalize(inv.sku_revenue(v.transactions(spark, root)))
+
+
+@register("revenue_by_category")
+def q_rev_cat(spark, root):
+    return finalize(inv.category_revenue(v.transactions(spark, root), v.products(spark, root)))
+
+
+@register("abc_classes")
+def q_abc(spark, root):
+    return finalize(inv.abc_classes(v.transactions(spark, root)))
+
+
+def _report(spark, root):
+    return inv.inventory_report(v.products(spark, root), v.inventory(spark, root),
+                                v.transactions(spark, root))
+
+
+@register("inventory_report")
+def q_inventory_report(spark, root):
+    return finalize(_report(spark, root).withColumn("risk_band", inv.stockout_band("stockout_risk")))
+
+
+@register("inventory_report_own_lead")
+def q_inventory_report_lead(spark, root):
+    return finalize(inv.inventory_report(v.products(spark, root), v.inventory(spark, root),
+                                         v.transactions(spark, root), lead_days=None))
+
+
+@register("inventory_kpis")
+def q_inventory_kpis(spark, root):
+    return finalize(inv.inventory_kpis(_report(spark, root)))
+
+
+@register("abc_summary")
+def q_abc_summary(spark, root):
+    return finalize(inv.abc_summary(_report(spark, root)))
+
+
+@register("sales_velocity")
+def q_velocity(spark, root):
+    return finalize(inv.sales_velocity(v.transactions(spark, root)))
+
+
+@register("product_catalog")
+def q_catalog(spark, root):
+    return finalize(inv.product_catalog(v.products(spark, root), v.inventory(spark, root),
+                                        v.transactions(spark, root))
+                    .withColumn("capped_cost", inv.capped_cost()))
