@@ -250,3 +250,93 @@ SELECT p.sku_id, p.category, {r6('p.base_price')} AS base_price, {r6('p.cost_pri
        {r6('round_even(i.current_stock / v.velocity, 1)')} AS days_of_stock,
        {r6('CASE WHEN p.cost_price >= p.base_price THEN CAST(p.base_price * CAST(0.6 AS DECIMAL(2,1)) AS DECIMAL(12,2)) ELSE p.cost_price END')} AS capped_cost
 FROM products p LEFT JOIN inventory i ON p.sku_id = i.sku_id LEFT JOIN vel v ON p.sku_id = v.sku_id"""
+
+
+# ------------------------------------------------------------- exploration --
+ORACLE["value_counts_category"] = with_views("products") + f"""
+SELECT category, count(*) AS n, {r6('count(*) * 100.0 / (SELECT count(category) FROM products)')} AS pct
+FROM products WHERE category IS NOT NULL GROUP BY category"""
+
+_LITE = f"""lite AS (
+  SELECT c.customer_id, c.age, coalesce(r.recency, 0) AS recency, coalesce(r.frequency, 0) AS frequency,
+         coalesce(r.monetary, 0) AS monetary
+  FROM customers c LEFT JOIN (
+    SELECT customer_id, {_REC} AS recency, count(*) AS frequency, sum(total_amount) AS monetary
+    FROM transactions GROUP BY customer_id) r ON c.customer_id = r.customer_id)"""
+
+ORACLE["value_counts_churn"] = with_views("transactions", "customers", extra=_LITE) + f"""
+SELECT CAST(recency > 90 AS BIGINT) AS churn, count(*) AS n, {r6('count(*) * 100.0 / (SELECT count(*) FROM lite)')} AS pct
+FROM lite GROUP BY 1"""
+
+
+def _describe(col: str) -> str:
+    x = f"CAST({col} AS DOUBLE)"
+    return (f"SELECT '{col}' AS \"column\", count({x}) AS count, {r6(f'avg({x})')} AS mean, "
+            f"{r6(f'stddev_samp({x})')} AS std, {r6(f'min({x})')} AS min, "
+            f"{r6(f'quantile_cont({x}, 0.25)')} AS p25, {r6(f'quantile_cont({x}, 0.5)')} AS p50, "
+            f"{r6(f'quantile_cont({x}, 0.75)')} AS p75, {r6(f'max({x})')} AS max")
+
+
+ORACLE["describe_transactions"] = with_views("transactions") + "\nUNION ALL ".join(
+    _describe(c) + " FROM transactions" for c in ("quantity", "discount_applied", "total_amount"))
+ORACLE["describe_customers"] = with_views("customers") + _describe("age") + " FROM customers"
+
+
+def _hist(view: str, col: str, bins: int) -> str:
+    x = f"CAST({col} AS DOUBLE)"
+    return f"""b AS (SELECT min({x}) AS lo, max({x}) AS hi, (max({x}) - min({x})) / {bins}.0 AS w FROM {view}),
+h AS (SELECT CAST(CASE WHEN b.w = 0 THEN 0 ELSE least(floor(({x} - b.lo) / b.w), {bins - 1}) END AS INTEGER) AS bin
+      FROM {view}, b WHERE {col} IS NOT NULL)
+SELECT CAST(bin AS BIGINT) AS bin, {r6('min(b.lo) + bin * min(b.w)')} AS lower,
+       {r6('min(b.lo) + (bin + 1) * min(b.w)')} AS upper, count(*) AS n
+FROM h, b GROUP BY bin"""
+
+
+ORACLE["histogram_age"] = with_views("customers") + ",\n" + _hist("customers", "age", 30)
+ORACLE["histogram_amount"] = with_views("transactions") + ",\n" + _hist("transactions", "total_amount", 50)
+
+_CORR_COLS = ("age", "recency", "frequency", "monetary")
+ORACLE["correlation_rfm"] = with_views("transactions", "customers", extra=_LITE) + "\nUNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, {r6(f'corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))')} AS corr FROM lite"
+    for a in _CORR_COLS for b in _CORR_COLS)
+
+ORACLE["weekday_quantity"] = with_views("transactions") + f"""
+SELECT CAST(isodow("timestamp") - 1 AS BIGINT) AS day_index, {r6('avg(quantity)')} AS avg_quantity,
+       ['Monday','Tuesday','Wednesday','Thursday','Friday','Saturday','Sunday'][isodow("timestamp")] AS day_name
+FROM transactions GROUP BY 1, 3"""
+
+ORACLE["distinct_categories"] = with_views("products") + "SELECT DISTINCT category FROM products"
+
+ORACLE["top_skus_by_revenue"] = with_views("transactions") + f"""
+SELECT sku_id, {r6('sum(total_amount)')} AS revenue FROM transactions GROUP BY sku_id
+ORDER BY sum(total_amount) DESC, sku_id LIMIT 20"""
+
+ORACLE["customer_head"] = with_views("transactions", "customers", extra=_LITE) + f"""
+SELECT customer_id, CAST(age AS BIGINT) AS age, CAST(recency AS BIGINT) AS recency,
+       CAST(frequency AS BIGINT) AS frequency, {r6('monetary')} AS monetary
+FROM lite ORDER BY customer_id LIMIT 50"""
+
+ORACLE["latest_days"] = with_views("transactions") + """
+SELECT strftime(CAST("timestamp" AS DATE), '%Y-%m-%d') AS ds, CAST(sum(quantity) AS BIGINT) AS y
+FROM transactions GROUP BY CAST("timestamp" AS DATE) ORDER BY CAST("timestamp" AS DATE) DESC LIMIT 30"""
+
+ORACLE["latest_baskets_per_customer"] = with_views("transactions", extra="""b AS (
+  SELECT customer_id, transaction_id, max("timestamp") AS "timestamp", sum(total_amount) AS amount_sum
+  FROM transactions GROUP BY customer_id, transaction_id)""") + f"""
+SELECT customer_id, transaction_id, "timestamp", {r6('amount_sum')} AS amount_sum, rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY customer_id ORDER BY "timestamp" DESC, transaction_id DESC) AS INTEGER) AS rank
+  FROM b) WHERE rank <= 5"""
+
+ORACLE["daily_sales_ma7"] = with_views("transactions", extra="""d AS (
+  SELECT CAST("timestamp" AS DATE) AS ds, CAST(sum(quantity) AS BIGINT) AS y FROM transactions GROUP BY 1)""") + f"""
+SELECT strftime(ds, '%Y-%m-%d') AS ds, y,
+       CASE WHEN count(y) OVER w = 7 THEN {r6('avg(y) OVER w')} END AS ma_7
+FROM d WINDOW w AS (ORDER BY ds ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"""
+
+ORACLE["pareto_share"] = with_views("transactions", extra="""r AS (
+  SELECT sku_id, sum(total_amount) AS revenue,
+         row_number() OVER (ORDER BY sum(total_amount) DESC, sku_id) AS rk FROM transactions GROUP BY sku_id),
+n AS (SELECT count(*) AS n FROM r)""") + f"""
+SELECT CAST(ceil(n.n * 0.2) AS BIGINT) AS top_skus, n.n AS sku_count,
+       {r6('sum(CASE WHEN rk <= ceil(n.n * 0.2) THEN revenue END) / sum(revenue)')} AS top_revenue_share
+FROM r, n GROUP BY n.n"""

@@ -132,3 +132,88 @@ def q_catalog(spark, root):
     return finalize(inv.product_catalog(v.products(spark, root), v.inventory(spark, root),
                                         v.transactions(spark, root))
                     .withColumn("capped_cost", inv.capped_cost()))
+
+
+# ------------------------------------------------------------- exploration --
+from ..operators import explore as ex  # noqa: E402
+
+
+@register("value_counts_category")
+def q_vc_category(spark, root):
+    return finalize(ex.value_counts(v.products(spark, root), "category"))
+
+
+@register("value_counts_churn")
+def q_vc_churn(spark, root):
+    lite = cu.rfm_lite(v.customers(spark, root), v.baskets(spark, root))
+    return finalize(ex.value_counts(lite.withColumn("churn", cu.churn_flag("recency")), "churn"))
+
+
+@register("describe_transactions")
+def q_describe_txn(spark, root):
+    return finalize(ex.describe(v.transactions(spark, root), ["quantity", "discount_applied", "total_amount"]))
+
+
+@register("describe_customers")
+def q_describe_cust(spark, root):
+    return finalize(ex.describe(v.customers(spark, root), ["age"]))
+
+
+@register("histogram_age")
+def q_hist_age(spark, root):
+    return finalize(ex.histogram(v.customers(spark, root), "age", 30))
+
+
+@register("histogram_amount")
+def q_hist_amount(spark, root):
+    return finalize(ex.histogram(v.transactions(spark, root), "total_amount", 50))
+
+
+@register("correlation_rfm")
+def q_corr(spark, root):
+    lite = cu.rfm_lite(v.customers(spark, root), v.baskets(spark, root))
+    return finalize(ex.correlation_matrix(lite, ["age", "recency", "frequency", "monetary"]))
+
+
+@register("weekday_quantity")
+def q_weekday(spark, root):
+    return finalize(ex.weekday_means(v.transactions(spark, root)))
+
+
+@register("distinct_categories")
+def q_distinct_cat(spark, root):
+    return finalize(ex.distinct_values(v.products(spark, root), "category"))
+
+
+@register("top_skus_by_revenue")
+def q_top_skus(spark, root):
+    rev = inv.sku_revenue(v.transactions(spark, root))
+    return finalize(ex.top_n(rev, [F.col("revenue").desc(), F.col("sku_id")], 20))
+
+
+@register("customer_head")
+def q_customer_head(spark, root):
+    lite = cu.rfm_lite(v.customers(spark, root), v.baskets(spark, root))
+    return finalize(ex.top_n(lite, [F.col("customer_id")], 50))
+
+
+@register("latest_days")
+def q_latest_days(spark, root):
+    return finalize(ex.top_n(dl.platform_daily(v.transactions(spark, root)), [F.col("ds").desc()], 30))
+
+
+@register("latest_baskets_per_customer")
+def q_latest_baskets(spark, root):
+    b = v.baskets(spark, root).select("customer_id", "transaction_id", "timestamp", "amount_sum")
+    return finalize(ex.top_k_per_group(b, "customer_id",
+                                       [F.col("timestamp").desc(), F.col("transaction_id").desc()], 5))
+
+
+@register("daily_sales_ma7")
+def q_ma7(spark, root):
+    return finalize(ex.full_window_mean(dl.platform_daily(v.transactions(spark, root)), "y", "ds", 7))
+
+
+@register("pareto_share")
+def q_pareto(spark, root):
+    return finalize(ex.pareto_share(inv.sku_revenue(v.transactions(spark, root))))
