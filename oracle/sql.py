@@ -340,3 +340,137 @@ n AS (SELECT count(*) AS n FROM r)""") + f"""
 SELECT CAST(ceil(n.n * 0.2) AS BIGINT) AS top_skus, n.n AS sku_count,
        {r6('sum(CASE WHEN rk <= ceil(n.n * 0.2) THEN revenue END) / sum(revenue)')} AS top_revenue_share
 FROM r, n GROUP BY n.n"""
+
+
+# ------------------------------------------------------------ data quality --
+def _dq_rows() -> str:
+    suites = {
+        "customers": [("exists", "customer_id"), ("exists", "age"), ("exists", "region"),
+                      ("between", "age", 18, 100), ("not_null", "customer_id"), ("unique", "customer_id")],
+        "products": [("exists", "sku_id"), ("exists", "category"), ("exists", "cost_price"),
+                     ("exists", "base_price"), ("not_null", "sku_id"), ("unique", "sku_id")],
+        "transactions": [("exists", "transaction_id"), ("exists", "customer_id"), ("exists", "sku_id"),
+                         ("exists", "quantity"), ("exists", "total_amount"), ("not_null", "transaction_id"),
+                         ("unique", "transaction_id"), ("between", "quantity", 1, 100)],
+        "inventory": [("exists", "sku_id"), ("exists", "current_stock"), ("not_null", "sku_id"),
+                      ("between", "current_stock", 0, 10000)],
+    }
+    rows = []
+    for t, exps in suites.items():
+        for e in exps:
+            kind, c = e[0], e[1]
+            if kind == "exists":
+                rows.append(f"SELECT '{t}' AS \"table\", 'exists' AS expectation, '{c}' AS \"column\", "
+                            f"CAST(NULL AS BIGINT) AS failed_rows, TRUE AS success")
+                continue
+            if kind == "between":
+                f = f"(SELECT count(*) FROM {t} WHERE {c} < {e[2]} OR {c} > {e[3]})"
+            elif kind == "not_null":
+                f = f"(SELECT count(*) FROM {t} WHERE {c} IS NULL)"
+            else:
+                f = (f"(SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM {t} WHERE {c} IS NOT NULL "
+                     f"GROUP BY {c} HAVING count(*) > 1))")
+            rows.append(f"SELECT '{t}', '{kind}', '{c}', CAST({f} AS BIGINT), {f} = 0")
+    return "\nUNION ALL ".join(rows)
+
+
+_DQ = with_views("transactions", "products", "customers", "inventory") + _dq_rows()
+ORACLE["dq_results"] = _DQ
+ORACLE["dq_table_summary"] = f"""SELECT "table", count(*) AS evaluated, count(*) FILTER (WHERE success) AS successful,
+       count(*) = count(*) FILTER (WHERE success) AS passed FROM ({_DQ}) GROUP BY "table" """
+ORACLE["dq_gate"] = f"""SELECT count(*) AS total, count(*) FILTER (WHERE success) AS passed,
+       {r6('count(*) FILTER (WHERE success) * 100.0 / count(*)')} AS dq_score, bool_and(success) AS gate_passed
+FROM ({_DQ})"""
+
+
+# ------------------------------------------------------------------- drift --
+def _num_drift(col: str, tag: str, small: int = 1000) -> tuple[str, str]:
+    x = f"CAST({col} AS DOUBLE)"
+    ctes = f"""cnt_{tag} AS (
+  SELECT v, sum(r) AS cr, sum(c) AS cc FROM (
+    SELECT {x} AS v, 1 AS r, 0 AS c FROM ref UNION ALL SELECT {x}, 0, 1 FROM cur) WHERE v IS NOT NULL GROUP BY v),
+s_{tag} AS (SELECT (SELECT count({col}) FROM ref) AS nr, (SELECT count({col}) FROM cur) AS nc,
+                   greatest((SELECT stddev_pop({x}) FROM ref), 0.001) AS sd),
+e_{tag} AS (
+  SELECT v, sum(cr) OVER w AS cum_r, sum(cc) OVER w AS cum_c, lead(v) OVER (ORDER BY v) AS vn
+  FROM cnt_{tag} WINDOW w AS (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+st_{tag} AS (
+  SELECT coalesce(sum(abs(cum_r / s.nr - cum_c / s.nc) * (vn - v)), 0) AS w1,
+         max(abs(cum_r / s.nr - cum_c / s.nc)) AS d, any_value(s.nr) AS nr, any_value(s.nc) AS nc,
+         any_value(s.sd) AS sd
+  FROM e_{tag}, s_{tag} s),
+sc_{tag} AS (
+  SELECT *, CASE WHEN nr > {small} THEN w1 / sd ELSE (
+    CASE WHEN sqrt(nr * nc / (nr + nc)) * d < 0.2 THEN 1.0 ELSE greatest(0.0, least(1.0, 2 * (
+      SELECT sum(pow(-1.0, k - 1) * exp(-2.0 * k * k * pow(sqrt(nr * nc / (nr + nc)) * d, 2)))
+      FROM range(1, 101) t(k)))) END) END AS score
+  FROM st_{tag})"""
+    sel = f"""SELECT '{col}' AS "column", CASE WHEN nr > {small} THEN 'wasserstein' ELSE 'ks' END AS stat_test,
+       round(score, 6) AS score, CASE WHEN nr > {small} THEN 0.1 ELSE 0.05 END AS threshold,
+       CASE WHEN nr > {small} THEN score >= 0.1 ELSE score < 0.05 END AS detected,
+       CAST(nr AS BIGINT) AS n_ref, CAST(nc AS BIGINT) AS n_cur FROM sc_{tag}"""
+    return ctes, sel
+
+
+def _cat_drift(col: str, tag: str) -> tuple[str, str]:
+    ctes = f"""j_{tag} AS (
+  SELECT sum(r) * 1.0 / (SELECT count({col}) FROM ref) AS p, sum(c) * 1.0 / (SELECT count({col}) FROM cur) AS q
+  FROM (SELECT {col} AS v, 1 AS r, 0 AS c FROM ref UNION ALL SELECT {col}, 0, 1 FROM cur)
+  WHERE v IS NOT NULL GROUP BY v)"""
+    sel = f"""SELECT '{col}' AS "column", 'jensenshannon' AS stat_test,
+       round(sqrt(greatest(0.0, sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END
+                             + CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END) / 2)), 6) AS score,
+       0.1 AS threshold,
+       sqrt(greatest(0.0, sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END
+                             + CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END) / 2)) >= 0.1 AS detected,
+       (SELECT count({col}) FROM ref) AS n_ref, (SELECT count({col}) FROM cur) AS n_cur FROM j_{tag}"""
+    return ctes, sel
+
+
+def _drift_sql(frames: str, numeric, categorical) -> str:
+    ctes, sels = [frames], []
+    for i, c in enumerate(numeric):
+        a, b = _num_drift(c, f"n{i}")
+        ctes.append(a)
+        sels.append(b)
+    for i, c in enumerate(categorical):
+        a, b = _cat_drift(c, f"c{i}")
+        ctes.append(a)
+        sels.append(b)
+    return ",\n".join(ctes) + "\n" + "\nUNION ALL ".join(sels)
+
+
+_TEMPORAL = with_views("transactions", "products", extra="""tp AS (
+  SELECT t.*, p.category FROM transactions t LEFT JOIN products p ON t.sku_id = p.sku_id),
+ref AS (SELECT * FROM tp WHERE "timestamp" < TIMESTAMP '1998-05-01'),
+cur AS (SELECT * FROM tp WHERE "timestamp" >= TIMESTAMP '1998-05-01')""").rstrip()
+_SHIFTED = with_views("transactions", "products", extra="""tp AS (
+  SELECT t.*, p.category FROM transactions t LEFT JOIN products p ON t.sku_id = p.sku_id),
+ref AS (SELECT * FROM tp WHERE "timestamp" < TIMESTAMP '1998-05-01'),
+cur AS (SELECT * REPLACE (quantity + 2 AS quantity, total_amount * 1.5 AS total_amount) FROM ref)""").rstrip()
+_EVENTS = """WITH e AS (SELECT value AS latency_ms, event_type, CAST(ts AS DATE) AS d FROM events),
+ref AS (SELECT * FROM e WHERE d < DATE '2024-01-04'),
+cur AS (SELECT * FROM e WHERE d >= DATE '2024-01-04' AND d < DATE '2024-01-07')"""
+
+_NUMS = ("quantity", "discount_applied", "total_amount")
+ORACLE["drift_report_temporal"] = _drift_sql(_TEMPORAL, _NUMS, ["category"])
+ORACLE["drift_report_shifted"] = _drift_sql(_SHIFTED, _NUMS, ["category"])
+ORACLE["drift_report_events"] = _drift_sql(_EVENTS, ["latency_ms"], ["event_type"])
+ORACLE["drift_summary_temporal"] = f"""SELECT count(*) AS total, count(*) FILTER (WHERE detected) AS drifted,
+  {r6('count(*) FILTER (WHERE detected) * 1.0 / count(*)')} AS drift_share,
+  count(*) FILTER (WHERE detected) * 1.0 / count(*) > 0.2 AS dataset_drift,
+  CASE WHEN count(*) FILTER (WHERE detected) * 1.0 / count(*) > 0.2 THEN 'DRIFT_DETECTED' ELSE 'OK' END AS status,
+  CASE WHEN count(*) FILTER (WHERE detected) * 1.0 / count(*) > 0.4 THEN 'critical'
+       WHEN count(*) FILTER (WHERE detected) * 1.0 / count(*) > 0.2 THEN 'warning' ELSE 'ok' END AS severity,
+  count(*) FILTER (WHERE detected) * 1.0 / count(*) > 0.2 AS retrain_triggered,
+  count(*) FILTER (WHERE detected) * 1.0 / count(*) > 0.1 AS confirmed
+FROM ({ORACLE['drift_report_temporal']})"""
+ORACLE["psi_total_amount"] = _TEMPORAL + """,
+b AS (SELECT list_sort(quantile_cont(CAST(total_amount AS DOUBLE), [0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9])) AS bounds FROM ref),
+rs AS (SELECT len(list_filter(b.bounds, lambda x: x < CAST(total_amount AS DOUBLE))) AS bin, count(*) * 1.0 / (SELECT count(total_amount) FROM ref) AS r
+       FROM ref, b GROUP BY 1),
+cs AS (SELECT len(list_filter(b.bounds, lambda x: x < CAST(total_amount AS DOUBLE))) AS bin, count(*) * 1.0 / (SELECT count(total_amount) FROM cur) AS c
+       FROM cur, b GROUP BY 1)
+SELECT 'total_amount' AS "column", round(sum((greatest(coalesce(c, 0), 1e-4) - greatest(coalesce(r, 0), 1e-4))
+       * ln(greatest(coalesce(c, 0), 1e-4) / greatest(coalesce(r, 0), 1e-4))), 6) AS psi
+FROM rs FULL OUTER JOIN cs USING (bin)"""

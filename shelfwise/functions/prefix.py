@@ -18,41 +18,49 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from ..session import checkpoint_dir
 
 
-def running_sum(df: DataFrame, order_cols: list, value_col: str, out_col: str,
+def running_sum(df: DataFrame, order_cols: list, value_col, out_col,
                 num_partitions: int | None = None) -> DataFrame:
-    """Inclusive running sum of integral or double ``value_col`` in the total
-    order given by ``order_cols`` (which must break all ties).  Returns ``df``
-    plus ``out_col`` (same numeric family as the input: long or double)."""
+    """Inclusive running sums of integral or double columns in the total order
+    given by ``order_cols`` (which must break all ties).  ``value_col`` and
+    ``out_col`` are a name or equally long lists of names.  Returns ``df`` plus
+    the output columns (long for integral inputs, double otherwise)."""
+    vals = [value_col] if isinstance(value_col, str) else list(value_col)
+    outs = [out_col] if isinstance(out_col, str) else list(out_col)
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    vtype = df.schema[value_col].dataType
-    integral = isinstance(vtype, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
-    out_type = T.LongType() if integral else T.DoubleType()
+    integral = [isinstance(df.schema[v].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
+                for v in vals]
+    types = [T.LongType() if i else T.DoubleType() for i in integral]
+    dtypes = [np.int64 if i else np.float64 for i in integral]
+    locals_ = [f"_rs_local{j}" for j in range(len(vals))]
 
     ranged = (df.repartitionByRange(n, *order_cols)
                 .sortWithinPartitions(*order_cols)
                 .withColumn("_rs_pid", F.spark_partition_id()))
-    schema = T.StructType(ranged.schema.fields + [T.StructField("_rs_local", out_type)])
-    dtype = np.int64 if integral else np.float64
+    schema = T.StructType(ranged.schema.fields +
+                          [T.StructField(lc, t) for lc, t in zip(locals_, types)])
 
     def local_cumsum(batches):
-        carry = dtype(0)
+        carry = [dt(0) for dt in dtypes]
         for pdf in batches:
-            vals = pdf[value_col].to_numpy(dtype=dtype, na_value=0)
-            cs = np.cumsum(vals, dtype=dtype) + carry
-            if len(cs):
-                carry = cs[-1]
-            pdf["_rs_local"] = pd.Series(cs, index=pdf.index)
+            for j, (v, dt) in enumerate(zip(vals, dtypes)):
+                cs = np.cumsum(pdf[v].to_numpy(dtype=dt, na_value=0), dtype=dt) + carry[j]
+                if len(cs):
+                    carry[j] = cs[-1]
+                pdf[locals_[j]] = pd.Series(cs, index=pdf.index)
             yield pdf
 
     checkpoint_dir(spark)
     local = ranged.mapInPandas(local_cumsum, schema).checkpoint(eager=True)
     # one row per range partition: bounded by n, safe to broadcast
-    totals = local.groupBy("_rs_pid").agg(F.sum(F.coalesce(F.col(value_col).cast(out_type),
-                                                           F.lit(0).cast(out_type))).alias("_rs_tot"))
+    totals = local.groupBy("_rs_pid").agg(*[
+        F.sum(F.coalesce(F.col(v).cast(t), F.lit(0).cast(t))).alias(f"_rs_tot{j}")
+        for j, (v, t) in enumerate(zip(vals, types))])
     w = Window.orderBy("_rs_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_rs_pid", F.coalesce(F.sum("_rs_tot").over(w),
-                                                  F.lit(0).cast(out_type)).alias("_rs_off"))
-    return (local.join(F.broadcast(offsets), "_rs_pid")
-                 .withColumn(out_col, (F.col("_rs_local") + F.col("_rs_off")).cast(out_type))
-                 .drop("_rs_pid", "_rs_local", "_rs_off"))
+    offsets = totals.select("_rs_pid", *[
+        F.coalesce(F.sum(f"_rs_tot{j}").over(w), F.lit(0).cast(t)).alias(f"_rs_off{j}")
+        for j, t in enumerate(types)])
+    out = local.join(F.broadcast(offsets), "_rs_pid")
+    for j, (o, t) in enumerate(zip(outs, types)):
+        out = out.withColumn(o, (F.col(locals_[j]) + F.col(f"_rs_off{j}")).cast(t))
+    return out.drop("_rs_pid", *locals_, *[f"_rs_off{j}" for j in range(len(vals))])

@@ -217,3 +217,83 @@ def q_ma7(spark, root):
 @register("pareto_share")
 def q_pareto(spark, root):
     return finalize(ex.pareto_share(inv.sku_revenue(v.transactions(spark, root))))
+
+
+# ------------------------------------------------------------ data quality --
+from ..operators import drift as dr  # noqa: E402
+from ..operators import quality as dq  # noqa: E402
+
+
+def _bronze(spark, root):
+    return {"customers": v.customers(spark, root), "products": v.products(spark, root),
+            "transactions": v.transactions(spark, root), "inventory": v.inventory(spark, root)}
+
+
+@register("dq_results")
+def q_dq_results(spark, root):
+    return finalize(dq.run_suites(_bronze(spark, root)))
+
+
+@register("dq_table_summary")
+def q_dq_summary(spark, root):
+    return finalize(dq.table_summary(dq.run_suites(_bronze(spark, root))))
+
+
+@register("dq_gate")
+def q_dq_gate(spark, root):
+    return finalize(dq.gate(dq.run_suites(_bronze(spark, root))))
+
+
+@register("dataset_profile")
+def q_profile(spark, root):
+    from functools import reduce
+    return reduce(lambda a, b: a.unionByName(b),
+                  [dq.dataset_profile(df, name) for name, df in _bronze(spark, root).items()])
+
+
+# ------------------------------------------------------------------- drift --
+DRIFT_SPLIT = "1998-05-01"   # reference = transactions before, current = on/after
+
+
+def _drift_frames(spark, root):
+    t = v.transactions(spark, root).join(v.products(spark, root).select("sku_id", "category"), "sku_id", "left")
+    split = F.lit(DRIFT_SPLIT).cast("timestamp_ntz")
+    return t.where(F.col("timestamp") < split), t.where(F.col("timestamp") >= split)
+
+
+_DRIFT_NUM = ["quantity", "discount_applied", "total_amount"]
+
+
+@register("drift_report_temporal")
+def q_drift_temporal(spark, root):
+    ref, cur = _drift_frames(spark, root)
+    return finalize(dr.drift_report(ref, cur, numeric=_DRIFT_NUM, categorical=["category"]))
+
+
+@register("drift_summary_temporal")
+def q_drift_summary(spark, root):
+    ref, cur = _drift_frames(spark, root)
+    rep = dr.drift_report(ref, cur, numeric=_DRIFT_NUM, categorical=["category"])
+    return finalize(dr.confirm_drift(dr.drift_summary(rep)))
+
+
+@register("drift_report_shifted")
+def q_drift_shifted(spark, root):
+    ref, _ = _drift_frames(spark, root)
+    cur = dr.perturb(ref, shift={"quantity": 2}, scale={"total_amount": 1.5})
+    return finalize(dr.drift_report(ref, cur, numeric=_DRIFT_NUM, categorical=["category"]))
+
+
+@register("drift_report_events")
+def q_drift_events(spark, root):
+    e = v.events(spark, root)
+    d = F.to_date("ts")
+    ref = e.where(d < F.lit("2024-01-04").cast("date"))
+    cur = e.where((d >= F.lit("2024-01-04").cast("date")) & (d < F.lit("2024-01-07").cast("date")))
+    return finalize(dr.drift_report(ref, cur, numeric=["latency_ms"], categorical=["event_type"]))
+
+
+@register("psi_total_amount")
+def q_psi(spark, root):
+    ref, cur = _drift_frames(spark, root)
+    return finalize(dr.psi(ref, cur, "total_amount"))
