@@ -474,3 +474,119 @@ cs AS (SELECT len(list_filter(b.bounds, lambda x: x < CAST(total_amount AS DOUBL
 SELECT 'total_amount' AS "column", round(sum((greatest(coalesce(c, 0), 1e-4) - greatest(coalesce(r, 0), 1e-4))
        * ln(greatest(coalesce(c, 0), 1e-4) / greatest(coalesce(r, 0), 1e-4))), 6) AS psi
 FROM rs FULL OUTER JOIN cs USING (bin)"""
+
+
+# ----------------------------------------------------------------- pricing --
+_LINES = """lines AS (
+  SELECT t.transaction_id, t.sku_id, p.category, t."timestamp", t.quantity,
+         CAST(t.discount_applied AS DOUBLE) AS discount,
+         CAST(t.total_amount / nullif(t.quantity, 0) AS DOUBLE) AS unit_price,
+         ln(CAST(t.total_amount / nullif(t.quantity, 0) AS DOUBLE) + 1e-5) AS log_price,
+         ln(greatest(CAST(t.quantity AS DOUBLE), 0.1) + 1e-5) AS log_demand
+  FROM transactions t JOIN products p ON t.sku_id = p.sku_id)"""
+
+
+def _dml(src: str, keys: list[str], y: str, t: str, w: str, fold: str, tag: str, k: int = 2) -> str:
+    kl = ", ".join(keys)
+    on = " AND ".join(f"a.{c} = b.{c}" for c in keys)
+
+    def slope(n, sw, sv, sww, swv):
+        return (f"CASE WHEN ({n}) * ({sww}) - ({sw}) * ({sw}) <> 0 THEN "
+                f"(({n}) * ({swv}) - ({sw}) * ({sv})) / (({n}) * ({sww}) - ({sw}) * ({sw})) ELSE 0.0 END")
+    o = {s: f"(b.T{s} - a.{s})" for s in ("n", "sw", "sy", "st", "sww", "swy", "swt")}
+    by = slope(o["n"], o["sw"], o["sy"], o["sww"], o["swy"])
+    bt = slope(o["n"], o["sw"], o["st"], o["sww"], o["swt"])
+    return f"""b_{tag} AS (SELECT {kl}, {y} AS y, {t} AS t, {w} AS w, (({fold}) % {k} + {k}) % {k} AS f FROM {src}),
+pf_{tag} AS (SELECT {kl}, f, CAST(count(*) AS DOUBLE) AS n, sum(w) AS sw, sum(y) AS sy, sum(t) AS st,
+                    sum(w * w) AS sww, sum(w * y) AS swy, sum(w * t) AS swt FROM b_{tag} GROUP BY {kl}, f),
+tt_{tag} AS (SELECT {kl}, sum(n) AS Tn, sum(sw) AS Tsw, sum(sy) AS Tsy, sum(st) AS Tst, sum(sww) AS Tsww,
+                    sum(swy) AS Tswy, sum(swt) AS Tswt FROM pf_{tag} GROUP BY {kl}),
+co_{tag} AS (SELECT {", ".join("a." + c for c in keys)}, a.f, {by} AS by_, ({o['sy']} - ({by}) * {o['sw']}) / {o['n']} AS ay,
+                    {bt} AS bt, ({o['st']} - ({bt}) * {o['sw']}) / {o['n']} AS at_
+             FROM pf_{tag} a JOIN tt_{tag} b ON {on}),
+dml_{tag} AS (SELECT {", ".join("x." + c for c in keys)},
+                     sum((x.y - (c.ay + c.by_ * x.w)) * (x.t - (c.at_ + c.bt * x.w)))
+                       / nullif(sum((x.t - (c.at_ + c.bt * x.w)) * (x.t - (c.at_ + c.bt * x.w))), 0) AS theta,
+                     count(*) AS n
+              FROM b_{tag} x JOIN co_{tag} c ON {" AND ".join(f"x.{c} = c.{c}" for c in keys)} AND x.f = c.f
+              GROUP BY {", ".join("x." + c for c in keys)})"""
+
+
+_OLS = """ols AS (
+  SELECT category, count(*) AS n, regr_slope(log_demand, log_price) AS ols,
+         regr_intercept(log_demand, log_price) AS intercept, regr_r2(log_demand, log_price) AS r_squared,
+         avg(unit_price) AS avg_price, avg(quantity) AS avg_demand
+  FROM lines GROUP BY category HAVING count(*) >= 30)"""
+
+_REPORT = with_views("transactions", "products", extra=_LINES + ",\n" + _OLS + ",\n" + _dml(
+    "lines", ["category"], "log_demand", "log_price", "discount", "transaction_id * 7 + sku_id * 13", "e")) + """,
+report AS (
+  SELECT o.category, o.n, o.ols, d.theta AS linear_dml, coalesce(d.theta, o.ols) AS nonlinear_dml,
+         o.r_squared, o.avg_price, o.avg_demand,
+         CASE WHEN abs(coalesce(d.theta, o.ols)) > 1 THEN 'elastic' ELSE 'inelastic' END AS label
+  FROM ols o LEFT JOIN dml_e d ON o.category = d.category)
+"""
+
+ORACLE["elasticity_ols"] = with_views("transactions", "products", extra=_LINES + ",\n" + _OLS) + f"""
+SELECT category, n, {r6('ols')} AS ols, {r6('intercept')} AS intercept, {r6('r_squared')} AS r_squared,
+       {r6('avg_price')} AS avg_price, {r6('avg_demand')} AS avg_demand FROM ols"""
+
+ORACLE["price_elasticity"] = _REPORT + f"""
+SELECT category, n, {r6('ols')} AS ols, {r6('linear_dml')} AS linear_dml, {r6('nonlinear_dml')} AS nonlinear_dml,
+       {r6('r_squared')} AS r_squared, {r6('avg_price')} AS avg_price, {r6('avg_demand')} AS avg_demand, label
+FROM report"""
+
+ORACLE["elasticity_kpis"] = _REPORT + f"""
+SELECT {r6('avg(nonlinear_dml)')} AS mean_elasticity, count(*) FILTER (WHERE label = 'elastic') AS elastic_count,
+       {r6('avg(r_squared)')} AS mean_r_squared FROM report"""
+
+_CP = """cp AS (SELECT category, "timestamp" AS period, sum(quantity) AS qty, avg(unit_price) AS price
+           FROM lines GROUP BY category, "timestamp")"""
+
+ORACLE["category_periods"] = with_views("transactions", "products", extra=_LINES + ",\n" + _CP) + f"""
+SELECT category, period, CAST(qty AS BIGINT) AS qty, {r6('price')} AS price FROM cp"""
+
+ORACLE["cross_elasticity"] = with_views("transactions", "products", extra=_LINES + ",\n" + _CP + """,
+pairs AS (
+  SELECT f.category AS focal, c.category AS competitor, f.period,
+         ln(f.qty + 1e-5) AS log_q, ln(f.price + 1e-5) AS log_fp, ln(c.price + 1e-5) AS log_cp
+  FROM cp f JOIN cp c ON f.period = c.period AND f.category <> c.category),
+""" + _dml("pairs", ["focal", "competitor"], "log_q", "log_cp", "log_fp",
+           "(CAST(period AS DATE) - DATE '1970-01-01')", "x")) + f"""
+SELECT focal, competitor, n AS n_periods,
+       {r6('CASE WHEN n >= 20 THEN coalesce(theta, 0.0) ELSE 0.0 END')} AS elasticity,
+       CASE WHEN (CASE WHEN n >= 20 THEN coalesce(theta, 0.0) ELSE 0.0 END) > 0 THEN 'Substitute'
+            WHEN (CASE WHEN n >= 20 THEN coalesce(theta, 0.0) ELSE 0.0 END) < 0 THEN 'Complement'
+            ELSE 'Independent' END AS label
+FROM dml_x"""
+
+
+def _sim_sql(scenarios: list[tuple[int, bool]], select: str) -> str:
+    vals = ", ".join(f"({p}, {str(b).upper()})" for p, b in scenarios)
+    return _REPORT + f""", sc AS (SELECT * FROM (VALUES {vals}) v(pct, promo)),
+dem AS (SELECT sku_id, CAST(sum(quantity) AS DOUBLE) AS d FROM transactions GROUP BY sku_id),
+base AS (
+  SELECT p.sku_id, p.base_price AS pdec, CAST(p.base_price AS DOUBLE) AS p, coalesce(dem.d, 100.0) AS d,
+         coalesce(r.nonlinear_dml, -0.5) AS e, sc.pct, sc.promo,
+         1.0 + sc.pct / 100.0 AS ratio, CASE WHEN sc.promo THEN 1.25 ELSE 1.0 END AS lift
+  FROM products p LEFT JOIN dem ON p.sku_id = dem.sku_id LEFT JOIN report r ON p.category = r.category, sc),
+calc AS (SELECT *, d * pow(ratio, e) * lift AS pd, d * p AS cr, d * pow(ratio, e) * lift * p * ratio AS pr FROM base),
+sim AS (
+  SELECT sku_id, CAST(pct AS BIGINT) AS price_change_pct, promo AS promotion_flag, CAST(pdec AS DOUBLE) AS current_price,
+         CAST(round(pdec * (100 + pct) / 100, 2) AS DOUBLE) AS new_price,
+         round_even(d, 0) AS current_demand, round_even(pd, 0) AS projected_demand,
+         round_even((pd / d - 1) * 100, 2) AS demand_change_pct, round_even(cr, 2) AS current_revenue,
+         round_even(pr, 2) AS projected_revenue, round_even((pr / cr - 1) * 100, 2) AS revenue_change_pct,
+         round_even((lift - 1) * 100, 1) AS promotion_lift
+  FROM calc)
+{select}"""
+
+
+_SCEN = [(p, b) for p in (-10, 10) for b in (False, True)]
+ORACLE["revenue_simulation"] = _sim_sql(_SCEN, "SELECT * FROM sim")
+ORACLE["price_sensitivity"] = _sim_sql([(p, False) for p in range(-30, 31, 5)],
+                                       "SELECT sku_id, price_change_pct, projected_revenue, projected_demand FROM sim")
+ORACLE["revenue_waterfall"] = _sim_sql(_SCEN, f"""SELECT sku_id, price_change_pct, promotion_flag, current_revenue,
+       {r6('projected_revenue / (1 + promotion_lift / 100) - current_revenue')} AS price_effect,
+       {r6('projected_revenue - current_revenue - (projected_revenue / (1 + promotion_lift / 100) - current_revenue)')} AS promo_effect,
+       projected_revenue FROM sim""")

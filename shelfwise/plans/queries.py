@@ -297,3 +297,65 @@ def q_drift_events(spark, root):
 def q_psi(spark, root):
     ref, cur = _drift_frames(spark, root)
     return finalize(dr.psi(ref, cur, "total_amount"))
+
+
+# ----------------------------------------------------------------- pricing --
+from ..operators import pricing as pr  # noqa: E402
+
+
+def _lines(spark, root):
+    return pr.priced_lines(v.transactions(spark, root), v.products(spark, root))
+
+
+@register("elasticity_ols")
+def q_ols(spark, root):
+    return finalize(pr.ols_elasticity(_lines(spark, root)))
+
+
+@register("price_elasticity")
+def q_elasticity(spark, root):
+    return finalize(pr.elasticity_report(_lines(spark, root)))
+
+
+@register("elasticity_kpis")
+def q_elasticity_kpis(spark, root):
+    return finalize(pr.elasticity_kpis(pr.elasticity_report(_lines(spark, root))))
+
+
+@register("category_periods")
+def q_category_periods(spark, root):
+    return finalize(pr.category_periods(_lines(spark, root)))
+
+
+@register("cross_elasticity")
+def q_cross(spark, root):
+    return finalize(pr.cross_elasticity(_lines(spark, root)))
+
+
+@register("cross_elasticity_matrix")
+def q_cross_matrix(spark, root):
+    cats = [r[0] for r in v.products(spark, root).select("category").distinct().orderBy("category").collect()]
+    return finalize(pr.cross_matrix(pr.cross_elasticity(_lines(spark, root)), cats))
+
+
+def _sim(spark, root, **kw):
+    t = v.transactions(spark, root)
+    p = v.products(spark, root)
+    return pr.simulate(p, t, pr.elasticity_report(pr.priced_lines(t, p)), **kw)
+
+
+@register("revenue_simulation")
+def q_simulation(spark, root):
+    return finalize(_sim(spark, root))
+
+
+@register("price_sensitivity")
+def q_sensitivity(spark, root):
+    t = v.transactions(spark, root)
+    p = v.products(spark, root)
+    return finalize(pr.sensitivity(p, t, pr.elasticity_report(pr.priced_lines(t, p))))
+
+
+@register("revenue_waterfall")
+def q_waterfall(spark, root):
+    return finalize(pr.waterfall(_sim(spark, root)))
