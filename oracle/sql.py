@@ -590,3 +590,53 @@ ORACLE["revenue_waterfall"] = _sim_sql(_SCEN, f"""SELECT sku_id, price_change_pc
        {r6('projected_revenue / (1 + promotion_lift / 100) - current_revenue')} AS price_effect,
        {r6('projected_revenue - current_revenue - (projected_revenue / (1 + promotion_lift / 100) - current_revenue)')} AS promo_effect,
        projected_revenue FROM sim""")
+
+
+# --------------------------------------------------------------- streaming --
+_EV = "ev AS (SELECT event_id, ts, user_id, event_type, value AS latency_ms, event_type = 'error' AS is_error FROM events)"
+_SLIDE = """slid AS (
+  SELECT e.*, to_timestamp((floor(epoch(ts) / 30) * 30 - k * 30)::DOUBLE)::TIMESTAMP AS window_start
+  FROM ev e, range(0, 10) t(k))"""
+
+ORACLE["request_rate"] = f"WITH {_EV},\n{_SLIDE}\n" + f"""
+SELECT event_type, window_start, window_start + INTERVAL 5 MINUTE AS window_end, count(*) AS n,
+       {r6('count(*) / 300.0')} AS rate
+FROM slid GROUP BY event_type, window_start"""
+
+ORACLE["latency_percentiles"] = f"WITH {_EV}\n" + f"""
+SELECT event_type, to_timestamp((floor(epoch(ts) / 300) * 300)::DOUBLE)::TIMESTAMP AS window_start, count(*) AS n,
+       {r6('quantile_cont(latency_ms, 0.5)')} AS p50, {r6('quantile_cont(latency_ms, 0.95)')} AS p95,
+       {r6('quantile_cont(latency_ms, 0.99)')} AS p99,
+       quantile_cont(latency_ms, 0.95) > 500 AS p95_breach, quantile_cont(latency_ms, 0.99) > 1000 AS p99_breach
+FROM ev GROUP BY 1, 2"""
+
+_ERR = f"""err AS (
+  SELECT window_start, count(*) FILTER (WHERE is_error) AS errors, count(*) AS n FROM slid GROUP BY window_start)"""
+ORACLE["error_ratio"] = f"WITH {_EV},\n{_SLIDE},\n{_ERR}\n" + f"""
+SELECT window_start, errors, n, {r6('errors * 1.0 / n')} AS error_ratio, {r6('errors * 100.0 / n')} AS error_pct,
+       errors * 1.0 / n > 0.01 AS breach FROM err"""
+
+ORACLE["throughput_drop"] = f"WITH {_EV},\n{_SLIDE},\n" + """rates AS (
+  SELECT event_type, window_start, count(*) / 300.0 AS rate FROM slid GROUP BY 1, 2)
+""" + f"""SELECT event_type, window_start, {r6('rate')} AS rate, {r6('avg(rate) OVER w')} AS hour_avg_rate,
+       rate < 0.5 * avg(rate) OVER w AS "drop"
+FROM rates WINDOW w AS (PARTITION BY event_type ORDER BY epoch(window_start) RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW)"""
+
+ORACLE["sustained_error_breach"] = f"WITH {_EV},\n{_SLIDE},\n{_ERR}\n" + f"""
+SELECT window_start, errors, n, {r6('errors * 1.0 / n')} AS error_ratio, {r6('errors * 100.0 / n')} AS error_pct,
+       errors * 1.0 / n > 0.01 AS breach,
+       min(CAST(errors * 1.0 / n > 0.01 AS INTEGER)) OVER (ORDER BY epoch(window_start)
+           RANGE BETWEEN 300 PRECEDING AND CURRENT ROW) = 1 AS breach_sustained
+FROM err"""
+
+ORACLE["latency_histogram"] = f"WITH {_EV}\n" + """, b AS (
+  SELECT event_type, CASE WHEN latency_ms / 1000.0 <= 0.01 THEN 0.01 WHEN latency_ms / 1000.0 <= 0.025 THEN 0.025
+    WHEN latency_ms / 1000.0 <= 0.05 THEN 0.05 WHEN latency_ms / 1000.0 <= 0.1 THEN 0.1
+    WHEN latency_ms / 1000.0 <= 0.25 THEN 0.25 WHEN latency_ms / 1000.0 <= 0.5 THEN 0.5
+    WHEN latency_ms / 1000.0 <= 1.0 THEN 1.0 WHEN latency_ms / 1000.0 <= 2.5 THEN 2.5
+    WHEN latency_ms / 1000.0 <= 5.0 THEN 5.0 ELSE 'inf'::DOUBLE END AS le, count(*) AS n
+  FROM ev GROUP BY 1, 2)
+SELECT event_type, le, n, sum(n) OVER (PARTITION BY event_type ORDER BY le ROWS UNBOUNDED PRECEDING) AS cumulative FROM b"""
+
+ORACLE["incremental_orders"] = """SELECT year(o_orderdate) AS year, count(*) AS n FROM orders
+WHERE o_orderdate > TIMESTAMP '1998-05-01 00:00:00' GROUP BY 1"""

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..operators import customer as cu
 from ..sources import views as v
+from ..sources.tables import read_table
 from .catalog import finalize, register
 
 
@@ -359,3 +360,70 @@ def q_sensitivity(spark, root):
 @register("revenue_waterfall")
 def q_waterfall(spark, root):
     return finalize(pr.waterfall(_sim(spark, root)))
+
+
+# --------------------------------------------------------------- streaming --
+from ..streaming import ingest as si  # noqa: E402
+from ..streaming import monitors as mo  # noqa: E402
+
+
+@register("event_validation")
+def q_event_validation(spark, root):
+    """N1-N3 on a batch of JSON messages derived from the transactions."""
+    decoded = si.decode_events(si.damaged_messages(v.transactions(spark, root)))
+    return decoded.select("transaction_id", "sku_id", "quantity", "total_amount", "discount_applied",
+                          "timestamp", "_extra", "_dlq_reason")
+
+
+@register("dead_letter_counts")
+def q_dead_letter_counts(spark, root):
+    decoded = si.decode_events(si.damaged_messages(v.transactions(spark, root)))
+    return decoded.groupBy(F.coalesce("_dlq_reason", F.lit("valid")).alias("outcome")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("request_rate")
+def q_request_rate(spark, root):
+    return finalize(mo.request_rate(v.events(spark, root)))
+
+
+@register("latency_percentiles")
+def q_latency(spark, root):
+    return finalize(mo.latency_percentiles(v.events(spark, root)))
+
+
+@register("error_ratio")
+def q_error_ratio(spark, root):
+    return finalize(mo.error_ratio(v.events(spark, root)))
+
+
+@register("throughput_drop")
+def q_throughput_drop(spark, root):
+    return finalize(mo.throughput_drop(mo.request_rate(v.events(spark, root))))
+
+
+@register("sustained_error_breach")
+def q_sustained(spark, root):
+    return finalize(mo.sustained(mo.error_ratio(v.events(spark, root)), "breach", key=None))
+
+
+@register("latency_histogram")
+def q_latency_hist(spark, root):
+    return finalize(mo.latency_histogram(v.events(spark, root)))
+
+
+@register("endpoint_classes")
+def q_endpoints(spark, root):
+    pages = read_table(spark, root, "pages")
+    return (pages.select(mo.normalise_endpoint(F.parse_url("url", F.lit("PATH"))).alias("endpoint"))
+                 .groupBy("endpoint").agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("incremental_orders")
+def q_incremental(spark, root):
+    """Rows strictly after a stored mark (here the median order date)."""
+    from ..sources import ingest as ig
+    o = read_table(spark, root, "orders")
+    mark = "1998-05-01 00:00:00"
+    return finalize(ig.incremental(o, "o_orderdate", mark).groupBy(F.year("o_orderdate").alias("year"))
+                    .agg(F.count(F.lit(1)).alias("n")))
