@@ -640,3 +640,43 @@ SELECT event_type, le, n, sum(n) OVER (PARTITION BY event_type ORDER BY le ROWS
 
 ORACLE["incremental_orders"] = """SELECT year(o_orderdate) AS year, count(*) AS n FROM orders
 WHERE o_orderdate > TIMESTAMP '1998-05-01 00:00:00' GROUP BY 1"""
+
+
+# ----------------------------------------------------------- feature views --
+_TXF = """tf AS (
+  SELECT customer_id, arg_max(sku_id, ("timestamp", "timestamp", transaction_id, sku_id, quantity, discount_applied, total_amount)) AS sku_id,
+         arg_max(quantity, ("timestamp", "timestamp", transaction_id, sku_id, quantity, discount_applied, total_amount)) AS quantity,
+         arg_max(discount_applied, ("timestamp", "timestamp", transaction_id, sku_id, quantity, discount_applied, total_amount)) AS discount_applied,
+         arg_max(total_amount, ("timestamp", "timestamp", transaction_id, sku_id, quantity, discount_applied, total_amount)) AS total_amount,
+         max("timestamp") AS event_timestamp
+  FROM transactions
+  WHERE "timestamp" >= (SELECT max("timestamp") FROM transactions) - INTERVAL 365 DAY
+  GROUP BY customer_id)"""
+
+ORACLE["rfm_online_lookup"] = with_views("transactions", "customers", extra=_TXF) + f"""
+SELECT c.customer_id, tf.sku_id, CAST(tf.quantity AS BIGINT) AS quantity,
+       {r6('tf.discount_applied')} AS discount_applied, {r6('tf.total_amount')} AS total_amount, tf.event_timestamp
+FROM customers c LEFT JOIN tf ON c.customer_id = tf.customer_id"""
+
+ORACLE["customer_online_lookup"] = with_views("transactions", "customers", extra="""f AS (
+  SELECT customer_id, min("timestamp") AS first_ts FROM transactions GROUP BY customer_id)""") + """
+SELECT c.customer_id, CASE WHEN f.first_ts >= (SELECT max(first_ts) FROM f) - INTERVAL 3650 DAY THEN CAST(c.age AS BIGINT) END AS age,
+       CASE WHEN f.first_ts >= (SELECT max(first_ts) FROM f) - INTERVAL 3650 DAY THEN c.gender END AS gender,
+       CASE WHEN f.first_ts >= (SELECT max(first_ts) FROM f) - INTERVAL 3650 DAY THEN c.segment END AS segment,
+       CASE WHEN f.first_ts >= (SELECT max(first_ts) FROM f) - INTERVAL 3650 DAY THEN f.first_ts END AS event_timestamp
+FROM customers c LEFT JOIN f ON c.customer_id = f.customer_id"""
+
+ORACLE["point_in_time_features"] = with_views("transactions", extra="""last_per_ts AS (
+  SELECT customer_id, "timestamp" AS ft,
+         arg_max(sku_id, (transaction_id, sku_id, quantity, discount_applied, total_amount)) AS sku_id, arg_max(quantity, (transaction_id, sku_id, quantity, discount_applied, total_amount)) AS quantity,
+         arg_max(discount_applied, (transaction_id, sku_id, quantity, discount_applied, total_amount)) AS discount_applied,
+         arg_max(total_amount, (transaction_id, sku_id, quantity, discount_applied, total_amount)) AS total_amount
+  FROM transactions GROUP BY customer_id, "timestamp"),
+o AS (SELECT o_orderkey, o_custkey AS customer_id, o_orderdate AS as_of FROM orders)""") + f"""
+SELECT o.o_orderkey, o.customer_id, o.as_of,
+       CASE WHEN o.as_of - l.ft <= INTERVAL 365 DAY THEN l.sku_id END AS sku_id,
+       CASE WHEN o.as_of - l.ft <= INTERVAL 365 DAY THEN CAST(l.quantity AS BIGINT) END AS quantity,
+       {r6("CASE WHEN o.as_of - l.ft <= INTERVAL 365 DAY THEN l.discount_applied END")} AS discount_applied,
+       {r6("CASE WHEN o.as_of - l.ft <= INTERVAL 365 DAY THEN l.total_amount END")} AS total_amount,
+       CASE WHEN o.as_of - l.ft <= INTERVAL 365 DAY THEN l.ft END AS feature_ts
+FROM o ASOF LEFT JOIN last_per_ts l ON o.customer_id = l.customer_id AND o.as_of >= l.ft"""

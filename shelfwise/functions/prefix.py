@@ -64,3 +64,42 @@ def running_sum(df: DataFrame, order_cols: list, value_col, out_col,
     for j, (o, t) in enumerate(zip(outs, types)):
         out = out.withColumn(o, (F.col(locals_[j]) + F.col(f"_rs_off{j}")).cast(t))
     return out.drop("_rs_pid", *locals_, *[f"_rs_off{j}" for j in range(len(vals))])
+
+
+def forward_fill(df: DataFrame, order_cols: list, value_col: str, out_col: str,
+                 num_partitions: int | None = None) -> DataFrame:
+    """Last non-NULL ``value_col`` at or before each row in the global order
+    ``order_cols`` (an as-of scan).  Same layout as :func:`running_sum`: range
+    partitions fill locally, and each partition's carry-in is the last non-NULL
+    value of the partitions before it (one row per partition, broadcast)."""
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    vtype = df.schema[value_col].dataType
+    ranged = (df.repartitionByRange(n, *order_cols)
+                .sortWithinPartitions(*order_cols)
+                .withColumn("_ff_pid", F.spark_partition_id()))
+    schema = T.StructType(ranged.schema.fields + [T.StructField("_ff_local", vtype),
+                                                  T.StructField("_ff_pos", T.LongType())])
+
+    def local_fill(batches):
+        carry, pos = None, 0
+        for pdf in batches:
+            s = pdf[value_col].astype("object").where(pdf[value_col].notna(), None)
+            filled = s.ffill()
+            if carry is not None:
+                filled = filled.where(filled.notna(), carry)
+            if len(filled) and filled.iloc[-1] is not None and not pd.isna(filled.iloc[-1]):
+                carry = filled.iloc[-1]
+            pdf["_ff_local"] = filled
+            pdf["_ff_pos"] = np.arange(pos, pos + len(pdf), dtype=np.int64)
+            pos += len(pdf)
+            yield pdf
+
+    checkpoint_dir(spark)
+    local = ranged.mapInPandas(local_fill, schema).checkpoint(eager=True)
+    last = local.groupBy("_ff_pid").agg(F.max_by("_ff_local", "_ff_pos").alias("_ff_last"))
+    w = Window.orderBy("_ff_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last.select("_ff_pid", F.last("_ff_last", ignorenulls=True).over(w).alias("_ff_carry"))
+    return (local.join(F.broadcast(carry), "_ff_pid")
+                 .withColumn(out_col, F.coalesce("_ff_local", "_ff_carry"))
+                 .drop("_ff_pid", "_ff_local", "_ff_pos", "_ff_carry"))

@@ -427,3 +427,38 @@ def q_incremental(spark, root):
     mark = "1998-05-01 00:00:00"
     return finalize(ig.incremental(o, "o_orderdate", mark).groupBy(F.year("o_orderdate").alias("year"))
                     .agg(F.count(F.lit(1)).alias("n")))
+
+
+# ----------------------------------------------------------- feature views --
+from ..operators import feature_views as fv  # noqa: E402
+
+
+@register("rfm_online_lookup")
+def q_rfm_online(spark, root):
+    """The 'rfm' getter -- latest transaction's quantity/discount/total per customer."""
+    view = fv.transaction_features(v.transactions(spark, root))
+    snap = fv.latest_snapshot(view)
+    return finalize(fv.online_lookup(v.customers(spark, root), snap, "customer_id"))
+
+
+@register("customer_online_lookup")
+def q_customer_online(spark, root):
+    view = fv.customer_demographics(v.customers(spark, root), v.baskets(spark, root))
+    return finalize(fv.online_lookup(v.customers(spark, root).select("customer_id"),
+                                     fv.latest_snapshot(view), "customer_id"))
+
+
+@register("rfm_view_snapshot")
+def q_rfm_view(spark, root):
+    serving = cu.serving_features(v.customers(spark, root), v.baskets(spark, root), v.transactions(spark, root))
+    return finalize(fv.latest_snapshot(fv.rfm_view(serving)))
+
+
+@register("point_in_time_features")
+def q_pit(spark, root):
+    """Every order's customer at its order date, as-of joined to the
+    transaction feature view (TTL 365 days)."""
+    orders = read_table(spark, root, "orders").select(
+        "o_orderkey", F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").alias("as_of"))
+    view = fv.transaction_features(v.transactions(spark, root))
+    return finalize(fv.point_in_time(orders, view))
