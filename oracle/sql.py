@@ -680,3 +680,31 @@ SELECT o.o_orderkey, o.customer_id, o.as_of,
        {r6("CASE WHEN o.as_of - l.ft <= INTERVAL 365 DAY THEN l.total_amount END")} AS total_amount,
        CASE WHEN o.as_of - l.ft <= INTERVAL 365 DAY THEN l.ft END AS feature_ts
 FROM o ASOF LEFT JOIN last_per_ts l ON o.customer_id = l.customer_id AND o.as_of >= l.ft"""
+
+
+# ------------------------------------------------------------ segmentation --
+_SEGRFM = f"""srfm AS (
+  SELECT customer_id, {_REC} AS recency, count(*) AS frequency, sum(total_amount) AS monetary
+  FROM transactions GROUP BY customer_id),
+z AS (
+  SELECT *, CASE WHEN stddev_pop(recency) OVER () > 0 THEN (recency - avg(recency) OVER ()) / stddev_pop(recency) OVER () ELSE 0 END AS recency_z,
+         CASE WHEN stddev_pop(frequency) OVER () > 0 THEN (frequency - avg(frequency) OVER ()) / stddev_pop(frequency) OVER () ELSE 0 END AS frequency_z,
+         CASE WHEN stddev_pop(CAST(monetary AS DOUBLE)) OVER () > 0 THEN (CAST(monetary AS DOUBLE) - avg(CAST(monetary AS DOUBLE)) OVER ()) / stddev_pop(CAST(monetary AS DOUBLE)) OVER () ELSE 0 END AS monetary_z
+  FROM srfm)"""
+
+ORACLE["standardized_rfm"] = with_views("transactions", extra=_SEGRFM) + f"""
+SELECT customer_id, recency, frequency, {r6('monetary')} AS monetary, {r6('recency_z')} AS recency_z,
+       {r6('frequency_z')} AS frequency_z, {r6('monetary_z')} AS monetary_z,
+       {r6('CAST(monetary AS DOUBLE) * (frequency / (recency + 1))')} AS lifetime_value FROM z"""
+
+ORACLE["segment_profile_names"] = with_views("transactions", "customers", extra=_SEGRFM + """,
+cent AS (SELECT c.segment, avg(recency_z) AS c_rec, avg(frequency_z) AS c_freq, avg(monetary_z) AS c_mon
+         FROM z JOIN customers c ON z.customer_id = c.customer_id GROUP BY c.segment)""") + f"""
+SELECT segment, {r6('c_rec')} AS c_rec, {r6('c_freq')} AS c_freq, {r6('c_mon')} AS c_mon,
+       CASE WHEN c_mon > 0.5 AND c_freq > 0.5 THEN 'VIP Champions'
+            WHEN c_freq > 0.3 AND c_rec < 0 THEN 'Loyal Customers'
+            WHEN c_rec < -0.5 THEN 'Recent Buyers'
+            WHEN c_rec > 0.5 AND c_freq < 0 THEN 'At Risk'
+            WHEN c_rec > 1.0 THEN 'Lost Customers'
+            ELSE 'Potential Loyalists' END AS segment_name
+FROM cent"""

@@ -462,3 +462,51 @@ def q_pit(spark, root):
         "o_orderkey", F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").alias("as_of"))
     view = fv.transaction_features(v.transactions(spark, root))
     return finalize(fv.point_in_time(orders, view))
+
+
+# ------------------------------------------------------------ segmentation --
+from ..operators import segments as sg  # noqa: E402
+
+
+def _seg_rfm(spark, root):
+    return cu.rfm(v.baskets(spark, root), frequency_mode="rows").select(
+        "customer_id", "recency", "frequency", "monetary")
+
+
+@register("standardized_rfm")
+def q_standardized(spark, root):
+    z = sg.standardize(_seg_rfm(spark, root))
+    return finalize(z.withColumn("lifetime_value", sg.lifetime_value()))
+
+
+@register("segment_profile_names")
+def q_profile_names(spark, root):
+    """K5 rules applied to the scaled RFM centroid of each market segment."""
+    z = sg.standardize(_seg_rfm(spark, root)).join(
+        v.customers(spark, root).select("customer_id", "segment"), "customer_id")
+    cent = z.groupBy("segment").agg(F.avg("recency_z").alias("c_rec"), F.avg("frequency_z").alias("c_freq"),
+                                    F.avg("monetary_z").alias("c_mon"))
+    return finalize(cent.withColumn("segment_name", sg.name_segment(F.col("c_rec"), F.col("c_freq"),
+                                                                     F.col("c_mon"))))
+
+
+@register("customer_segments")
+def q_customer_segments(spark, root):
+    return finalize(sg.segment_customers(_seg_rfm(spark, root)))
+
+
+@register("segment_summary")
+def q_segment_summary(spark, root):
+    return finalize(sg.normalised_profile(sg.segment_summary(sg.segment_customers(_seg_rfm(spark, root)))))
+
+
+@register("density_outliers")
+def q_density(spark, root):
+    z = sg.scaled_table(_seg_rfm(spark, root))
+    return sg.density_outliers(z, "customer_id", ["recency_z", "frequency_z", "monetary_z"])
+
+
+@register("segment_silhouette")
+def q_silhouette(spark, root):
+    km, _ = sg.kmeans_segments(sg.scaled_table(_seg_rfm(spark, root)))
+    return sg.silhouette(km)

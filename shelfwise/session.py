@@ -18,6 +18,8 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
 }
+# Only meaningful when this process starts the JVM (local runs, tests, bench).
+LOCAL_CONF = {"spark.driver.memory": "16g"}
 
 
 def get_session(master: str | None = None, app: str = "shelfwise",
@@ -27,6 +29,8 @@ def get_session(master: str | None = None, app: str = "shelfwise",
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    if master and master.startswith("local"):
+        conf.update(LOCAL_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
