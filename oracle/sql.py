@@ -708,3 +708,86 @@ SELECT segment, {r6('c_rec')} AS c_rec, {r6('c_freq')} AS c_freq, {r6('c_mon')}
             WHEN c_rec > 1.0 THEN 'Lost Customers'
             ELSE 'Potential Loyalists' END AS segment_name
 FROM cent"""
+
+
+# ------------------------------------------------------------- forecasting --
+def _seasonal(series_cte: str, keys: list[str], horizon: int, tag: str, z: float = 1.2816) -> str:
+    k = ", ".join(keys)
+    return f"""{series_cte},
+s_{tag} AS (SELECT {k}, CAST(ds AS DATE) AS ds, CAST(y AS DOUBLE) AS y,
+                   CAST(CAST(ds AS DATE) - DATE '1970-01-01' AS DOUBLE) AS t FROM ser_{tag}),
+tr_{tag} AS (SELECT {k}, min(ds) AS first_ds, max(ds) AS last_ds, count(*) AS n,
+                    CASE WHEN count(*) > 1 AND var_pop(t) > 0 THEN regr_slope(y, t) ELSE 0.0 END AS b,
+                    CASE WHEN count(*) > 1 AND var_pop(t) > 0 THEN regr_intercept(y, t) ELSE avg(y) END AS a,
+                    date_diff('day', min(ds), max(ds)) >= 730 AS yearly
+             FROM s_{tag} GROUP BY {k}),
+r_{tag} AS (SELECT s.*, tr.a, tr.b, tr.yearly, s.y - (tr.a + tr.b * s.t) AS r1, isodow(s.ds) - 1 AS wd,
+                   month(s.ds) AS mo FROM s_{tag} s JOIN tr_{tag} tr USING ({k})),
+wd_{tag} AS (SELECT {k}, wd, avg(r1) AS w_eff FROM r_{tag} GROUP BY {k}, wd),
+r2_{tag} AS (SELECT r.*, r.r1 - w.w_eff AS r2 FROM r_{tag} r JOIN wd_{tag} w USING ({k}, wd)),
+mo_{tag} AS (SELECT {k}, mo, avg(r2) AS m_eff FROM r2_{tag} WHERE yearly GROUP BY {k}, mo),
+res_{tag} AS (SELECT r.*, r.r2 - coalesce(m.m_eff, 0) AS resid FROM r2_{tag} r LEFT JOIN mo_{tag} m USING ({k}, mo)),
+sig_{tag} AS (SELECT {k}, coalesce(stddev_samp(resid), 0.0) AS sigma FROM res_{tag} GROUP BY {k}),
+fut_{tag} AS (SELECT tr.*, sg.sigma, CAST(tr.last_ds + CAST(kk AS INTEGER) AS DATE) AS fds
+              FROM tr_{tag} tr JOIN sig_{tag} sg USING ({k}), range(1, {horizon + 1}) t(kk)),
+fc_{tag} AS (SELECT {", ".join("f." + c for c in keys)}, f.fds AS ds,
+                    f.a + f.b * CAST(f.fds - DATE '1970-01-01' AS DOUBLE) + coalesce(w.w_eff, 0) + coalesce(m.m_eff, 0) AS yhat,
+                    f.sigma
+             FROM fut_{tag} f
+             LEFT JOIN wd_{tag} w ON {" AND ".join(f"w.{c} = f.{c}" for c in keys)} AND w.wd = isodow(f.fds) - 1
+             LEFT JOIN mo_{tag} m ON {" AND ".join(f"m.{c} = f.{c}" for c in keys)} AND m.mo = month(f.fds))"""
+
+
+def _fc_select(keys, tag, z=1.2816):
+    k = ", ".join(keys)
+    return f"""SELECT {k}, strftime(ds, '%Y-%m-%d') AS ds, {r6('yhat')} AS yhat,
+       {r6(f'yhat - {z} * sigma')} AS yhat_lower, {r6(f'yhat + {z} * sigma')} AS yhat_upper FROM fc_{tag}"""
+
+
+_SKU_SER = with_views("transactions", extra="""ser_k AS (
+  SELECT sku_id, CAST("timestamp" AS DATE) AS ds, sum(quantity) AS y FROM transactions GROUP BY 1, 2)""").rstrip()
+_PLAT_SER = with_views("transactions", extra="""ser_p AS (
+  SELECT 'platform' AS series, CAST("timestamp" AS DATE) AS ds, sum(quantity) AS y FROM transactions GROUP BY 2)""").rstrip()
+
+ORACLE["sku_forecast"] = _seasonal(_SKU_SER, ["sku_id"], 7, "k") + "\n" + _fc_select(["sku_id"], "k")
+ORACLE["platform_forecast"] = _seasonal(_PLAT_SER, ["series"], 30, "p") + "\n" + _fc_select(["series"], "p")
+ORACLE["forecast_horizon_end"] = _seasonal(_SKU_SER, ["sku_id"], 7, "k") + f"""
+SELECT sku_id, strftime(max(ds), '%Y-%m-%d') AS ds, {r6('arg_max(yhat, ds)')} AS yhat,
+       {r6('arg_max(yhat - 1.2816 * sigma, ds)')} AS yhat_lower, {r6('arg_max(yhat + 1.2816 * sigma, ds)')} AS yhat_upper
+FROM fc_k GROUP BY sku_id"""
+
+ORACLE["series_index_scaled"] = _SKU_SER + f"""
+SELECT sku_id, strftime(ds, '%Y-%m-%d') AS ds, CAST(y AS BIGINT) AS y,
+       CAST(row_number() OVER (PARTITION BY sku_id ORDER BY ds) - 1 AS INTEGER) AS time_idx,
+       {r6("CASE WHEN max(y) OVER (PARTITION BY sku_id) > min(y) OVER (PARTITION BY sku_id) THEN (y - min(y) OVER (PARTITION BY sku_id)) * 1.0 / (max(y) OVER (PARTITION BY sku_id) - min(y) OVER (PARTITION BY sku_id)) ELSE 0.0 END")} AS y_scaled
+FROM ser_k"""
+
+ORACLE["lag_windows"] = _PLAT_SER + """
+SELECT series, strftime(ds, '%Y-%m-%d') AS ds, CAST(y AS BIGINT) AS y, array_to_string(x, ',') AS x FROM (
+  SELECT *, list(CAST(y AS BIGINT)) OVER (ORDER BY ds ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) AS x FROM ser_p)
+WHERE len(x) = 28"""
+
+ORACLE["chrono_split"] = _SKU_SER + """
+SELECT sku_id, strftime(ds, '%Y-%m-%d') AS ds, CAST(y AS BIGINT) AS y,
+       row_number() OVER (PARTITION BY sku_id ORDER BY ds) <= floor(count(*) OVER (PARTITION BY sku_id) * 0.8) AS is_train
+FROM ser_k"""
+
+_BF_SER = with_views("transactions", extra="""allp AS (
+  SELECT 'platform' AS series, CAST("timestamp" AS DATE) AS ds, sum(quantity) AS y FROM transactions GROUP BY 2),
+ser_b AS (SELECT * FROM allp WHERE ds <= (SELECT max(ds) FROM allp) - 30)""").rstrip()
+_BF = _seasonal(_BF_SER, ["series"], 30, "b") + """,
+bf AS (SELECT f.series, f.ds, f.yhat, f.yhat - 1.2816 * f.sigma AS yhat_lower, f.yhat + 1.2816 * f.sigma AS yhat_upper,
+              CAST(a.y AS DOUBLE) AS actual
+       FROM fc_b f LEFT JOIN allp a ON a.series = f.series AND a.ds = f.ds)"""
+
+ORACLE["forecast_backfill"] = _BF + f"""
+SELECT series, strftime(ds, '%Y-%m-%d') AS ds, {r6('yhat')} AS yhat, {r6('yhat_lower')} AS yhat_lower,
+       {r6('yhat_upper')} AS yhat_upper, {r6('actual')} AS actual,
+       {r6('abs(actual - yhat) / nullif(actual, 0.0) * 100')} AS mape FROM bf"""
+
+ORACLE["forecast_accuracy"] = _BF + f"""
+SELECT series, {r6('avg((actual - yhat) * (actual - yhat))')} AS mse, {r6('avg(abs(actual - yhat))')} AS mae,
+       {r6('sqrt(avg((actual - yhat) * (actual - yhat)))')} AS rmse,
+       {r6('avg(abs(actual - yhat) / nullif(abs(actual), 0)) * 100')} AS mape,
+       {r6('avg(CAST(actual BETWEEN yhat_lower AND yhat_upper AS DOUBLE))')} AS coverage, count(*) AS n
+FROM bf WHERE actual IS NOT NULL GROUP BY series"""

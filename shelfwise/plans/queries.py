@@ -510,3 +510,76 @@ def q_density(spark, root):
 def q_silhouette(spark, root):
     km, _ = sg.kmeans_segments(sg.scaled_table(_seg_rfm(spark, root)))
     return sg.silhouette(km)
+
+
+# ------------------------------------------------------------- forecasting --
+from ..operators import forecast as fc  # noqa: E402
+
+
+def _sku_series(spark, root):
+    return dl.sku_daily(v.transactions(spark, root)).select(
+        "sku_id", F.col("date").alias("ds"), F.col("daily_qty").alias("y"))
+
+
+def _platform_series(spark, root):
+    return dl.platform_daily(v.transactions(spark, root)).select(F.lit("platform").alias("series"), "ds", "y")
+
+
+@register("sku_forecast")
+def q_sku_forecast(spark, root):
+    return finalize(fc.forecast(_sku_series(spark, root), ["sku_id"], horizon=7))
+
+
+@register("platform_forecast")
+def q_platform_forecast(spark, root):
+    return finalize(fc.forecast(_platform_series(spark, root), ["series"], horizon=fc.HORIZON))
+
+
+@register("forecast_horizon_end")
+def q_horizon_end(spark, root):
+    return finalize(fc.horizon_end(fc.forecast(_sku_series(spark, root), ["sku_id"], horizon=7), ["sku_id"]))
+
+
+@register("series_index_scaled")
+def q_series_index(spark, root):
+    s = _sku_series(spark, root)
+    return finalize(s.select("sku_id", "ds", "y", fc.time_index(s, ["sku_id"]),
+                             fc.minmax_scaled("y", ["sku_id"]).alias("y_scaled")))
+
+
+@register("lag_windows")
+def q_lag_windows(spark, root):
+    w = fc.lag_windows(_platform_series(spark, root), ["series"], lookback=fc.LOOKBACK)
+    return finalize(w.select("series", "ds", "y", F.array_join(F.transform("x", lambda e: e.cast("string")), ",")
+                             .alias("x")))
+
+
+@register("chrono_split")
+def q_chrono(spark, root):
+    return finalize(fc.chrono_split(_sku_series(spark, root), ["sku_id"]))
+
+
+def _backfill(spark, root):
+    s = _platform_series(spark, root)
+    cutoff = F.date_sub(s.select(F.max("ds")).scalar(), fc.HORIZON)
+    train = s.where(F.col("ds") <= cutoff)
+    stored = fc.forecast(train, ["series"], horizon=fc.HORIZON)
+    return fc.backfill_actuals(stored, s, ["series"])
+
+
+@register("forecast_backfill")
+def q_backfill(spark, root):
+    return finalize(_backfill(spark, root))
+
+
+@register("forecast_accuracy")
+def q_accuracy(spark, root):
+    b = _backfill(spark, root).where(F.col("actual").isNotNull())
+    err = fc.forecast_errors(b, "actual", "yhat", keys=["series"])
+    return finalize(err.join(fc.coverage(b, ["series"]), "series"))
+
+
+@register("lag_forecaster_metrics")
+def q_lag_forecaster(spark, root):
+    _, metrics, _ = fc.lag_forecaster(_sku_series(spark, root), ["sku_id"], max_iter=10)
+    return metrics
