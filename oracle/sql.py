@@ -791,3 +791,63 @@ SELECT series, {r6('avg((actual - yhat) * (actual - yhat))')} AS mse, {r6('avg(a
        {r6('avg(abs(actual - yhat) / nullif(abs(actual), 0)) * 100')} AS mape,
        {r6('avg(CAST(actual BETWEEN yhat_lower AND yhat_upper AS DOUBLE))')} AS coverage, count(*) AS n
 FROM bf WHERE actual IS NOT NULL GROUP BY series"""
+
+
+# ------------------------------------------------------------------- churn --
+def _churn_sql(legacy: bool) -> str:
+    if legacy:
+        cut = '(SELECT max("timestamp") FROM transactions)'
+        hist = "transactions"
+    else:
+        cut = '((SELECT max("timestamp") FROM transactions) - INTERVAL 90 DAY)'
+        hist = f'(SELECT * FROM transactions WHERE "timestamp" <= {cut})'
+    body = with_views("transactions", "customers", extra=f"""h AS (
+  SELECT customer_id, max("timestamp") AS last_ts, count(*) AS frequency, sum(total_amount) AS monetary
+  FROM {hist} GROUP BY customer_id),
+f AS (
+  SELECT c.customer_id, CAST(c.age AS DOUBLE) AS age,
+         CAST(coalesce({elapsed(cut, 'h.last_ts')}, 0) AS DOUBLE) AS recency,
+         CAST(coalesce(h.frequency, 0) AS DOUBLE) AS frequency, coalesce(CAST(h.monetary AS DOUBLE), 0.0) AS monetary
+  FROM customers c LEFT JOIN h ON c.customer_id = h.customer_id)""")
+    if legacy:
+        label = "CAST(recency > 90 AS INTEGER)"
+        frm = "f"
+    else:
+        label = "CASE WHEN a.customer_id IS NULL THEN 1 ELSE 0 END"
+        frm = (f'f LEFT JOIN (SELECT DISTINCT customer_id FROM transactions WHERE "timestamp" > {cut} '
+               f'AND "timestamp" <= {cut} + INTERVAL 90 DAY) a ON f.customer_id = a.customer_id')
+    return body + f"""SELECT f.customer_id, f.age, f.recency, f.frequency, {r6('f.monetary')} AS monetary,
+       CAST({label} AS BIGINT) AS churn FROM {frm}"""
+
+
+ORACLE["churn_training_set"] = _churn_sql(False)
+ORACLE["churn_training_set_legacy"] = _churn_sql(True)
+
+_DOCS = """WITH d AS (SELECT l.doc_id, l.quality, l.toxic, d.n_chars, d.text FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
+sd AS (SELECT doc_id, quality, toxic, n_chars * 1.0 / (SELECT max(n_chars) FROM d) AS score,
+              CAST(len(string_split(text, chr(10))) AS DOUBLE) AS line_score FROM d)"""
+
+
+def _auc_sql(score: str, label: str, src: str = "sd") -> str:
+    return f"""(SELECT (sum(CASE WHEN {label} = 1 THEN rk END) - n1 * (n1 + 1) / 2.0) / nullif(n1 * n0, 0) AS auc,
+       n1 AS n_pos, n0 AS n_neg FROM (
+  SELECT {label}, rank() OVER (ORDER BY {score}) + (count(*) OVER (PARTITION BY {score}) - 1) / 2.0 AS rk,
+         count(*) FILTER (WHERE {label} = 1) OVER () AS n1, count(*) FILTER (WHERE {label} = 0) OVER () AS n0
+  FROM {src}) GROUP BY n1, n0)"""
+
+
+ORACLE["auc_labels"] = _DOCS + f"\nSELECT {r6('auc')} AS auc, n_pos, n_neg FROM {_auc_sql('score', 'quality')}"
+ORACLE["f1_labels"] = _DOCS + f""",
+c AS (SELECT count(*) FILTER (WHERE score > 0.35 AND quality = 1) AS tp,
+             count(*) FILTER (WHERE score > 0.35 AND quality <> 1) AS fp,
+             count(*) FILTER (WHERE NOT score > 0.35 AND quality = 1) AS fn FROM sd)
+SELECT tp, fp, fn, {r6('tp * 1.0 / nullif(tp + fp, 0)')} AS precision, {r6('tp * 1.0 / nullif(tp + fn, 0)')} AS recall,
+       {r6('coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0.0)')} AS f1 FROM c"""
+ORACLE["precision_top_labels"] = _DOCS + f"""
+SELECT {r6('avg(CAST(quality AS DOUBLE))')} AS precision_top, count(*) AS n_top FROM (
+  SELECT quality, row_number() OVER (ORDER BY score DESC, doc_id) AS rn FROM sd)
+WHERE rn <= ceil((SELECT count(*) FROM sd) * 0.2)"""
+ORACLE["champion_challenger_labels"] = _DOCS + f"""
+SELECT {r6('a.auc')} AS champion_auc, {r6('b.auc')} AS challenger_auc, b.auc > a.auc + 0.01 AS promote_challenger,
+       CASE WHEN b.auc > a.auc + 0.01 THEN 'PROMOTE line_score' ELSE 'KEEP score' END AS recommendation
+FROM {_auc_sql('score', 'quality')} a, {_auc_sql('line_score', 'quality')} b"""

@@ -583,3 +583,118 @@ def q_accuracy(spark, root):
 def q_lag_forecaster(spark, root):
     _, metrics, _ = fc.lag_forecaster(_sku_series(spark, root), ["sku_id"], max_iter=10)
     return metrics
+
+
+# ------------------------------------------------------------------- churn --
+from ..operators import churn as ch  # noqa: E402
+
+
+def _churn_data(spark, root, legacy=False):
+    return ch.churn_dataset(v.customers(spark, root), v.baskets(spark, root), legacy_label=legacy)
+
+
+@register("churn_training_set")
+def q_churn_set(spark, root):
+    return finalize(_churn_data(spark, root))
+
+
+@register("churn_training_set_legacy")
+def q_churn_set_legacy(spark, root):
+    return finalize(_churn_data(spark, root, legacy=True))
+
+
+def _split(spark, root):
+    from ..session import checkpoint_dir
+    checkpoint_dir(spark)
+    return ch.holdout(_churn_data(spark, root)).checkpoint(eager=True)
+
+
+@register("churn_scores")
+def q_churn_scores(spark, root):
+    d = _split(spark, root)
+    model = ch.train_churn(d.where("is_train"))
+    return ch.score_churn(model, d)
+
+
+@register("churn_holdout_metrics")
+def q_churn_metrics(spark, root):
+    d = _split(spark, root)
+    model = ch.train_churn(d.where("is_train"))
+    test = ch.score_churn(model, d.where(~F.col("is_train")))
+    a = ch.auc(test, "churn_probability", "churn").withColumn("_k", F.lit(1))
+    f = ch.f1_at(test, "churn_probability", "churn").withColumn("_k", F.lit(1))
+    return a.join(f, "_k").drop("_k")
+
+
+@register("churn_champion_challenger")
+def q_churn_cc(spark, root):
+    """K15 + K17: champion (single GBT) vs a retrained weighted challenger on the test split."""
+    d = _split(spark, root)
+    train = d.where("is_train")
+    champ = ch.train_churn(train)
+    chall = ch.train_churn(ch.class_weights(train), params=ch.CHALLENGER, weighted=True)
+    test = d.where(~F.col("is_train"))
+    s1 = ch.score_churn(champ, test).select("customer_id", "churn", F.col("churn_probability").alias("champion"))
+    s2 = ch.score_churn(chall, test).select("customer_id", F.col("churn_probability").alias("challenger"))
+    return ch.champion_decision(s1.join(s2, "customer_id"), "champion", "challenger", "churn")
+
+
+@register("churn_stacking")
+def q_churn_stacking(spark, root):
+    """K11 + K12 on the training split."""
+    d = _split(spark, root)
+    oof = ch.out_of_fold(d.where("is_train"))
+    from ..session import checkpoint_dir
+    checkpoint_dir(spark)
+    return ch.stack_strategy(oof.checkpoint(eager=True))
+
+
+@register("churn_fpr_gap")
+def q_churn_fpr(spark, root):
+    d = _split(spark, root)
+    model = ch.train_churn(d.where("is_train"))
+    return ch.fpr_gap(ch.score_churn(model, d.where(~F.col("is_train"))), "churn_probability", "churn")
+
+
+@register("churn_tuning")
+def q_churn_tuning(spark, root):
+    return ch.tune_churn(_split(spark, root).where("is_train"))
+
+
+@register("churn_attributions")
+def q_churn_attr(spark, root):
+    return ch.attributions(_churn_data(spark, root))
+
+
+@register("churn_global_importance")
+def q_churn_importance(spark, root):
+    return ch.global_importance(ch.attributions(_churn_data(spark, root)))
+
+
+def _scored_docs(spark, root):
+    labels = read_table(spark, root, "labels")
+    docs = read_table(spark, root, "documents").select("doc_id", "n_chars", "text")
+    d = labels.join(docs, "doc_id")
+    mx = d.select(F.max("n_chars")).scalar()
+    return d.select("doc_id", "quality", "toxic", (F.col("n_chars") / mx).alias("score"),
+                    F.size(F.split("text", "\n")).cast("double").alias("line_score"))
+
+
+@register("auc_labels")
+def q_auc_labels(spark, root):
+    return finalize(ch.auc(_scored_docs(spark, root), "score", "quality"))
+
+
+@register("f1_labels")
+def q_f1_labels(spark, root):
+    return finalize(ch.f1_at(_scored_docs(spark, root), "score", "quality", ch.STACK_THRESHOLD))
+
+
+@register("precision_top_labels")
+def q_prec_top(spark, root):
+    return finalize(ch.precision_top(_scored_docs(spark, root), "score", "quality", "doc_id"))
+
+
+@register("champion_challenger_labels")
+def q_cc_labels(spark, root):
+    return finalize(ch.champion_decision(_scored_docs(spark, root), "score", "line_score", "quality"))
