@@ -20,14 +20,23 @@ LEAD_BASE, LEAD_MOD = 2, 12
 
 
 def _line_amount(price, discount):
-    return F.round(price.cast("decimal(12,2)") * (F.lit(1) - discount), 2)
+    """round(price * (1 - discount), 2) in DECIMAL.  (1 - discount) lies in
+    [0, 1] and fits DECIMAL(3,2); keeping the product at DECIMAL(16,4) (<= 18
+    digits) lets Spark use its long-backed decimal arithmetic."""
+    keep = (F.lit(1) - discount).cast("decimal(3,2)")
+    return F.round(price.cast("decimal(12,2)") * keep, 2)
 
 
 def transactions(spark: SparkSession, root: str) -> DataFrame:
     """One row per line item: transaction_id (basket), customer_id, sku_id,
     timestamp, quantity, discount_applied DECIMAL(4,2), total_amount DECIMAL."""
+    # Hash-partition the fact side on the join key up front: at cluster scale
+    # the lineitem-orders join is a shuffle join on exactly this key, so the
+    # exchange is the one the join needs (EnsureRequirements reuses it); with
+    # few large input splits it also spreads the per-line work over all cores.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     li = read_table(spark, root, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount")
+        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount").repartition(n, "l_orderkey")
     od = read_table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     disc = F.col("l_discount").cast("decimal(4,2)")
     return (li.join(od, li.l_orderkey == od.o_orderkey, "inner")

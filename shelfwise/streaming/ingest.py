@@ -31,44 +31,33 @@ def _field(v: Column, name: str, typ: str = "variant") -> Column:
     return F.try_variant_get(v, f"$.{name}", typ)
 
 
-def _present(v: Column, name: str) -> Column:
-    # absent key -> SQL NULL; JSON null -> a variant null (not SQL NULL)
-    return _field(v, name).isNotNull()
-
-
-def _json_type(v: Column, name: str) -> Column:
-    return F.schema_of_variant(_field(v, name))
-
-
-def _castable(v: Column, name: str, typ: str) -> Column:
-    """Python int()/float() acceptance on the field's JSON type."""
-    t = _json_type(v, name)
-    scalar = ~(t.startswith("OBJECT") | t.startswith("ARRAY") | (t == "VOID"))
-    return scalar & _field(v, name, typ).isNotNull()
-
-
 def decode_events(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """Decode and validate raw JSON text -> one row per input with the typed
     fields, ``_extra`` (unknown keys as JSON), ``_raw`` and ``_dlq_reason``
-    (NULL when valid).  Works on batch and streaming frames alike."""
+    (NULL when valid).  Works on batch and streaming frames alike.
+
+    The text is parsed once into a VARIANT and viewed once as a map of its
+    top-level keys (NULL unless it is a JSON object).  A key can be present
+    with a JSON null (absent != null).  ``try_variant_get`` to BIGINT/DOUBLE
+    follows Python's int()/float() on the JSON value: 2.7 -> 2, " 3 " -> 3,
+    "2.7" -> NULL for an integer, null / arrays / objects -> NULL."""
     raw_s = F.col(value_col).cast("string")
     v = F.try_parse_json(raw_s)
-    is_obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-    reason = F.when(~is_obj, F.lit("JSON decode error"))
+    obj = F.try_variant_get(v, "$", "map<string,variant>")
+    present = lambda c: F.map_contains_key(obj, F.lit(c))
+    reason = F.when(obj.isNull(), F.lit("JSON decode error"))
     for c in REQUIRED_FIELDS:
-        reason = reason.when(~_present(v, c), F.lit(f"Missing required field: {c}"))
+        reason = reason.when(~present(c), F.lit(f"Missing required field: {c}"))
     for c in INT_FIELDS:
-        reason = reason.when(~_castable(v, c, "bigint"), F.lit(f"Type cast error: {c} is not an integer"))
+        reason = reason.when(_field(v, c, "bigint").isNull(), F.lit(f"Type cast error: {c} is not an integer"))
     for c in FLOAT_FIELDS:
-        ok = _castable(v, c, "double")
+        bad = _field(v, c, "double").isNull()
         if c in OPTIONAL_DEFAULTS:
-            ok = ~_present(v, c) | ok
-        reason = reason.when(~ok, F.lit(f"Type cast error: {c} is not a number"))
+            bad = present(c) & bad
+        reason = reason.when(bad, F.lit(f"Type cast error: {c} is not a number"))
     known = list(REQUIRED_FIELDS) + list(OPTIONAL_DEFAULTS)
-    keys = F.json_object_keys(raw_s)
-    extra_keys = F.array_except(F.coalesce(keys, F.array().cast("array<string>")),
-                                F.array(*[F.lit(k) for k in known]))
-    disc = F.when(_present(v, "discount_applied"), _field(v, "discount_applied", "double")) \
+    extra = F.map_filter(obj, lambda k, _: ~k.isin(*known))
+    disc = F.when(present("discount_applied"), _field(v, "discount_applied", "double")) \
         .otherwise(F.lit(OPTIONAL_DEFAULTS["discount_applied"]))
     return raw.select(
         _field(v, "transaction_id", "string").alias("transaction_id"),
@@ -79,10 +68,8 @@ def decode_events(raw: DataFrame, value_col: str = "value") -> DataFrame:
         _field(v, "quantity", "bigint").cast("int").alias("quantity"),
         _field(v, "total_amount", "double").alias("total_amount"),
         disc.alias("discount_applied"),
-        F.when(F.size(extra_keys) > 0,
-               F.to_json(F.map_from_arrays(extra_keys, F.transform(
-                   extra_keys, lambda k: F.to_json(F.try_variant_get(v, F.concat(F.lit("$."), k), "variant"))))))
-        .alias("_extra"),
+        F.when(F.cardinality(extra) > 0,
+               F.to_json(F.transform_values(extra, lambda _, x: F.to_json(x)))).alias("_extra"),
         raw_s.alias("_raw"),
         reason.alias("_dlq_reason"),
     )
@@ -173,16 +160,21 @@ def damaged_messages(txns: DataFrame, every: int = 20) -> DataFrame:
         F.pmod(F.col("transaction_id") * 31 + F.col("sku_id"), F.lit(every)).alias("_slot"),
         # independent of the slot expression, so all six kinds occur
         F.pmod(F.xxhash64("transaction_id", "sku_id"), F.lit(6)).alias("_kind"))
-    good = F.to_json(F.struct("transaction_id", "customer_id", "sku_id", "timestamp", "quantity",
-                              "total_amount", "discount_applied"))
+    cols = ["transaction_id", "customer_id", "sku_id", "timestamp", "quantity", "total_amount",
+            "discount_applied"]
+
+    def js(**over):
+        fields = [over.pop(c).alias(c) if c in over else F.col(c) for c in cols]
+        fields += [val.alias(k) for k, val in over.items()]
+        return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+
+    good = F.to_json(F.struct(*cols))
     missing = F.to_json(F.struct("transaction_id", "customer_id", "timestamp", "quantity", "total_amount"))
-    null_qty = F.regexp_replace(good, '"quantity":[0-9]+', '"quantity":null')
-    str_qty = F.regexp_replace(good, '"quantity":[0-9]+', '"quantity":"2.7"')
-    bad_json = F.concat(F.lit("{bad json "), F.col("transaction_id"))
-    bad_ts = F.regexp_replace(good, '"timestamp":"[^"]*"', '"timestamp":"not-a-date"')
-    extra = F.regexp_replace(good, "}$", ',"store":"S1"}')
     msg = (F.when(F.col("_slot") != 0, good)
-            .when(F.col("_kind") == 0, missing).when(F.col("_kind") == 1, null_qty)
-            .when(F.col("_kind") == 2, str_qty).when(F.col("_kind") == 3, bad_json)
-            .when(F.col("_kind") == 4, bad_ts).otherwise(extra))
+            .when(F.col("_kind") == 0, missing)
+            .when(F.col("_kind") == 1, js(quantity=F.lit(None).cast("int")))
+            .when(F.col("_kind") == 2, js(quantity=F.lit("2.7")))
+            .when(F.col("_kind") == 3, F.concat(F.lit("{bad json "), F.col("transaction_id")))
+            .when(F.col("_kind") == 4, js(timestamp=F.lit("not-a-date")))
+            .otherwise(js(store=F.lit("S1"))))
     return base.select(msg.alias("value"))
