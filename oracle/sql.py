@@ -851,3 +851,8 @@ ORACLE["champion_challenger_labels"] = _DOCS + f"""
 SELECT {r6('a.auc')} AS champion_auc, {r6('b.auc')} AS challenger_auc, b.auc > a.auc + 0.01 AS promote_challenger,
        CASE WHEN b.auc > a.auc + 0.01 THEN 'PROMOTE line_score' ELSE 'KEEP score' END AS recommendation
 FROM {_auc_sql('score', 'quality')} a, {_auc_sql('line_score', 'quality')} b"""
+
+ORACLE["sku_lookup_with_defaults"] = "SELECT r.* FROM (" + _report_sql("7.0") + \
+    ") r WHERE r.sku_id IN (SELECT DISTINCT l_partkey FROM lineitem)"
+ORACLE["unknown_skus"] = """SELECT DISTINCT l_partkey AS sku_id FROM lineitem
+WHERE l_partkey NOT IN (SELECT p_partkey FROM part)"""

@@ -71,6 +71,27 @@ def rfm(baskets: DataFrame, *, ref_date=None, frequency_mode: str = "distinct")
     )
 
 
+def basket_features(baskets: DataFrame, *, ref_date=None) -> DataFrame:
+    """D1 + D11 fused: full RFM and promo features from ONE aggregation of the
+    baskets (both are decomposable over baskets).  The reference date defaults
+    to the latest basket, taken from the same per-customer aggregate."""
+    agg = baskets.groupBy("customer_id").agg(
+        F.max("timestamp").alias("_last"), F.count(F.lit(1)).alias("frequency"),
+        F.sum("amount_sum").alias("monetary"), F.sum("n_lines").alias("_lines"),
+        F.max("amount_max").alias("max_basket"), F.sum("qty_sum").alias("total_qty"),
+        F.sum("discount_sum").alias("_dsum"), F.max("discount_max").alias("max_discount"),
+        F.sum("n_discounted").alias("_npos"))
+    ref = agg.select(F.max("_last")).scalar() if ref_date is None else _ref(baskets, ref_date)
+    rec = elapsed_days(ref, F.col("_last"))
+    return agg.select(
+        "customer_id", rec.alias("recency"), F.col("frequency").cast("long").alias("frequency"), "monetary",
+        (F.col("monetary") / F.col("_lines")).alias("avg_basket"), "max_basket",
+        F.col("total_qty").cast("long").alias("total_qty"),
+        F.exp(F.lit(-RECENCY_DECAY) * rec).alias("recency_decay"),
+        (F.col("_dsum") / F.col("_lines")).alias("avg_discount"), "max_discount",
+        (F.col("_npos") / F.col("_lines")).alias("discount_txn_ratio"))
+
+
 def rfm_lite(customers: DataFrame, baskets: DataFrame, *, ref_date=None) -> DataFrame:
     """RFM-lite (D2): recency, frequency = line rows, monetary; every customer
     kept (left join) with missing values filled with 0."""
@@ -153,14 +174,16 @@ def churn_flag(recency, days: int = CHURN_DAYS) -> Column:
 
 
 def customer_features(customers: DataFrame, rfm_df: DataFrame, cat_df: DataFrame,
-                      promo_df: DataFrame) -> DataFrame:
+                      promo_df: DataFrame | None = None) -> DataFrame:
     """Silver customer table (C3): customers left-joined to RFM, category and
     promo features on customer_id, nulls filled by type, churn label added.
-    The three feature frames come out of aggregations hash-partitioned on
-    customer_id, so the chained joins add no exchange on those sides."""
-    joined = (customers.join(rfm_df, "customer_id", "left")
-                       .join(cat_df, "customer_id", "left")
-                       .join(promo_df, "customer_id", "left"))
+    Pass ``promo_df=None`` when ``rfm_df`` is :func:`basket_features` (RFM and
+    promo from one aggregation).  The feature frames come out of aggregations
+    hash-partitioned on customer_id, so the chained joins add no exchange on
+    those sides."""
+    joined = customers.join(rfm_df, "customer_id", "left").join(cat_df, "customer_id", "left")
+    if promo_df is not None:
+        joined = joined.join(promo_df, "customer_id", "left")
     filled = fill_by_type(joined, skip=("customer_id",))
     return filled.withColumn("churn", churn_flag("recency"))
 

@@ -58,53 +58,88 @@ def ks_pvalue(d, n, m):
     return F.when(lam < 0.2, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2 * series)))
 
 
-def numeric_drift(ref: DataFrame, cur: DataFrame, column: str, *, threshold=COLUMN_THRESHOLD,
-                  alpha=KS_ALPHA, small=SMALL_SAMPLE) -> DataFrame:
-    """Normalised Wasserstein distance when the reference has more than
-    ``small`` rows, else the two-sample K-S test."""
-    x = F.col(column).cast("double")
-    n_r = ref.select(F.count(x)).scalar()
-    n_c = cur.select(F.count(x)).scalar()
-    sd = ref.select(F.greatest(F.stddev_pop(x), F.lit(SD_FLOOR))).scalar()
-    e = ecdf_frame(ref, cur, column)
-    fr, fc = F.col("cum_r") / n_r, F.col("cum_c") / n_c
-    stats = e.agg(F.sum(F.abs(fr - fc) * (F.col("v_next") - F.col("v"))).alias("w1"),
-                  F.max(F.abs(fr - fc)).alias("ks_d"))
-    # scalars become columns first: subqueries may not sit inside the p-value's lambda
-    stats = stats.select("*", n_r.cast("double").alias("_nr"), n_c.cast("double").alias("_nc"),
-                         sd.alias("_sd"))
-    nr, nc = F.col("_nr"), F.col("_nc")
+def _long(df: DataFrame, columns: list[str], cast: str | None, r: int, c: int) -> DataFrame:
+    vals = ", ".join(f"'{x}', " + (f"CAST(`{x}` AS {cast})" if cast else f"`{x}`") for x in columns)
+    return (df.selectExpr(f"stack({len(columns)}, {vals}) AS (column, v)").where("v IS NOT NULL")
+              .withColumn("r", F.lit(r)).withColumn("c", F.lit(c)))
+
+
+def numeric_drift_many(ref: DataFrame, cur: DataFrame, columns: list[str], *, threshold=COLUMN_THRESHOLD,
+                       alpha=KS_ALPHA, small=SMALL_SAMPLE) -> DataFrame:
+    """M8/M10 for several numeric columns in one pass: normalised Wasserstein
+    distance when the reference has more than ``small`` rows, else the
+    two-sample K-S test.  Values of both frames are stacked to (column, v),
+    counted per distinct value, and given one distributed running sum in
+    (column, v) order; per-column offsets (one row per column) turn it into
+    per-column ECDFs."""
+    tagged = _long(ref, columns, "double", 1, 0).unionByName(_long(cur, columns, "double", 0, 1))
+    counts = (tagged.groupBy("column", "v")
+                    .agg(F.sum("r").cast("long").alias("c_r"), F.sum("c").cast("long").alias("c_c"))
+                    .withColumn("_one", F.lit(1).cast("long")))
+    cum = running_sum(counts, [F.col("column").asc(), F.col("v").asc()], ["c_r", "c_c", "_one"],
+                      ["cum_r", "cum_c", "rank"])
+    per_col = cum.groupBy("column").agg(
+        F.sum("c_r").alias("n_ref"), F.sum("c_c").alias("n_cur"),
+        F.min(F.col("cum_r") - F.col("c_r")).alias("off_r"), F.min(F.col("cum_c") - F.col("c_c")).alias("off_c"),
+        (F.sum(F.col("c_r") * F.col("v")) / F.sum("c_r")).alias("mean_r"))
+    pc = F.broadcast(per_col)   # one row per column
+    sd = (cum.join(pc, "column")
+             .groupBy("column").agg(F.greatest(F.sqrt(F.sum(F.col("c_r") * (F.col("v") - F.col("mean_r")) ** 2)
+                                                      / F.first("n_ref")), F.lit(SD_FLOOR)).alias("sd")))
+    nxt = cum.select((F.col("rank") - 1).alias("rank"), F.col("column").alias("_ncol"), F.col("v").alias("_vn"))
+    e = cum.join(nxt, "rank", "left").withColumn(
+        "v_next", F.when(F.col("_ncol") == F.col("column"), F.col("_vn"))).join(pc, "column")
+    fr = (F.col("cum_r") - F.col("off_r")) / F.col("n_ref")
+    fc = (F.col("cum_c") - F.col("off_c")) / F.col("n_cur")
+    stats = e.groupBy("column", "n_ref", "n_cur").agg(
+        F.sum(F.abs(fr - fc) * (F.col("v_next") - F.col("v"))).alias("w1"),
+        F.max(F.abs(fr - fc)).alias("ks_d")).join(F.broadcast(sd), "column")
+    nr, nc = F.col("n_ref").cast("double"), F.col("n_cur").cast("double")
     big = nr > F.lit(small)
-    score = F.when(big, F.coalesce(F.col("w1"), F.lit(0.0)) / F.col("_sd")).otherwise(
+    score = F.when(big, F.coalesce(F.col("w1"), F.lit(0.0)) / F.col("sd")).otherwise(
         ks_pvalue(F.col("ks_d"), nr, nc))
     return stats.select(
-        F.lit(column).alias("column"),
+        "column",
         F.when(big, "wasserstein").otherwise("ks").alias("stat_test"),
         score.alias("score"),
         F.when(big, F.lit(threshold)).otherwise(F.lit(alpha)).alias("threshold"),
         F.when(big, score >= threshold).otherwise(score < alpha).alias("detected"),
-        nr.cast("long").alias("n_ref"), nc.cast("long").alias("n_cur"))
+        F.col("n_ref").cast("long").alias("n_ref"), F.col("n_cur").cast("long").alias("n_cur"))
+
+
+def numeric_drift(ref: DataFrame, cur: DataFrame, column: str, **kw) -> DataFrame:
+    return numeric_drift_many(ref, cur, [column], **kw)
 
 
-def categorical_drift(ref: DataFrame, cur: DataFrame, column: str, *, threshold=COLUMN_THRESHOLD) -> DataFrame:
-    """M9: Jensen-Shannon distance (natural log) between the value shares."""
-    n_r = ref.select(F.count(column)).scalar()
-    n_c = cur.select(F.count(column)).scalar()
-    c = value_counts_pair(ref, cur, column, cast=None)
-    p, q = F.col("c_r") / n_r, F.col("c_c") / n_c
+def categorical_drift_many(ref: DataFrame, cur: DataFrame, columns: list[str], *,
+                           threshold=COLUMN_THRESHOLD) -> DataFrame:
+    """M9: Jensen-Shannon distance (natural log) between value shares, all
+    categorical columns in one pass."""
+    tagged = _long(ref, columns, "string", 1, 0).unionByName(_long(cur, columns, "string", 0, 1))
+    counts = tagged.groupBy("column", "v").agg(F.sum("r").alias("c_r"), F.sum("c").alias("c_c"))
+    tot = counts.groupBy("column").agg(F.sum("c_r").alias("n_ref"), F.sum("c_c").alias("n_cur"))
+    j = counts.join(F.broadcast(tot), "column")   # one row per column
+    p, q = F.col("c_r") / F.col("n_ref"), F.col("c_c") / F.col("n_cur")
     m = (p + q) / 2
     term = F.when(p > 0, p * F.ln(p / m)).otherwise(0.0) + F.when(q > 0, q * F.ln(q / m)).otherwise(0.0)
-    js = c.agg(F.sqrt(F.greatest(F.lit(0.0), F.sum(term) / 2)).alias("score"))
-    return js.select(F.lit(column).alias("column"), F.lit("jensenshannon").alias("stat_test"), "score",
+    js = j.groupBy("column", "n_ref", "n_cur").agg(F.sqrt(F.greatest(F.lit(0.0), F.sum(term) / 2)).alias("score"))
+    return js.select("column", F.lit("jensenshannon").alias("stat_test"), "score",
                      F.lit(threshold).alias("threshold"), (F.col("score") >= threshold).alias("detected"),
-                     n_r.alias("n_ref"), n_c.alias("n_cur"))
+                     F.col("n_ref").cast("long").alias("n_ref"), F.col("n_cur").cast("long").alias("n_cur"))
+
+
+def categorical_drift(ref: DataFrame, cur: DataFrame, column: str, **kw) -> DataFrame:
+    return categorical_drift_many(ref, cur, [column], **kw)
 
 
 def drift_report(ref: DataFrame, cur: DataFrame, *, numeric: list[str], categorical: list[str] = (),
                  threshold: float = COLUMN_THRESHOLD) -> DataFrame:
     """Per-column drift rows: column, stat_test, score, threshold, detected."""
-    parts = [numeric_drift(ref, cur, c, threshold=threshold) for c in numeric]
-    parts += [categorical_drift(ref, cur, c, threshold=threshold) for c in categorical]
+    parts = []
+    if numeric:
+        parts.append(numeric_drift_many(ref, cur, list(numeric), threshold=threshold))
+    if categorical:
+        parts.append(categorical_drift_many(ref, cur, list(categorical), threshold=threshold))
     return reduce(DataFrame.unionByName, parts)
 
 

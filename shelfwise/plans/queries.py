@@ -42,8 +42,7 @@ def q_customer_features(spark, root):
     b = v.baskets(spark, root)
     t = v.transactions(spark, root)
     return finalize(cu.customer_features(
-        v.customers(spark, root), cu.rfm(b),
-        cu.category_features(t, v.products(spark, root)), cu.promo_features(b)))
+        v.customers(spark, root), cu.basket_features(b), cu.category_features(t, v.products(spark, root))))
 
 
 @register("last_sku")
@@ -698,3 +697,25 @@ def q_prec_top(spark, root):
 @register("champion_challenger_labels")
 def q_cc_labels(spark, root):
     return finalize(ch.champion_decision(_scored_docs(spark, root), "score", "line_score", "quality"))
+
+
+@register("price_elasticity_nonlinear")
+def q_nonlinear(spark, root):
+    """Boosted-tree double ML next to the linear estimates."""
+    lines = _lines(spark, root)
+    rep = pr.elasticity_report(lines).drop("nonlinear_dml")
+    return finalize(rep.join(pr.nonlinear_dml(lines).drop("n"), "category", "left"))
+
+
+@register("sku_lookup_with_defaults")
+def q_sku_lookup(spark, root):
+    """Every SKU that appears on a line item, looked up in the report."""
+    keys = read_table(spark, root, "lineitem").select(F.col("l_partkey").alias("sku_id")).distinct()
+    return finalize(inv.lookup_with_defaults(keys, _report(spark, root)))
+
+
+@register("unknown_skus")
+def q_unknown_skus(spark, root):
+    """Line-item SKUs missing from the product table (reported, never substituted)."""
+    keys = read_table(spark, root, "lineitem").select(F.col("l_partkey").alias("sku_id")).distinct()
+    return finalize(inv.unknown_keys(keys, v.products(spark, root)))
