@@ -58,24 +58,28 @@ def ks_pvalue(d, n, m):
     return F.when(lam < 0.2, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2 * series)))
 
 
-def _long(df: DataFrame, columns: list[str], cast: str | None, r: int, c: int) -> DataFrame:
-    vals = ", ".join(f"'{x}', " + (f"CAST(`{x}` AS {cast})" if cast else f"`{x}`") for x in columns)
-    return (df.selectExpr(f"stack({len(columns)}, {vals}) AS (column, v)").where("v IS NOT NULL")
-              .withColumn("r", F.lit(r)).withColumn("c", F.lit(c)))
-
-
-def numeric_drift_many(ref: DataFrame, cur: DataFrame, columns: list[str], *, threshold=COLUMN_THRESHOLD,
-                       alpha=KS_ALPHA, small=SMALL_SAMPLE) -> DataFrame:
-    """M8/M10 for several numeric columns in one pass: normalised Wasserstein
-    distance when the reference has more than ``small`` rows, else the
-    two-sample K-S test.  Values of both frames are stacked to (column, v),
-    counted per distinct value, and given one distributed running sum in
-    (column, v) order; per-column offsets (one row per column) turn it into
-    per-column ECDFs."""
-    tagged = _long(ref, columns, "double", 1, 0).unionByName(_long(cur, columns, "double", 0, 1))
-    counts = (tagged.groupBy("column", "v")
-                    .agg(F.sum("r").cast("long").alias("c_r"), F.sum("c").cast("long").alias("c_c"))
-                    .withColumn("_one", F.lit(1).cast("long")))
+def value_counts_tagged(df: DataFrame, is_ref, numeric: list[str], categorical: list[str] = ()) -> DataFrame:
+    """(column, v, s, c_r, c_c): occurrences of each distinct value of every
+    listed column in the reference (``is_ref`` true) and current rows, from a
+    single scan of ``df``.  Numeric values land in ``v`` (double), categorical
+    ones in ``s`` (string).  The result holds distinct values, not rows, and
+    is materialised once for the numeric and categorical tests."""
+    flag = F.col(is_ref) if isinstance(is_ref, str) else is_ref
+    items = [f"'{x}', CAST(`{x}` AS DOUBLE), CAST(NULL AS STRING)" for x in numeric] + \
+            [f"'{x}', CAST(NULL AS DOUBLE), CAST(`{x}` AS STRING)" for x in categorical]
+    long = (df.select(flag.alias("_ref"), *[F.col(x) for x in list(numeric) + list(categorical)])
+              .selectExpr("_ref", f"stack({len(items)}, {', '.join(items)}) AS (column, v, s)")
+              .where("v IS NOT NULL OR s IS NOT NULL"))
+    counts = long.groupBy("column", "v", "s").agg(
+        F.count_if("_ref").cast("long").alias("c_r"), F.count_if(~F.col("_ref")).cast("long").alias("c_c"))
+    from ..session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return counts.checkpoint(eager=True)
+
+
+def _numeric_from_counts(counts: DataFrame, *, threshold, alpha, small) -> DataFrame:
+    counts = counts.where(F.col("v").isNotNull()).select("column", "v", "c_r", "c_c") \
+        .withColumn("_one", F.lit(1).cast("long"))
     cum = running_sum(counts, [F.col("column").asc(), F.col("v").asc()], ["c_r", "c_c", "_one"],
                       ["cum_r", "cum_c", "rank"])
     per_col = cum.groupBy("column").agg(
@@ -107,16 +111,8 @@ def numeric_drift_many(ref: DataFrame, cur: DataFrame, columns: list[str], *, th
         F.col("n_ref").cast("long").alias("n_ref"), F.col("n_cur").cast("long").alias("n_cur"))
 
 
-def numeric_drift(ref: DataFrame, cur: DataFrame, column: str, **kw) -> DataFrame:
-    return numeric_drift_many(ref, cur, [column], **kw)
-
-
-def categorical_drift_many(ref: DataFrame, cur: DataFrame, columns: list[str], *,
-                           threshold=COLUMN_THRESHOLD) -> DataFrame:
-    """M9: Jensen-Shannon distance (natural log) between value shares, all
-    categorical columns in one pass."""
-    tagged = _long(ref, columns, "string", 1, 0).unionByName(_long(cur, columns, "string", 0, 1))
-    counts = tagged.groupBy("column", "v").agg(F.sum("r").alias("c_r"), F.sum("c").alias("c_c"))
+def _categorical_from_counts(counts: DataFrame, *, threshold) -> DataFrame:
+    counts = counts.where(F.col("s").isNotNull())
     tot = counts.groupBy("column").agg(F.sum("c_r").alias("n_ref"), F.sum("c_c").alias("n_cur"))
     j = counts.join(F.broadcast(tot), "column")   # one row per column
     p, q = F.col("c_r") / F.col("n_ref"), F.col("c_c") / F.col("n_cur")
@@ -128,6 +124,47 @@ def categorical_drift_many(ref: DataFrame, cur: DataFrame, columns: list[str], *
                      F.col("n_ref").cast("long").alias("n_ref"), F.col("n_cur").cast("long").alias("n_cur"))
 
 
+def drift_report_tagged(df: DataFrame, is_ref, *, numeric: list[str], categorical: list[str] = (),
+                        threshold: float = COLUMN_THRESHOLD, alpha: float = KS_ALPHA,
+                        small: int = SMALL_SAMPLE) -> DataFrame:
+    """Per-column drift rows when reference and current rows come from one
+    frame (``is_ref`` marks the reference): a single scan feeds every test."""
+    counts = value_counts_tagged(df, is_ref, list(numeric), list(categorical))
+    parts = []
+    if numeric:
+        parts.append(_numeric_from_counts(counts, threshold=threshold, alpha=alpha, small=small))
+    if categorical:
+        parts.append(_categorical_from_counts(counts, threshold=threshold))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _tag_union(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
+    return (ref.select(*cols, F.lit(True).alias("_is_ref"))
+               .unionByName(cur.select(*cols, F.lit(False).alias("_is_ref"))))
+
+
+def numeric_drift_many(ref: DataFrame, cur: DataFrame, columns: list[str], *, threshold=COLUMN_THRESHOLD,
+                       alpha=KS_ALPHA, small=SMALL_SAMPLE) -> DataFrame:
+    """M8/M10 for several numeric columns: normalised Wasserstein distance when
+    the reference has more than ``small`` rows, else the two-sample K-S test.
+    Values are counted per distinct value, and one distributed running sum in
+    (column, v) order with per-column offsets (one row per column) gives every
+    column's ECDFs."""
+    counts = value_counts_tagged(_tag_union(ref, cur, columns), "_is_ref", columns)
+    return _numeric_from_counts(counts, threshold=threshold, alpha=alpha, small=small)
+
+
+def numeric_drift(ref: DataFrame, cur: DataFrame, column: str, **kw) -> DataFrame:
+    return numeric_drift_many(ref, cur, [column], **kw)
+
+
+def categorical_drift_many(ref: DataFrame, cur: DataFrame, columns: list[str], *,
+                           threshold=COLUMN_THRESHOLD) -> DataFrame:
+    """M9: Jensen-Shannon distance (natural log) between value shares."""
+    counts = value_counts_tagged(_tag_union(ref, cur, columns), "_is_ref", [], columns)
+    return _categorical_from_counts(counts, threshold=threshold)
+
+
 def categorical_drift(ref: DataFrame, cur: DataFrame, column: str, **kw) -> DataFrame:
     return categorical_drift_many(ref, cur, [column], **kw)
 
@@ -135,12 +172,9 @@ def categorical_drift(ref: DataFrame, cur: DataFrame, column: str, **kw) -> Data
 def drift_report(ref: DataFrame, cur: DataFrame, *, numeric: list[str], categorical: list[str] = (),
                  threshold: float = COLUMN_THRESHOLD) -> DataFrame:
     """Per-column drift rows: column, stat_test, score, threshold, detected."""
-    parts = []
-    if numeric:
-        parts.append(numeric_drift_many(ref, cur, list(numeric), threshold=threshold))
-    if categorical:
-        parts.append(categorical_drift_many(ref, cur, list(categorical), threshold=threshold))
-    return reduce(DataFrame.unionByName, parts)
+    cols = list(numeric) + list(categorical)
+    return drift_report_tagged(_tag_union(ref, cur, cols), "_is_ref", numeric=numeric,
+                               categorical=categorical, threshold=threshold)
 
 
 def severity(share) -> F.Column:

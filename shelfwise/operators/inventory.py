@@ -24,11 +24,12 @@ REORDER_FLOOR = 1          # stockout risk divides by max(reorder point, 1)
 RISK_HIGH = 0.5            # high-risk SKU for the KPI tile
 
 
-def demand_stats(txns: DataFrame) -> DataFrame:
+def demand_stats(txns: DataFrame, *, daily: DataFrame | None = None) -> DataFrame:
     """Per SKU -- day span + 1 between first and last sale, average daily
     demand over that span, sample std of daily sums (days with sales only,
-    NULL for a single day) and the last sale time."""
-    d = sku_daily(txns)
+    NULL for a single day) and the last sale time.  ``daily`` may pass an
+    already computed :func:`sku_daily` table."""
+    d = sku_daily(txns) if daily is None else daily
     agg = d.groupBy("sku_id").agg(
         F.min("first_ts").alias("_first"), F.max("last_ts").alias("last_sale"),
         F.sum("daily_qty").alias("total_qty"),
@@ -51,12 +52,15 @@ def category_revenue(txns: DataFrame, products: DataFrame) -> DataFrame:
                 .groupBy("category").agg(F.sum("total_amount").alias("revenue")))
 
 
-def abc_classes(txns: DataFrame, *, a: str = ABC_A, b: str = ABC_B) -> DataFrame:
+def abc_classes(txns: DataFrame | None, *, a: str = ABC_A, b: str = ABC_B,
+                revenue: DataFrame | None = None) -> DataFrame:
     """E4 + I6: cumulative revenue share in descending revenue order (ties by
     sku_id), inclusive; share <= a -> A, <= b -> B, else C.  The running sum is
     distributed (range partitions + broadcast offsets), never one task; the
-    comparison is exact integer arithmetic on cents."""
-    rev = sku_revenue(txns).withColumn("_cents", (F.col("revenue") * 100).cast("long"))
+    comparison is exact integer arithmetic on cents.  ``revenue`` may pass an
+    already computed (sku_id, revenue) table."""
+    rev = (sku_revenue(txns) if revenue is None else revenue) \
+        .withColumn("_cents", (F.col("revenue") * 100).cast("long"))
     cum = running_sum(rev, [F.col("revenue").desc(), F.col("sku_id").asc()], "_cents", "_cum")
     total = rev.select(F.sum("_cents")).scalar()
     cumd, totd = F.col("_cum").cast("decimal(38,0)"), total.cast("decimal(38,0)")
@@ -91,10 +95,17 @@ def inventory_report(products: DataFrame, inventory: DataFrame, txns: DataFrame,
     the fixed 7 days.  ``as_of`` (default: latest transaction) replaces the
     wall clock for dead-stock ageing.
     """
-    ref = txns.select(F.max("timestamp")).scalar() if as_of is None \
+    # one pass over the transactions: the SKU-day table (|SKU| x days, far
+    # smaller than the lines) is materialised once and feeds the demand
+    # statistics, the ABC revenue ranking and the reference date
+    from ..session import checkpoint_dir
+    checkpoint_dir(txns.sparkSession)
+    daily = sku_daily(txns).checkpoint(eager=True)
+    ref = daily.select(F.max("last_ts")).scalar() if as_of is None \
         else F.lit(as_of).cast("timestamp_ntz")
-    stats = demand_stats(txns)
-    abc = abc_classes(txns).select("sku_id", "abc_class")
+    stats = demand_stats(txns, daily=daily)
+    rev = daily.groupBy("sku_id").agg(F.sum("daily_revenue").alias("revenue"))
+    abc = abc_classes(None, revenue=rev).select("sku_id", "abc_class")
     base = (products.select("sku_id", "cost_price")
             .join(inventory.select("sku_id", "current_stock", "supplier_lead_time_days"), "sku_id", "left")
             .join(stats, "sku_id", "left")

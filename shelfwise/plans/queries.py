@@ -264,17 +264,24 @@ def _drift_frames(spark, root):
 _DRIFT_NUM = ["quantity", "discount_applied", "total_amount"]
 
 
+def _drift_base(spark, root):
+    return v.transactions(spark, root).join(v.products(spark, root).select("sku_id", "category"), "sku_id", "left")
+
+
+def _temporal_report(spark, root):
+    # reference and current rows come from one scan, tagged by the split date
+    is_ref = F.col("timestamp") < F.lit(DRIFT_SPLIT).cast("timestamp_ntz")
+    return dr.drift_report_tagged(_drift_base(spark, root), is_ref, numeric=_DRIFT_NUM, categorical=["category"])
+
+
 @register("drift_report_temporal")
 def q_drift_temporal(spark, root):
-    ref, cur = _drift_frames(spark, root)
-    return finalize(dr.drift_report(ref, cur, numeric=_DRIFT_NUM, categorical=["category"]))
+    return finalize(_temporal_report(spark, root))
 
 
 @register("drift_summary_temporal")
 def q_drift_summary(spark, root):
-    ref, cur = _drift_frames(spark, root)
-    rep = dr.drift_report(ref, cur, numeric=_DRIFT_NUM, categorical=["category"])
-    return finalize(dr.confirm_drift(dr.drift_summary(rep)))
+    return finalize(dr.confirm_drift(dr.drift_summary(_temporal_report(spark, root))))
 
 
 @register("drift_report_shifted")
