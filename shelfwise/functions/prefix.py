@@ -1,69 +1,123 @@
-"""Distributed running sum over a global total order.
+"""Distributed scans over a global total order.
 
 A window with ``orderBy`` and no ``partitionBy`` moves every row into one task.
 Here the rows are range-partitioned on the ordering keys instead (Spark samples
 the keys, so hot values and ties spread over partitions by the trailing keys),
-each partition computes its local running sum in one vectorised pass, and the
-per-partition totals -- one row per partition, a size bound we choose -- are
-turned into offsets and broadcast back.  The partition-local frame is
-checkpointed to the shared checkpoint folder so that the totals and the rows
-come from the same materialised partitioning.
+each partition is scanned once in a vectorised ``mapInPandas`` pass, and the
+per-partition summaries -- one row per partition, a size we choose -- become
+carries applied as a literal map keyed by partition id (a projection, no
+join).  The partition-local frame is checkpointed to the shared checkpoint
+folder, so the summaries and the rows come from the same materialised
+partitioning.
 """
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..session import checkpoint_dir
 
 
+def _ranged(df: DataFrame, order_cols: list, num_partitions: int | None, pid: str) -> DataFrame:
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (df.repartitionByRange(n, *order_cols)
+              .sortWithinPartitions(*order_cols)
+              .withColumn(pid, F.spark_partition_id()))
+
+
+def _literal_map(pairs: dict, value_type: str) -> Column:
+    if not pairs:
+        return F.create_map().cast(f"map<int,{value_type}>")
+    items = []
+    for k, v in sorted(pairs.items()):
+        items += [F.lit(int(k)), F.lit(v).cast(value_type)]
+    return F.create_map(*items)
+
+
 def running_sum(df: DataFrame, order_cols: list, value_col, out_col,
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, lead_col=None, lead_out=None) -> DataFrame:
     """Inclusive running sums of integral or double columns in the total order
     given by ``order_cols`` (which must break all ties).  ``value_col`` and
     ``out_col`` are a name or equally long lists of names.  Returns ``df`` plus
-    the output columns (long for integral inputs, double otherwise)."""
+    the output columns (long for integral inputs, double otherwise).  With
+    ``lead_col`` (name or list), ``lead_out`` holds the next row's values in
+    the same global order (NULL after the last row)."""
     vals = [value_col] if isinstance(value_col, str) else list(value_col)
     outs = [out_col] if isinstance(out_col, str) else list(out_col)
+    leads = [] if lead_col is None else ([lead_col] if isinstance(lead_col, str) else list(lead_col))
+    louts = [] if not leads else ([lead_out] if isinstance(lead_out, str) else list(lead_out))
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     integral = [isinstance(df.schema[v].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
                 for v in vals]
     types = [T.LongType() if i else T.DoubleType() for i in integral]
     dtypes = [np.int64 if i else np.float64 for i in integral]
     locals_ = [f"_rs_local{j}" for j in range(len(vals))]
+    lcols = [f"_rs_lead{i}" for i in range(len(leads))]
+    ranged = _ranged(df, order_cols, num_partitions, "_rs_pid")
+    extra = [T.StructField(lc, t) for lc, t in zip(locals_, types)]
+    extra += [T.StructField(lc, df.schema[c].dataType) for lc, c in zip(lcols, leads)]
+    if leads:
+        extra += [T.StructField("_rs_last", T.BooleanType()), T.StructField("_rs_pos", T.LongType())]
+    schema = T.StructType(ranged.schema.fields + extra)
 
-    ranged = (df.repartitionByRange(n, *order_cols)
-                .sortWithinPartitions(*order_cols)
-                .withColumn("_rs_pid", F.spark_partition_id()))
-    schema = T.StructType(ranged.schema.fields +
-                          [T.StructField(lc, t) for lc, t in zip(locals_, types)])
-
-    def local_cumsum(batches):
+    def local_scan(batches):
         carry = [dt(0) for dt in dtypes]
+        pending = None      # with leads, a batch waits for the next batch's first row
+        pos = 0
         for pdf in batches:
             for j, (v, dt) in enumerate(zip(vals, dtypes)):
                 cs = np.cumsum(pdf[v].to_numpy(dtype=dt, na_value=0), dtype=dt) + carry[j]
                 if len(cs):
                     carry[j] = cs[-1]
                 pdf[locals_[j]] = pd.Series(cs, index=pdf.index)
-            yield pdf
+            if not leads:
+                yield pdf
+                continue
+            if not len(pdf):
+                continue
+            for lc, c in zip(lcols, leads):
+                pdf[lc] = pdf[c].astype(object).shift(-1)
+            pdf["_rs_last"] = False
+            pdf["_rs_pos"] = np.arange(pos, pos + len(pdf), dtype=np.int64)
+            pos += len(pdf)
+            if pending is not None:
+                for lc, c in zip(lcols, leads):
+                    pending.at[pending.index[-1], lc] = pdf[c].iloc[0]
+                yield pending
+            pending = pdf
+        if pending is not None:
+            pending.at[pending.index[-1], "_rs_last"] = True
+            yield pending
 
     checkpoint_dir(spark)
-    local = ranged.mapInPandas(local_cumsum, schema).checkpoint(eager=True)
-    # one row per range partition: bounded by n, safe to broadcast
-    totals = local.groupBy("_rs_pid").agg(*[
-        F.sum(F.coalesce(F.col(v).cast(t), F.lit(0).cast(t))).alias(f"_rs_tot{j}")
-        for j, (v, t) in enumerate(zip(vals, types))])
-    w = Window.orderBy("_rs_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_rs_pid", *[
-        F.coalesce(F.sum(f"_rs_tot{j}").over(w), F.lit(0).cast(t)).alias(f"_rs_off{j}")
-        for j, t in enumerate(types)])
-    out = local.join(F.broadcast(offsets), "_rs_pid")
+    local = ranged.mapInPandas(local_scan, schema).checkpoint(eager=True)
+    # one summary row per range partition (bounded by the partition count)
+    aggs = [F.sum(F.coalesce(F.col(v).cast(t), F.lit(0).cast(t))).alias(f"_tot{j}")
+            for j, (v, t) in enumerate(zip(vals, types))]
+    aggs += [F.min_by(c, "_rs_pos").alias(f"_first{i}") for i, c in enumerate(leads)]
+    aggs.append(F.count(F.lit(1)).alias("_n"))
+    summary = sorted(local.groupBy("_rs_pid").agg(*aggs).collect(), key=lambda r: r["_rs_pid"])
+    out = local
     for j, (o, t) in enumerate(zip(outs, types)):
-        out = out.withColumn(o, (F.col(locals_[j]) + F.col(f"_rs_off{j}")).cast(t))
-    return out.drop("_rs_pid", *locals_, *[f"_rs_off{j}" for j in range(len(vals))])
+        acc, offsets = 0, {}
+        for r in summary:
+            offsets[r["_rs_pid"]] = acc
+            acc += r[f"_tot{j}"] or 0
+        tname = "bigint" if isinstance(t, T.LongType) else "double"
+        off = F.coalesce(F.element_at(_literal_map(offsets, tname), F.col("_rs_pid")), F.lit(0).cast(tname))
+        out = out.withColumn(o, (F.col(locals_[j]) + off).cast(t))
+    for i, (lc, c, lo) in enumerate(zip(lcols, leads, louts)):
+        nxt, following = {}, None
+        for r in reversed(summary):
+            if following is not None:
+                nxt[r["_rs_pid"]] = following
+            if r["_n"]:
+                following = r[f"_first{i}"]
+        nmap = _literal_map(nxt, df.schema[c].dataType.simpleString())
+        out = out.withColumn(lo, F.when(F.col("_rs_last"), F.element_at(nmap, F.col("_rs_pid")))
+                                  .otherwise(F.col(lc)))
+    return out.drop("_rs_pid", *locals_, *lcols, *(["_rs_last", "_rs_pos"] if leads else []))
 
 
 def forward_fill(df: DataFrame, order_cols: list, value_col: str, out_col: str,
@@ -71,13 +125,10 @@ def forward_fill(df: DataFrame, order_cols: list, value_col: str, out_col: str,
     """Last non-NULL ``value_col`` at or before each row in the global order
     ``order_cols`` (an as-of scan).  Same layout as :func:`running_sum`: range
     partitions fill locally, and each partition's carry-in is the last non-NULL
-    value of the partitions before it (one row per partition, broadcast)."""
+    value of the partitions before it."""
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     vtype = df.schema[value_col].dataType
-    ranged = (df.repartitionByRange(n, *order_cols)
-                .sortWithinPartitions(*order_cols)
-                .withColumn("_ff_pid", F.spark_partition_id()))
+    ranged = _ranged(df, order_cols, num_partitions, "_ff_pid")
     schema = T.StructType(ranged.schema.fields + [T.StructField("_ff_local", vtype),
                                                   T.StructField("_ff_pos", T.LongType())])
 
@@ -97,9 +148,14 @@ def forward_fill(df: DataFrame, order_cols: list, value_col: str, out_col: str,
 
     checkpoint_dir(spark)
     local = ranged.mapInPandas(local_fill, schema).checkpoint(eager=True)
-    last = local.groupBy("_ff_pid").agg(F.max_by("_ff_local", "_ff_pos").alias("_ff_last"))
-    w = Window.orderBy("_ff_pid").rowsBetween(Window.unboundedPreceding, -1)
-    carry = last.select("_ff_pid", F.last("_ff_last", ignorenulls=True).over(w).alias("_ff_carry"))
-    return (local.join(F.broadcast(carry), "_ff_pid")
-                 .withColumn(out_col, F.coalesce("_ff_local", "_ff_carry"))
-                 .drop("_ff_pid", "_ff_local", "_ff_pos", "_ff_carry"))
+    last = sorted(local.groupBy("_ff_pid").agg(F.max_by("_ff_local", "_ff_pos").alias("_last")).collect(),
+                  key=lambda r: r["_ff_pid"])
+    carries, seen = {}, None
+    for r in last:
+        if seen is not None:
+            carries[r["_ff_pid"]] = seen
+        if r["_last"] is not None:
+            seen = r["_last"]
+    cmap = _literal_map(carries, vtype.simpleString())
+    return (local.withColumn(out_col, F.coalesce(F.col("_ff_local"), F.element_at(cmap, F.col("_ff_pid"))))
+                 .drop("_ff_pid", "_ff_local", "_ff_pos"))

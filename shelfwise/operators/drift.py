@@ -80,8 +80,9 @@ def value_counts_tagged(df: DataFrame, is_ref, numeric: list[str], categorical:
 def _numeric_from_counts(counts: DataFrame, *, threshold, alpha, small) -> DataFrame:
     counts = counts.where(F.col("v").isNotNull()).select("column", "v", "c_r", "c_c") \
         .withColumn("_one", F.lit(1).cast("long"))
+    # running counts plus the next distinct value in (column, v) order, one pass
     cum = running_sum(counts, [F.col("column").asc(), F.col("v").asc()], ["c_r", "c_c", "_one"],
-                      ["cum_r", "cum_c", "rank"])
+                      ["cum_r", "cum_c", "rank"], lead_col=["column", "v"], lead_out=["_ncol", "_vn"])
     per_col = cum.groupBy("column").agg(
         F.sum("c_r").alias("n_ref"), F.sum("c_c").alias("n_cur"),
         F.min(F.col("cum_r") - F.col("c_r")).alias("off_r"), F.min(F.col("cum_c") - F.col("c_c")).alias("off_c"),
@@ -90,9 +91,7 @@ def _numeric_from_counts(counts: DataFrame, *, threshold, alpha, small) -> DataF
     sd = (cum.join(pc, "column")
              .groupBy("column").agg(F.greatest(F.sqrt(F.sum(F.col("c_r") * (F.col("v") - F.col("mean_r")) ** 2)
                                                       / F.first("n_ref")), F.lit(SD_FLOOR)).alias("sd")))
-    nxt = cum.select((F.col("rank") - 1).alias("rank"), F.col("column").alias("_ncol"), F.col("v").alias("_vn"))
-    e = cum.join(nxt, "rank", "left").withColumn(
-        "v_next", F.when(F.col("_ncol") == F.col("column"), F.col("_vn"))).join(pc, "column")
+    e = cum.withColumn("v_next", F.when(F.col("_ncol") == F.col("column"), F.col("_vn"))).join(pc, "column")
     fr = (F.col("cum_r") - F.col("off_r")) / F.col("n_ref")
     fc = (F.col("cum_c") - F.col("off_c")) / F.col("n_cur")
     stats = e.groupBy("column", "n_ref", "n_cur").agg(

@@ -75,14 +75,15 @@ def test_inventory_defaults_single_day_and_dead_stock(spark, make_txns):
 def test_running_sum_matches_window(spark):
     df = spark.range(0, 5000).select((F.col("id") % 97).alias("k"), F.col("id").alias("id"),
                                      (F.col("id") % 13).cast("long").alias("v"))
-    out = running_sum(df, [F.col("k").desc(), F.col("id")], "v", "cum", num_partitions=7)
-    got = sorted((r.k, r.id, r.cum) for r in out.collect())
+    out = running_sum(df, [F.col("k").desc(), F.col("id")], "v", "cum", num_partitions=7,
+                      lead_col="id", lead_out="next_id")
+    got = sorted((r.k, r.id, r.cum, r.next_id) for r in out.collect())
     rows = sorted(((r.k, r.id, r.v) for r in df.collect()), key=lambda x: (-x[0], x[1]))
     acc, exp = 0, []
-    for k, i, v in rows:
+    for n, (k, i, v) in enumerate(rows):
         acc += v
-        exp.append((k, i, acc))
-    assert got == sorted(exp)
+        exp.append((k, i, acc, rows[n + 1][1] if n + 1 < len(rows) else None))
+    assert got == sorted(exp, key=lambda t: (t[0], t[1]))
 
 
 def test_exact_quantiles_match_numpy(spark):
