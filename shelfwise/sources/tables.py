@@ -13,5 +13,21 @@ def table_path(root: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Lazy Parquet scan; Catalyst prunes columns and pushes filters into it."""
-    return spark.read.parquet(table_path(root, name))
+    """Lazy Parquet scan; Catalyst prunes columns and pushes filters into it.
+
+    The input tables are immutable, so the scan DataFrame (file listing and
+    footer schema) is created once per session and path and reused by every
+    query built in that session; column pruning still happens per query."""
+    path = table_path(root, name)
+    cache = getattr(spark, "_shelfwise_scans", None)
+    if cache is None:
+        cache = {}
+        try:
+            spark._shelfwise_scans = cache
+        except AttributeError:  # pragma: no cover - exotic session objects
+            return spark.read.parquet(path)
+    df = cache.get(path)
+    if df is None:
+        df = spark.read.parquet(path)
+        cache[path] = df
+    return df
