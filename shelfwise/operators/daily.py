@@ -19,13 +19,19 @@ LAGS = (1, 7, 14)            # lags in rows, leading gaps filled with 0
 def sku_daily(txns: DataFrame) -> DataFrame:
     """One row per (sku_id, date) with daily_qty, daily_revenue and
     daily_txn_count (distinct baskets), plus first/last transaction times."""
-    return (txns.withColumn("date", F.to_date("timestamp"))
-                .groupBy("sku_id", "date")
-                .agg(F.sum("quantity").cast("long").alias("daily_qty"),
-                     F.sum("total_amount").alias("daily_revenue"),
-                     F.countDistinct("transaction_id").alias("daily_txn_count"),
-                     F.min("timestamp").alias("first_ts"),
-                     F.max("timestamp").alias("last_ts")))
+    # two plain aggregation levels instead of a distinct count mixed with other
+    # aggregates (which would make Spark expand every row): (sku, day, basket)
+    # first, then (sku, day) -- both with map-side partial aggregation
+    per_basket = (txns.withColumn("date", F.to_date("timestamp"))
+                      .groupBy("sku_id", "date", "transaction_id")
+                      .agg(F.sum("quantity").alias("_q"), F.sum("total_amount").alias("_r"),
+                           F.min("timestamp").alias("_f"), F.max("timestamp").alias("_l")))
+    return (per_basket.groupBy("sku_id", "date")
+                      .agg(F.sum("_q").cast("long").alias("daily_qty"),
+                           F.sum("_r").alias("daily_revenue"),
+                           F.count(F.lit(1)).alias("daily_txn_count"),
+                           F.min("_f").alias("first_ts"),
+                           F.max("_l").alias("last_ts")))
 
 
 def daily_demand(txns: DataFrame) -> DataFrame:
