@@ -91,3 +91,16 @@ def test_feature_view_ttl_and_ties(spark):
                                                  fv.latest_snapshot(view, as_of="2024-01-10 00:00:00"),
                                                  "cid").collect()}
     assert look == {1: 11, 9: None}
+
+
+def test_csv_ingest_with_schema_and_timestamp(spark):
+    d = tempfile.mkdtemp(prefix="shelfwise-csv-")
+    p = os.path.join(d, "t.csv")
+    with open(p, "w") as fh:
+        fh.write("sku_id,qty,ts\n1,3,2024-01-02 10:00:00\n2,x,not-a-date\n")
+    df = ig.ingest_csv(spark, p, schema="sku_id long, qty int, ts string", timestamp_col="ts")
+    r = {x.sku_id: x for x in df.collect()}
+    assert r[1].qty == 3 and r[1].ts == dt.datetime(2024, 1, 2, 10, 0)
+    assert r[2].qty is None and r[2].ts is None
+    inferred = ig.ingest_csv(spark, p)
+    assert inferred.columns == ["sku_id", "qty", "ts"]
