@@ -29,9 +29,12 @@ def _ranged(df: DataFrame, order_cols: list, num_partitions: int | None, pid: st
 def _literal_map(pairs: dict, value_type: str) -> Column:
     if not pairs:
         return F.create_map().cast(f"map<int,{value_type}>")
+    import datetime as _dt
     items = []
     for k, v in sorted(pairs.items()):
-        items += [F.lit(int(k)), F.lit(v).cast(value_type)]
+        # timestamps go through text so no Python or session time zone applies
+        lit = F.lit(v.isoformat(sep=" ")) if isinstance(v, (_dt.datetime, _dt.date)) else F.lit(v)
+        items += [F.lit(int(k)), lit.cast(value_type)]
     return F.create_map(*items)
 
 
@@ -159,3 +162,64 @@ def forward_fill(df: DataFrame, order_cols: list, value_col: str, out_col: str,
     cmap = _literal_map(carries, vtype.simpleString())
     return (local.withColumn(out_col, F.coalesce(F.col("_ff_local"), F.element_at(cmap, F.col("_ff_pid"))))
                  .drop("_ff_pid", "_ff_local", "_ff_pos"))
+
+
+def forward_fill_rows(df: DataFrame, order_cols: list, is_source: str, payload: list[str],
+                      num_partitions: int | None = None, suffix: str = "_asof") -> DataFrame:
+    """As-of carry of whole rows: every row receives the ``payload`` columns of
+    the last row at or before it (global order ``order_cols``) whose boolean
+    ``is_source`` is true; NULLs before the first source row.  One range
+    partitioning and one vectorised pass -- the local gather picks the payload
+    by position inside the partition, and each partition's carry-in (the last
+    source row of earlier partitions, one row per partition) is applied as
+    literal maps.  Adds ``<col><suffix>`` for every payload column."""
+    spark = df.sparkSession
+    ranged = _ranged(df, order_cols, num_partitions, "_fr_pid")
+    outs = [f"{c}{suffix}" for c in payload]
+    schema = T.StructType(ranged.schema.fields + [T.StructField(o, df.schema[c].dataType)
+                                                  for o, c in zip(outs, payload)]
+                          + [T.StructField("_fr_has", T.BooleanType()), T.StructField("_fr_pos", T.LongType())])
+
+    def local_fill(batches):
+        carry, pos = None, 0          # carry: payload dict of the last source row seen
+        for pdf in batches:
+            src = pdf[is_source].fillna(False).to_numpy(dtype=bool)
+            idx = np.where(src, np.arange(len(pdf)), -1)
+            last = np.maximum.accumulate(idx) if len(idx) else idx
+            has = last >= 0
+            take = np.where(has, last, 0)
+            for o, c in zip(outs, payload):
+                col = pdf[c].iloc[take]
+                col.index = pdf.index
+                col = col.where(has, None if carry is None else carry[c])
+                pdf[o] = col
+            pdf["_fr_has"] = has | (carry is not None)
+            if has.any():
+                j = int(last[-1])
+                carry = {c: pdf[c].iloc[j] for c in payload}
+            pdf["_fr_pos"] = np.arange(pos, pos + len(pdf), dtype=np.int64)
+            pos += len(pdf)
+            yield pdf
+
+    checkpoint_dir(spark)
+    local = ranged.mapInPandas(local_fill, schema).checkpoint(eager=True)
+    src_rows = local.where(F.col(is_source))
+    last = src_rows.groupBy("_fr_pid").agg(
+        F.max_by(F.struct(*[F.col(c) for c in payload]), "_fr_pos").alias("_last"))
+    last = sorted(last.collect(), key=lambda r: r["_fr_pid"])
+    carries, seen = {c: {} for c in payload}, None
+    pids = [r["_fr_pid"] for r in last]
+    by_pid = {r["_fr_pid"]: r["_last"] for r in last}
+    n = max(pids) + 1 if pids else 0
+    n = max(n, int(num_partitions or spark.conf.get("spark.sql.shuffle.partitions")))
+    for p in range(n):
+        if seen is not None:
+            for c in payload:
+                carries[c][p] = seen[c]
+        if p in by_pid:
+            seen = by_pid[p]
+    out = local
+    for o, c in zip(outs, payload):
+        m = _literal_map({k: v for k, v in carries[c].items() if v is not None}, df.schema[c].dataType.simpleString())
+        out = out.withColumn(o, F.when(F.col("_fr_has"), F.col(o)).otherwise(F.element_at(m, F.col("_fr_pid"))))
+    return out.drop("_fr_pid", "_fr_has", "_fr_pos")

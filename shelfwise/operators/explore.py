@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F  # noqa: F401
 
 from ..functions.prefix import running_sum
 
@@ -114,11 +114,20 @@ def top_k_per_group(df: DataFrame, group: str, order_cols: list, k: int) -> Data
 
 
 def full_window_mean(series: DataFrame, value: str, order: str, rows: int = 7) -> DataFrame:
-    """Moving average that is NULL until ``rows`` values are available.
-    The series is one row per day (bounded by the calendar), so this single
-    ordered frame holds days, not transactions."""
-    w = Window.orderBy(order).rowsBetween(-(rows - 1), 0)
-    return series.withColumn(f"ma_{rows}", F.when(F.count(value).over(w) == rows, F.avg(value).over(w)))
+    """Moving average over the current and previous ``rows - 1`` rows,
+    NULL until ``rows`` values are available.  Computed as a difference of
+    distributed running sums (rank r minus rank r - rows, an equi-join on the
+    rank), so the series is never gathered into one ordered partition.
+    Exact for integral values; for doubles the difference of prefix sums
+    carries the usual floating-point rounding of long sums."""
+    base = series.withColumn("_one", F.lit(1).cast("long")) \
+        .withColumn("_v", F.col(value).cast("double"))
+    cum = running_sum(base, [F.col(order).asc()], ["_v", "_one"], ["_cum", "_rank"])
+    back = cum.select((F.col("_rank") + rows).alias("_rank"), F.col("_cum").alias("_cum_back"))
+    j = cum.join(back, "_rank", "left")
+    full = F.col("_rank") >= rows
+    ma = (F.col("_cum") - F.coalesce(F.col("_cum_back"), F.lit(0.0))) / rows
+    return j.select(*series.columns, F.when(full, ma).alias(f"ma_{rows}"))
 
 
 def pareto_share(sku_rev: DataFrame, top_frac: float = 0.2) -> DataFrame:

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.prefix import forward_fill
+from ..functions.prefix import forward_fill_rows
 
 
 @dataclass
@@ -54,34 +54,37 @@ def online_lookup(entity_ids: DataFrame, snapshot: DataFrame, entity: str) -> Da
 
 
 def point_in_time(entity_rows: DataFrame, view: FeatureView, *, as_of_col: str = "as_of") -> DataFrame:
-    """As-of join of ``entity_rows`` (entity, as_of, ...) to the view."""
+    """As-of join of ``entity_rows`` (entity, as_of, ...) to the view.
+
+    Entity rows and feature rows are unioned and ordered by (entity, time,
+    feature rows first at equal time, tie-break columns); one forward-fill pass
+    hands every entity row the payload of the newest feature row at or before
+    it.  The TTL and same-entity checks are then plain column predicates."""
     key = view.entity
-    src = view.source.select(key, view.event_ts, *([view.created_ts] if view.created_ts else []),
-                             *view.tie_break, *view.features)
-    fid_src = src.withColumn("_fid", F.monotonically_increasing_id())
-    feats = fid_src.checkpoint(eager=True)   # stable ids for the join-back
-    tiebreak = [view.created_ts] if view.created_ts else []
-    tiebreak += list(view.tie_break)
-    f_side = feats.select(F.col(key).alias("_k"), F.col(view.event_ts).alias("_t"), F.lit(0).alias("_tag"),
-                          *[F.col(c).alias(f"_tb{i}") for i, c in enumerate(tiebreak)],
-                          F.col("_fid"), F.lit(None).cast("long").alias("_eid"))
-    ents = entity_rows.withColumn("_eid", F.monotonically_increasing_id()).checkpoint(eager=True)
-    e_side = ents.select(F.col(key).alias("_k"), F.col(as_of_col).alias("_t"), F.lit(1).alias("_tag"),
-                         *[F.lit(None).cast(feats.schema[c].dataType).alias(f"_tb{i}")
-                           for i, c in enumerate(tiebreak)],
-                         F.lit(None).cast("long").alias("_fid"), F.col("_eid"))
-    order = [F.col("_k"), F.col("_t"), F.col("_tag")] + [F.col(f"_tb{i}") for i in range(len(tiebreak))] \
-        + [F.col("_fid"), F.col("_eid")]
-    filled = forward_fill(f_side.unionByName(e_side), order, "_fid", "_last_fid")
-    matches = filled.where(F.col("_tag") == 1).select("_eid", F.col("_k").alias("_ek"),
-                                                      F.col("_t").alias("_as_of"), "_last_fid")
-    fsel = feats.select(F.col("_fid").alias("_last_fid"), F.col(key).alias("_fk"),
-                        F.col(view.event_ts).alias("_ft"), *view.features)
-    j = matches.join(fsel, "_last_fid", "left")
-    ok = (F.col("_fk") == F.col("_ek")) & _ttl_ok(F.col("_as_of"), F.col("_ft"), view.ttl_days)
-    picked = j.select("_eid", *[F.when(ok, F.col(c)).alias(c) for c in view.features],
-                      F.when(ok, F.col("_ft")).alias("feature_ts"))
-    return ents.join(picked, "_eid", "left").drop("_eid")
+    tiebreak = ([view.created_ts] if view.created_ts else []) + list(view.tie_break)
+    pay = [f"_p_{c}" for c in view.features] + ["_p_ts", "_p_key"]
+    ent_cols = entity_rows.columns
+    src = view.source
+    f_side = src.select(F.col(key).alias("_k"), F.col(view.event_ts).alias("_t"), F.lit(0).alias("_tag"),
+                        *[F.col(c).alias(f"_tb{i}") for i, c in enumerate(tiebreak)],
+                        *[F.col(c).alias(f"_p_{c}") for c in view.features],
+                        F.col(view.event_ts).alias("_p_ts"), F.col(key).alias("_p_key"),
+                        *[F.lit(None).cast(entity_rows.schema[c].dataType).alias(f"_e_{c}") for c in ent_cols])
+    e_side = entity_rows.select(F.col(key).alias("_k"), F.col(as_of_col).alias("_t"), F.lit(1).alias("_tag"),
+                                *[F.lit(None).cast(src.schema[c].dataType).alias(f"_tb{i}")
+                                  for i, c in enumerate(tiebreak)],
+                                *[F.lit(None).cast(src.schema[c].dataType).alias(f"_p_{c}") for c in view.features],
+                                F.lit(None).cast(src.schema[view.event_ts].dataType).alias("_p_ts"),
+                                F.lit(None).cast(src.schema[key].dataType).alias("_p_key"),
+                                *[F.col(c).alias(f"_e_{c}") for c in ent_cols])
+    both = f_side.unionByName(e_side).withColumn("_is_src", F.col("_tag") == 0)
+    order = [F.col("_k"), F.col("_t"), F.col("_tag")] + [F.col(f"_tb{i}") for i in range(len(tiebreak))]
+    filled = forward_fill_rows(both, order, "_is_src", pay)
+    rows = filled.where(F.col("_tag") == 1)
+    ok = (F.col("_p_key_asof") == F.col("_k")) & _ttl_ok(F.col("_t"), F.col("_p_ts_asof"), view.ttl_days)
+    return rows.select(*[F.col(f"_e_{c}").alias(c) for c in ent_cols],
+                       *[F.when(ok, F.col(f"_p_{c}_asof")).alias(c) for c in view.features],
+                       F.when(ok, F.col("_p_ts_asof")).alias("feature_ts"))
 
 
 # ---------------------------------------------------------------- the views --
