@@ -60,7 +60,7 @@ _REC = elapsed("(SELECT max(\"timestamp\") FROM transactions)", 'max("timestamp"
 
 ORACLE["rfm_features"] = with_views("transactions") + _RFM_BODY.format(
     rec=_REC, mon=r6("sum(total_amount)"), mx=r6("max(total_amount)"),
-    extra=f",\n       CAST({_REC} > 90 AS INTEGER) AS churn")
+    extra=f",\n       CAST({_REC} > 90 AS BIGINT) AS churn")
 ORACLE["rfm_from_lines"] = with_views("transactions") + _RFM_BODY.format(
     rec=_REC, mon=r6("sum(total_amount)"), mx=r6("max(total_amount)"), extra="")
 
@@ -114,7 +114,7 @@ SELECT c.customer_id, CAST(c.age AS BIGINT) AS age, coalesce(c.gender, '') AS ge
        {r6('coalesce(k.category_entropy, 0)')} AS category_entropy,
        {r6('coalesce(p.avg_discount, 0)')} AS avg_discount, {r6('coalesce(p.max_discount, 0)')} AS max_discount,
        {r6('coalesce(p.discount_txn_ratio, 0)')} AS discount_txn_ratio,
-       CAST(coalesce(r.recency, 0) > 90 AS INTEGER) AS churn
+       CAST(coalesce(r.recency, 0) > 90 AS BIGINT) AS churn
 FROM customers c LEFT JOIN rfm r ON c.customer_id = r.customer_id
 LEFT JOIN cat k ON c.customer_id = k.customer_id LEFT JOIN promo p ON c.customer_id = p.customer_id"""
 
@@ -324,7 +324,7 @@ ORACLE["latest_baskets_per_customer"] = with_views("transactions", extra="""b AS
   SELECT customer_id, transaction_id, max("timestamp") AS "timestamp", sum(total_amount) AS amount_sum
   FROM transactions GROUP BY customer_id, transaction_id)""") + f"""
 SELECT customer_id, transaction_id, "timestamp", {r6('amount_sum')} AS amount_sum, rank FROM (
-  SELECT *, CAST(row_number() OVER (PARTITION BY customer_id ORDER BY "timestamp" DESC, transaction_id DESC) AS INTEGER) AS rank
+  SELECT *, CAST(row_number() OVER (PARTITION BY customer_id ORDER BY "timestamp" DESC, transaction_id DESC) AS BIGINT) AS rank
   FROM b) WHERE rank <= 5"""
 
 ORACLE["daily_sales_ma7"] = with_views("transactions", extra="""d AS (
@@ -406,7 +406,7 @@ sc_{tag} AS (
       FROM range(1, 101) t(k)))) END) END AS score
   FROM st_{tag})"""
     sel = f"""SELECT '{col}' AS "column", CASE WHEN nr > {small} THEN 'wasserstein' ELSE 'ks' END AS stat_test,
-       round(score, 6) AS score, CASE WHEN nr > {small} THEN 0.1 ELSE 0.05 END AS threshold,
+       round(score, 6) AS score, CAST(CASE WHEN nr > {small} THEN 0.1 ELSE 0.05 END AS DOUBLE) AS threshold,
        CASE WHEN nr > {small} THEN score >= 0.1 ELSE score < 0.05 END AS detected,
        CAST(nr AS BIGINT) AS n_ref, CAST(nc AS BIGINT) AS n_cur FROM sc_{tag}"""
     return ctes, sel
@@ -420,7 +420,7 @@ def _cat_drift(col: str, tag: str) -> tuple[str, str]:
     sel = f"""SELECT '{col}' AS "column", 'jensenshannon' AS stat_test,
        round(sqrt(greatest(0.0, sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END
                              + CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END) / 2)), 6) AS score,
-       0.1 AS threshold,
+       CAST(0.1 AS DOUBLE) AS threshold,
        sqrt(greatest(0.0, sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END
                              + CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END) / 2)) >= 0.1 AS detected,
        (SELECT count({col}) FROM ref) AS n_ref, (SELECT count({col}) FROM cur) AS n_cur FROM j_{tag}"""
@@ -577,7 +577,7 @@ sim AS (
          round_even(d, 0) AS current_demand, round_even(pd, 0) AS projected_demand,
          round_even((pd / d - 1) * 100, 2) AS demand_change_pct, round_even(cr, 2) AS current_revenue,
          round_even(pr, 2) AS projected_revenue, round_even((pr / cr - 1) * 100, 2) AS revenue_change_pct,
-         round_even((lift - 1) * 100, 1) AS promotion_lift
+         CAST(round_even((lift - 1) * 100, 1) AS DOUBLE) AS promotion_lift
   FROM calc)
 {select}"""
 
@@ -636,7 +636,7 @@ ORACLE["latency_histogram"] = f"WITH {_EV}\n" + """, b AS (
     WHEN latency_ms / 1000.0 <= 1.0 THEN 1.0 WHEN latency_ms / 1000.0 <= 2.5 THEN 2.5
     WHEN latency_ms / 1000.0 <= 5.0 THEN 5.0 ELSE 'inf'::DOUBLE END AS le, count(*) AS n
   FROM ev GROUP BY 1, 2)
-SELECT event_type, le, n, sum(n) OVER (PARTITION BY event_type ORDER BY le ROWS UNBOUNDED PRECEDING) AS cumulative FROM b"""
+SELECT event_type, le, n, CAST(sum(n) OVER (PARTITION BY event_type ORDER BY le ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cumulative FROM b"""
 
 ORACLE["incremental_orders"] = """SELECT year(o_orderdate) AS year, count(*) AS n FROM orders
 WHERE o_orderdate > TIMESTAMP '1998-05-01 00:00:00' GROUP BY 1"""
@@ -758,7 +758,7 @@ FROM fc_k GROUP BY sku_id"""
 
 ORACLE["series_index_scaled"] = _SKU_SER + f"""
 SELECT sku_id, strftime(ds, '%Y-%m-%d') AS ds, CAST(y AS BIGINT) AS y,
-       CAST(row_number() OVER (PARTITION BY sku_id ORDER BY ds) - 1 AS INTEGER) AS time_idx,
+       CAST(row_number() OVER (PARTITION BY sku_id ORDER BY ds) - 1 AS BIGINT) AS time_idx,
        {r6("CASE WHEN max(y) OVER (PARTITION BY sku_id) > min(y) OVER (PARTITION BY sku_id) THEN (y - min(y) OVER (PARTITION BY sku_id)) * 1.0 / (max(y) OVER (PARTITION BY sku_id) - min(y) OVER (PARTITION BY sku_id)) ELSE 0.0 END")} AS y_scaled
 FROM ser_k"""
 
