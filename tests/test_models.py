@@ -89,3 +89,33 @@ def test_chrono_split_never_random(spark):
     s = spark.createDataFrame([("a", dt.date(2024, 1, i), float(i)) for i in range(1, 11)], "k string, ds date, y double")
     r = fc.chrono_split(s, ["k"]).orderBy("ds").collect()
     assert [x.is_train for x in r] == [True] * 8 + [False] * 2
+
+
+def test_run_table_summaries(spark):
+    import os
+    import tempfile
+    from shelfwise.operators import runs as rn
+    path = os.path.join(tempfile.mkdtemp(prefix="shelfwise-runs-"), "runs")
+    for i in range(7):
+        rn.record_run(spark, path, "exp_a", params={"i": i}, metrics={"auc": 0.5 + i / 100, "f1": 0.1})
+    rn.record_run(spark, path, "exp_b", metrics={"auc": 0.9})
+    runs = spark.read.parquet(path)
+    summ = {r.experiment: r.runs for r in rn.experiment_summary(runs).collect()}
+    assert summ == {"exp_a": 7, "exp_b": 1}
+    latest = rn.latest_runs(runs).where("experiment = 'exp_a'").collect()
+    assert len(latest) == 5
+    assert rn.metrics_long(runs).count() == 7 * 2 + 1
+
+
+def test_retrain_challenger_records_run(spark):
+    import os
+    import tempfile
+    from shelfwise.operators import runs as rn
+    from shelfwise.sources import views as v
+    base = tempfile.mkdtemp(prefix="shelfwise-retrain-")
+    root = "/root/testdata/sf0.001"
+    feats = ch.churn_dataset(v.customers(spark, root), v.baskets(spark, root))
+    m = rn.retrain_challenger(feats, os.path.join(base, "models"), os.path.join(base, "runs")).collect()[0]
+    assert m.auc is None or 0.0 <= m.auc <= 1.0
+    assert os.path.isdir(m.model_path)
+    assert spark.read.parquet(os.path.join(base, "runs")).count() == 1
