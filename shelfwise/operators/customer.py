@@ -48,7 +48,6 @@ def rfm(baskets: DataFrame, *, ref_date=None, frequency_mode: str = "distinct")
     """Full RFM per customer (D1).  frequency = distinct baskets ("distinct") or
     line rows ("rows", D2).  recency is whole days from ``ref_date`` (default:
     latest transaction) to the customer's last transaction."""
-    ref = _ref(baskets, ref_date)
     freq = F.count(F.lit(1)) if frequency_mode == "distinct" else F.sum("n_lines")
     agg = baskets.groupBy("customer_id").agg(
         F.max("timestamp").alias("_last"),
@@ -58,6 +57,8 @@ def rfm(baskets: DataFrame, *, ref_date=None, frequency_mode: str = "distinct")
         F.max("amount_max").alias("max_basket"),
         F.sum("qty_sum").alias("total_qty"),
     )
+    # default reference date = latest basket, read off this same aggregate
+    ref = agg.select(F.max("_last")).scalar() if ref_date is None else _ref(baskets, ref_date)
     rec = elapsed_days(ref, F.col("_last"))
     return agg.select(
         "customer_id",
