@@ -856,3 +856,35 @@ ORACLE["sku_lookup_with_defaults"] = "SELECT r.* FROM (" + _report_sql("7.0") +
     ") r WHERE r.sku_id IN (SELECT DISTINCT l_partkey FROM lineitem)"
 ORACLE["unknown_skus"] = """SELECT DISTINCT l_partkey AS sku_id FROM lineitem
 WHERE l_partkey NOT IN (SELECT p_partkey FROM part)"""
+
+
+# --------------------------------------------- brute-force / extra oracles --
+# K3: DBSCAN noise by brute force over all customer pairs (the Spark side uses
+# the grid formulation); cheap for DuckDB at the check scale.
+ORACLE["density_outliers"] = with_views("transactions", extra=_SEGRFM + """,
+pairs AS (
+  SELECT a.customer_id AS id, b.customer_id AS nid
+  FROM z a JOIN z b ON sqrt((a.recency_z - b.recency_z) ^ 2 + (a.frequency_z - b.frequency_z) ^ 2
+                            + (a.monetary_z - b.monetary_z) ^ 2) <= 0.8),
+cnt AS (SELECT id, count(*) AS n FROM pairs GROUP BY id),
+core AS (SELECT id FROM cnt WHERE n >= 5),
+border AS (SELECT DISTINCT p.id FROM pairs p JOIN core c ON p.nid = c.id)""") + """
+SELECT z.customer_id, z.customer_id IN (SELECT id FROM core) AS is_core,
+       NOT (z.customer_id IN (SELECT id FROM core)) AND NOT (z.customer_id IN (SELECT id FROM border)) AS is_outlier
+FROM z"""
+
+# E7 over the serving snapshot: every customer's row is at the reference date,
+# inside the 30-day TTL, so the snapshot is the serving table's RFM columns.
+ORACLE["rfm_view_snapshot"] = "SELECT customer_id, recency, frequency, monetary, churn_risk, clv_score, " \
+    "event_timestamp FROM (" + ORACLE["serving_features"] + ")"
+
+# N12 over page URLs: path of the URL mapped to its endpoint class
+ORACLE["endpoint_classes"] = """WITH p AS (
+  SELECT CASE WHEN regexp_matches(url, '^[A-Za-z][A-Za-z0-9+.-]*://')
+              THEN regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) END AS path FROM pages)
+SELECT CASE WHEN contains(path, '/predict/') OR starts_with(path, '/api/v1/predict') THEN '/api/v1/predict/*'
+            WHEN contains(path, '/segment') THEN '/api/v1/segment/*'
+            WHEN contains(path, '/revenue') THEN '/api/v1/revenue/*'
+            WHEN contains(path, '/inventory') THEN '/api/v1/inventory/*'
+            ELSE path END AS endpoint, count(*) AS n
+FROM p GROUP BY 1"""
