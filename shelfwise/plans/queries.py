@@ -609,24 +609,41 @@ def q_churn_set_legacy(spark, root):
     return finalize(_churn_data(spark, root, legacy=True))
 
 
+def _session_memo(spark, key, build):
+    """Session-scoped memo for artefacts several queries share (the holdout
+    split, the champion model): built once per session and input root."""
+    memo = getattr(spark, "_shelfwise_memo", None)
+    if memo is None:
+        memo = {}
+        spark._shelfwise_memo = memo
+    if key not in memo:
+        memo[key] = build()
+    return memo[key]
+
+
 def _split(spark, root):
     from ..session import checkpoint_dir
-    checkpoint_dir(spark)
-    return ch.holdout(_churn_data(spark, root)).checkpoint(eager=True)
+
+    def build():
+        checkpoint_dir(spark)
+        return ch.holdout(_churn_data(spark, root)).checkpoint(eager=True)
+    return _session_memo(spark, ("churn_split", root), build)
+
+
+def _champion(spark, root):
+    return _session_memo(spark, ("churn_champion", root),
+                         lambda: ch.train_churn(_split(spark, root).where("is_train")))
 
 
 @register("churn_scores")
 def q_churn_scores(spark, root):
-    d = _split(spark, root)
-    model = ch.train_churn(d.where("is_train"))
-    return ch.score_churn(model, d)
+    return ch.score_churn(_champion(spark, root), _split(spark, root))
 
 
 @register("churn_holdout_metrics")
 def q_churn_metrics(spark, root):
     d = _split(spark, root)
-    model = ch.train_churn(d.where("is_train"))
-    test = ch.score_churn(model, d.where(~F.col("is_train")))
+    test = ch.score_churn(_champion(spark, root), d.where(~F.col("is_train")))
     a = ch.auc(test, "churn_probability", "churn").withColumn("_k", F.lit(1))
     f = ch.f1_at(test, "churn_probability", "churn").withColumn("_k", F.lit(1))
     return a.join(f, "_k").drop("_k")
@@ -637,7 +654,7 @@ def q_churn_cc(spark, root):
     """K15 + K17: champion (single GBT) vs a retrained weighted challenger on the test split."""
     d = _split(spark, root)
     train = d.where("is_train")
-    champ = ch.train_churn(train)
+    champ = _champion(spark, root)
     chall = ch.train_churn(ch.class_weights(train), params=ch.CHALLENGER, weighted=True)
     test = d.where(~F.col("is_train"))
     s1 = ch.score_churn(champ, test).select("customer_id", "churn", F.col("churn_probability").alias("champion"))
@@ -658,8 +675,8 @@ def q_churn_stacking(spark, root):
 @register("churn_fpr_gap")
 def q_churn_fpr(spark, root):
     d = _split(spark, root)
-    model = ch.train_churn(d.where("is_train"))
-    return ch.fpr_gap(ch.score_churn(model, d.where(~F.col("is_train"))), "churn_probability", "churn")
+    return ch.fpr_gap(ch.score_churn(_champion(spark, root), d.where(~F.col("is_train"))),
+                      "churn_probability", "churn")
 
 
 @register("churn_tuning")
