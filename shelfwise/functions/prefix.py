@@ -123,47 +123,6 @@ def running_sum(df: DataFrame, order_cols: list, value_col, out_col,
     return out.drop("_rs_pid", *locals_, *lcols, *(["_rs_last", "_rs_pos"] if leads else []))
 
 
-def forward_fill(df: DataFrame, order_cols: list, value_col: str, out_col: str,
-                 num_partitions: int | None = None) -> DataFrame:
-    """Last non-NULL ``value_col`` at or before each row in the global order
-    ``order_cols`` (an as-of scan).  Same layout as :func:`running_sum`: range
-    partitions fill locally, and each partition's carry-in is the last non-NULL
-    value of the partitions before it."""
-    spark = df.sparkSession
-    vtype = df.schema[value_col].dataType
-    ranged = _ranged(df, order_cols, num_partitions, "_ff_pid")
-    schema = T.StructType(ranged.schema.fields + [T.StructField("_ff_local", vtype),
-                                                  T.StructField("_ff_pos", T.LongType())])
-
-    def local_fill(batches):
-        carry, pos = None, 0
-        for pdf in batches:
-            s = pdf[value_col].astype("object").where(pdf[value_col].notna(), None)
-            filled = s.ffill()
-            if carry is not None:
-                filled = filled.where(filled.notna(), carry)
-            if len(filled) and filled.iloc[-1] is not None and not pd.isna(filled.iloc[-1]):
-                carry = filled.iloc[-1]
-            pdf["_ff_local"] = filled
-            pdf["_ff_pos"] = np.arange(pos, pos + len(pdf), dtype=np.int64)
-            pos += len(pdf)
-            yield pdf
-
-    checkpoint_dir(spark)
-    local = ranged.mapInPandas(local_fill, schema).checkpoint(eager=True)
-    last = sorted(local.groupBy("_ff_pid").agg(F.max_by("_ff_local", "_ff_pos").alias("_last")).collect(),
-                  key=lambda r: r["_ff_pid"])
-    carries, seen = {}, None
-    for r in last:
-        if seen is not None:
-            carries[r["_ff_pid"]] = seen
-        if r["_last"] is not None:
-            seen = r["_last"]
-    cmap = _literal_map(carries, vtype.simpleString())
-    return (local.withColumn(out_col, F.coalesce(F.col("_ff_local"), F.element_at(cmap, F.col("_ff_pid"))))
-                 .drop("_ff_pid", "_ff_local", "_ff_pos"))
-
-
 def forward_fill_rows(df: DataFrame, order_cols: list, is_source: str, payload: list[str],
                       num_partitions: int | None = None, suffix: str = "_asof") -> DataFrame:
     """As-of carry of whole rows: every row receives the ``payload`` columns of

@@ -53,25 +53,43 @@ def error_ratio(events: DataFrame, *, key: str = "event_type", flag: str = "is_e
                       r.alias("error_ratio"), (r * 100).alias("error_pct"), (r > ERROR_LIMIT).alias("breach"))
 
 
+def _day_buckets(df: DataFrame, time_col: str, lookback_s: int, bucket_s: int = 86400) -> DataFrame:
+    """Rows tagged with their day bucket, plus copies of each day's last
+    ``lookback_s`` seconds placed in the next day's bucket as context
+    (``_ctx``).  A range window partitioned by bucket then sees everything it
+    needs while each partition stays one day long."""
+    t = F.unix_timestamp(F.col(time_col).cast("timestamp"))
+    b = F.floor(t / bucket_s)
+    own = df.withColumn("_b", b).withColumn("_ctx", F.lit(False))
+    ctx = (df.where((b + 1) * bucket_s - t <= lookback_s)
+             .withColumn("_b", b + 1).withColumn("_ctx", F.lit(True)))
+    return own.unionByName(ctx)
+
+
 def throughput_drop(rates: DataFrame, *, key: str = "event_type") -> DataFrame:
     """Rate below half of the average rate over the trailing hour
-    (windows of the same series, current included).  A series holds one row
-    per 30 s evaluation, so a partition is bounded by its time span."""
+    (evaluations of the same series, current included).  Windows are
+    partitioned by series and day, with the previous hour copied in."""
     t = F.unix_timestamp(F.col("window_start").cast("timestamp"))
-    w = Window.partitionBy(key).orderBy(t).rangeBetween(-DROP_LOOKBACK_S, 0)
+    d = _day_buckets(rates, "window_start", DROP_LOOKBACK_S)
+    w = Window.partitionBy(key, "_b").orderBy(t).rangeBetween(-DROP_LOOKBACK_S, 0)
     avg = F.avg("rate").over(w)
-    return rates.select(key, "window_start", "rate", avg.alias("hour_avg_rate"),
-                        (F.col("rate") < F.lit(DROP_FACTOR) * avg).alias("drop"))
+    return (d.select(key, "window_start", "rate", avg.alias("hour_avg_rate"),
+                     (F.col("rate") < F.lit(DROP_FACTOR) * avg).alias("drop"), "_ctx")
+             .where(~F.col("_ctx")).drop("_ctx"))
 
 
 def sustained(flags: DataFrame, flag: str, *, key: str | None = "event_type", seconds: int = 300,
               time_col: str = "window_start") -> DataFrame:
     """A condition holds ``for`` a span when every evaluation inside the
-    trailing span is true."""
+    trailing span is true (partitioned by series and day, with the previous
+    span copied in as context)."""
     t = F.unix_timestamp(F.col(time_col).cast("timestamp"))
-    w = Window.orderBy(t) if key is None else Window.partitionBy(key).orderBy(t)
-    w = w.rangeBetween(-seconds, 0)
-    return flags.withColumn(f"{flag}_sustained", F.min(F.col(flag).cast("int")).over(w) == 1)
+    d = _day_buckets(flags, time_col, seconds)
+    parts = ([key] if key else []) + ["_b"]
+    w = Window.partitionBy(*parts).orderBy(t).rangeBetween(-seconds, 0)
+    return (d.withColumn(f"{flag}_sustained", F.min(F.col(flag).cast("int")).over(w) == 1)
+             .where(~F.col("_ctx")).drop("_ctx", "_b"))
 
 
 def latency_histogram(events: DataFrame, *, value_ms: str = "latency_ms", key: str = "event_type",
