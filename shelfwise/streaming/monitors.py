@@ -22,13 +22,33 @@ def _ts(c="ts") -> Column:
     return F.col(c).cast("timestamp")
 
 
+RATE_STEP_S = 30
+WINDOWS_PER_EVENT = RATE_WINDOW_S // RATE_STEP_S   # each event lies in 10 sliding windows
+
+
+def _sliding_counts(events: DataFrame, keys: list[str], aggs: dict) -> DataFrame:
+    """Counts over sliding 5-minute windows every 30 s, aligned like
+    ``window(ts, '5 minutes', '30 seconds')``.  Events are first counted per
+    30-second bucket; only the bucket rows are then expanded into the 10
+    windows that contain them and summed, so the expansion is over buckets,
+    not events."""
+    t = F.unix_timestamp(_ts())
+    bucket = F.floor(t / RATE_STEP_S)
+    per_bucket = events.groupBy(*keys, bucket.alias("_bk")).agg(
+        *[expr.alias(name) for name, expr in aggs.items()])
+    starts = F.sequence(F.col("_bk") - (WINDOWS_PER_EVENT - 1), F.col("_bk"))
+    expanded = per_bucket.select(*keys, F.explode(starts).alias("_ws"), *aggs)
+    out = expanded.groupBy(*keys, "_ws").agg(*[F.sum(n).cast("long").alias(n) for n in aggs])
+    start = F.timestamp_seconds(F.col("_ws") * RATE_STEP_S)
+    end = F.timestamp_seconds(F.col("_ws") * RATE_STEP_S + RATE_WINDOW_S)
+    return out.select(*keys, start.cast("timestamp_ntz").alias("window_start"),
+                      end.cast("timestamp_ntz").alias("window_end"), *aggs)
+
+
 def request_rate(events: DataFrame, *, key: str = "event_type") -> DataFrame:
     """Requests per second over trailing 5-minute windows every 30 s."""
-    w = F.window(_ts(), RATE_WINDOW, RATE_STEP)
-    return (events.groupBy(key, w.alias("w")).agg(F.count(F.lit(1)).alias("n"))
-                  .select(key, F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                          F.col("w.end").cast("timestamp_ntz").alias("window_end"), "n",
-                          (F.col("n") / F.lit(RATE_WINDOW_S)).alias("rate")))
+    c = _sliding_counts(events, [key], {"n": F.count(F.lit(1))})
+    return c.select(key, "window_start", "window_end", "n", (F.col("n") / F.lit(RATE_WINDOW_S)).alias("rate"))
 
 
 def latency_percentiles(events: DataFrame, *, key: str = "event_type", value: str = "latency_ms") -> DataFrame:
@@ -46,11 +66,10 @@ def latency_percentiles(events: DataFrame, *, key: str = "event_type", value: st
 
 def error_ratio(events: DataFrame, *, key: str = "event_type", flag: str = "is_error") -> DataFrame:
     """Error share per sliding 5-minute window and the > 1 % breach."""
-    w = F.window(_ts(), RATE_WINDOW, RATE_STEP)
-    agg = events.groupBy(w.alias("w")).agg(F.count_if(flag).alias("errors"), F.count(F.lit(1)).alias("n"))
+    agg = _sliding_counts(events, [], {"errors": F.count_if(flag), "n": F.count(F.lit(1))})
     r = F.col("errors") / F.col("n")
-    return agg.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "errors", "n",
-                      r.alias("error_ratio"), (r * 100).alias("error_pct"), (r > ERROR_LIMIT).alias("breach"))
+    return agg.select("window_start", "errors", "n", r.alias("error_ratio"), (r * 100).alias("error_pct"),
+                      (r > ERROR_LIMIT).alias("breach"))
 
 
 def _day_buckets(df: DataFrame, time_col: str, lookback_s: int, bucket_s: int = 86400) -> DataFrame:
