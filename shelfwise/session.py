@@ -49,13 +49,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     unset -- local tests -- a private folder is created and registered.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext (Spark Connect)
+        sc = None
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="shelfwise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir() or d
+    if sc is not None:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(d)
+        return sc.getCheckpointDir() or d
+    return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
