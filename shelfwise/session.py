@@ -70,3 +70,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for a written table."""
     base = checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def cluster_conf(input_bytes: int, *, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 256 * 1024 ** 2) -> dict:
+    """Settings sized from the data volume rather than a fixed count.
+
+    * shuffle partitions: enough that each holds ~``target_partition_bytes``
+      of shuffled input (the fact tables shrink by pre-aggregation, so this is
+      an upper bound), and at least 2 waves of tasks over the cluster's cores;
+    * file splits: ``maxPartitionBytes`` = target, so scan tasks are sized alike;
+    * AQE coalesces partitions down to the advisory size and splits skewed
+      ones (a partition 5x the median and above 4x advisory) at runtime.
+    Example: 100 TB on 1000 executors x 8 cores -> ~400k shuffle partitions.
+    """
+    cores = max(1, executors * cores_per_executor)
+    parts = max(2 * cores, -(-int(input_bytes) // int(target_partition_bytes)))
+    adv = str(int(target_partition_bytes // 2))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(int(target_partition_bytes)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": adv,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(int(target_partition_bytes) * 4),
+        # broadcast only what the runtime statistics prove small
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+    }

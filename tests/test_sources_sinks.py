@@ -117,3 +117,11 @@ def test_feature_tables_job_writes_outputs_and_lineage(spark):
     assert spark.read.parquet(os.path.join(out, "gold/product_catalog")).count() > 0
     ev = spark.read.parquet(os.path.join(out, "_lineage"))
     assert ev.where("event_type = 'COMPLETE'").count() == 3
+
+
+def test_cluster_conf_scales_with_input():
+    from shelfwise.session import cluster_conf
+    small = cluster_conf(10 * 1024 ** 3, executors=2, cores_per_executor=4)
+    big = cluster_conf(100 * 1024 ** 4, executors=1000, cores_per_executor=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 40
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
