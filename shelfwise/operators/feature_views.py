@@ -65,20 +65,22 @@ def point_in_time(entity_rows: DataFrame, view: FeatureView, *, as_of_col: str =
     pay = [f"_p_{c}" for c in view.features] + ["_p_ts", "_p_key"]
     ent_cols = entity_rows.columns
     src = view.source
+    # tie-break columns that are also payload are sorted on their payload copy
+    extra_tb = [c for c in tiebreak if c not in view.features]
     f_side = src.select(F.col(key).alias("_k"), F.col(view.event_ts).alias("_t"), F.lit(0).alias("_tag"),
-                        *[F.col(c).alias(f"_tb{i}") for i, c in enumerate(tiebreak)],
+                        *[F.col(c).alias(f"_tb_{c}") for c in extra_tb],
                         *[F.col(c).alias(f"_p_{c}") for c in view.features],
                         F.col(view.event_ts).alias("_p_ts"), F.col(key).alias("_p_key"),
                         *[F.lit(None).cast(entity_rows.schema[c].dataType).alias(f"_e_{c}") for c in ent_cols])
     e_side = entity_rows.select(F.col(key).alias("_k"), F.col(as_of_col).alias("_t"), F.lit(1).alias("_tag"),
-                                *[F.lit(None).cast(src.schema[c].dataType).alias(f"_tb{i}")
-                                  for i, c in enumerate(tiebreak)],
+                                *[F.lit(None).cast(src.schema[c].dataType).alias(f"_tb_{c}") for c in extra_tb],
                                 *[F.lit(None).cast(src.schema[c].dataType).alias(f"_p_{c}") for c in view.features],
                                 F.lit(None).cast(src.schema[view.event_ts].dataType).alias("_p_ts"),
                                 F.lit(None).cast(src.schema[key].dataType).alias("_p_key"),
                                 *[F.col(c).alias(f"_e_{c}") for c in ent_cols])
     both = f_side.unionByName(e_side).withColumn("_is_src", F.col("_tag") == 0)
-    order = [F.col("_k"), F.col("_t"), F.col("_tag")] + [F.col(f"_tb{i}") for i in range(len(tiebreak))]
+    order = [F.col("_k"), F.col("_t"), F.col("_tag")] + \
+        [F.col(f"_p_{c}") if c in view.features else F.col(f"_tb_{c}") for c in tiebreak]
     filled = forward_fill_rows(both, order, "_is_src", pay)
     rows = filled.where(F.col("_tag") == 1)
     ok = (F.col("_p_key_asof") == F.col("_k")) & _ttl_ok(F.col("_t"), F.col("_p_ts_asof"), view.ttl_days)
