@@ -20,10 +20,12 @@ from ..session import checkpoint_dir
 
 
 def _ranged(df: DataFrame, order_cols: list, num_partitions: int | None, pid: str) -> DataFrame:
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (df.repartitionByRange(n, *order_cols)
-              .sortWithinPartitions(*order_cols)
-              .withColumn(pid, F.spark_partition_id()))
+    # Without an explicit count the range exchange uses the session's shuffle
+    # partitions and AQE may coalesce small ones; partition ids are read after
+    # the exchange, so they match the materialised partitioning either way.
+    r = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
+         else df.repartitionByRange(*order_cols))
+    return r.sortWithinPartitions(*order_cols).withColumn(pid, F.spark_partition_id())
 
 
 def _literal_map(pairs: dict, value_type: str) -> Column:
