@@ -152,5 +152,5 @@ def sliding_min(key: np.ndarray, w: int) -> np.ndarray:
 
 
 def crc_mod(col: str, n: int):
-    """Remainder of crc32 of the id as text."""
-    return F.pmod(F.crc32(F.col(col).cast("string")), F.lit(n))
+    """Remainder of crc32 of the id as text (null: of the empty text)."""
+    return F.pmod(F.crc32(F.coalesce(F.col(col).cast("string"), F.lit(""))), F.lit(n))

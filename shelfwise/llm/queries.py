@@ -5,8 +5,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, packing, sharding, simhash
-from .common import table
+from . import decontaminate, packing, quality, sharding, simhash, toxicity, urls
+from .common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -42,3 +42,24 @@ def op8(spark, sf_dir):
 def op5(spark, sf_dir):
     out = sharding.byte_shards(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register("op2_quality_classifier")
+def op2(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(quality.labelled_sample(docs, labels, "quality", crc_mod("doc_id", 5) != 0, quality.SAMPLE))
+    return quality.scored(docs, model).select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+@register("op3_toxicity")
+def op3(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    admitted = crc_mod("doc_id", 4) != 2
+    model = toxicity.fit(toxicity.sample(docs, labels, admitted), toxicity.label_counts(labels, admitted))
+    return toxicity.scored(docs, model).select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "spans")
+
+
+@register("op7_url_filter")
+def op7(spark, sf_dir):
+    rules = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+    return urls.judged(table(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict", "score")
