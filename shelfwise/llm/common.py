@@ -154,3 +154,24 @@ def sliding_min(key: np.ndarray, w: int) -> np.ndarray:
 def crc_mod(col: str, n: int):
     """Remainder of crc32 of the id as text (null: of the empty text)."""
     return F.pmod(F.crc32(F.coalesce(F.col(col).cast("string"), F.lit(""))), F.lit(n))
+
+
+def quantiles(df: DataFrame, col: str, n: int) -> list:
+    """At most n - 1 increasing bounds that cut the rows into n even ranges."""
+    if n < 2:
+        return []
+    at = [i / n for i in range(1, n)]
+    got = df.agg(F.percentile_approx(col, at, max(10_000, 20 * n))).first()[0]
+    return sorted(set(got or []))
+
+
+def range_bucket(value, bounds: list):
+    """Number of bounds at or below the value: found among every root-th bound
+    first, then in the run that follows it."""
+    if not bounds:
+        return F.lit(0)
+    step = max(1, round(len(bounds) ** 0.5))
+    runs = [bounds[i:i + step] for i in range(0, len(bounds), step)]
+    below = lambda array: F.size(F.filter(array, lambda x: x <= value))
+    run = F.greatest(below(F.lit([r[0] for r in runs])), F.lit(1))
+    return (run - 1) * step + below(F.element_at(F.array(*[F.lit(r) for r in runs]), run))

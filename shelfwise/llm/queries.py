@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, packing, quality, sharding, simhash, toxicity, urls
+from . import decontaminate, digest, packing, quality, sharding, simhash, toxicity, urls
 from .common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,8 @@ def op3(spark, sf_dir):
 def op7(spark, sf_dir):
     rules = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
     return urls.judged(table(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@register("op6_improbable_feature_digest")
+def op6(spark, sf_dir):
+    return digest.compared(table(spark, sf_dir, "documents"))
