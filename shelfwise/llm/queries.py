@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, digest, packing, quality, sharding, simhash, toxicity, urls
+from . import decontaminate, digest, packing, quality, repeats, sharding, simhash, toxicity, urls
 from .common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,8 @@ def op7(spark, sf_dir):
 @register("op6_improbable_feature_digest")
 def op6(spark, sf_dir):
     return digest.compared(table(spark, sf_dir, "documents"))
+
+
+@register("op4_suffix_array_dedup")
+def op4(spark, sf_dir):
+    return repeats.report(table(spark, sf_dir, "documents"))
