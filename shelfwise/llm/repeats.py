@@ -12,9 +12,8 @@ least hash within the string: equal strings have the same one at the same place.
 Successive strings of a text that share a minimizer form one piece of at most
 2 * length - seed bytes, so the pieces are a fraction of all suffixes.
 
-1. Texts are gathered into chunks of about ``chunk_bytes`` by hash.  A chunk
-   tells every bucket of minimizer hashes once which it holds; buckets answer
-   with those that some other chunk holds too.
+1. Texts are gathered into chunks, which learn which of their minimizers other
+   chunks hold too (rendezvous.py).
 2. For these, and those that two of its own texts hold, the chunk sends each
    distinct piece once with the smallest document that has it; so a passage or
    copy that a third of all documents hold is one row a chunk.  A bucket sorts
@@ -31,17 +30,16 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-import math
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import _BYTE, _MUL, U64, Words, mix, raw_bytes, shuffle_parts, sliding_min, slices
+from .common import _BYTE, _MUL, U64, Words, mix, sliding_min, slices
+from .rendezvous import CHUNK_BYTES, TextChunks, blob, by_bucket, chunks, found, split, unblob, wanted
 
 LENGTH = 50
 SEED = 20
-CHUNK_BYTES = 8 << 20
 _LAST = (1 << 63) - 1
 _PLACE = U64((1 << 24) - 1)
 _BLOCK = 1 << 22
@@ -121,12 +119,6 @@ def _least(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return keys, inverse, least
 
 
-def _found(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(is among, where) of keys in a sorted array."""
-    at = np.minimum(np.searchsorted(sorted_keys, keys), max(0, len(sorted_keys) - 1))
-    return (sorted_keys[at] == keys if len(sorted_keys) else np.zeros(len(keys), bool)), at
-
-
 def smallest_owner(rows: np.ndarray, strings: np.ndarray, doc: np.ndarray, length: int) -> np.ndarray:
     """(pieces, most strings) smallest document of every string of the pieces,
     by sorting their suffixes."""
@@ -146,11 +138,6 @@ def smallest_owner(rows: np.ndarray, strings: np.ndarray, doc: np.ndarray, lengt
     return out
 
 
-def _chunk(batch: pa.RecordBatch, r: int) -> pa.StructArray:
-    col = batch.column("rows").slice(r, 1)
-    return col.flatten()
-
-
 class Chunk:
     """A chunk's texts as runs of pieces."""
 
@@ -167,78 +154,29 @@ class Chunk:
         return np.concatenate([p.text + i for i, p in self.runs] or [np.zeros(0, np.int64)])
 
 
-def _blob(x: np.ndarray) -> bytes:
-    return np.ascontiguousarray(x).tobytes()
-
-
-def _unblob(parts, dtype) -> np.ndarray:
-    return np.concatenate([np.frombuffer(p, dtype) for p in parts] or [np.zeros(0, dtype)])
-
-
-def _by_bucket(chunk: int, bucket: np.ndarray, columns: dict[str, list]):
-    """One row per bucket: (columns are functions of the selected indexes)."""
-    order = np.argsort(bucket, kind="stable")
-    cut = np.flatnonzero(np.append(True, bucket[order][1:] != bucket[order][:-1])) if len(order) else []
-    groups = np.split(order, cut[1:]) if len(order) else []
-    return pa.RecordBatch.from_arrays([pa.array([chunk] * len(groups), pa.int64()), pa.array([int(bucket[g[0]]) for g in groups], pa.int64()),
-                                       *[pa.array([f(g) for g in groups], pa.binary()) for f in columns.values()]], ["chunk", "bucket", *columns])
-
-
-def _split(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket, 32-bit signature within it) of a minimizer hash."""
-    return (h >> U64(32)) % U64(buckets), (h & U64(0xFFFFFFFF)).astype(np.uint32)
-
-
-def _announce(buckets: int, length: int, seed: int):
-    def run(batches):
-        for b in batches:
-            for r in range(b.num_rows):
-                h = np.unique(Chunk(_chunk(b, r), length, seed).hashes())
-                bucket, sig = _split(h, buckets)
-                yield _by_bucket(b.column("chunk")[r].as_py(), bucket, {"sigs": lambda g: _blob(sig[g])})
-    return run
-
-
-def _shared(t: pa.Table) -> pa.Table:
-    """Signatures of a bucket that more than one chunk holds, back to each."""
-    parts = [np.unique(np.frombuffer(x, np.uint32)) for x in t.column("sigs").to_pylist()]
-    sigs, times = np.unique(np.concatenate(parts), return_counts=True)
-    sigs = sigs[times > 1]
-    return pa.table({"chunk": t.column("chunk"), "bucket": t.column("bucket"), "sigs": pa.array([_blob(p[_found(sigs, p)[0]]) for p in parts], pa.binary())})
-
-
 def _send(buckets: int, length: int, seed: int):
     def run(batches):
-        for b in batches:
-            for r in range(b.num_rows):
-                c = Chunk(_chunk(b, r), length, seed)
-                h, text = c.hashes(), c.texts()
-                bucket, sig = _split(h, buckets)
-                answers = b.column("answers")[r].as_py() or []
-                known = np.sort(np.concatenate([(np.frombuffer(a["sigs"], np.uint32).astype(U64) | U64(a["bucket"] << 32)) for a in answers] or [np.zeros(0, U64)]))
-                wanted = _found(known, sig.astype(U64) | bucket << U64(32))[0]
-                keys, inverse = np.unique(h, return_inverse=True)
-                low, high = np.full(len(keys), len(c.doc)), np.full(len(keys), -1)
-                np.minimum.at(low, inverse, text)
-                np.maximum.at(high, inverse, text)
-                wanted |= (low < high)[inverse]
-                at, out = 0, []
-                for i, p in c.runs:
-                    sel = np.flatnonzero(wanted[at:at + len(p.start)])
-                    rows = p.bytes(sel)
-                    out.append((rows, p.strings[sel], p.place[sel] - p.start[sel], c.doc[i + p.text[sel]], bucket[at + sel]))
-                    at += len(p.start)
-                if not out:
-                    continue
-                rows, strings, place, doc, bucket = map(np.concatenate, zip(*out))
-                names, inverse, least = _least(_names(rows, strings), doc)
-                first = np.zeros(len(names), np.int64)
-                first[inverse[::-1]] = np.arange(len(inverse))[::-1]
-                rows, strings, place, bucket = rows[first], strings[first], place[first], bucket[first]
-                live = np.arange(rows.shape[1]) < (strings + length - 1)[:, None]
-                yield _by_bucket(b.column("chunk")[r].as_py(), bucket, {
-                    "bytes": lambda g: rows[g][live[g]].tobytes(), "strings": lambda g: _blob(strings[g].astype(np.uint8)),
-                    "places": lambda g: _blob(place[g].astype(np.uint8)), "docs": lambda g: _blob(least[g])})
+        for chunk, rows, answers in chunks(batches):
+            c = Chunk(rows, length, seed)
+            h = c.hashes()
+            bucket, _ = split(h, buckets)
+            send = wanted(answers, h, buckets, c.texts())
+            at, out = 0, []
+            for i, p in c.runs:
+                sel = np.flatnonzero(send[at:at + len(p.start)])
+                out.append((p.bytes(sel), p.strings[sel], p.place[sel] - p.start[sel], c.doc[i + p.text[sel]], bucket[at + sel]))
+                at += len(p.start)
+            if not out:
+                continue
+            rows, strings, place, doc, bucket = map(np.concatenate, zip(*out))
+            names, inverse, least = _least(_names(rows, strings), doc)
+            first = np.zeros(len(names), np.int64)
+            first[inverse[::-1]] = np.arange(len(inverse))[::-1]
+            rows, strings, place, bucket = rows[first], strings[first], place[first], bucket[first]
+            live = np.arange(rows.shape[1]) < (strings + length - 1)[:, None]
+            yield by_bucket(chunk, bucket, {
+                "bytes": lambda g: rows[g][live[g]].tobytes(), "strings": lambda g: blob(strings[g].astype(np.uint8)),
+                "places": lambda g: blob(place[g].astype(np.uint8)), "docs": lambda g: blob(least[g])})
     return run
 
 
@@ -249,9 +187,9 @@ def _answer(length: int, seed: int):
         strings = [np.frombuffer(x, np.uint8).astype(np.int64) for x in t.column("strings").to_pylist()]
         ends = np.cumsum([len(x) for x in strings])
         strings = np.concatenate(strings)
-        place = _unblob(t.column("places").to_pylist(), np.uint8).astype(np.int64)
-        doc = _unblob(t.column("docs").to_pylist(), np.int64)
-        data = np.concatenate([_unblob(t.column("bytes").to_pylist(), np.uint8), np.zeros(width, np.uint8)])
+        place = unblob(t.column("places").to_pylist(), np.uint8).astype(np.int64)
+        doc = unblob(t.column("docs").to_pylist(), np.int64)
+        data = np.concatenate([unblob(t.column("bytes").to_pylist(), np.uint8), np.zeros(width, np.uint8)])
         size = strings + length - 1
         start = np.cumsum(size) - size
         rows = _cleared(np.lib.stride_tricks.sliding_window_view(data, width)[start], size)
@@ -280,7 +218,7 @@ def _answer(length: int, seed: int):
         out = []
         for a, b in zip(np.append(0, ends[:-1]), ends):
             hit = a + np.flatnonzero(mask[a:b])
-            out.append((_blob(name[hit]), _blob(mask[hit])))
+            out.append((blob(name[hit]), blob(mask[hit])))
         return pa.table({"chunk": t.column("chunk"), "names": pa.array([x for x, _ in out], pa.binary()), "masks": pa.array([x for _, x in out], pa.binary())})
     return run
 
@@ -292,14 +230,14 @@ def _covered(c: Chunk, answers) -> list[tuple[int, Pieces, np.ndarray]]:
     every = np.concatenate(names or [np.zeros(0, U64)])
     doc = np.concatenate([c.doc[i + p.text] for i, p in c.runs] or [np.zeros(0, np.int64)])
     _, inverse, least = _least(every, doc)
-    key, mask = _unblob([a["names"] for a in answers], U64), _unblob([a["masks"] for a in answers], U64)
+    key, mask = unblob([a["names"] for a in answers], U64), unblob([a["masks"] for a in answers], U64)
     order = np.argsort(key)
     key, mask = key[order], mask[order]
     out, at = [], 0
     for (i, p), name in zip(c.runs, names):
         sel = slice(at, at + len(name))
         at += len(name)
-        known, where = _found(key, name)
+        known, where = found(key, name)
         own = np.zeros(len(name), U64)
         own[known] = mask[where[known]]
         own[doc[sel] > least[inverse[sel]]] = ~U64(0)
@@ -317,19 +255,16 @@ def _covered(c: Chunk, answers) -> list[tuple[int, Pieces, np.ndarray]]:
 
 def _report(length: int, seed: int):
     def run(batches):
-        for b in batches:
-            for r in range(b.num_rows):
-                c = Chunk(_chunk(b, r), length, seed)
-                for i, p, cut in _covered(c, b.column("answers")[r].as_py() or []):
-                    n = len(p.off) - 1
-                    size = np.diff(p.off)
-                    total = np.append(0, np.cumsum(cut))[p.off]
-                    spans = np.bincount(Words(cut.view(np.uint8), p.off, _ONE, hashes=False).text, minlength=n)
-                    kept = p.data[~cut].tobytes()
-                    at = p.off - total
-                    sha = [hashlib.sha256(kept[x:y]).hexdigest() for x, y in zip(at[:-1], at[1:])]
-                    yield pa.RecordBatch.from_arrays([c.rows.field("doc_id").slice(i, n).cast(pa.int64()), pa.array(size), pa.array(np.diff(total)), pa.array(spans.astype(np.int64)), pa.array(sha)],
-                                                     ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+        for _, rows, answers in chunks(batches):
+            c = Chunk(rows, length, seed)
+            for i, p, cut in _covered(c, answers):
+                n = len(p.off) - 1
+                total = np.append(0, np.cumsum(cut))[p.off]
+                spans = np.bincount(Words(cut.view(np.uint8), p.off, _ONE, hashes=False).text, minlength=n)
+                kept, at = p.data[~cut].tobytes(), p.off - total
+                sha = [hashlib.sha256(kept[x:y]).hexdigest() for x, y in zip(at[:-1], at[1:])]
+                yield pa.RecordBatch.from_arrays([rows.field("doc_id").slice(i, n).cast(pa.int64()), pa.array(np.diff(p.off)), pa.array(np.diff(total)), pa.array(spans.astype(np.int64)), pa.array(sha)],
+                                                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
     return run
 
 
@@ -339,41 +274,28 @@ _ONE[1] = True
 
 def _rows(length: int, seed: int, names: list[str]):
     def run(batches):
-        for b in batches:
-            for r in range(b.num_rows):
-                c = Chunk(_chunk(b, r), length, seed)
-                for i, p, cut in _covered(c, b.column("answers")[r].as_py() or []):
-                    n = len(p.off) - 1
-                    kept, total = p.data[~cut].tobytes(), np.append(0, np.cumsum(cut))[p.off]
-                    at = p.off - total
-                    # a character that a cut divides goes whole
-                    text = [kept[x:y].decode("utf-8", "ignore") for x, y in zip(at[:-1], at[1:])]
-                    cols = {k: c.rows.field(k).slice(i, n) for k in names}
-                    none = cols["text"].is_null()
-                    cols["text"] = pa.array(text, pa.string()) if not none.true_count else pa.array([None if x else t for x, t in zip(none.to_pylist(), text)], pa.string())
-                    if "n_chars" in cols:
-                        cols["n_chars"] = pa.array([None if t is None else len(t) for t in cols["text"].to_pylist()], cols["n_chars"].type)
-                    yield pa.RecordBatch.from_arrays([cols[k] for k in names], names)
+        for _, rows, answers in chunks(batches):
+            c = Chunk(rows, length, seed)
+            for i, p, cut in _covered(c, answers):
+                n = len(p.off) - 1
+                kept, at = p.data[~cut].tobytes(), p.off - np.append(0, np.cumsum(cut))[p.off]
+                cols = {k: rows.field(k).slice(i, n) for k in names}
+                # a character that a cut divides goes whole
+                text = [None if none else kept[x:y].decode("utf-8", "ignore") for x, y, none in zip(at[:-1], at[1:], cols["text"].is_null().to_pylist())]
+                cols["text"] = pa.array(text, pa.string())
+                if "n_chars" in cols:
+                    cols["n_chars"] = pa.array([None if t is None else len(t) for t in text], cols["n_chars"].type)
+                yield pa.RecordBatch.from_arrays([cols[k] for k in names], names)
     return run
 
 
 def _run(docs: DataFrame, finish, schema: str, length: int, seed: int, chunk_bytes: int) -> DataFrame:
-    spark = docs.sparkSession
-    parts = shuffle_parts(spark)
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    chunks = buckets = max(2 * parts, math.ceil(size / chunk_bytes))
-    texts = (docs.select(F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(chunks)).alias("chunk"), F.struct(*docs.columns).alias("row"))
-             .repartition(parts, "chunk").groupBy("chunk").agg(F.collect_list("row").alias("rows")))
-
-    def answered(answers: DataFrame, *cols: str) -> DataFrame:
-        lists = answers.groupBy(F.col("chunk").alias("to")).agg(F.collect_list(F.struct(*cols)).alias("answers"))
-        return texts.join(lists.hint("shuffle_hash"), F.col("chunk") == F.col("to"), "left").select("chunk", "rows", "answers")
-
-    told = texts.mapInArrow(_announce(buckets, length, seed), "chunk long, bucket long, sigs binary")
-    shared = told.groupBy("bucket").applyInArrow(_shared, "chunk long, bucket long, sigs binary")
-    sent = answered(shared, "bucket", "sigs").mapInArrow(_send(buckets, length, seed), "chunk long, bucket long, bytes binary, strings binary, places binary, docs binary")
+    texts = TextChunks(docs, chunk_bytes)
+    shared = texts.shared(lambda rows: Chunk(rows, length, seed).hashes())
+    sent = (texts.answered(shared, "bucket", "sigs")
+            .mapInArrow(_send(texts.buckets, length, seed), "chunk long, bucket long, bytes binary, strings binary, places binary, docs binary"))
     judged = sent.groupBy("bucket").applyInArrow(_answer(length, seed), "chunk long, names binary, masks binary")
-    return answered(judged, "names", "masks").mapInArrow(finish, schema)
+    return texts.answered(judged, "names", "masks").mapInArrow(finish, schema)
 
 
 def report(docs: DataFrame, length: int = LENGTH, seed: int = SEED, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
