@@ -5,7 +5,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, digest, packing, quality, repeats, sharding, simhash, toxicity, urls
+import corpus_pipeline
+
+from . import decontaminate, digest, packing, passages, quality, repeats, sharding, simhash, toxicity, urls
 from .common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +75,11 @@ def op6(spark, sf_dir):
 @register("op4_suffix_array_dedup")
 def op4(spark, sf_dir):
     return repeats.report(table(spark, sf_dir, "documents"))
+
+
+@register("op1_fuzzy_passages")
+def op1(spark, sf_dir):
+    return passages.fuzzy_passages(table(spark, sf_dir, "documents"))
+
+
+register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

@@ -22,15 +22,19 @@ CHUNK_BYTES = 8 << 20
 
 
 class TextChunks:
-    def __init__(self, docs: DataFrame, chunk_bytes: int = CHUNK_BYTES):
-        """``docs`` has doc_id and text; rows with equal doc_id are spread too."""
+    def __init__(self, docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, by_id: bool = False):
+        """``docs`` has doc_id and text.  Rows with equal doc_id are spread over
+        chunks, or with ``by_id`` kept in one, which ``chunk_of`` then names."""
         self.parts = shuffle_parts(docs.sparkSession)
         size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         self.count = self.buckets = max(2 * self.parts, math.ceil(size / chunk_bytes))
-        chunk = F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(self.count))
+        chunk = self.chunk_of("doc_id") if by_id else F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(self.count))
         self.texts = (docs.select(chunk.alias("chunk"), F.struct(*docs.columns).alias("row"))
                       .repartition(self.parts, "chunk").groupBy("chunk").agg(F.collect_list("row").alias("rows")))
 
+    def chunk_of(self, doc_id: str):
+        return F.pmod(F.xxhash64(doc_id), F.lit(self.count))
+
     def answered(self, answers: DataFrame, *cols: str) -> DataFrame:
         """chunk, rows and the list of its answers (null without any)."""
         lists = answers.groupBy(F.col("chunk").alias("to")).agg(F.collect_list(F.struct(*cols)).alias("answers"))
