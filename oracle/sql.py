@@ -384,7 +384,7 @@ FROM ({_DQ})"""
 
 
 # ------------------------------------------------------------------- drift --
-def _num_drift(col: str, tag: str, small: int = 1000) -> tuple[str, str]:
+def _num_drift(col: str, tag: str, ks: bool = False) -> tuple[str, str]:
     x = f"CAST({col} AS DOUBLE)"
     ctes = f"""cnt_{tag} AS (
   SELECT v, sum(r) AS cr, sum(c) AS cc FROM (
@@ -400,18 +400,20 @@ st_{tag} AS (
          any_value(s.sd) AS sd
   FROM e_{tag}, s_{tag} s),
 sc_{tag} AS (
-  SELECT *, CASE WHEN nr > {small} THEN w1 / sd ELSE (
-    CASE WHEN sqrt(nr * nc / (nr + nc)) * d < 0.2 THEN 1.0 ELSE greatest(0.0, least(1.0, 2 * (
-      SELECT sum(pow(-1.0, k - 1) * exp(-2.0 * k * k * pow(sqrt(nr * nc / (nr + nc)) * d, 2)))
-      FROM range(1, 101) t(k)))) END) END AS score
+  SELECT *, {_KS_SQL if ks else "w1 / sd"} AS score
   FROM st_{tag})"""
-    sel = f"""SELECT '{col}' AS "column", CASE WHEN nr > {small} THEN 'wasserstein' ELSE 'ks' END AS stat_test,
-       round(score, 6) AS score, CAST(CASE WHEN nr > {small} THEN 0.1 ELSE 0.05 END AS DOUBLE) AS threshold,
-       CASE WHEN nr > {small} THEN score >= 0.1 ELSE score < 0.05 END AS detected,
+    sel = f"""SELECT '{col}' AS "column", '{"ks" if ks else "wasserstein"}' AS stat_test,
+       round(score, 6) AS score, CAST({"0.05" if ks else "0.1"} AS DOUBLE) AS threshold,
+       {"score < 0.05" if ks else "score >= 0.1"} AS detected,
        CAST(nr AS BIGINT) AS n_ref, CAST(nc AS BIGINT) AS n_cur FROM sc_{tag}"""
     return ctes, sel
 
 
+_KS_SQL = """CASE WHEN sqrt(nr * nc / (nr + nc)) * d < 0.2 THEN 1.0 ELSE greatest(0.0, least(1.0, 2 * (
+      SELECT sum(pow(-1.0, k - 1) * exp(-2.0 * k * k * pow(sqrt(nr * nc / (nr + nc)) * d, 2)))
+      FROM range(1, 101) t(k)))) END"""
+
+
 def _cat_drift(col: str, tag: str) -> tuple[str, str]:
     ctes = f"""j_{tag} AS (
   SELECT sum(r) * 1.0 / (SELECT count({col}) FROM ref) AS p, sum(c) * 1.0 / (SELECT count({col}) FROM cur) AS q
@@ -427,10 +429,10 @@ def _cat_drift(col: str, tag: str) -> tuple[str, str]:
     return ctes, sel
 
 
-def _drift_sql(frames: str, numeric, categorical) -> str:
+def _drift_sql(frames: str, numeric, categorical, ks: bool = False) -> str:
     ctes, sels = [frames], []
     for i, c in enumerate(numeric):
-        a, b = _num_drift(c, f"n{i}")
+        a, b = _num_drift(c, f"n{i}", ks)
         ctes.append(a)
         sels.append(b)
     for i, c in enumerate(categorical):
@@ -446,16 +448,17 @@ ref AS (SELECT * FROM tp WHERE "timestamp" < TIMESTAMP '1998-05-01'),
 cur AS (SELECT * FROM tp WHERE "timestamp" >= TIMESTAMP '1998-05-01')""").rstrip()
 _SHIFTED = with_views("transactions", "products", extra="""tp AS (
   SELECT t.*, p.category FROM transactions t LEFT JOIN products p ON t.sku_id = p.sku_id),
-ref AS (SELECT * FROM tp WHERE "timestamp" < TIMESTAMP '1998-05-01'),
+ref AS (SELECT * FROM tp),
 cur AS (SELECT * REPLACE (quantity + 2 AS quantity, total_amount * 1.5 AS total_amount) FROM ref)""").rstrip()
-_EVENTS = """WITH e AS (SELECT value AS latency_ms, event_type, CAST(ts AS DATE) AS d FROM events),
-ref AS (SELECT * FROM e WHERE d < DATE '2024-01-04'),
-cur AS (SELECT * FROM e WHERE d >= DATE '2024-01-04' AND d < DATE '2024-01-07')"""
+_EVENTS = """WITH e AS (SELECT value AS latency_ms, event_type, ts FROM events),
+ref AS (SELECT * FROM e WHERE ts < TIMESTAMP '2024-01-16'),
+cur AS (SELECT * FROM e WHERE ts >= TIMESTAMP '2024-01-16')"""
 
 _NUMS = ("quantity", "discount_applied", "total_amount")
 ORACLE["drift_report_temporal"] = _drift_sql(_TEMPORAL, _NUMS, ["category"])
 ORACLE["drift_report_shifted"] = _drift_sql(_SHIFTED, _NUMS, ["category"])
 ORACLE["drift_report_events"] = _drift_sql(_EVENTS, ["latency_ms"], ["event_type"])
+ORACLE["drift_report_events_ks"] = _drift_sql(_EVENTS, ["latency_ms"], ["event_type"], ks=True)
 ORACLE["drift_summary_temporal"] = f"""SELECT count(*) AS total, count(*) FILTER (WHERE detected) AS drifted,
   {r6('count(*) FILTER (WHERE detected) * 1.0 / count(*)')} AS drift_share,
   count(*) FILTER (WHERE detected) * 1.0 / count(*) > 0.2 AS dataset_drift,

@@ -1,43 +1,28 @@
-"""Distributed scans over a global total order.
+"""Running sums and forward fills over a global total order.
 
 A window with ``orderBy`` and no ``partitionBy`` moves every row into one task.
-Here the rows are range-partitioned on the ordering keys instead (Spark samples
-the keys, so hot values and ties spread over partitions by the trailing keys),
-each partition is scanned once in a vectorised ``mapInPandas`` pass, and the
-per-partition summaries -- one row per partition, a size we choose -- become
-carries applied as a literal map keyed by partition id (a projection, no
-join).  The partition-local frame is checkpointed to the shared checkpoint
-folder, so the summaries and the rows come from the same materialised
-partitioning.
+Here the rows are range-partitioned on the ordering keys (hot values and ties
+spread by the trailing keys) and checkpointed with their range number, a window
+inside each range does the local work, and the ranges' summaries -- one row
+each -- get their own running sum and are joined back on the range number.
+Everything is a native expression, nothing is collected, and the plan has the
+same size for any number of ranges.
 """
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from ..session import checkpoint_dir
 
+_INTEGRAL = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
 
-def _ranged(df: DataFrame, order_cols: list, num_partitions: int | None, pid: str) -> DataFrame:
-    # Without an explicit count the range exchange uses the session's shuffle
-    # partitions and AQE may coalesce small ones; partition ids are read after
-    # the exchange, so they match the materialised partitioning either way.
-    r = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
-         else df.repartitionByRange(*order_cols))
-    return r.sortWithinPartitions(*order_cols).withColumn(pid, F.spark_partition_id())
 
-
-def _literal_map(pairs: dict, value_type: str) -> Column:
-    if not pairs:
-        return F.create_map().cast(f"map<int,{value_type}>")
-    import datetime as _dt
-    items = []
-    for k, v in sorted(pairs.items()):
-        # timestamps go through text so no Python or session time zone applies
-        lit = F.lit(v.isoformat(sep=" ")) if isinstance(v, (_dt.datetime, _dt.date)) else F.lit(v)
-        items += [F.lit(int(k)), lit.cast(value_type)]
-    return F.create_map(*items)
+def _ranged(df: DataFrame, order_cols: list, num_partitions: int | None) -> DataFrame:
+    """``df`` with its range number ``_range``.  Checkpointed: the ranges of a
+    recomputed exchange could differ between the summaries and the rows."""
+    checkpoint_dir(df.sparkSession)
+    ranged = df.repartitionByRange(num_partitions, *order_cols) if num_partitions else df.repartitionByRange(*order_cols)
+    return ranged.withColumn("_range", F.spark_partition_id()).checkpoint(eager=True)
 
 
 def running_sum(df: DataFrame, order_cols: list, value_col, out_col,
@@ -52,135 +37,41 @@ def running_sum(df: DataFrame, order_cols: list, value_col, out_col,
     outs = [out_col] if isinstance(out_col, str) else list(out_col)
     leads = [] if lead_col is None else ([lead_col] if isinstance(lead_col, str) else list(lead_col))
     louts = [] if not leads else ([lead_out] if isinstance(lead_out, str) else list(lead_out))
-    spark = df.sparkSession
-    integral = [isinstance(df.schema[v].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
-                for v in vals]
-    types = [T.LongType() if i else T.DoubleType() for i in integral]
-    dtypes = [np.int64 if i else np.float64 for i in integral]
-    locals_ = [f"_rs_local{j}" for j in range(len(vals))]
-    lcols = [f"_rs_lead{i}" for i in range(len(leads))]
-    ranged = _ranged(df, order_cols, num_partitions, "_rs_pid")
-    extra = [T.StructField(lc, t) for lc, t in zip(locals_, types)]
-    extra += [T.StructField(lc, df.schema[c].dataType) for lc, c in zip(lcols, leads)]
-    if leads:
-        extra += [T.StructField("_rs_last", T.BooleanType()), T.StructField("_rs_pos", T.LongType())]
-    schema = T.StructType(ranged.schema.fields + extra)
-
-    def local_scan(batches):
-        carry = [dt(0) for dt in dtypes]
-        pending = None      # with leads, a batch waits for the next batch's first row
-        pos = 0
-        for pdf in batches:
-            for j, (v, dt) in enumerate(zip(vals, dtypes)):
-                cs = np.cumsum(pdf[v].to_numpy(dtype=dt, na_value=0), dtype=dt) + carry[j]
-                if len(cs):
-                    carry[j] = cs[-1]
-                pdf[locals_[j]] = pd.Series(cs, index=pdf.index)
-            if not leads:
-                yield pdf
-                continue
-            if not len(pdf):
-                continue
-            for lc, c in zip(lcols, leads):
-                pdf[lc] = pdf[c].astype(object).shift(-1)
-            pdf["_rs_last"] = False
-            pdf["_rs_pos"] = np.arange(pos, pos + len(pdf), dtype=np.int64)
-            pos += len(pdf)
-            if pending is not None:
-                for lc, c in zip(lcols, leads):
-                    pending.at[pending.index[-1], lc] = pdf[c].iloc[0]
-                yield pending
-            pending = pdf
-        if pending is not None:
-            pending.at[pending.index[-1], "_rs_last"] = True
-            yield pending
-
-    checkpoint_dir(spark)
-    local = ranged.mapInPandas(local_scan, schema).checkpoint(eager=True)
-    # one summary row per range partition (bounded by the partition count)
-    aggs = [F.sum(F.coalesce(F.col(v).cast(t), F.lit(0).cast(t))).alias(f"_tot{j}")
-            for j, (v, t) in enumerate(zip(vals, types))]
-    aggs += [F.min_by(c, "_rs_pos").alias(f"_first{i}") for i, c in enumerate(leads)]
-    aggs.append(F.count(F.lit(1)).alias("_n"))
-    summary = sorted(local.groupBy("_rs_pid").agg(*aggs).collect(), key=lambda r: r["_rs_pid"])
-    out = local
-    for j, (o, t) in enumerate(zip(outs, types)):
-        acc, offsets = 0, {}
-        for r in summary:
-            offsets[r["_rs_pid"]] = acc
-            acc += r[f"_tot{j}"] or 0
-        tname = "bigint" if isinstance(t, T.LongType) else "double"
-        off = F.coalesce(F.element_at(_literal_map(offsets, tname), F.col("_rs_pid")), F.lit(0).cast(tname))
-        out = out.withColumn(o, (F.col(locals_[j]) + off).cast(t))
-    for i, (lc, c, lo) in enumerate(zip(lcols, leads, louts)):
-        nxt, following = {}, None
-        for r in reversed(summary):
-            if following is not None:
-                nxt[r["_rs_pid"]] = following
-            if r["_n"]:
-                following = r[f"_first{i}"]
-        nmap = _literal_map(nxt, df.schema[c].dataType.simpleString())
-        out = out.withColumn(lo, F.when(F.col("_rs_last"), F.element_at(nmap, F.col("_rs_pid")))
-                                  .otherwise(F.col(lc)))
-    return out.drop("_rs_pid", *locals_, *lcols, *(["_rs_last", "_rs_pos"] if leads else []))
+    zero = [F.lit(0).cast("bigint" if isinstance(df.schema[v].dataType, _INTEGRAL) else "double") for v in vals]
+    num = [F.coalesce(F.col(v).cast("bigint" if isinstance(df.schema[v].dataType, _INTEGRAL) else "double"), z)
+           for v, z in zip(vals, zero)]
+    inside = W.partitionBy("_range").orderBy(*order_cols)
+    upto = inside.rowsBetween(W.unboundedPreceding, 0)
+    local = _ranged(df, order_cols, num_partitions).select(
+        "*", *[F.sum(x).over(upto).alias(f"_local{j}") for j, x in enumerate(num)],
+        F.row_number().over(inside).alias("_nth"),
+        *[F.lead(F.struct(c)).over(inside).alias(f"_next{i}") for i, c in enumerate(leads)])
+    # one row per range: the window over them is one small task
+    ranges = local.groupBy("_range").agg(*[F.sum(x).alias(f"_total{j}") for j, x in enumerate(num)],
+                                         *[F.min_by(F.struct(c), "_nth").alias(f"_head{i}") for i, c in enumerate(leads)])
+    by_range = W.orderBy("_range")
+    before = by_range.rowsBetween(W.unboundedPreceding, -1)
+    ranges = ranges.select("_range", *[F.coalesce(F.sum(f"_total{j}").over(before), z).alias(f"_before{j}") for j, z in enumerate(zero)],
+                           *[F.lead(f"_head{i}").over(by_range).alias(f"_after{i}") for i in range(len(leads))])
+    out = local.join(ranges, "_range")
+    return out.select(*df.columns, *[(F.col(f"_local{j}") + F.col(f"_before{j}")).alias(o) for j, o in enumerate(outs)],
+                      *[F.coalesce(f"_next{i}", f"_after{i}")[c].alias(lo) for i, (c, lo) in enumerate(zip(leads, louts))])
 
 
 def forward_fill_rows(df: DataFrame, order_cols: list, is_source: str, payload: list[str],
                       num_partitions: int | None = None, suffix: str = "_asof") -> DataFrame:
     """As-of carry of whole rows: every row receives the ``payload`` columns of
     the last row at or before it (global order ``order_cols``) whose boolean
-    ``is_source`` is true; NULLs before the first source row.  One range
-    partitioning and one vectorised pass -- the local gather picks the payload
-    by position inside the partition, and each partition's carry-in (the last
-    source row of earlier partitions, one row per partition) is applied as
-    literal maps.  Adds ``<col><suffix>`` for every payload column."""
-    spark = df.sparkSession
-    ranged = _ranged(df, order_cols, num_partitions, "_fr_pid")
-    outs = [f"{c}{suffix}" for c in payload]
-    schema = T.StructType(ranged.schema.fields + [T.StructField(o, df.schema[c].dataType)
-                                                  for o, c in zip(outs, payload)]
-                          + [T.StructField("_fr_has", T.BooleanType()), T.StructField("_fr_pos", T.LongType())])
-
-    def local_fill(batches):
-        carry, pos = None, 0          # carry: payload dict of the last source row seen
-        for pdf in batches:
-            src = pdf[is_source].fillna(False).to_numpy(dtype=bool)
-            idx = np.where(src, np.arange(len(pdf)), -1)
-            last = np.maximum.accumulate(idx) if len(idx) else idx
-            has = last >= 0
-            take = np.where(has, last, 0)
-            for o, c in zip(outs, payload):
-                col = pdf[c].iloc[take]
-                col.index = pdf.index
-                col = col.where(has, None if carry is None else carry[c])
-                pdf[o] = col
-            pdf["_fr_has"] = has | (carry is not None)
-            if has.any():
-                j = int(last[-1])
-                carry = {c: pdf[c].iloc[j] for c in payload}
-            pdf["_fr_pos"] = np.arange(pos, pos + len(pdf), dtype=np.int64)
-            pos += len(pdf)
-            yield pdf
-
-    checkpoint_dir(spark)
-    local = ranged.mapInPandas(local_fill, schema).checkpoint(eager=True)
-    src_rows = local.where(F.col(is_source))
-    last = src_rows.groupBy("_fr_pid").agg(
-        F.max_by(F.struct(*[F.col(c) for c in payload]), "_fr_pos").alias("_last"))
-    last = sorted(last.collect(), key=lambda r: r["_fr_pid"])
-    carries, seen = {c: {} for c in payload}, None
-    pids = [r["_fr_pid"] for r in last]
-    by_pid = {r["_fr_pid"]: r["_last"] for r in last}
-    n = max(pids) + 1 if pids else 0
-    n = max(n, int(num_partitions or spark.conf.get("spark.sql.shuffle.partitions")))
-    for p in range(n):
-        if seen is not None:
-            for c in payload:
-                carries[c][p] = seen[c]
-        if p in by_pid:
-            seen = by_pid[p]
-    out = local
-    for o, c in zip(outs, payload):
-        m = _literal_map({k: v for k, v in carries[c].items() if v is not None}, df.schema[c].dataType.simpleString())
-        out = out.withColumn(o, F.when(F.col("_fr_has"), F.col(o)).otherwise(F.element_at(m, F.col("_fr_pid"))))
-    return out.drop("_fr_pid", "_fr_has", "_fr_pos")
+    ``is_source`` is true; NULLs before the first source row.  Adds
+    ``<col><suffix>`` for every payload column."""
+    inside = W.partitionBy("_range").orderBy(*order_cols)
+    own = F.when(F.col(is_source), F.struct(*payload))
+    local = _ranged(df, order_cols, num_partitions).select(
+        "*", F.last(own, ignorenulls=True).over(inside.rowsBetween(W.unboundedPreceding, 0)).alias("_carried"),
+        F.row_number().over(inside).alias("_nth"))
+    # one row per range, carried over ranges without a source row
+    ranges = local.groupBy("_range").agg(F.max_by("_carried", "_nth").alias("_last"))
+    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    ranges = ranges.select("_range", F.last("_last", ignorenulls=True).over(before).alias("_earlier"))
+    held = F.coalesce("_carried", "_earlier")
+    return local.join(ranges, "_range", "left").select(*df.columns, *[held[c].alias(f"{c}{suffix}") for c in payload])

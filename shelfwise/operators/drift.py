@@ -1,6 +1,8 @@
 """Distribution drift between a reference and a current frame.
 
-Every numeric test runs on one ECDF frame: values of both frames are counted
+The numeric test is named by the caller, per column: the normalised Wasserstein
+distance (large samples) or the two-sample K-S test (the reference's choice for
+1,000 reference rows or fewer).  Both run on one ECDF frame: values of both frames are counted
 per distinct value (partial aggregation), the counts get distributed running
 sums, and the next distinct value comes from an equi-join on the running rank.
 No step gathers a column into one task.
@@ -17,7 +19,6 @@ from .explore import exact_quantiles
 # Fixed values of the reference's drift policy.
 COLUMN_THRESHOLD = 0.1    # Wasserstein (normed) / Jensen-Shannon distance
 KS_ALPHA = 0.05           # K-S p-value below this -> drift
-SMALL_SAMPLE = 1000       # reference rows at or below this use K-S
 SD_FLOOR = 0.001          # Wasserstein normalisation floor
 DATASET_THRESHOLD = 0.20  # share of drifted columns (strict >)
 SEVERITY_WARNING, SEVERITY_CRITICAL = 0.20, 0.40
@@ -77,7 +78,10 @@ def value_counts_tagged(df: DataFrame, is_ref, numeric: list[str], categorical:
     return counts.checkpoint(eager=True)
 
 
-def _numeric_from_counts(counts: DataFrame, *, threshold, alpha, small) -> DataFrame:
+def _numeric_from_counts(counts: DataFrame, tests: dict[str, str], *, threshold, alpha) -> DataFrame:
+    unknown = set(tests.values()) - {"wasserstein", "ks"}
+    if unknown:
+        raise ValueError(f"unknown numeric drift tests: {sorted(unknown)}")
     counts = counts.where(F.col("v").isNotNull()).select("column", "v", "c_r", "c_c") \
         .withColumn("_one", F.lit(1).cast("long"))
     # running counts plus the next distinct value in (column, v) order, one pass
@@ -98,15 +102,15 @@ def _numeric_from_counts(counts: DataFrame, *, threshold, alpha, small) -> DataF
         F.sum(F.abs(fr - fc) * (F.col("v_next") - F.col("v"))).alias("w1"),
         F.max(F.abs(fr - fc)).alias("ks_d")).join(F.broadcast(sd), "column")
     nr, nc = F.col("n_ref").cast("double"), F.col("n_cur").cast("double")
-    big = nr > F.lit(small)
-    score = F.when(big, F.coalesce(F.col("w1"), F.lit(0.0)) / F.col("sd")).otherwise(
+    distance = F.col("column").isin([c for c, t in tests.items() if t == "wasserstein"])
+    score = F.when(distance, F.coalesce(F.col("w1"), F.lit(0.0)) / F.col("sd")).otherwise(
         ks_pvalue(F.col("ks_d"), nr, nc))
     return stats.select(
         "column",
-        F.when(big, "wasserstein").otherwise("ks").alias("stat_test"),
+        F.when(distance, "wasserstein").otherwise("ks").alias("stat_test"),
         score.alias("score"),
-        F.when(big, F.lit(threshold)).otherwise(F.lit(alpha)).alias("threshold"),
-        F.when(big, score >= threshold).otherwise(score < alpha).alias("detected"),
+        F.when(distance, F.lit(threshold)).otherwise(F.lit(alpha)).alias("threshold"),
+        F.when(distance, score >= threshold).otherwise(score < alpha).alias("detected"),
         F.col("n_ref").cast("long").alias("n_ref"), F.col("n_cur").cast("long").alias("n_cur"))
 
 
@@ -123,15 +127,21 @@ def _categorical_from_counts(counts: DataFrame, *, threshold) -> DataFrame:
                      F.col("n_ref").cast("long").alias("n_ref"), F.col("n_cur").cast("long").alias("n_cur"))
 
 
-def drift_report_tagged(df: DataFrame, is_ref, *, numeric: list[str], categorical: list[str] = (),
-                        threshold: float = COLUMN_THRESHOLD, alpha: float = KS_ALPHA,
-                        small: int = SMALL_SAMPLE) -> DataFrame:
+def _tests(numeric, test: str) -> dict[str, str]:
+    """Column -> test: a dict as given, or a list of columns under one test."""
+    return dict(numeric) if isinstance(numeric, dict) else {c: test for c in numeric}
+
+
+def drift_report_tagged(df: DataFrame, is_ref, *, numeric: list[str] | dict[str, str], categorical: list[str] = (),
+                        test: str = "wasserstein", threshold: float = COLUMN_THRESHOLD,
+                        alpha: float = KS_ALPHA) -> DataFrame:
     """Per-column drift rows when reference and current rows come from one
     frame (``is_ref`` marks the reference): a single scan feeds every test."""
-    counts = value_counts_tagged(df, is_ref, list(numeric), list(categorical))
+    tests = _tests(numeric, test)
+    counts = value_counts_tagged(df, is_ref, list(tests), list(categorical))
     parts = []
-    if numeric:
-        parts.append(_numeric_from_counts(counts, threshold=threshold, alpha=alpha, small=small))
+    if tests:
+        parts.append(_numeric_from_counts(counts, tests, threshold=threshold, alpha=alpha))
     if categorical:
         parts.append(_categorical_from_counts(counts, threshold=threshold))
     return reduce(DataFrame.unionByName, parts)
@@ -142,15 +152,15 @@ def _tag_union(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
                .unionByName(cur.select(*cols, F.lit(False).alias("_is_ref"))))
 
 
-def numeric_drift_many(ref: DataFrame, cur: DataFrame, columns: list[str], *, threshold=COLUMN_THRESHOLD,
-                       alpha=KS_ALPHA, small=SMALL_SAMPLE) -> DataFrame:
-    """M8/M10 for several numeric columns: normalised Wasserstein distance when
-    the reference has more than ``small`` rows, else the two-sample K-S test.
-    Values are counted per distinct value, and one distributed running sum in
+def numeric_drift_many(ref: DataFrame, cur: DataFrame, columns: list[str] | dict[str, str], *,
+                       test: str = "wasserstein", threshold=COLUMN_THRESHOLD, alpha=KS_ALPHA) -> DataFrame:
+    """M8/M10 for several numeric columns, each under its named test.  Values
+    are counted per distinct value, and one distributed running sum in
     (column, v) order with per-column offsets (one row per column) gives every
     column's ECDFs."""
-    counts = value_counts_tagged(_tag_union(ref, cur, columns), "_is_ref", columns)
-    return _numeric_from_counts(counts, threshold=threshold, alpha=alpha, small=small)
+    tests = _tests(columns, test)
+    counts = value_counts_tagged(_tag_union(ref, cur, list(tests)), "_is_ref", list(tests))
+    return _numeric_from_counts(counts, tests, threshold=threshold, alpha=alpha)
 
 
 def numeric_drift(ref: DataFrame, cur: DataFrame, column: str, **kw) -> DataFrame:
@@ -168,12 +178,12 @@ def categorical_drift(ref: DataFrame, cur: DataFrame, column: str, **kw) -> Data
     return categorical_drift_many(ref, cur, [column], **kw)
 
 
-def drift_report(ref: DataFrame, cur: DataFrame, *, numeric: list[str], categorical: list[str] = (),
-                 threshold: float = COLUMN_THRESHOLD) -> DataFrame:
+def drift_report(ref: DataFrame, cur: DataFrame, *, numeric: list[str] | dict[str, str], categorical: list[str] = (),
+                 test: str = "wasserstein", threshold: float = COLUMN_THRESHOLD) -> DataFrame:
     """Per-column drift rows: column, stat_test, score, threshold, detected."""
     cols = list(numeric) + list(categorical)
     return drift_report_tagged(_tag_union(ref, cur, cols), "_is_ref", numeric=numeric,
-                               categorical=categorical, threshold=threshold)
+                               categorical=categorical, test=test, threshold=threshold)
 
 
 def severity(share) -> F.Column:
@@ -203,14 +213,11 @@ def psi(ref: DataFrame, cur: DataFrame, column: str, bins: int = 10) -> DataFram
     """Population stability index over the reference's quantile bins:
     sum (c - r) ln(c / r) with empty shares floored."""
     qs = [i / bins for i in range(1, bins)]
-    bounds = (exact_quantiles(ref, column, qs)
-              .agg(F.sort_array(F.collect_list("value")).alias("bounds"))   # bins - 1 values
-              .withColumn("_k", F.lit(1)))
+    bounds = exact_quantiles(ref, column, qs).select(F.sort_array(F.collect_list("value"))).scalar()   # bins - 1 values
     x = F.col(column).cast("double")
 
     def shares(df, tag):
-        b = (df.select(x.alias("x")).where(F.col("x").isNotNull()).withColumn("_k", F.lit(1))
-               .join(F.broadcast(bounds), "_k")
+        b = (df.select(x.alias("x")).where(F.col("x").isNotNull()).withColumn("bounds", bounds)
                .select(F.size(F.filter("bounds", lambda v: v < F.col("x"))).alias("bin")))
         n = df.select(F.count(x)).scalar()
         return b.groupBy("bin").agg((F.count(F.lit(1)) / n).alias(tag))

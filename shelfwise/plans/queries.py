@@ -286,18 +286,28 @@ def q_drift_summary(spark, root):
 
 @register("drift_report_shifted")
 def q_drift_shifted(spark, root):
-    ref, _ = _drift_frames(spark, root)
-    cur = dr.perturb(ref, shift={"quantity": 2}, scale={"total_amount": 1.5})
-    return finalize(dr.drift_report(ref, cur, numeric=_DRIFT_NUM, categorical=["category"]))
+    """The whole table against its own perturbation."""
+    base = _drift_base(spark, root)
+    cur = dr.perturb(base, shift={"quantity": 2}, scale={"total_amount": 1.5})
+    return finalize(dr.drift_report(base, cur, numeric=_DRIFT_NUM, categorical=["category"]))
+
+
+EVENT_SPLIT = "2024-01-16"   # reference = events before, current = on/after
+
+
+def _event_report(spark, root, test):
+    is_ref = F.col("ts") < F.lit(EVENT_SPLIT).cast("timestamp_ntz")
+    return dr.drift_report_tagged(v.events(spark, root), is_ref, numeric=["latency_ms"], categorical=["event_type"], test=test)
 
 
 @register("drift_report_events")
 def q_drift_events(spark, root):
-    e = v.events(spark, root)
-    d = F.to_date("ts")
-    ref = e.where(d < F.lit("2024-01-04").cast("date"))
-    cur = e.where((d >= F.lit("2024-01-04").cast("date")) & (d < F.lit("2024-01-07").cast("date")))
-    return finalize(dr.drift_report(ref, cur, numeric=["latency_ms"], categorical=["event_type"]))
+    return finalize(_event_report(spark, root, "wasserstein"))
+
+
+@register("drift_report_events_ks")
+def q_drift_events_ks(spark, root):
+    return finalize(_event_report(spark, root, "ks"))
 
 
 @register("psi_total_amount")
