@@ -601,10 +601,18 @@ _SLIDE = """slid AS (
   SELECT e.*, to_timestamp((floor(epoch(ts) / 30) * 30 - k * 30)::DOUBLE)::TIMESTAMP AS window_start
   FROM ev e, range(0, 10) t(k))"""
 
-ORACLE["request_rate"] = f"WITH {_EV},\n{_SLIDE}\n" + f"""
-SELECT event_type, window_start, window_start + INTERVAL 5 MINUTE AS window_end, count(*) AS n,
-       {r6('count(*) / 300.0')} AS rate
-FROM slid GROUP BY event_type, window_start"""
+_RATES = """seen AS (SELECT event_type, window_start, count(*) AS n FROM slid GROUP BY event_type, window_start),
+spine AS (
+  SELECT f.event_type, f.first_ws + to_seconds(30 * k) AS window_start
+  FROM (SELECT event_type, min(window_start) AS first_ws FROM seen GROUP BY event_type) f,
+       range(0, (SELECT CAST(date_diff('second', min(window_start), max(window_start)) / 30 AS BIGINT) + 1 FROM seen)) t(k)
+  WHERE f.first_ws + to_seconds(30 * k) <= (SELECT max(window_start) FROM seen)),
+rates AS (
+  SELECT s.event_type, s.window_start, coalesce(x.n, 0) AS n
+  FROM spine s LEFT JOIN seen x ON s.event_type = x.event_type AND s.window_start = x.window_start)"""
+ORACLE["request_rate"] = f"WITH {_EV},\n{_SLIDE},\n{_RATES}\n" + f"""
+SELECT event_type, window_start, window_start + INTERVAL 5 MINUTE AS window_end, n, {r6('n / 300.0')} AS rate
+FROM rates"""
 
 ORACLE["latency_percentiles"] = f"WITH {_EV}\n" + f"""
 SELECT event_type, to_timestamp((floor(epoch(ts) / 300) * 300)::DOUBLE)::TIMESTAMP AS window_start, count(*) AS n,
@@ -619,17 +627,17 @@ ORACLE["error_ratio"] = f"WITH {_EV},\n{_SLIDE},\n{_ERR}\n" + f"""
 SELECT window_start, errors, n, {r6('errors * 1.0 / n')} AS error_ratio, {r6('errors * 100.0 / n')} AS error_pct,
        errors * 1.0 / n > 0.01 AS breach FROM err"""
 
-ORACLE["throughput_drop"] = f"WITH {_EV},\n{_SLIDE},\n" + """rates AS (
-  SELECT event_type, window_start, count(*) / 300.0 AS rate FROM slid GROUP BY 1, 2)
-""" + f"""SELECT event_type, window_start, {r6('rate')} AS rate, {r6('avg(rate) OVER w')} AS hour_avg_rate,
-       rate < 0.5 * avg(rate) OVER w AS "drop"
+ORACLE["throughput_drop"] = f"WITH {_EV},\n{_SLIDE},\n{_RATES}\n" + f"""
+SELECT event_type, window_start, {r6('n / 300.0')} AS rate,
+       CAST((CAST(sum(n) OVER w AS BIGINT) * 2000000 + count(*) OVER w * 300) // (count(*) OVER w * 600) AS DOUBLE) / 1000000 AS hour_avg_rate,
+       n * count(*) OVER w * 2 < sum(n) OVER w AS "drop"
 FROM rates WINDOW w AS (PARTITION BY event_type ORDER BY epoch(window_start) RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW)"""
 
 ORACLE["sustained_error_breach"] = f"WITH {_EV},\n{_SLIDE},\n{_ERR}\n" + f"""
 SELECT window_start, errors, n, {r6('errors * 1.0 / n')} AS error_ratio, {r6('errors * 100.0 / n')} AS error_pct,
        errors * 1.0 / n > 0.01 AS breach,
-       min(CAST(errors * 1.0 / n > 0.01 AS INTEGER)) OVER (ORDER BY epoch(window_start)
-           RANGE BETWEEN 300 PRECEDING AND CURRENT ROW) = 1 AS breach_sustained
+       count(*) FILTER (WHERE errors * 1.0 / n > 0.01) OVER (ORDER BY epoch(window_start)
+           RANGE BETWEEN 300 PRECEDING AND CURRENT ROW) = 11 AS breach_sustained
 FROM err"""
 
 ORACLE["latency_histogram"] = f"WITH {_EV}\n" + """, b AS (
@@ -881,8 +889,10 @@ FROM z"""
 ORACLE["rfm_view_snapshot"] = "SELECT customer_id, recency, frequency, monetary, churn_risk, clv_score, " \
     "event_timestamp FROM (" + ORACLE["serving_features"] + ")"
 
-# N12 over page URLs: path of the URL mapped to its endpoint class
+# N12 over the paths of page URLs and of requests derived from the event log
 ORACLE["endpoint_classes"] = """WITH p AS (
+  SELECT ['/api/v1/predict/', '/api/v1/segment/', '/api/v1/revenue/', '/api/v1/inventory/', '/health/'][event_id % 5 + 1] || event_type AS path FROM events
+  UNION ALL
   SELECT CASE WHEN regexp_matches(url, '^[A-Za-z][A-Za-z0-9+.-]*://')
               THEN regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) END AS path FROM pages)
 SELECT CASE WHEN contains(path, '/predict/') OR starts_with(path, '/api/v1/predict') THEN '/api/v1/predict/*'
@@ -891,3 +901,23 @@ SELECT CASE WHEN contains(path, '/predict/') OR starts_with(path, '/api/v1/predi
             WHEN contains(path, '/inventory') THEN '/api/v1/inventory/*'
             ELSE path END AS endpoint, count(*) AS n
 FROM p GROUP BY 1"""
+
+
+# ------------------------------------------------------- event validation --
+# messages damaged by integer arithmetic on the ids (see streaming.ingest.damaged_messages)
+_MESSAGES = with_views("transactions", extra="""m AS (
+  SELECT *, CASE WHEN (transaction_id * 31 + sku_id) % 20 <> 0 THEN -1 ELSE (transaction_id // 20) % 6 END AS kind
+  FROM transactions)""")
+ORACLE["event_validation"] = _MESSAGES + f"""
+SELECT CASE WHEN kind <> 3 THEN CAST(transaction_id AS VARCHAR) END AS transaction_id,
+       CASE WHEN kind NOT IN (0, 3) THEN CAST(sku_id AS VARCHAR) END AS sku_id,
+       CASE WHEN kind NOT IN (1, 2, 3) THEN CAST(quantity AS BIGINT) END AS quantity,
+       CASE WHEN kind <> 3 THEN {r6('total_amount')} END AS total_amount,
+       CASE WHEN kind IN (0, 3) THEN 0.0 ELSE {r6('discount_applied')} END AS discount_applied,
+       CASE WHEN kind NOT IN (3, 4) THEN date_trunc('second', "timestamp") END AS "timestamp",
+       CASE WHEN kind = 5 THEN '{{"store":"S1"}}' END AS _extra,
+       CASE kind WHEN 0 THEN 'Missing required field: sku_id' WHEN 1 THEN 'Type cast error: quantity is not an integer'
+                 WHEN 2 THEN 'Type cast error: quantity is not an integer' WHEN 3 THEN 'JSON decode error' END AS _dlq_reason
+FROM m"""
+ORACLE["dead_letter_counts"] = f"""SELECT coalesce(_dlq_reason, 'valid') AS outcome, count(*) AS n
+FROM ({ORACLE['event_validation']}) GROUP BY 1"""

@@ -387,8 +387,8 @@ from ..streaming import monitors as mo  # noqa: E402
 def q_event_validation(spark, root):
     """N1-N3 on a batch of JSON messages derived from the transactions."""
     decoded = si.decode_events(si.damaged_messages(v.transactions(spark, root)))
-    return decoded.select("transaction_id", "sku_id", "quantity", "total_amount", "discount_applied",
-                          "timestamp", "_extra", "_dlq_reason")
+    return finalize(decoded.select("transaction_id", "sku_id", "quantity", "total_amount", "discount_applied",
+                                   F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "_extra", "_dlq_reason"))
 
 
 @register("dead_letter_counts")
@@ -430,9 +430,13 @@ def q_latency_hist(spark, root):
 
 @register("endpoint_classes")
 def q_endpoints(spark, root):
-    pages = read_table(spark, root, "pages")
-    return (pages.select(mo.normalise_endpoint(F.parse_url("url", F.lit("PATH"))).alias("endpoint"))
-                 .groupBy("endpoint").agg(F.count(F.lit(1)).alias("n")))
+    """N12 over the paths of page URLs and of requests derived from the event log."""
+    paths = read_table(spark, root, "pages").select(F.try_parse_url("url", F.lit("PATH")).alias("path"))
+    routes = F.array(*[F.lit(r) for r in ("/api/v1/predict/", "/api/v1/segment/", "/api/v1/revenue/", "/api/v1/inventory/", "/health/")])
+    requests = read_table(spark, root, "events").select(
+        F.concat(F.element_at(routes, (F.col("event_id") % 5 + 1).cast("int")), "event_type").alias("path"))
+    return (requests.unionByName(paths).select(mo.normalise_endpoint("path").alias("endpoint"))
+                    .groupBy("endpoint").agg(F.count(F.lit(1)).alias("n")))
 
 
 @register("incremental_orders")

@@ -6,28 +6,34 @@ driver memory), so an incremental load survives restarts; the filter
 """
 from __future__ import annotations
 
+import json
 import os
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.quality import validate_schema  # noqa: F401  (A7 re-export)
 
 
+def _with_timestamp(df: DataFrame, timestamp_col: str | None) -> DataFrame:
+    """The column parsed leniently (bad values -> NULL) unless it is a timestamp already."""
+    if not timestamp_col or isinstance(df.schema[timestamp_col].dataType, (T.TimestampType, T.TimestampNTZType)):
+        return df
+    return df.withColumn(timestamp_col, F.try_to_timestamp(F.col(timestamp_col).cast("string")))
+
+
 def ingest_csv(spark: SparkSession, path: str, *, schema: T.StructType | str | None = None,
                timestamp_col: str | None = None) -> DataFrame:
     """A1: CSV with header; explicit schema when given, else inference."""
     r = spark.read.option("header", True)
     r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
-    df = r.csv(path)
-    if timestamp_col:
-        df = df.withColumn(timestamp_col, F.try_to_timestamp(F.col(timestamp_col).cast("string")))
-    return df
+    return _with_timestamp(r.csv(path), timestamp_col)
 
 
 def ingest_parquet(spark: SparkSession, path: str, *, timestamp_col: str | None = None) -> DataFrame:
-    """A2: Parquet scan."""
-    return spark.read.parquet(path)
+    """A2: Parquet scan; a text timestamp column is parsed leniently."""
+    return _with_timestamp(spark.read.parquet(path), timestamp_col)
 
 
 def ingest_jdbc(spark: SparkSession, url: str, query: str, *, properties: dict | None = None,
@@ -47,9 +53,12 @@ def ingest_jdbc(spark: SparkSession, url: str, query: str, *, properties: dict |
     return r.load()
 
 
-def ingest_event_batch(spark: SparkSession, messages: list[dict], schema: T.StructType | str) -> DataFrame:
-    """A4: a decoded batch of events (list of dicts, already in the driver) to a table."""
-    return spark.createDataFrame(messages, schema)
+def ingest_event_batch(spark: SparkSession, messages: list[dict]) -> tuple[DataFrame, DataFrame]:
+    """A4: a decoded batch of events (list of dicts, already in the driver),
+    validated and split like the stream -> (valid rows, dead letters)."""
+    from ..streaming.ingest import decode_events, split_valid
+    raw = spark.createDataFrame([(json.dumps(m, default=str),) for m in messages], "value string")
+    return split_valid(decode_events(raw))
 
 
 # ------------------------------------------------------------ watermarks --
@@ -59,12 +68,13 @@ def _mark_path(state_dir: str, table: str) -> str:
 
 def read_mark(spark: SparkSession, state_dir: str, table: str):
     """Stored high-water mark of ``table`` or None (first load)."""
-    p = _mark_path(state_dir, table)
     try:
-        rows = spark.read.parquet(p).agg(F.max("mark")).collect()
-    except Exception:  # noqa: BLE001 - no state yet
-        return None
-    return rows[0][0] if rows else None
+        marks = spark.read.parquet(_mark_path(state_dir, table))
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":     # no state yet; any other fault must not become a full reload
+            return None
+        raise
+    return marks.agg(F.max("mark")).first()[0]
 
 
 def incremental(df: DataFrame, ts_col: str, mark) -> DataFrame:
@@ -84,10 +94,13 @@ def advance_mark(spark: SparkSession, state_dir: str, table: str, loaded: DataFr
 
 
 def ingest_incremental(spark: SparkSession, path: str, table: str, ts_col: str, state_dir: str,
-                       *, fmt: str = "parquet") -> DataFrame:
-    """Load rows newer than the stored mark.  Call ``advance_mark``
+                       *, fmt: str = "parquet", schema: T.StructType | str | None = None) -> DataFrame:
+    """Load rows newer than the stored mark.  Call ``advance_mark``
     after the rows are durably written."""
-    df = spark.read.format(fmt).load(path)
+    if fmt == "csv":
+        df = ingest_csv(spark, path, schema=schema, timestamp_col=ts_col)
+    else:
+        df = ingest_parquet(spark, path, timestamp_col=ts_col)
     return incremental(df, ts_col, read_mark(spark, state_dir, table))
 
 
@@ -126,36 +139,28 @@ def write_silver(df: DataFrame, path: str, *, partition_by: list[str] | None = N
     w.parquet(path)
 
 
-# Typed result-table schemas.
-RESULT_SCHEMAS = {
-    "customer_profiles": T.StructType([
-        T.StructField("customer_id", T.StringType(), False), T.StructField("segment", T.StringType()),
-        T.StructField("churn_probability", T.DoubleType()), T.StructField("lifetime_value", T.DoubleType()),
-        T.StructField("recency", T.IntegerType()), T.StructField("frequency", T.IntegerType()),
-        T.StructField("monetary", T.DoubleType()), T.StructField("updated_at", T.TimestampType())]),
-    "prediction_logs": T.StructType([
-        T.StructField("model_name", T.StringType()), T.StructField("model_version", T.StringType()),
-        T.StructField("input_features", T.StringType()), T.StructField("prediction", T.StringType()),
-        T.StructField("latency_ms", T.DoubleType()), T.StructField("created_at", T.TimestampType())]),
-    "demand_forecasts": T.StructType([
-        T.StructField("sku_id", T.StringType()), T.StructField("forecast_date", T.DateType()),
-        T.StructField("predicted_demand", T.DoubleType()), T.StructField("lower_bound", T.DoubleType()),
-        T.StructField("upper_bound", T.DoubleType()), T.StructField("actual_demand", T.DoubleType()),
-        T.StructField("mape", T.DoubleType()), T.StructField("created_at", T.TimestampType())]),
-    "inventory_snapshots": T.StructType([
-        T.StructField("sku_id", T.StringType()), T.StructField("current_stock", T.IntegerType()),
-        T.StructField("reorder_point", T.IntegerType()), T.StructField("safety_stock", T.IntegerType()),
-        T.StructField("eoq", T.IntegerType()), T.StructField("stockout_risk", T.DoubleType()),
-        T.StructField("abc_class", T.StringType()), T.StructField("snapshot_at", T.TimestampType())]),
-    "drift_reports": T.StructType([
-        T.StructField("model_name", T.StringType()), T.StructField("drift_score", T.DoubleType()),
-        T.StructField("psi_score", T.DoubleType()), T.StructField("drifted_features", T.StringType()),
-        T.StructField("action_taken", T.StringType()), T.StructField("created_at", T.TimestampType())]),
-    "data_quality_results": T.StructType([
-        T.StructField("table_name", T.StringType()), T.StructField("check_name", T.StringType()),
-        T.StructField("passed", T.BooleanType()), T.StructField("details", T.StringType()),
-        T.StructField("created_at", T.TimestampType())]),
+# A13, fixed values: names and types of the six result tables.
+_RESULT_COLUMNS = {
+    "customer_profiles": "id int, customer_id string, age int, region string, segment string, segment_id int, "
+                         "rfm_recency double, rfm_frequency double, rfm_monetary double, lifetime_value double, "
+                         "churn_probability double, churn_risk_segment string, last_updated timestamp",
+    "prediction_logs": "id int, prediction_type string, request_payload string, response_payload string, "
+                       "model_version string, mlflow_run_id string, latency_ms double, user_id int, created_at timestamp",
+    "demand_forecasts": "id int, sku_id string, store_id string, forecast_date timestamp, predicted_demand double, "
+                        "confidence_lower double, confidence_upper double, actual_demand double, mape double, "
+                        "created_at timestamp",
+    "inventory_snapshots": "id int, sku_id string, store_id string, current_stock int, safety_stock int, "
+                           "reorder_qty int, stockout_risk double, abc_class string, dead_stock boolean, "
+                           "snapshot_at timestamp",
+    "drift_reports": "id int, report_type string, total_features int, drifted_features int, drift_share double, "
+                     "psi_score double, action_required boolean, report_path string, created_at timestamp",
+    "data_quality_results": "id int, dataset_name string, total_expectations int, passed_expectations int, "
+                            "dq_score double, gate_passed boolean, details string, created_at timestamp",
 }
+_TYPES = {"int": T.IntegerType(), "string": T.StringType(), "double": T.DoubleType(),
+          "boolean": T.BooleanType(), "timestamp": T.TimestampType()}
+RESULT_SCHEMAS = {name: T.StructType([T.StructField(col, _TYPES[kind]) for col, kind in (c.split() for c in cols.split(", "))])
+                  for name, cols in _RESULT_COLUMNS.items()}
 
 
 def to_result_schema(df: DataFrame, table: str) -> DataFrame:

@@ -7,12 +7,15 @@ coercions follow Python's ``int()`` / ``float()`` on the JSON value's own type
 (2.7 -> 2, "3" -> 3, "2.7" -> reject for int, null -> reject).
 
 Each micro-batch is split in ``foreachBatch`` and written to a folder keyed by
-the batch id with overwrite, so a batch replayed after an executor or driver
-failure rewrites the same files instead of duplicating rows.
+the streaming query's id (kept in its checkpoint) and the batch id with
+overwrite: a batch replayed after a failure rewrites the same files instead of
+duplicating rows, and another query, or a fresh checkpoint that starts at batch
+0 again, never touches them.
 """
 from __future__ import annotations
 
 import os
+import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -65,11 +68,10 @@ def decode_events(raw: DataFrame, value_col: str = "value") -> DataFrame:
         _field(v, "sku_id", "string").alias("sku_id"),
         # lenient parse: an unparseable timestamp is valid and stored as NULL
         F.try_to_timestamp(_field(v, "timestamp", "string")).alias("timestamp"),
-        _field(v, "quantity", "bigint").cast("int").alias("quantity"),
+        _field(v, "quantity", "bigint").alias("quantity"),
         _field(v, "total_amount", "double").alias("total_amount"),
         disc.alias("discount_applied"),
-        F.when(F.cardinality(extra) > 0,
-               F.to_json(F.transform_values(extra, lambda _, x: F.to_json(x)))).alias("_extra"),
+        F.when(F.cardinality(extra) > 0, F.to_json(extra)).alias("_extra"),
         raw_s.alias("_raw"),
         reason.alias("_dlq_reason"),
     )
@@ -103,20 +105,20 @@ def kafka_source(spark: SparkSession, bootstrap_servers: str, topic: str, *,
     return r.load().select(F.col("value").cast("string").alias("value"))
 
 
-def write_batch(decoded: DataFrame, batch_id: int, bronze_path: str, dlq_path: str, metrics_path: str) -> None:
-    """N2/N5 for one micro-batch.  Outputs land in ``batch_id=<n>`` folders
-    with overwrite, so replaying a batch is idempotent."""
+def write_batch(decoded: DataFrame, batch_id: int, bronze_path: str, dlq_path: str, metrics_path: str,
+                query_id: str = "batch") -> None:
+    """N2/N5 for one micro-batch.  Outputs land in ``query_id=<id>/batch_id=<n>``
+    folders with overwrite, so replaying a batch is idempotent."""
     decoded = decoded.persist()
     try:
         valid, dlq = split_valid(decoded)
-        part = f"batch_id={batch_id}"
+        part = os.path.join(f"query_id={query_id}", f"batch_id={batch_id}")
         valid.write.mode("overwrite").parquet(os.path.join(bronze_path, part))
         dlq.write.mode("overwrite").parquet(os.path.join(dlq_path, part))
         (decoded.agg(F.count(F.lit(1)).alias("consumed"),
                      F.count_if(F.col("_dlq_reason").isNull()).alias("valid"),
                      F.count_if(F.col("_dlq_reason").isNotNull()).alias("dlq"),
                      F.count_if(F.col("_dlq_reason") == "JSON decode error").alias("undecodable"))
-                .withColumn("batch_id", F.lit(batch_id).cast("long"))
                 .withColumn("processed_at", F.current_timestamp())
                 .write.mode("overwrite").parquet(os.path.join(metrics_path, part)))
     finally:
@@ -129,18 +131,24 @@ def start_ingestion(source: DataFrame, *, bronze_path: str, dlq_path: str, metri
     ``availableNow`` (drain what is there, then stop); pass
     ``{"processingTime": "1 second"}`` for a continuous poll."""
     decoded = decode_events(source, value_col)
-    w = (decoded.writeStream
-         .option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda df, bid: write_batch(df, bid, bronze_path, dlq_path, metrics_path)))
-    w = w.trigger(**(trigger or {"availableNow": True}))
-    return w.start()
+    started, query_id = threading.Event(), []
+
+    def sink(df, batch_id):
+        started.wait()          # the query's id is known once start() returns
+        write_batch(df, batch_id, bronze_path, dlq_path, metrics_path, query_id[0])
+
+    w = decoded.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
+    query = w.trigger(**(trigger or {"availableNow": True})).start()
+    query_id.append(query.id)
+    started.set()
+    return query
 
 
 def session_stats(spark: SparkSession, metrics_path: str) -> DataFrame:
     """Consumed / valid / dlq / batches over all recorded micro-batches."""
     m = spark.read.parquet(metrics_path)
     return m.agg(F.sum("consumed").alias("consumed"), F.sum("valid").alias("valid"),
-                 F.sum("dlq").alias("dlq"), F.countDistinct("batch_id").alias("batches"))
+                 F.sum("dlq").alias("dlq"), F.countDistinct("query_id", "batch_id").alias("batches"))
 
 
 # ---------------------------------------------------------------- fixtures --
@@ -159,7 +167,7 @@ def damaged_messages(txns: DataFrame, every: int = 20) -> DataFrame:
         F.col("discount_applied").cast("double").alias("discount_applied"),
         F.pmod(F.col("transaction_id") * 31 + F.col("sku_id"), F.lit(every)).alias("_slot"),
         # independent of the slot expression, so all six kinds occur
-        F.pmod(F.xxhash64("transaction_id", "sku_id"), F.lit(6)).alias("_kind"))
+        F.pmod(F.floor(F.col("transaction_id") / every), F.lit(6)).alias("_kind"))
     cols = ["transaction_id", "customer_id", "sku_id", "timestamp", "quantity", "total_amount",
             "discount_applied"]
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.prefix import running_sum
+
 # Fixed values of the reference's alert rules and metrics.
 RATE_WINDOW, RATE_STEP = "5 minutes", "30 seconds"
 RATE_WINDOW_S = 300
@@ -46,22 +48,38 @@ def _sliding_counts(events: DataFrame, keys: list[str], aggs: dict) -> DataFrame
 
 
 def request_rate(events: DataFrame, *, key: str = "event_type") -> DataFrame:
-    """Requests per second over trailing 5-minute windows every 30 s."""
+    """Requests per second over trailing 5-minute windows every 30 s, from a
+    series' first window to the last window of any series; idle windows have
+    rate 0.  The spine of windows grows with the time span, not with the events."""
     c = _sliding_counts(events, [key], {"n": F.count(F.lit(1))})
-    return c.select(key, "window_start", "window_end", "n", (F.col("n") / F.lit(RATE_WINDOW_S)).alias("rate"))
+    last = c.select(F.max("window_start")).scalar()
+    spine = (c.groupBy(key).agg(F.min("window_start").alias("_first"))
+              .select(key, F.explode(F.sequence("_first", last, F.make_dt_interval(secs=F.lit(RATE_STEP_S)))).alias("window_start")))
+    n = F.coalesce("n", F.lit(0).cast("long"))
+    return (spine.join(c.select(key, "window_start", "n"), [key, "window_start"], "left")
+                 .select(key, "window_start", (F.col("window_start") + F.make_dt_interval(secs=F.lit(RATE_WINDOW_S))).alias("window_end"),
+                         n.alias("n"), (n / F.lit(RATE_WINDOW_S)).alias("rate")))
 
 
 def latency_percentiles(events: DataFrame, *, key: str = "event_type", value: str = "latency_ms") -> DataFrame:
-    """p50/p95/p99 per tumbling 5-minute window (exact ``percentile``:
-    its buffer holds distinct values per window, not rows) and SLO breach flags."""
-    w = F.window(_ts(), RATE_WINDOW)
-    return (events.groupBy(key, w.alias("w"))
-                  .agg(F.percentile(value, 0.5).alias("p50"), F.percentile(value, 0.95).alias("p95"),
-                       F.percentile(value, 0.99).alias("p99"), F.count(F.lit(1)).alias("n"))
-                  .select(key, F.col("w.start").cast("timestamp_ntz").alias("window_start"), "n",
-                          "p50", "p95", "p99",
-                          (F.col("p95") > P95_LIMIT_MS).alias("p95_breach"),
-                          (F.col("p99") > P99_LIMIT_MS).alias("p99_breach")))
+    """Exact p50/p95/p99 per tumbling 5-minute window and SLO breach flags.
+    Values are counted per distinct value, ranked by one distributed running sum
+    in (series, window, value) order, and the order statistics on either side of
+    a quantile picked by an aggregate -- a hot window never meets in one buffer."""
+    w = F.window(_ts(), RATE_WINDOW)["start"].cast("timestamp_ntz")
+    group = [key, "window_start"]
+    counts = (events.select(key, w.alias("window_start"), F.col(value).cast("double").alias("_v"))
+                    .groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_all"), F.count("_v").alias("_c")))
+    cum = running_sum(counts, [F.col(key), F.col("window_start"), F.col("_v").asc_nulls_first()], "_c", "_cum")
+    size = cum.groupBy(*group).agg(F.sum("_all").alias("n"), F.sum("_c").alias("_m"), F.min(F.col("_cum") - F.col("_c")).alias("_off"))
+    ranked = cum.drop("_all").join(size, group).withColumn("_upto", F.col("_cum") - F.col("_off"))
+    qs = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    at = {q: F.lit(x) * (F.col("_m") - 1) for q, x in qs.items()}
+    holds = lambda rank: F.max(F.when((rank >= F.col("_upto") - F.col("_c")) & (rank < F.col("_upto")), F.col("_v")))
+    stats = ranked.groupBy(*group, "n", "_m").agg(*[holds(F.floor(h)).alias(f"{q}_lo") for q, h in at.items()],
+                                                  *[holds(F.ceil(h)).alias(f"{q}_hi") for q, h in at.items()])
+    out = stats.select(*group, "n", *[(F.col(f"{q}_lo") + (h - F.floor(h)) * (F.col(f"{q}_hi") - F.col(f"{q}_lo"))).alias(q) for q, h in at.items()])
+    return out.select("*", (F.col("p95") > P95_LIMIT_MS).alias("p95_breach"), (F.col("p99") > P99_LIMIT_MS).alias("p99_breach"))
 
 
 def error_ratio(events: DataFrame, *, key: str = "event_type", flag: str = "is_error") -> DataFrame:
@@ -87,27 +105,32 @@ def _day_buckets(df: DataFrame, time_col: str, lookback_s: int, bucket_s: int =
 
 def throughput_drop(rates: DataFrame, *, key: str = "event_type") -> DataFrame:
     """Rate below half of the average rate over the trailing hour
-    (evaluations of the same series, current included).  Windows are
-    partitioned by series and day, with the previous hour copied in."""
+    (evaluations of the same series, current included; idle windows count as
+    0, so a full outage drops too).  Windows are partitioned by series and day,
+    with the previous hour copied in.  Sums and comparisons are exact integers;
+    the average is one DECIMAL division."""
     t = F.unix_timestamp(F.col("window_start").cast("timestamp"))
     d = _day_buckets(rates, "window_start", DROP_LOOKBACK_S)
     w = Window.partitionBy(key, "_b").orderBy(t).rangeBetween(-DROP_LOOKBACK_S, 0)
-    avg = F.avg("rate").over(w)
-    return (d.select(key, "window_start", "rate", avg.alias("hour_avg_rate"),
-                     (F.col("rate") < F.lit(DROP_FACTOR) * avg).alias("drop"), "_ctx")
+    total, evaluations = F.sum("n").over(w), F.count(F.lit(1)).over(w)
+    avg = F.round(total.cast("decimal(20,0)") / (evaluations * RATE_WINDOW_S).cast("decimal(12,0)"), 6)
+    # n / 300 < factor * total / (300 * evaluations)
+    drop = F.col("n") * evaluations < F.lit(DROP_FACTOR) * total
+    return (d.select(key, "window_start", "rate", avg.alias("hour_avg_rate"), drop.alias("drop"), "_ctx")
              .where(~F.col("_ctx")).drop("_ctx"))
 
 
 def sustained(flags: DataFrame, flag: str, *, key: str | None = "event_type", seconds: int = 300,
-              time_col: str = "window_start") -> DataFrame:
-    """A condition holds ``for`` a span when every evaluation inside the
-    trailing span is true (partitioned by series and day, with the previous
-    span copied in as context)."""
+              step: int = RATE_STEP_S, time_col: str = "window_start") -> DataFrame:
+    """A condition holds ``for`` a span when it was true at every evaluation
+    since the span began: all seconds / step + 1 evaluations are there and true,
+    so a first breach or a gap starts the span anew (partitioned by series and
+    day, with the previous span copied in as context)."""
     t = F.unix_timestamp(F.col(time_col).cast("timestamp"))
     d = _day_buckets(flags, time_col, seconds)
     parts = ([key] if key else []) + ["_b"]
     w = Window.partitionBy(*parts).orderBy(t).rangeBetween(-seconds, 0)
-    return (d.withColumn(f"{flag}_sustained", F.min(F.col(flag).cast("int")).over(w) == 1)
+    return (d.withColumn(f"{flag}_sustained", F.count_if(F.col(flag)).over(w) == F.lit(seconds // step + 1))
              .where(~F.col("_ctx")).drop("_ctx", "_b"))
 
 
@@ -127,7 +150,8 @@ def latency_histogram(events: DataFrame, *, value_ms: str = "latency_ms", key: s
 
 
 def normalise_endpoint(path) -> Column:
-    """Path -> endpoint class for metric cardinality control."""
+    """Path -> endpoint class for metric cardinality control (fixed values:
+    the service's routes, first match wins)."""
     p = F.col(path) if isinstance(path, str) else path
     return (F.when(p.contains("/predict/") | p.startswith("/api/v1/predict"), "/api/v1/predict/*")
              .when(p.contains("/segment"), "/api/v1/segment/*")

@@ -106,6 +106,35 @@ def test_csv_ingest_with_schema_and_timestamp(spark):
     assert inferred.columns == ["sku_id", "qty", "ts"]
 
 
+def test_event_batch_is_validated_and_split(spark):
+    good = {"transaction_id": "t", "customer_id": "c", "sku_id": "s", "timestamp": "2024-01-01", "quantity": 1, "total_amount": 2}
+    valid, dlq = ig.ingest_event_batch(spark, [good, {**good, "quantity": "x"}, {"transaction_id": "t"}])
+    assert valid.count() == 1 and sorted(r._dlq_reason for r in dlq.collect()) == [
+        "Missing required field: customer_id", "Type cast error: quantity is not an integer"]
+
+
+def test_csv_incremental_and_parquet_timestamp(spark):
+    d = tempfile.mkdtemp(prefix="shelfwise-inc-")
+    state, p = os.path.join(d, "state"), os.path.join(d, "t.csv")
+    with open(p, "w") as fh:
+        fh.write("id,ts\n1,2024-01-01 00:00:00\n2,2024-01-02 00:00:00\n3,bad\n")
+    load = lambda: ig.ingest_incremental(spark, p, "t", "ts", state, fmt="csv", schema="id long, ts string")
+    first = load()
+    assert first.count() == 3
+    ig.advance_mark(spark, state, "t", first, "ts")
+    with open(p, "a") as fh:
+        fh.write("4,2024-01-03 00:00:00\n")
+    assert [r.id for r in load().collect()] == [4]
+    pq = os.path.join(d, "pq")
+    spark.createDataFrame([("2024-01-01", 1), ("x", 2)], "ts string, n int").write.parquet(pq)
+    assert [str(r.ts)[:10] for r in ig.ingest_parquet(spark, pq, timestamp_col="ts").orderBy("n").collect()] == ["2024-01-01", "None"]
+
+
+def test_mark_reader_raises_on_faults(spark):
+    with pytest.raises(Exception, match="nosuchfs"):
+        ig.read_mark(spark, "nosuchfs://host/state", "t")
+
+
 def test_feature_tables_job_writes_outputs_and_lineage(spark):
     from shelfwise.plans.silver import build_feature_tables
     out = tempfile.mkdtemp(prefix="shelfwise-silver-")

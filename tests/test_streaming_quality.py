@@ -43,11 +43,17 @@ def test_record_validation_rules(spark):
     assert reasons[4] is None and out[4].quantity == 2
     assert reasons[5] == "JSON decode error" and out[5]._raw == "{not json"
     assert reasons[6] is None and out[6].timestamp is None
-    assert reasons[7] is None and json.loads(out[7]._extra) == {"store": '"S9"'}
+    assert reasons[7] is None and json.loads(out[7]._extra) == {"store": "S9"}
     assert reasons[8].startswith("Type cast error: discount_applied")
     assert reasons[9] is None and out[9].quantity == 3
 
 
+def test_large_quantity_does_not_stop_the_stream(spark):
+    out = si.decode_events(_msgs(spark, [json.dumps({**GOOD, "quantity": 3_000_000_000}), json.dumps({**GOOD, "quantity": 1e300})])).collect()
+    assert out[0]._dlq_reason is None and out[0].quantity == 3_000_000_000
+    assert out[1]._dlq_reason.startswith("Type cast error: quantity")
+
+
 def test_missing_field_order_is_declared_order(spark):
     rec = {"customer_id": "c"}
     out = si.decode_events(_msgs(spark, [json.dumps(rec)])).collect()[0]
@@ -71,10 +77,16 @@ def test_streaming_split_is_idempotent_on_replay(spark):
     assert (valid, dlq) == (40, 3)
     # replaying the same batch id overwrites its folder: no duplicates
     decoded = si.decode_events(spark.read.text(src))
-    si.write_batch(decoded, 0, paths["bronze"], paths["dlq"], paths["metrics"])
+    si.write_batch(decoded, 0, paths["bronze"], paths["dlq"], paths["metrics"], q.id)
     assert spark.read.parquet(paths["bronze"]).count() == 40
     stats = si.session_stats(spark, paths["metrics"]).collect()[0]
     assert stats.consumed == 43 and stats.valid + stats.dlq == stats.consumed
+    # a fresh checkpoint starts at batch 0 again and leaves the first query's files alone
+    again = si.start_ingestion(si.file_source(spark, src), bronze_path=paths["bronze"], dlq_path=paths["dlq"],
+                               metrics_path=paths["metrics"], checkpoint=os.path.join(base, "ck2"))
+    again.awaitTermination(120)
+    assert spark.read.parquet(paths["bronze"]).count() == 80
+    assert si.session_stats(spark, paths["metrics"]).first().batches == 2
 
 
 def test_quality_suite_counts(spark):
@@ -104,8 +116,9 @@ def test_ks_small_sample_and_wasserstein_value(spark):
     b = [float(i) + 0.5 for i in range(0, 200, 2)]
     ra = spark.createDataFrame([(v,) for v in a], "x double")
     rb = spark.createDataFrame([(v,) for v in b], "x double")
-    r = dr.numeric_drift(ra, rb, "x").collect()[0]
+    r = dr.numeric_drift(ra, rb, "x", test="ks").collect()[0]
     assert r.stat_test == "ks"
+    assert dr.numeric_drift(ra, rb, "x").collect()[0].stat_test == "wasserstein"
     # brute-force Wasserstein via sorted samples (equal sizes)
     w1 = float(np.mean(np.abs(np.sort(a) - np.sort(b))))
     e = dr.ecdf_frame(ra, rb, "x")
@@ -142,3 +155,41 @@ def test_streaming_latency_with_watermark(spark):
     assert all(r.p50 <= r.p95 <= r.p99 for r in rows)
     batch = mo.latency_percentiles(ev.withColumn("is_error", F.lit(False)))
     assert batch.count() >= len(rows)
+
+
+def _ev(spark, times, key="a"):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    return spark.createDataFrame([(i, t0 + dt.timedelta(seconds=s), key, 1.0) for i, s in enumerate(times)],
+                                 "event_id long, ts timestamp_ntz, event_type string, latency_ms double")
+
+
+def test_outage_has_zero_rate_and_drops(spark):
+    busy = [s for s in range(0, 3600, 5)]
+    ev = _ev(spark, busy).unionByName(_ev(spark, [5400], "b"))
+    rates = mo.request_rate(ev)
+    a = {r.window_start: r for r in rates.where("event_type = 'a'").collect()}
+    idle = [r for r in a.values() if r.n == 0]
+    assert idle and all(r.rate == 0 for r in idle)
+    drop = {r.window_start: r for r in mo.throughput_drop(rates).where("event_type = 'a'").collect()}
+    assert all(drop[r.window_start].drop for r in idle if r.window_start < min(x.window_start for x in idle) + __import__("datetime").timedelta(minutes=30))
+
+
+def test_sustained_needs_the_whole_span(spark):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    flags = [(t0 + dt.timedelta(seconds=30 * i), i >= 3) for i in range(20)]
+    df = spark.createDataFrame(flags, "window_start timestamp_ntz, breach boolean")
+    got = [r.breach_sustained for r in mo.sustained(df, "breach", key=None).orderBy("window_start").collect()]
+    assert got == [i >= 13 for i in range(20)]
+
+
+def test_percentiles_match_numpy_with_ties_and_nulls(spark):
+    import numpy as np
+    vals = [3.0, 3.0, 1.0, 9.0, 9.0, 2.5, 7.0]
+    ev = _ev(spark, range(len(vals) + 1)).drop("latency_ms")
+    ev = ev.join(spark.createDataFrame([*enumerate(vals), (len(vals), None)], "event_id long, latency_ms double"), "event_id")
+    r = mo.latency_percentiles(ev).collect()[0]
+    assert r.n == len(vals) + 1
+    for q, x in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99)):
+        assert abs(r[q] - np.quantile(vals, x)) < 1e-12
