@@ -864,9 +864,24 @@ SELECT {r6('a.auc')} AS champion_auc, {r6('b.auc')} AS challenger_auc, b.auc > a
 FROM {_auc_sql('score', 'quality')} a, {_auc_sql('line_score', 'quality')} b"""
 
 ORACLE["sku_lookup_with_defaults"] = "SELECT r.* FROM (" + _report_sql("7.0") + \
-    ") r WHERE r.sku_id IN (SELECT DISTINCT l_partkey FROM lineitem)"
-ORACLE["unknown_skus"] = """SELECT DISTINCT l_partkey AS sku_id FROM lineitem
-WHERE l_partkey NOT IN (SELECT p_partkey FROM part)"""
+    """) r WHERE r.sku_id IN (SELECT DISTINCT l_partkey FROM lineitem)
+UNION ALL SELECT -k - 1, 0, CAST(round_even(sqrt(2 * 5.0 * 365 * 50.0 / (10.0 * 0.2)), 0) AS BIGINT),
+       CAST(round_even(1.65 * 2.0 * sqrt(7.0), 0) AS BIGINT), round(5.0 * 7.0 + 1.65 * 2.0 * sqrt(7.0), 6), 1.0, 0.0, 'C', TRUE
+FROM (SELECT DISTINCT l_partkey AS k FROM lineitem)"""
+ORACLE["unknown_skus"] = """SELECT k AS sku_id FROM (SELECT DISTINCT l_partkey AS k FROM lineitem UNION ALL SELECT DISTINCT -l_partkey - 1 FROM lineitem)
+WHERE k NOT IN (SELECT p_partkey FROM part)"""
+ORACLE["capped_costs"] = with_views("products", extra="""c AS (
+  SELECT sku_id, base_price, CAST(base_price * (CAST(0.4 AS DECIMAL(3,1)) + CAST(sku_id % 10 AS DECIMAL(2,0)) * CAST(0.1 AS DECIMAL(2,1))) AS DECIMAL(12,2)) AS cost
+  FROM products)""") + f"""
+SELECT sku_id, {r6('base_price')} AS base_price, {r6('cost')} AS cost,
+       {r6('CASE WHEN cost >= base_price THEN CAST(base_price * CAST(0.6 AS DECIMAL(2,1)) AS DECIMAL(12,2)) ELSE cost END')} AS capped_cost FROM c"""
+ORACLE["online_lookup_keys"] = with_views("transactions", "customers", extra="""f AS (
+  SELECT customer_id, min("timestamp") AS first_ts FROM transactions GROUP BY customer_id),
+k AS (SELECT DISTINCT o_custkey * 2 AS customer_id FROM orders),
+ok AS (SELECT c.*, f.first_ts FROM customers c JOIN f ON c.customer_id = f.customer_id
+       WHERE f.first_ts >= (SELECT max(first_ts) FROM f) - INTERVAL 3650 DAY)""") + """
+SELECT k.customer_id, CAST(ok.age AS BIGINT) AS age, ok.gender, ok.segment, ok.first_ts AS event_timestamp
+FROM k LEFT JOIN ok ON k.customer_id = ok.customer_id"""
 
 
 # --------------------------------------------- brute-force / extra oracles --

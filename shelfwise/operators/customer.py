@@ -44,6 +44,13 @@ def _ref(baskets: DataFrame, ref) -> Column:
     return ref if isinstance(ref, Column) else F.lit(ref).cast("timestamp_ntz")
 
 
+def _latest(agg: DataFrame) -> Column:
+    """Latest ``_last`` of a per-customer aggregate as a scalar.  The struct keeps
+    every column of the aggregate alive, so the subquery's plan is the very
+    aggregate the query runs and reuses its exchange instead of a pass of its own."""
+    return agg.select(F.max(F.struct("_last", *[c for c in agg.columns if c != "_last"]))).scalar()["_last"]
+
+
 def rfm(baskets: DataFrame, *, ref_date=None, frequency_mode: str = "distinct") -> DataFrame:
     """Full RFM per customer (D1).  frequency = distinct baskets ("distinct") or
     line rows ("rows", D2).  recency is whole days from ``ref_date`` (default:
@@ -57,8 +64,7 @@ def rfm(baskets: DataFrame, *, ref_date=None, frequency_mode: str = "distinct")
         F.max("amount_max").alias("max_basket"),
         F.sum("qty_sum").alias("total_qty"),
     )
-    # default reference date = latest basket, read off this same aggregate
-    ref = agg.select(F.max("_last")).scalar() if ref_date is None else _ref(baskets, ref_date)
+    ref = _latest(agg) if ref_date is None else _ref(baskets, ref_date)
     rec = elapsed_days(ref, F.col("_last"))
     return agg.select(
         "customer_id",
@@ -82,7 +88,7 @@ def basket_features(baskets: DataFrame, *, ref_date=None) -> DataFrame:
         F.max("amount_max").alias("max_basket"), F.sum("qty_sum").alias("total_qty"),
         F.sum("discount_sum").alias("_dsum"), F.max("discount_max").alias("max_discount"),
         F.sum("n_discounted").alias("_npos"))
-    ref = agg.select(F.max("_last")).scalar() if ref_date is None else _ref(baskets, ref_date)
+    ref = _latest(agg) if ref_date is None else _ref(baskets, ref_date)
     rec = elapsed_days(ref, F.col("_last"))
     return agg.select(
         "customer_id", rec.alias("recency"), F.col("frequency").cast("long").alias("frequency"), "monetary",

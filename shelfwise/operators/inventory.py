@@ -24,7 +24,7 @@ REORDER_FLOOR = 1          # stockout risk divides by max(reorder point, 1)
 RISK_HIGH = 0.5            # high-risk SKU for the KPI tile
 
 
-def demand_stats(txns: DataFrame, *, daily: DataFrame | None = None) -> DataFrame:
+def demand_stats(txns: DataFrame | None, *, daily: DataFrame | None = None) -> DataFrame:
     """Per SKU -- day span + 1 between first and last sale, average daily
     demand over that span, sample std of daily sums (days with sales only,
     NULL for a single day) and the last sale time.  ``daily`` may pass an
@@ -63,11 +63,10 @@ def abc_classes(txns: DataFrame | None, *, a: str = ABC_A, b: str = ABC_B,
         .withColumn("_cents", (F.col("revenue") * 100).cast("long"))
     cum = running_sum(rev, [F.col("revenue").desc(), F.col("sku_id").asc()], "_cents", "_cum")
     total = rev.select(F.sum("_cents")).scalar()
-    cumd, totd = F.col("_cum").cast("decimal(38,0)"), total.cast("decimal(38,0)")
+    cumd, totd = F.col("_cum").cast("decimal(19,0)"), total.cast("decimal(19,0)")
     share = cumd / totd
-    cls = (F.when(cumd * F.lit(10) <= totd * F.lit(int(float(a) * 10)), "A")
-            .when(cumd * F.lit(10) <= totd * F.lit(int(float(b) * 10)), "B")
-            .otherwise("C"))
+    upto = lambda bound: cumd <= totd * F.lit(bound).cast("decimal(9,8)")
+    cls = F.when(upto(a), "A").when(upto(b), "B").otherwise("C")
     return cum.select("sku_id", "revenue", share.cast("double").alias("cumulative_share"),
                       cls.alias("abc_class"))
 
@@ -95,27 +94,31 @@ def inventory_report(products: DataFrame, inventory: DataFrame, txns: DataFrame,
     the fixed 7 days.  ``as_of`` (default: latest transaction) replaces the
     wall clock for dead-stock ageing.
     """
-    # one pass over the transactions: the SKU-day table (|SKU| x days, far
-    # smaller than the lines) is materialised once and feeds the demand
-    # statistics, the ABC revenue ranking and the reference date
-    from ..session import checkpoint_dir
-    checkpoint_dir(txns.sparkSession)
-    daily = sku_daily(txns).checkpoint(eager=True)
+    daily = sku_daily(txns)
     ref = daily.select(F.max("last_ts")).scalar() if as_of is None \
         else F.lit(as_of).cast("timestamp_ntz")
-    stats = demand_stats(txns, daily=daily)
-    rev = daily.groupBy("sku_id").agg(F.sum("daily_revenue").alias("revenue"))
-    abc = abc_classes(None, revenue=rev).select("sku_id", "abc_class")
     base = (products.select("sku_id", "cost_price")
             .join(inventory.select("sku_id", "current_stock", "supplier_lead_time_days"), "sku_id", "left")
-            .join(stats, "sku_id", "left")
-            .join(abc, "sku_id", "left"))
+            .join(_sales(daily), "sku_id", "left"))
+    return _decisions(base, ref, lead_days=lead_days, z=z, order_cost=order_cost, hold_rate=hold_rate)
+
+
+def _sales(daily: DataFrame) -> DataFrame:
+    """Demand statistics and ABC class of every sold SKU."""
+    rev = daily.groupBy("sku_id").agg(F.sum("daily_revenue").alias("revenue"))
+    return demand_stats(None, daily=daily).join(abc_classes(None, revenue=rev).select("sku_id", "abc_class"), "sku_id", "left")
+
+
+def _decisions(base: DataFrame, ref: Column, *, lead_days: int | None = LEAD_DAYS, z: float = Z_SCORE,
+               order_cost: float = ORDER_COST, hold_rate: float = HOLDING_RATE) -> DataFrame:
+    """The policy over SKUs with their cost, stock and sales, each of which may
+    be missing and then takes its default."""
     sold = F.col("total_qty").isNotNull()
     stock = F.coalesce(F.col("current_stock"), F.lit(DEFAULT_STOCK))
     cost = F.coalesce(F.col("cost_price").cast("double"), F.lit(DEFAULT_COST))
     avg = F.when(sold, F.col("avg_daily_demand")).otherwise(F.lit(DEFAULT_DEMAND))
     sd = F.when(sold, F.col("demand_std")).otherwise(F.lit(DEFAULT_STD))
-    lead = F.lit(float(lead_days)) if lead_days is not None else F.col("supplier_lead_time_days").cast("double")
+    lead = F.lit(float(lead_days)) if lead_days is not None else F.coalesce(F.col("supplier_lead_time_days").cast("double"), F.lit(float(LEAD_DAYS)))
     safety = F.lit(z) * F.coalesce(sd, F.lit(DEFAULT_STD)) * F.sqrt(lead)
     rop = avg * lead + safety
     risk = clip(F.lit(1.0) - stock / F.greatest(rop, F.lit(float(REORDER_FLOOR))), 0.0, 1.0)
@@ -186,12 +189,14 @@ def product_catalog(products: DataFrame, inventory: DataFrame, txns: DataFrame)
             .drop("velocity"))
 
 
-def lookup_with_defaults(keys: DataFrame, report: DataFrame) -> DataFrame:
-    """Point lookups for requested SKUs; absent SKUs get the defaults."""
-    r = keys.select("sku_id").join(report, "sku_id", "left")
-    return r.select("sku_id",
-                    F.coalesce("current_stock", F.lit(DEFAULT_STOCK)).alias("current_stock"),
-                    *[c for c in report.columns if c not in ("sku_id", "current_stock")])
+def lookup_with_defaults(keys: DataFrame, products: DataFrame, inventory: DataFrame, txns: DataFrame) -> DataFrame:
+    """The report of requested SKUs; an unknown SKU gets the full record that
+    follows from the defaults (cost 10, stock 0, demand 5 a day, deviation 2)."""
+    daily = sku_daily(txns)
+    base = (keys.select("sku_id").join(products.select("sku_id", "cost_price"), "sku_id", "left")
+            .join(inventory.select("sku_id", "current_stock", "supplier_lead_time_days"), "sku_id", "left")
+            .join(_sales(daily), "sku_id", "left"))
+    return _decisions(base, daily.select(F.max("last_ts")).scalar())
 
 
 def unknown_keys(keys: DataFrame, table: DataFrame, key: str = "sku_id") -> DataFrame:

@@ -461,6 +461,14 @@ def q_rfm_online(spark, root):
     return finalize(fv.online_lookup(v.customers(spark, root), snap, "customer_id"))
 
 
+@register("online_lookup_keys")
+def q_online_keys(spark, root):
+    """Requested ids -- twice each ordering customer's id, so some exist and some don't."""
+    keys = read_table(spark, root, "orders").select((F.col("o_custkey") * 2).alias("customer_id")).distinct()
+    view = fv.customer_demographics(v.customers(spark, root), v.baskets(spark, root))
+    return finalize(fv.online_lookup(keys, fv.latest_snapshot(view), "customer_id"))
+
+
 @register("customer_online_lookup")
 def q_customer_online(spark, root):
     view = fv.customer_demographics(v.customers(spark, root), v.baskets(spark, root))
@@ -745,15 +753,27 @@ def q_nonlinear(spark, root):
     return finalize(rep.join(pr.nonlinear_dml(lines).drop("n"), "category", "left"))
 
 
+def _asked_skus(spark, root):
+    """Every SKU of a line item, and as many that don't exist."""
+    sku = read_table(spark, root, "lineitem").select(F.col("l_partkey").alias("sku_id")).distinct()
+    return sku.unionByName(sku.select((-F.col("sku_id") - 1).alias("sku_id")))
+
+
 @register("sku_lookup_with_defaults")
 def q_sku_lookup(spark, root):
-    """Every SKU that appears on a line item, looked up in the report."""
-    keys = read_table(spark, root, "lineitem").select(F.col("l_partkey").alias("sku_id")).distinct()
-    return finalize(inv.lookup_with_defaults(keys, _report(spark, root)))
+    """Known and unknown SKUs looked up in the report."""
+    return finalize(inv.lookup_with_defaults(_asked_skus(spark, root), v.products(spark, root), v.inventory(spark, root), v.transactions(spark, root)))
 
 
 @register("unknown_skus")
 def q_unknown_skus(spark, root):
-    """Line-item SKUs missing from the product table (reported, never substituted)."""
-    keys = read_table(spark, root, "lineitem").select(F.col("l_partkey").alias("sku_id")).distinct()
-    return finalize(inv.unknown_keys(keys, v.products(spark, root)))
+    """Asked SKUs missing from the product table (reported, never substituted)."""
+    return finalize(inv.unknown_keys(_asked_skus(spark, root), v.products(spark, root)))
+
+
+@register("capped_costs")
+def q_capped_costs(spark, root):
+    """Supplier costs between 0.4 and 1.3 of the base price; those at or above it are capped."""
+    cost = (F.col("base_price") * (F.lit("0.4").cast("decimal(3,1)") + (F.col("sku_id") % 10).cast("decimal(2,0)") * F.lit("0.1").cast("decimal(2,1)"))).cast("decimal(12,2)")
+    p = v.products(spark, root).withColumn("cost", cost)
+    return finalize(p.select("sku_id", "base_price", "cost", inv.capped_cost("base_price", "cost").alias("capped_cost")))

@@ -1,9 +1,7 @@
 """Session construction and cluster-safe scratch locations."""
 from __future__ import annotations
 
-import os
 import tempfile
-import uuid
 
 from pyspark.sql import SparkSession
 
@@ -17,6 +15,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # checkpoint files go with the last reference to their DataFrame
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 # Only meaningful when this process starts the JVM (local runs, tests, bench).
 LOCAL_CONF = {"spark.driver.memory": "16g"}
@@ -45,8 +45,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     On a cluster this is the folder named by ``spark.checkpoint.dir`` (a shared
-    file system every executor can reach).  Only when the session leaves it
-    unset -- local tests -- a private folder is created and registered.
+    file system every executor can reach).  Only a local session that leaves it
+    unset -- tests -- gets a private folder; on a cluster a folder of this
+    machine would be lost with it, so that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     sc = None
@@ -57,6 +58,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         d = tempfile.mkdtemp(prefix="shelfwise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None:
@@ -66,12 +69,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for a written table."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
-
-
 def cluster_conf(input_bytes: int, *, executors: int, cores_per_executor: int,
                  target_partition_bytes: int = 256 * 1024 ** 2) -> dict:
     """Settings sized from the data volume rather than a fixed count.
