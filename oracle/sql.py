@@ -316,6 +316,10 @@ SELECT customer_id, CAST(age AS BIGINT) AS age, CAST(recency AS BIGINT) AS recen
        CAST(frequency AS BIGINT) AS frequency, {r6('monetary')} AS monetary
 FROM lite ORDER BY customer_id LIMIT 50"""
 
+ORACLE["customer_sample"] = with_views("customers") + """
+SELECT customer_id, CAST(age AS BIGINT) AS age, gender, segment, region FROM customers
+WHERE (customer_id * 7919 + 42 * 104729) % 10000 < 5000"""
+
 ORACLE["latest_days"] = with_views("transactions") + """
 SELECT strftime(CAST("timestamp" AS DATE), '%Y-%m-%d') AS ds, CAST(sum(quantity) AS BIGINT) AS y
 FROM transactions GROUP BY CAST("timestamp" AS DATE) ORDER BY CAST("timestamp" AS DATE) DESC LIMIT 30"""
@@ -516,18 +520,19 @@ dml_{tag} AS (SELECT {", ".join("x." + c for c in keys)},
 
 
 _OLS = """ols AS (
-  SELECT category, count(*) AS n, regr_slope(log_demand, log_price) AS ols,
-         regr_intercept(log_demand, log_price) AS intercept, regr_r2(log_demand, log_price) AS r_squared,
+  SELECT category, count(*) AS n, CASE WHEN count(*) >= 30 THEN regr_slope(log_demand, log_price) END AS ols,
+         CASE WHEN count(*) >= 30 THEN regr_intercept(log_demand, log_price) END AS intercept,
+         CASE WHEN count(*) >= 30 THEN regr_r2(log_demand, log_price) END AS r_squared,
          avg(unit_price) AS avg_price, avg(quantity) AS avg_demand
-  FROM lines GROUP BY category HAVING count(*) >= 30)"""
+  FROM lines GROUP BY category)"""
 
 _REPORT = with_views("transactions", "products", extra=_LINES + ",\n" + _OLS + ",\n" + _dml(
     "lines", ["category"], "log_demand", "log_price", "discount", "transaction_id * 7 + sku_id * 13", "e")) + """,
 report AS (
-  SELECT o.category, o.n, o.ols, d.theta AS linear_dml, coalesce(d.theta, o.ols) AS nonlinear_dml,
-         o.r_squared, o.avg_price, o.avg_demand,
-         CASE WHEN abs(coalesce(d.theta, o.ols)) > 1 THEN 'elastic' ELSE 'inelastic' END AS label
-  FROM ols o LEFT JOIN dml_e d ON o.category = d.category)
+  SELECT o.category, o.n, o.ols, d.theta AS linear_dml, CAST(NULL AS DOUBLE) AS nonlinear_dml,
+         coalesce(d.theta, o.ols) AS elasticity, o.r_squared, o.avg_price, o.avg_demand,
+         CASE WHEN abs(coalesce(d.theta, o.ols)) > 1 THEN 'elastic' WHEN coalesce(d.theta, o.ols) IS NOT NULL THEN 'inelastic' END AS label
+  FROM ols o LEFT JOIN dml_e d ON o.category = d.category AND o.n >= 30)
 """
 
 ORACLE["elasticity_ols"] = with_views("transactions", "products", extra=_LINES + ",\n" + _OLS) + f"""
@@ -535,12 +540,13 @@ SELECT category, n, {r6('ols')} AS ols, {r6('intercept')} AS intercept, {r6('r_s
        {r6('avg_price')} AS avg_price, {r6('avg_demand')} AS avg_demand FROM ols"""
 
 ORACLE["price_elasticity"] = _REPORT + f"""
-SELECT category, n, {r6('ols')} AS ols, {r6('linear_dml')} AS linear_dml, {r6('nonlinear_dml')} AS nonlinear_dml,
+SELECT category, n, {r6('ols')} AS ols, {r6('linear_dml')} AS linear_dml, nonlinear_dml, {r6('elasticity')} AS elasticity,
        {r6('r_squared')} AS r_squared, {r6('avg_price')} AS avg_price, {r6('avg_demand')} AS avg_demand, label
 FROM report"""
+ORACLE["price_elasticity_focal"] = ORACLE["price_elasticity"] + " WHERE category = (SELECT min(category) FROM products)"
 
 ORACLE["elasticity_kpis"] = _REPORT + f"""
-SELECT {r6('avg(nonlinear_dml)')} AS mean_elasticity, count(*) FILTER (WHERE label = 'elastic') AS elastic_count,
+SELECT {r6('avg(elasticity)')} AS mean_elasticity, count(*) FILTER (WHERE label = 'elastic') AS elastic_count,
        {r6('avg(r_squared)')} AS mean_r_squared FROM report"""
 
 _CP = """cp AS (SELECT category, "timestamp" AS period, sum(quantity) AS qty, avg(unit_price) AS price
@@ -556,11 +562,9 @@ pairs AS (
   FROM cp f JOIN cp c ON f.period = c.period AND f.category <> c.category),
 """ + _dml("pairs", ["focal", "competitor"], "log_q", "log_cp", "log_fp",
            "(CAST(period AS DATE) - DATE '1970-01-01')", "x")) + f"""
-SELECT focal, competitor, n AS n_periods,
-       {r6('CASE WHEN n >= 20 THEN coalesce(theta, 0.0) ELSE 0.0 END')} AS elasticity,
-       CASE WHEN (CASE WHEN n >= 20 THEN coalesce(theta, 0.0) ELSE 0.0 END) > 0 THEN 'Substitute'
-            WHEN (CASE WHEN n >= 20 THEN coalesce(theta, 0.0) ELSE 0.0 END) < 0 THEN 'Complement'
-            ELSE 'Independent' END AS label
+SELECT focal, competitor, n AS n_periods, {r6('CASE WHEN n >= 20 THEN coalesce(theta, 0.0) END')} AS elasticity,
+       CASE WHEN n < 20 THEN NULL WHEN coalesce(theta, 0.0) > 0 THEN 'Substitute'
+            WHEN coalesce(theta, 0.0) < 0 THEN 'Complement' ELSE 'Independent' END AS label
 FROM dml_x"""
 
 
@@ -570,7 +574,7 @@ def _sim_sql(scenarios: list[tuple[int, bool]], select: str) -> str:
 dem AS (SELECT sku_id, CAST(sum(quantity) AS DOUBLE) AS d FROM transactions GROUP BY sku_id),
 base AS (
   SELECT p.sku_id, p.base_price AS pdec, CAST(p.base_price AS DOUBLE) AS p, coalesce(dem.d, 100.0) AS d,
-         coalesce(r.nonlinear_dml, -0.5) AS e, sc.pct, sc.promo,
+         coalesce(r.elasticity, -0.5) AS e, sc.pct, sc.promo,
          1.0 + sc.pct / 100.0 AS ratio, CASE WHEN sc.promo THEN 1.25 ELSE 1.0 END AS lift
   FROM products p LEFT JOIN dem ON p.sku_id = dem.sku_id LEFT JOIN report r ON p.category = r.category, sc),
 calc AS (SELECT *, d * pow(ratio, e) * lift AS pd, d * p AS cr, d * pow(ratio, e) * lift * p * ratio AS pr FROM base),
@@ -730,7 +734,7 @@ s_{tag} AS (SELECT {k}, CAST(ds AS DATE) AS ds, CAST(y AS DOUBLE) AS y,
 tr_{tag} AS (SELECT {k}, min(ds) AS first_ds, max(ds) AS last_ds, count(*) AS n,
                     CASE WHEN count(*) > 1 AND var_pop(t) > 0 THEN regr_slope(y, t) ELSE 0.0 END AS b,
                     CASE WHEN count(*) > 1 AND var_pop(t) > 0 THEN regr_intercept(y, t) ELSE avg(y) END AS a,
-                    date_diff('day', min(ds), max(ds)) >= 730 AS yearly
+                    TRUE AS yearly
              FROM s_{tag} GROUP BY {k}),
 r_{tag} AS (SELECT s.*, tr.a, tr.b, tr.yearly, s.y - (tr.a + tr.b * s.t) AS r1, isodow(s.ds) - 1 AS wd,
                    month(s.ds) AS mo FROM s_{tag} s JOIN tr_{tag} tr USING ({k})),

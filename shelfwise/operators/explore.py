@@ -2,14 +2,11 @@
 
 Quantiles are exact (linear interpolation between order statistics, as
 ``quantile_cont``) but never gather a column into one buffer: values are
-counted per distinct value, the counts get a distributed running sum, and each
-requested order statistic is located by range.  The only broadcast side is the
-list of requested quantiles.
+counted per distinct value, the counts of all columns get one distributed running
+sum, and an aggregate picks the order statistics on either side of each quantile.
 """
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window, functions as F  # noqa: F401
 
 from ..functions.prefix import running_sum
@@ -25,40 +22,37 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
               .withColumn("pct", F.col("n") * F.lit(100.0) / total))
 
 
+def quantile_table(df: DataFrame, columns: list[str], qs=(0.25, 0.5, 0.75)) -> DataFrame:
+    """Exact continuous quantiles of several numeric columns from one pass ->
+    (column, q0, q1, ...), one row per column with a value."""
+    items = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in columns)
+    counts = (df.selectExpr(f"stack({len(columns)}, {items}) AS (column, v)").where("v IS NOT NULL")
+                .groupBy("column", "v").agg(F.count(F.lit(1)).alias("c")))
+    cum = running_sum(counts, [F.col("column").asc(), F.col("v").asc()], "c", "cum")
+    size = cum.groupBy("column").agg(F.sum("c").alias("n"), F.min(F.col("cum") - F.col("c")).alias("off"))   # one row per column
+    ranked = cum.join(size, "column").withColumn("upto", F.col("cum") - F.col("off"))
+    at = [F.lit(float(q)) * (F.col("n") - 1) for q in qs]
+    holds = lambda rank: F.max(F.when((rank >= F.col("upto") - F.col("c")) & (rank < F.col("upto")), F.col("v")))
+    both = ranked.groupBy("column", "n").agg(*[holds(F.floor(h)).alias(f"lo{i}") for i, h in enumerate(at)],
+                                             *[holds(F.ceil(h)).alias(f"hi{i}") for i, h in enumerate(at)])
+    return both.select("column", *[(F.col(f"lo{i}") + (h - F.floor(h)) * (F.col(f"hi{i}") - F.col(f"lo{i}"))).alias(f"q{i}") for i, h in enumerate(at)])
+
+
 def exact_quantiles(df: DataFrame, column: str, qs=(0.25, 0.5, 0.75)) -> DataFrame:
     """Exact continuous quantiles of ``column`` -> (q, value)."""
-    x = F.col(column).cast("double")
-    counts = (df.select(x.alias("v")).where(F.col("v").isNotNull())
-                .groupBy("v").agg(F.count(F.lit(1)).alias("c")))
-    cum = running_sum(counts, [F.col("v").asc()], "c", "cum").withColumn("prev", F.col("cum") - F.col("c"))
-    n = df.select(F.count(column)).scalar()
-    spark = df.sparkSession
-    targets = (spark.createDataFrame([(float(q),) for q in qs], "q double")
-                    .withColumn("h", F.col("q") * (n - 1))
-                    .withColumn("lo", F.floor("h")).withColumn("hi", F.ceil("h")))
-    # targets holds one row per requested quantile: a fixed, tiny broadcast side
-    t = F.broadcast(targets)
-    lo = cum.join(t, (F.col("lo") >= F.col("prev")) & (F.col("lo") < F.col("cum"))) \
-            .select("q", "h", "lo", F.col("v").alias("v_lo"))
-    hi = cum.join(t, (F.col("hi") >= F.col("prev")) & (F.col("hi") < F.col("cum"))) \
-            .select("q", F.col("v").alias("v_hi"))
-    return lo.join(hi, "q").select(
-        "q", (F.col("v_lo") + (F.col("h") - F.col("lo")) * (F.col("v_hi") - F.col("v_lo"))).alias("value"))
+    rows = F.array(*[F.struct(F.lit(float(q)).alias("q"), F.col(f"q{i}").alias("value")) for i, q in enumerate(qs)])
+    return quantile_table(df, [column], qs).select(F.explode(rows).alias("r")).select("r.*")
 
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """Per column count, mean, sample std, min, 25/50/75 % (exact), max."""
-    rows = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        stats = df.agg(F.count(x).alias("count"), F.avg(x).alias("mean"),
-                       F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))
-        qs = exact_quantiles(df, c).groupBy().pivot("q", [0.25, 0.5, 0.75]).agg(F.first("value"))
-        qs = qs.toDF("p25", "p50", "p75").withColumn("_k", F.lit(1))
-        # both sides are single-row aggregates joined on a constant key
-        rows.append(stats.withColumn("_k", F.lit(1)).join(F.broadcast(qs), "_k").select(
-            F.lit(c).alias("column"), "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
-    return reduce(DataFrame.unionByName, rows)
+    stats = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).agg(*[
+        F.struct(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
+                 F.min(c).alias("min"), F.max(c).alias("max")).alias(c) for c in columns])
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("s")) for c in columns])
+    return (stats.select(F.explode(rows).alias("r")).select("r.column", "r.s.*")
+            .join(quantile_table(df, columns).toDF("column", "p25", "p50", "p75"), "column", "left")
+            .select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
@@ -142,3 +136,9 @@ def pareto_share(sku_rev: DataFrame, top_frac: float = 0.2) -> DataFrame:
         F.sum("revenue").alias("_all"),
         F.max(cutoff).alias("top_skus"), F.count(F.lit(1)).alias("sku_count"),
     ).select("top_skus", "sku_count", (F.col("_top") / F.col("_all")).alias("top_revenue_share"))
+
+
+def bucket_sample(df: DataFrame, key: str, frac: float, seed: int = 42) -> DataFrame:
+    """A reproducible fraction of the rows, by hash bucket of an integer key
+    (a row is in or out by its key alone, at any size and partitioning)."""
+    return df.where(F.pmod(F.col(key) * 7919 + seed * 104729, F.lit(10_000)) < round(frac * 10_000))

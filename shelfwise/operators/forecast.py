@@ -2,8 +2,8 @@
 
 The seasonal forecaster is a closed-form decomposition fitted with
 aggregations per series: linear trend (``regr_slope`` / ``regr_intercept`` on
-the day number), weekday mean residual, month mean residual when a series
-spans at least two years, and a band of +- z * sd(residual).  Future dates come
+the day number), weekday mean residual, month mean residual where the caller
+asks for it (two years of history or more), and a band of +- z * sd(residual).  Future dates come
 from ``sequence`` exploded per series -- no driver loop, no per-series model
 object.  A learned lag-window regressor (GBT over all series at once) is the
 second forecaster.
@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 # Fixed values of the reference's forecasting setup.
 HORIZON = 30            # platform forecast horizon (days)
 Z_BAND = 1.2816         # 80 % interval
-YEARLY_MIN_DAYS = 730   # month seasonality only with >= 2 years of history
 LOOKBACK = 28
 TRAIN_FRAC = 0.8
 
@@ -28,31 +27,45 @@ def _day(c: str) -> Column:
     return F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("double")
 
 
-def fit_seasonal(series: DataFrame, keys: list[str], ds: str = "ds", y: str = "y") -> DataFrame:
-    """Per-series model table: keys, a, b, weekday effects (map), month
-    effects (map), sigma, last ds.  All sizes are per series x (7 + 12)."""
+def _named(keys: list[str]) -> list[str]:
+    """A series without keys would be one task's; name it by a key column."""
+    if not keys:
+        raise ValueError("name the key columns of the series")
+    return list(keys)
+
+
+def fit_seasonal(series: DataFrame, keys: list[str], ds: str = "ds", y: str = "y", *, monthly: bool = False) -> DataFrame:
+    """Per-series model table: keys, first and last ds, n, a, b, sigma, weekday
+    effects (map) and, with ``monthly``, month effects (map).
+
+    One exchange by series (a series holds one row a day): the trend is one
+    aggregate, its residuals' sums per (weekday, month) a second, and effects
+    and band follow from these at most 84 cells of a series."""
+    keys = _named(keys)
     s = series.select(*keys, F.to_date(ds).alias("ds"), F.col(y).cast("double").alias("y")) \
-        .withColumn("t", _day("ds"))
+        .withColumn("t", _day("ds")).repartition(*keys)
     trend = s.groupBy(*keys).agg(
         F.regr_slope("y", "t").alias("_b"), F.regr_intercept("y", "t").alias("_a"),
         F.avg("y").alias("_ybar"), F.min("ds").alias("first_ds"), F.max("ds").alias("last_ds"),
         F.count(F.lit(1)).alias("n"))
-    trend = trend.select(*keys, "first_ds", "last_ds", "n",
-                         F.coalesce("_b", F.lit(0.0)).alias("b"),
-                         F.when(F.col("_b").isNull(), F.col("_ybar")).otherwise(F.col("_a")).alias("a"),
-                         (F.datediff("last_ds", "first_ds") >= YEARLY_MIN_DAYS).alias("yearly"))
-    r = s.join(trend, keys).withColumn("r1", F.col("y") - (F.col("a") + F.col("b") * F.col("t")))
-    wd = r.groupBy(*keys, F.weekday("ds").alias("wd")).agg(F.avg("r1").alias("w_eff"))
-    r = r.withColumn("wd", F.weekday("ds")).join(wd, keys + ["wd"])
-    r = r.withColumn("r2", F.col("r1") - F.col("w_eff"))
-    mo = (r.where("yearly").groupBy(*keys, F.month("ds").alias("mo")).agg(F.avg("r2").alias("m_eff")))
-    r = r.withColumn("mo", F.month("ds")).join(mo, keys + ["mo"], "left") \
-        .withColumn("resid", F.col("r2") - F.coalesce("m_eff", F.lit(0.0)))
-    sig = r.groupBy(*keys).agg(F.coalesce(F.stddev_samp("resid"), F.lit(0.0)).alias("sigma"))
-    wmap = wd.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("wd", "w_eff"))).alias("w_map"))
-    mmap = mo.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("mo", "m_eff"))).alias("m_map"))
-    # the collected maps hold at most 7 and 12 entries per series
-    return trend.join(sig, keys).join(wmap, keys, "left").join(mmap, keys, "left")
+    trend = trend.select(*keys, "first_ds", "last_ds", "n", F.coalesce("_b", F.lit(0.0)).alias("b"),
+                         F.when(F.col("_b").isNull(), F.col("_ybar")).otherwise(F.col("_a")).alias("a"))
+    r = F.col("y") - (F.col("a") + F.col("b") * F.col("t"))
+    cells = (s.join(trend, keys).groupBy(*keys, F.weekday("ds").alias("wd"), F.month("ds").alias("mo"))
+              .agg(F.count(F.lit(1)).alias("c"), F.sum(r).alias("s1"), F.sum(r * r).alias("s2")))
+    by_wd, by_mo = Window.partitionBy(*keys, "wd"), Window.partitionBy(*keys, "mo")
+    cells = cells.withColumn("w_eff", F.sum("s1").over(by_wd) / F.sum("c").over(by_wd))
+    month = F.sum(F.col("s1") - F.col("c") * F.col("w_eff")).over(by_mo) / F.sum("c").over(by_mo)
+    cells = cells.withColumn("m_eff", month if monthly else F.lit(0.0))
+    off = F.col("w_eff") + F.col("m_eff")
+    model = cells.groupBy(*keys).agg(
+        F.sum("c").alias("_c"), F.sum(F.col("s1") - F.col("c") * off).alias("_r1"),
+        F.sum(F.col("s2") - 2 * off * F.col("s1") + F.col("c") * off * off).alias("_r2"),
+        F.map_from_entries(F.collect_set(F.struct("wd", "w_eff"))).alias("w_map"),
+        F.map_from_entries(F.collect_set(F.struct("mo", "m_eff"))).alias("m_map"))
+    spread = (F.col("_r2") - F.col("_r1") * F.col("_r1") / F.col("_c")) / F.nullif(F.col("_c") - 1, F.lit(0))
+    sigma = F.coalesce(F.sqrt(F.greatest(spread, F.lit(0.0))), F.lit(0.0))
+    return trend.join(model.select(*keys, sigma.alias("sigma"), "w_map", "m_map"), keys)
 
 
 def predict_seasonal(model: DataFrame, keys: list[str], *, horizon: int = HORIZON, z: float = Z_BAND,
@@ -70,8 +83,8 @@ def predict_seasonal(model: DataFrame, keys: list[str], *, horizon: int = HORIZO
 
 
 def forecast(series: DataFrame, keys: list[str], *, horizon: int = HORIZON, z: float = Z_BAND,
-             ds: str = "ds", y: str = "y") -> DataFrame:
-    return predict_seasonal(fit_seasonal(series, keys, ds, y), keys, horizon=horizon, z=z)
+             ds: str = "ds", y: str = "y", monthly: bool = False) -> DataFrame:
+    return predict_seasonal(fit_seasonal(series, keys, ds, y, monthly=monthly), keys, horizon=horizon, z=z)
 
 
 def horizon_end(fc: DataFrame, keys: list[str]) -> DataFrame:
@@ -82,13 +95,13 @@ def horizon_end(fc: DataFrame, keys: list[str]) -> DataFrame:
 
 def time_index(series: DataFrame, keys: list[str], ds: str = "ds") -> Column:
     """Contiguous 0..n-1 per series (window per series = its days)."""
-    w = Window.partitionBy(*keys).orderBy(ds) if keys else Window.orderBy(ds)
+    w = Window.partitionBy(*_named(keys)).orderBy(ds)
     return (F.row_number().over(w) - 1).alias("time_idx")
 
 
 def minmax_scaled(value: str, keys: list[str]) -> Column:
     """(v - min) / (max - min) per series; constant series -> 0."""
-    w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))
+    w = Window.partitionBy(*_named(keys))
     lo, hi = F.min(value).over(w), F.max(value).over(w)
     return F.when(hi > lo, (F.col(value) - lo) / (hi - lo)).otherwise(F.lit(0.0))
 
@@ -97,15 +110,15 @@ def lag_windows(series: DataFrame, keys: list[str], *, lookback: int = LOOKBACK,
                 y: str = "y") -> DataFrame:
     """E5: X = previous ``lookback`` values, y = current; rows from index
     ``lookback`` on.  Frames are ``lookback`` rows, bounded."""
-    w = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))).orderBy(ds)
+    w = Window.partitionBy(*_named(keys)).orderBy(ds)
     x = F.collect_list(y).over(w.rowsBetween(-lookback, -1))
     return series.select(*keys, ds, y, x.alias("x")).where(F.size("x") == lookback)
 
 
 def chrono_split(series: DataFrame, keys: list[str], *, frac: float = TRAIN_FRAC, ds: str = "ds") -> DataFrame:
     """First ``frac`` of each series (by date) is train, the rest test."""
-    w = Window.partitionBy(*keys).orderBy(ds) if keys else Window.orderBy(ds)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys)) if keys else F.count(F.lit(1)).over(Window.partitionBy())
+    w = Window.partitionBy(*_named(keys)).orderBy(ds)
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
     return series.withColumn("is_train", F.row_number().over(w) <= F.floor(n * F.lit(frac)))
 
 
@@ -137,7 +150,7 @@ def coverage(backfilled: DataFrame, keys: list[str] = ()) -> DataFrame:
 
 
 def degradation(current_mape, baseline_mape, tolerance: float = 0.15) -> Column:
-    """MAPE more than 15 % worse than the baseline triggers retraining."""
+    """MAPE more than ``tolerance`` worse than the baseline triggers retraining."""
     return F.col(current_mape) > F.col(baseline_mape) * (1 + tolerance)
 
 

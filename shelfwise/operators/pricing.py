@@ -5,26 +5,30 @@ aggregation per stage replaces the reference's per-category model loops:
 
 * OLS log-log elasticity: ``regr_slope`` / ``regr_intercept`` / ``regr_r2``.
 * Linear double ML, cross-fitted over k folds: per (group, fold) sums of
-  w, y, t, w^2, wy, wt; the out-of-fold nuisance regressions y~w and t~w are
-  the group totals minus the fold's own sums; residual-on-residual slope
-  sum(ry*rt) / sum(rt^2).  Folds come from a deterministic expression.
+  w, y, t and their products; the out-of-fold nuisance regressions y~w and t~w
+  are the group totals minus the fold's own sums, and the residual-on-residual
+  slope sum(ry*rt) / sum(rt^2) is closed form in the fold's own sums, so lines
+  are read once and never meet a coefficient.  Folds come from a deterministic
+  expression.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.exprs import log_eps
 
 # Fixed values of the reference's pricing logic.
 DEMAND_CLIP = 0.1         # quantity clipped below at 0.1 before the log
 LOG_EPS = 1e-5            # ln(x + 1e-5)
-MIN_ROWS = 30             # categories with fewer rows are skipped
-MIN_PERIODS = 20          # cross elasticity is 0 with fewer aligned periods
+MIN_ROWS = 30             # no estimate for a category with fewer rows
+MIN_PERIODS = 20          # no cross elasticity with fewer aligned periods
 PROMO_LIFT = 1.25         # promotion multiplies demand by 1.25
 DEFAULT_ELASTICITY = -0.5
 DEFAULT_DEMAND = 100.0    # SKU without sales
 SENSITIVITY = (-30, 30, 5)  # price change sweep in percent
 FOLDS = 2
+NUISANCE_TREES, NUISANCE_DEPTH = 80, 3
+FINAL_TREES, FINAL_DEPTH = 40, 2
 
 
 def unit_price(total="total_amount", qty="quantity") -> Column:
@@ -44,15 +48,16 @@ def priced_lines(txns: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def ols_elasticity(lines: DataFrame, *, min_rows: int = MIN_ROWS) -> DataFrame:
-    """J1 + B11: per category slope of log demand on log price, with R^2."""
-    return (lines.groupBy("category")
-                 .agg(F.count(F.lit(1)).alias("n"),
-                      F.regr_slope("log_demand", "log_price").alias("ols"),
-                      F.regr_intercept("log_demand", "log_price").alias("intercept"),
-                      F.regr_r2("log_demand", "log_price").alias("r_squared"),
-                      F.avg("unit_price").alias("avg_price"),
-                      F.avg("quantity").alias("avg_demand"))
-                 .where(F.col("n") >= min_rows))
+    """J1 + B11: per category slope of log demand on log price, with R^2; NULL
+    estimates below ``min_rows`` lines, whose number stays in ``n``."""
+    enough = F.count(F.lit(1)) >= min_rows
+    return lines.groupBy("category").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.when(enough, F.regr_slope("log_demand", "log_price")).alias("ols"),
+        F.when(enough, F.regr_intercept("log_demand", "log_price")).alias("intercept"),
+        F.when(enough, F.regr_r2("log_demand", "log_price")).alias("r_squared"),
+        F.avg("unit_price").alias("avg_price"),
+        F.avg("quantity").alias("avg_demand"))
 
 
 def _slope(n, sw, sv, sww, swv):
@@ -68,27 +73,28 @@ def linear_dml(df: DataFrame, keys: list[str], y: str, t: str, w: str, fold: Col
     shuffle by groups x folds whatever the skew of a group."""
     base = df.select(*keys, F.col(y).alias("_y"), F.col(t).alias("_t"), F.col(w).alias("_w"),
                      F.pmod(fold, F.lit(k)).alias("_f"))
-    sums = ["_n", "_sw", "_sy", "_st", "_sww", "_swy", "_swt"]
-    per_fold = base.groupBy(*keys, "_f").agg(
-        F.count(F.lit(1)).cast("double").alias("_n"), F.sum("_w").alias("_sw"), F.sum("_y").alias("_sy"),
-        F.sum("_t").alias("_st"), F.sum(F.col("_w") * F.col("_w")).alias("_sww"),
-        F.sum(F.col("_w") * F.col("_y")).alias("_swy"), F.sum(F.col("_w") * F.col("_t")).alias("_swt"))
-    totals = per_fold.groupBy(*keys).agg(*[F.sum(s).alias(f"T{s}") for s in sums])
-    oof = per_fold.join(totals, keys)
-    o = {s: F.col(f"T{s}") - F.col(s) for s in sums}
-    by = _slope(o["_n"], o["_sw"], o["_sy"], o["_sww"], o["_swy"])
-    bt = _slope(o["_n"], o["_sw"], o["_st"], o["_sww"], o["_swt"])
-    coef = oof.select(*keys, "_f",
-                      by.alias("_by"), ((o["_sy"] - by * o["_sw"]) / o["_n"]).alias("_ay"),
-                      bt.alias("_bt"), ((o["_st"] - bt * o["_sw"]) / o["_n"]).alias("_at"))
-    # coefficient table: one row per (group, fold) -- a group-dimension sized side
-    res = base.join(coef, keys + ["_f"]).select(
-        *keys,
-        (F.col("_y") - (F.col("_ay") + F.col("_by") * F.col("_w"))).alias("_ry"),
-        (F.col("_t") - (F.col("_at") + F.col("_bt") * F.col("_w"))).alias("_rt"))
-    return res.groupBy(*keys).agg(
-        (F.sum(F.col("_ry") * F.col("_rt")) / F.nullif(F.sum(F.col("_rt") * F.col("_rt")), F.lit(0.0)))
-        .alias("theta"), F.count(F.lit(1)).alias("n"))
+    n, sw, sy, st = F.count(F.lit(1)).cast("double"), F.sum("_w"), F.sum("_y"), F.sum("_t")
+    prod = lambda a, b: F.sum(F.col(a) * F.col(b))
+    sums = {"n": n, "w": sw, "y": sy, "t": st, "ww": prod("_w", "_w"), "wy": prod("_w", "_y"), "wt": prod("_w", "_t"),
+            "yt": prod("_y", "_t"), "tt": prod("_t", "_t")}
+    per_fold = base.groupBy(*keys, "_f").agg(*[x.alias(f"s_{k_}") for k_, x in sums.items()])
+    # a group has k rows: its totals are a window over them
+    group = Window.partitionBy(*keys)
+    o = {x: F.sum(f"s_{x}").over(group) - F.col(f"s_{x}") for x in ("n", "w", "y", "t", "ww", "wy", "wt")}
+    oof = per_fold.select("*", *[x.alias(f"o_{k_}") for k_, x in o.items()])
+    c = {x: F.col(f"o_{x}") for x in o}
+    by, bt = _slope(c["n"], c["w"], c["y"], c["ww"], c["wy"]), _slope(c["n"], c["w"], c["t"], c["ww"], c["wt"])
+    coef = oof.select("*", by.alias("by"), bt.alias("bt")).select(
+        "*", ((c["y"] - F.col("by") * c["w"]) / F.nullif(c["n"], F.lit(0.0))).alias("ay"),
+        ((c["t"] - F.col("bt") * c["w"]) / F.nullif(c["n"], F.lit(0.0))).alias("at"))
+    s = {x: F.col(f"s_{x}") for x in sums}
+    ay, by, at, bt = (F.col(x) for x in ("ay", "by", "at", "bt"))
+    # sums over the fold of (y - ay - by w)(t - at - bt w) and (t - at - bt w)^2
+    ryt = (s["yt"] - at * s["y"] - bt * s["wy"] - ay * s["t"] + ay * at * s["n"] + ay * bt * s["w"]
+           - by * s["wt"] + by * at * s["w"] + by * bt * s["ww"])
+    rtt = s["tt"] - 2 * at * s["t"] - 2 * bt * s["wt"] + at * at * s["n"] + 2 * at * bt * s["w"] + bt * bt * s["ww"]
+    return coef.groupBy(*keys).agg((F.sum(ryt) / F.nullif(F.sum(rtt), F.lit(0.0))).alias("theta"),
+                                   F.sum("s_n").cast("long").alias("n"))
 
 
 def line_fold(lines: DataFrame) -> Column:
@@ -99,29 +105,32 @@ def line_fold(lines: DataFrame) -> Column:
 def elasticity_label(e) -> Column:
     """|e| > 1 elastic, else inelastic."""
     c = F.col(e) if isinstance(e, str) else e
-    return F.when(F.abs(c) > 1, "elastic").otherwise("inelastic")
+    return F.when(F.abs(c) > 1, "elastic").when(c.isNotNull(), "inelastic")
 
 
 def elasticity_report(lines: DataFrame, *, min_rows: int = MIN_ROWS, k: int = FOLDS,
-                      category: str | None = None) -> DataFrame:
+                      category: str | None = None, nonlinear: DataFrame | None = None) -> DataFrame:
     """Per category OLS, linear DML (confounder: the observed discount),
-    nonlinear estimate (linear DML unless a nonlinear fit is supplied), R^2,
-    average price and demand, label.  Optional single-category filter (B9)."""
+    nonlinear DML (NULL unless ``nonlinear``, a :func:`nonlinear_dml` result, is
+    given), the best of them as ``elasticity``, R^2, average price and demand,
+    label.  Estimates are NULL below ``min_rows`` lines.  Optional
+    single-category filter (B9)."""
     if category is not None:
         lines = lines.where(F.col("category") == category)
     ols = ols_elasticity(lines, min_rows=min_rows)
     dml = linear_dml(lines, ["category"], "log_demand", "log_price", "discount", line_fold(lines), k=k) \
-        .select("category", F.col("theta").alias("linear_dml"))
+        .select("category", F.when(F.col("n") >= min_rows, F.col("theta")).alias("linear_dml"))
     r = ols.join(dml, "category", "left")
-    return r.select("category", "n", "ols", "linear_dml",
-                    F.coalesce("linear_dml", "ols").alias("nonlinear_dml"),
-                    "r_squared", "avg_price", "avg_demand",
-                    elasticity_label(F.coalesce("linear_dml", "ols")).alias("label"))
+    r = (r.withColumn("nonlinear_dml", F.lit(None).cast("double")) if nonlinear is None
+         else r.join(nonlinear.select("category", "nonlinear_dml"), "category", "left"))
+    best = F.coalesce("nonlinear_dml", "linear_dml", "ols")
+    return r.select("category", "n", "ols", "linear_dml", "nonlinear_dml", best.alias("elasticity"),
+                    "r_squared", "avg_price", "avg_demand", elasticity_label(best).alias("label"))
 
 
 def elasticity_kpis(report: DataFrame) -> DataFrame:
     """Mean elasticity, number of elastic categories, mean R^2."""
-    return report.agg(F.avg("nonlinear_dml").alias("mean_elasticity"),
+    return report.agg(F.avg("elasticity").alias("mean_elasticity"),
                       F.count_if(F.col("label") == "elastic").alias("elastic_count"),
                       F.avg("r_squared").alias("mean_r_squared"))
 
@@ -138,7 +147,8 @@ def cross_elasticity(lines: DataFrame, *, grain: str | None = None, min_periods:
                      k: int = FOLDS) -> DataFrame:
     """J4/J5 + C5/C6 + B16: effect of the competitor category's log price on the
     focal category's log quantity, controlling for the focal log price, for all
-    ordered category pairs; 0 below ``min_periods`` aligned periods.
+    ordered category pairs; NULL below ``min_periods`` aligned periods, whose
+    number stays in ``n_periods``.
 
     The pair rows come from one equi-join of the (category, period) aggregate
     with itself on the period: a period holds at most one row per category,
@@ -151,20 +161,21 @@ def cross_elasticity(lines: DataFrame, *, grain: str | None = None, min_periods:
     pairs = f.join(c, "period").where(F.col("focal") != F.col("competitor"))
     fold = F.datediff(F.to_date("period"), F.lit("1970-01-01").cast("date"))
     d = linear_dml(pairs, ["focal", "competitor"], "log_q", "log_cp", "log_fp", fold, k=k)
-    e = F.when(F.col("n") >= min_periods, F.coalesce("theta", F.lit(0.0))).otherwise(F.lit(0.0))
+    e = F.when(F.col("n") >= min_periods, F.coalesce("theta", F.lit(0.0)))
     return d.select("focal", "competitor", F.col("n").alias("n_periods"), e.alias("elasticity"),
                     cross_label(e).alias("label"))
 
 
 def cross_label(e) -> Column:
-    """> 0 substitute, < 0 complement, = 0 independent."""
-    return F.when(e > 0, "Substitute").when(e < 0, "Complement").otherwise("Independent")
+    """> 0 substitute, < 0 complement, = 0 independent, NULL without an estimate."""
+    return F.when(e > 0, "Substitute").when(e < 0, "Complement").when(e == 0, "Independent")
 
 
 def cross_matrix(cross: DataFrame, categories: list[str]) -> DataFrame:
-    """Focal x competitor matrix with a zero diagonal (explicit pivot values)."""
+    """Focal x competitor matrix with a zero diagonal (explicit pivot values);
+    pairs without an estimate are NULL."""
     m = cross.groupBy("focal").pivot("competitor", categories).agg(F.first("elasticity"))
-    return m.select("focal", *[F.coalesce(F.col(f"`{c}`"), F.lit(0.0)).alias(c) for c in categories])
+    return m.select("focal", *[F.when(F.col("focal") == c, F.lit(0.0)).otherwise(F.col(f"`{c}`")).alias(c) for c in categories])
 
 
 def simulate(products: DataFrame, txns: DataFrame, elasticity: DataFrame, *,
@@ -173,9 +184,9 @@ def simulate(products: DataFrame, txns: DataFrame, elasticity: DataFrame, *,
     (new/p)^e and 1.25 under promotion; revenue and percentage changes.
     Scenarios are a literal array exploded per SKU row (no join)."""
     demand = txns.groupBy("sku_id").agg(F.sum("quantity").cast("double").alias("_d"))
-    e = elasticity.select("category", F.col("nonlinear_dml").alias("_e"))
+    e = elasticity.select("category", F.col("elasticity").alias("_e"))
     base = (products.select("sku_id", "category", F.col("base_price").alias("current_price_dec"))
-            .join(demand, "sku_id", "left").join(F.broadcast(e), "category", "left"))
+            .join(demand, "sku_id", "left").join(e, "category", "left"))
     scen = F.array(*[F.struct(F.lit(int(p)).alias("pct"), F.lit(bool(b)).alias("promo"))
                      for p in pcts for b in promo])
     s = base.select("*", F.explode(scen).alias("_s")).select(
@@ -223,14 +234,17 @@ def waterfall(sim: DataFrame) -> DataFrame:
                       "projected_revenue")
 
 
-def nonlinear_dml(lines: DataFrame, *, k: int = FOLDS, max_iter: int = 20, max_depth: int = 3,
-                  seed: int = 42) -> DataFrame:
-    """Cross-fitted double ML with boosted-tree nuisance models.  For each
-    fold, GBT regressors of log demand and log price on (discount, category
-    index) are fitted on the other folds; the per-category effect is the
-    residual-on-residual slope sum(ry*rt)/sum(rt^2).  One model pair per fold
-    covers every category (category is a feature), so the number of fits does
-    not grow with the catalog."""
+def nonlinear_dml(lines: DataFrame, *, k: int = FOLDS, max_iter: int = NUISANCE_TREES, max_depth: int = NUISANCE_DEPTH,
+                  final_iter: int = FINAL_TREES, final_depth: int = FINAL_DEPTH, seed: int = 42) -> DataFrame:
+    """Cross-fitted double ML with boosted-tree nuisance models and a
+    boosted-tree effect model.  For each fold, GBT regressors of log demand and
+    log price on (discount, category index) are fitted on the other folds; the
+    final stage regresses ry / rt on the same features with weight rt^2 (the
+    residual-on-residual loss) and its mean prediction over a category's lines is
+    the category's effect.  One model per fold and stage covers every category
+    (category is a feature), so the number of fits doesn't grow with the catalog."""
+    from functools import reduce
+
     from pyspark.ml.feature import StringIndexer, VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
@@ -238,18 +252,16 @@ def nonlinear_dml(lines: DataFrame, *, k: int = FOLDS, max_iter: int = 20, max_d
                      F.pmod(line_fold(lines), F.lit(k)).alias("_f"))
     d = StringIndexer(inputCol="category", outputCol="_cat").fit(d).transform(d)
     d = VectorAssembler(inputCols=["discount", "_cat"], outputCol="_x").transform(d)
+    bins = max(32, d.select(F.countDistinct("category")).first()[0])
+    trees = lambda label, out, n, depth: GBTRegressor(featuresCol="_x", labelCol=label, predictionCol=out, maxIter=n,
+                                                      maxDepth=depth, maxBins=bins, seed=seed)
     parts = []
     for f in range(k):
         train, test = d.where(F.col("_f") != f), d.where(F.col("_f") == f)
-        my = GBTRegressor(featuresCol="_x", labelCol="log_demand", predictionCol="_py", maxIter=max_iter,
-                          maxDepth=max_depth, seed=seed).fit(train)
-        mt = GBTRegressor(featuresCol="_x", labelCol="log_price", predictionCol="_pt", maxIter=max_iter,
-                          maxDepth=max_depth, seed=seed).fit(train)
+        my, mt = trees("log_demand", "_py", max_iter, max_depth).fit(train), trees("log_price", "_pt", max_iter, max_depth).fit(train)
         parts.append(mt.transform(my.transform(test)).select(
-            "category", (F.col("log_demand") - F.col("_py")).alias("_ry"),
-            (F.col("log_price") - F.col("_pt")).alias("_rt")))
-    from functools import reduce
+            "category", "_x", (F.col("log_demand") - F.col("_py")).alias("_ry"), (F.col("log_price") - F.col("_pt")).alias("_rt")))
     res = reduce(DataFrame.unionByName, parts)
-    return res.groupBy("category").agg(
-        (F.sum(F.col("_ry") * F.col("_rt")) / F.nullif(F.sum(F.col("_rt") * F.col("_rt")), F.lit(0.0)))
-        .alias("nonlinear_dml"), F.count(F.lit(1)).alias("n"))
+    res = res.withColumn("_w", F.col("_rt") * F.col("_rt")).withColumn("_ratio", F.col("_ry") / F.nullif(F.col("_rt"), F.lit(0.0)))
+    final = trees("_ratio", "_effect", final_iter, final_depth).setWeightCol("_w").fit(res.where("_w > 0"))
+    return final.transform(res).groupBy("category").agg(F.avg("_effect").alias("nonlinear_dml"), F.count(F.lit(1)).alias("n"))

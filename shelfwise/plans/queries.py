@@ -197,6 +197,12 @@ def q_customer_head(spark, root):
     return finalize(ex.top_n(lite, [F.col("customer_id")], 50))
 
 
+@register("customer_sample")
+def q_customer_sample(spark, root):
+    """Half of the customers, by hash bucket of the id."""
+    return finalize(ex.bucket_sample(v.customers(spark, root), "customer_id", 0.5))
+
+
 @register("latest_days")
 def q_latest_days(spark, root):
     return finalize(ex.top_n(dl.platform_daily(v.transactions(spark, root)), [F.col("ds").desc()], 30))
@@ -334,6 +340,14 @@ def q_elasticity(spark, root):
     return finalize(pr.elasticity_report(_lines(spark, root)))
 
 
+@register("price_elasticity_focal")
+def q_elasticity_focal(spark, root):
+    """The report of one category -- the first by name."""
+    first = v.products(spark, root).select(F.min("category")).scalar()
+    lines = _lines(spark, root)
+    return finalize(pr.elasticity_report(lines, category=first))
+
+
 @register("elasticity_kpis")
 def q_elasticity_kpis(spark, root):
     return finalize(pr.elasticity_kpis(pr.elasticity_report(_lines(spark, root))))
@@ -351,6 +365,7 @@ def q_cross(spark, root):
 
 @register("cross_elasticity_matrix")
 def q_cross_matrix(spark, root):
+    # the matrix has a column per category, so their names are part of the schema
     cats = [r[0] for r in v.products(spark, root).select("category").distinct().orderBy("category").collect()]
     return finalize(pr.cross_matrix(pr.cross_elasticity(_lines(spark, root)), cats))
 
@@ -555,17 +570,17 @@ def _platform_series(spark, root):
 
 @register("sku_forecast")
 def q_sku_forecast(spark, root):
-    return finalize(fc.forecast(_sku_series(spark, root), ["sku_id"], horizon=7))
+    return finalize(fc.forecast(_sku_series(spark, root), ["sku_id"], horizon=7, monthly=True))
 
 
 @register("platform_forecast")
 def q_platform_forecast(spark, root):
-    return finalize(fc.forecast(_platform_series(spark, root), ["series"], horizon=fc.HORIZON))
+    return finalize(fc.forecast(_platform_series(spark, root), ["series"], horizon=fc.HORIZON, monthly=True))
 
 
 @register("forecast_horizon_end")
 def q_horizon_end(spark, root):
-    return finalize(fc.horizon_end(fc.forecast(_sku_series(spark, root), ["sku_id"], horizon=7), ["sku_id"]))
+    return finalize(fc.horizon_end(fc.forecast(_sku_series(spark, root), ["sku_id"], horizon=7, monthly=True), ["sku_id"]))
 
 
 @register("series_index_scaled")
@@ -591,7 +606,7 @@ def _backfill(spark, root):
     s = _platform_series(spark, root)
     cutoff = F.date_sub(s.select(F.max("ds")).scalar(), fc.HORIZON)
     train = s.where(F.col("ds") <= cutoff)
-    stored = fc.forecast(train, ["series"], horizon=fc.HORIZON)
+    stored = fc.forecast(train, ["series"], horizon=fc.HORIZON, monthly=True)
     return fc.backfill_actuals(stored, s, ["series"])
 
 
@@ -609,7 +624,7 @@ def q_accuracy(spark, root):
 
 @register("lag_forecaster_metrics")
 def q_lag_forecaster(spark, root):
-    _, metrics, _ = fc.lag_forecaster(_sku_series(spark, root), ["sku_id"], max_iter=10)
+    _, metrics, _ = fc.lag_forecaster(_sku_series(spark, root), ["sku_id"])
     return metrics
 
 
@@ -749,8 +764,7 @@ def q_cc_labels(spark, root):
 def q_nonlinear(spark, root):
     """Boosted-tree double ML next to the linear estimates."""
     lines = _lines(spark, root)
-    rep = pr.elasticity_report(lines).drop("nonlinear_dml")
-    return finalize(rep.join(pr.nonlinear_dml(lines).drop("n"), "category", "left"))
+    return finalize(pr.elasticity_report(lines, nonlinear=pr.nonlinear_dml(lines)))
 
 
 def _asked_skus(spark, root):
