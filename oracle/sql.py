@@ -940,3 +940,50 @@ SELECT CASE WHEN kind <> 3 THEN CAST(transaction_id AS VARCHAR) END AS transacti
 FROM m"""
 ORACLE["dead_letter_counts"] = f"""SELECT coalesce(_dlq_reason, 'valid') AS outcome, count(*) AS n
 FROM ({ORACLE['event_validation']}) GROUP BY 1"""
+
+
+# ------------------------------------------------------- further profiles --
+ORACLE["market_segment_profile"] = with_views("transactions", "customers", extra=_SEGRFM + """,
+sm AS (SELECT c.segment, count(*) AS n, avg(recency) AS ar, avg(frequency) AS af, avg(CAST(monetary AS DOUBLE)) AS am, sum(monetary) AS tr
+       FROM srfm r JOIN customers c ON r.customer_id = c.customer_id GROUP BY c.segment)""") + f"""
+SELECT segment, n AS count, {r6('ar')} AS avg_recency, {r6('af')} AS avg_frequency, {r6('am')} AS avg_monetary, {r6('tr')} AS total_revenue,
+       {r6('ar / greatest(max(ar) OVER (), 1.0) * 100')} AS avg_recency_pct, {r6('af / greatest(max(af) OVER (), 1.0) * 100')} AS avg_frequency_pct,
+       {r6('am / greatest(max(am) OVER (), 1.0) * 100')} AS avg_monetary_pct
+FROM sm"""
+
+ORACLE["cross_elasticity_matrix"] = ORACLE["cross_elasticity"].rsplit("SELECT focal, competitor, n AS n_periods", 1)[0].rstrip() + f""",
+mx AS (SELECT focal, competitor, {r6('CASE WHEN n >= 20 THEN coalesce(theta, 0.0) END')} AS e FROM dml_x
+       UNION ALL SELECT DISTINCT focal, focal, 0.0 FROM dml_x)
+PIVOT mx ON competitor USING first(e) GROUP BY focal"""
+
+ORACLE["fpr_gap_recency"] = f"""WITH d AS ({ORACLE['churn_training_set']}),
+p AS (SELECT CASE WHEN age < 30 THEN 'young' WHEN age > 50 THEN 'old' END AS cohort,
+             recency / (recency + 60.0) > 0.5 AS pred, churn = 0 AS neg FROM d),
+f AS (SELECT cohort, count(*) FILTER (WHERE pred AND neg) * 1.0 / nullif(count(*) FILTER (WHERE neg), 0) AS fpr FROM p WHERE cohort IS NOT NULL GROUP BY cohort),
+w AS (SELECT max(CASE WHEN cohort = 'young' THEN fpr END) AS y, max(CASE WHEN cohort = 'old' THEN fpr END) AS o FROM f)
+SELECT {r6('y')} AS fpr_young, {r6('o')} AS fpr_old, {r6('abs(y - o)')} AS fpr_gap, abs(y - o) <= 0.05 AS within_tolerance FROM w"""
+
+ORACLE["holdout_split"] = f"""WITH d AS (SELECT churn, count(*) AS n FROM ({ORACLE['churn_training_set']}) GROUP BY churn),
+s AS (SELECT churn, TRUE AS is_train, n * 80 // 100 AS n FROM d UNION ALL SELECT churn, FALSE, n - n * 80 // 100 FROM d)
+SELECT churn, is_train, CAST(n AS BIGINT) AS n FROM s WHERE n > 0"""
+
+ORACLE["churn_feature_matrix"] = f"""WITH d AS ({ORACLE['churn_training_set']})
+SELECT customer_id, 'age' AS feature, age AS value FROM d UNION ALL SELECT customer_id, 'recency', recency FROM d
+UNION ALL SELECT customer_id, 'frequency', frequency FROM d UNION ALL SELECT customer_id, 'monetary', monetary FROM d"""
+
+ORACLE["dq_missing_columns"] = """SELECT 'inventory' AS "table", e.kind AS expectation, e.col AS "column",
+       CAST(NULL AS BIGINT) AS failed_rows, FALSE AS success
+FROM (VALUES ('exists', 'customer_id'), ('exists', 'age'), ('exists', 'region'), ('between', 'age'),
+             ('not_null', 'customer_id'), ('unique', 'customer_id')) e(kind, col)"""
+
+ORACLE["dataset_sizes"] = with_views("transactions", "products", "customers", "inventory") + """
+SELECT 'customers' AS dataset, count(*) AS row_count, CAST(5 AS BIGINT) AS field_count FROM customers
+UNION ALL SELECT 'products', count(*), 4 FROM products UNION ALL SELECT 'transactions', count(*), 7 FROM transactions
+UNION ALL SELECT 'inventory', count(*), 4 FROM inventory"""
+
+ORACLE["forecast_degradation"] = _BF + f""",
+h AS (SELECT series, date_diff('day', (SELECT min(ds) FROM bf WHERE actual IS NOT NULL), ds) >= 15 AS late,
+             abs(actual - yhat) / nullif(actual, 0.0) * 100 AS mape FROM bf WHERE actual IS NOT NULL)
+SELECT series, {r6('avg(mape) FILTER (WHERE NOT late)')} AS baseline_mape, {r6('avg(mape) FILTER (WHERE late)')} AS current_mape,
+       avg(mape) FILTER (WHERE late) > avg(mape) FILTER (WHERE NOT late) * 1.15 AS degraded
+FROM h GROUP BY series"""

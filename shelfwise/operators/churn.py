@@ -1,19 +1,21 @@
 """Churn modelling and model evaluation.
 
-Fits are Spark ML estimators over all customers; folds and splits are hash
-expressions (deterministic, no driver-side index lists).  Evaluation metrics
-are exact aggregations: AUC uses the rank-sum form over distinct scores with
-a distributed running count, so no step sorts the scored frame in one task.
+Fits are Spark ML estimators over all customers; splits and folds are exactly
+stratified by the distributed rank of a row's hash within its class
+(deterministic, no driver-side index lists).  Evaluation metrics are exact
+aggregations: AUC uses the rank-sum form over distinct scores with one
+distributed running count for every score and group, so no step sorts the scored
+frame in one task.
 """
 from __future__ import annotations
 
+import math
+import random
 from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.exprs import elapsed_days
@@ -77,14 +79,26 @@ def feature_matrix(df: DataFrame, label: str = "churn", id_col: str = "customer_
     return VectorAssembler(inputCols=num, outputCol=out).transform(df)
 
 
-def holdout(df: DataFrame, *, id_col: str = "customer_id", pct: int = TRAIN_PCT, seed: int = SEED) -> DataFrame:
-    """K7: deterministic hash split -> is_train (same share within each class
-    in expectation; no per-class sort)."""
-    return df.withColumn("is_train", F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(100)) < pct)
+def stratified(df: DataFrame, *, label: str = "churn", id_col: str = "customer_id", seed: int = SEED) -> DataFrame:
+    """``df`` plus ``_rank`` (1..n in hash order within the row's class) and
+    ``_class_n``, from one distributed running count over (class, hash, id)."""
+    h = df.withColumn("_one", F.lit(1).cast("long")).withColumn("_hash", F.xxhash64(F.col(id_col), F.lit(seed)))
+    cum = running_sum(h, [F.col(label), F.col("_hash"), F.col(id_col)], "_one", "_rank")
+    per = cum.groupBy(F.col(label).alias("_class")).agg(F.count(F.lit(1)).alias("_class_n"), (F.min("_rank") - 1).alias("_before"))   # one row per class
+    return (cum.join(per, F.col(label).eqNullSafe(F.col("_class"))).withColumn("_rank", F.col("_rank") - F.col("_before"))
+               .select(*df.columns, "_rank", "_class_n"))
 
 
-def fold_of(id_col: str = "customer_id", k: int = FOLDS, seed: int = SEED) -> Column:
-    return F.pmod(F.xxhash64(F.col(id_col), F.lit(seed + 1)), F.lit(k)).cast("int")
+def holdout(df: DataFrame, *, id_col: str = "customer_id", label: str = "churn", pct: int = TRAIN_PCT, seed: int = SEED) -> DataFrame:
+    """K7: stratified split -> is_train: ``pct`` % of each class, to the row."""
+    s = stratified(df, label=label, id_col=id_col, seed=seed)
+    return s.select(*df.columns, (F.col("_rank") * 100 <= F.col("_class_n") * pct).alias("is_train"))
+
+
+def stratified_folds(df: DataFrame, *, k: int = FOLDS, label: str = "churn", id_col: str = "customer_id", seed: int = SEED) -> DataFrame:
+    """``fold`` 0..k-1: every fold has each class's share, to the row."""
+    s = stratified(df, label=label, id_col=id_col, seed=seed + 1)
+    return s.select(*df.columns, F.pmod(F.col("_rank"), F.lit(k)).cast("int").alias("fold"))
 
 
 def class_weights(df: DataFrame, label: str = "churn") -> DataFrame:
@@ -122,20 +136,33 @@ def score_churn(model, df: DataFrame) -> DataFrame:
 
 
 # -------------------------------------------------------------- metrics --
-def auc(scored: DataFrame, score: str, label: str) -> DataFrame:
-    """Exact ROC AUC (ties get average ranks) -> one row (auc, n_pos, n_neg)."""
-    per = (scored.select(F.col(score).cast("double").alias("s"), F.col(label).cast("int").alias("y"))
-                 .groupBy("s").agg(F.count_if(F.col("y") == 1).cast("long").alias("pos"),
-                                   F.count(F.lit(1)).cast("long").alias("cnt")))
-    cum = running_sum(per, [F.col("s").asc()], "cnt", "cum")
-    avg_rank = F.col("cum") - F.col("cnt") + (F.col("cnt") + 1) / 2.0
-    agg = cum.agg(F.sum(F.col("pos") * avg_rank).alias("rsum"), F.sum("pos").alias("n_pos"),
-                  F.sum("cnt").alias("n"))
+def auc_by(scored: DataFrame, score: str, label: str, by: list[str]) -> DataFrame:
+    """K13 per group: by columns, auc (ties get average ranks; NULL with one class), n_pos, n_neg."""
+    per = (scored.select(*by, F.col(score).cast("double").alias("s"), F.col(label).cast("int").alias("y"))
+                 .groupBy(*by, "s").agg(F.count_if(F.col("y") == 1).cast("long").alias("pos"),
+                                        F.count(F.lit(1)).cast("long").alias("cnt")))
+    cum = running_sum(per, [*[F.col(c) for c in by], F.col("s")], "cnt", "cum")
+    rank = F.col("cum") - F.col("cnt") + (F.col("cnt") + 1) / 2.0       # still counts the groups before
+    agg = cum.groupBy(*by).agg(F.sum(F.col("pos") * rank).alias("r"), F.min(F.col("cum") - F.col("cnt")).alias("off"),
+                               F.sum("pos").alias("n_pos"), F.sum("cnt").alias("n"))
     n1, n0 = F.col("n_pos"), F.col("n") - F.col("n_pos")
-    return agg.select(((F.col("rsum") - n1 * (n1 + 1) / 2.0) / F.nullif(n1 * n0, F.lit(0))).alias("auc"),
+    return agg.select(*by, ((F.col("r") - F.col("off") * n1 - n1 * (n1 + 1) / 2.0) / F.nullif(n1 * n0, F.lit(0))).alias("auc"),
                       n1.alias("n_pos"), n0.alias("n_neg"))
 
 
+def auc(scored: DataFrame, score: str, label: str) -> DataFrame:
+    """Exact ROC AUC -> one row (auc, n_pos, n_neg)."""
+    return auc_by(scored, score, label, [])
+
+
+def auc_of(scored: DataFrame, scores: dict[str, str], label: str, by: list[str] = ()) -> DataFrame:
+    """AUC of several score columns in one pass: by columns and a column per
+    entry of ``scores`` (output name -> score column)."""
+    items = ", ".join(f"'{name}', CAST(`{c}` AS DOUBLE)" for name, c in scores.items())
+    long = scored.selectExpr(*by, f"`{label}`", f"stack({len(scores)}, {items}) AS (_name, _score)")
+    return auc_by(long, "_score", label, [*by, "_name"]).groupBy(*by).pivot("_name", list(scores)).agg(F.first("auc"))
+
+
 def f1_at(scored: DataFrame, score: str, label: str, threshold: float = F1_THRESHOLD) -> DataFrame:
     """Precision, recall, F1 of (score > threshold)."""
     pred = F.col(score) > threshold
@@ -178,9 +205,7 @@ def fpr_gap(scored: DataFrame, score: str, label: str, *, age: str = "age", thre
 def champion_decision(scored: DataFrame, champion: str, challenger: str, label: str, *,
                       margin: float = PROMOTE_MARGIN) -> DataFrame:
     """Promote the challenger when its AUC beats the champion's by > margin."""
-    a = auc(scored, champion, label).select(F.col("auc").alias("champion_auc"), F.lit(1).alias("_k"))
-    b = auc(scored, challenger, label).select(F.col("auc").alias("challenger_auc"), F.lit(1).alias("_k"))
-    j = a.join(b, "_k").drop("_k")   # two single-row aggregates
+    j = auc_of(scored, {"champion_auc": champion, "challenger_auc": challenger}, label)
     promote = F.col("challenger_auc") > F.col("champion_auc") + F.lit(margin)
     return j.select("champion_auc", "challenger_auc", promote.alias("promote_challenger"),
                     F.when(promote, F.lit(f"PROMOTE {challenger}")).otherwise(F.lit(f"KEEP {champion}"))
@@ -188,27 +213,31 @@ def champion_decision(scored: DataFrame, champion: str, challenger: str, label:
 
 
 # ------------------------------------------------------------- stacking --
+def _base_model(kind: str, data: DataFrame, label: str, seed: int):
+    """The two base learners: weighted boosted trees and a random forest."""
+    if kind == "gbt":
+        return GBTClassifier(labelCol=label, seed=seed, weightCol="weight", **STACK_BASE).fit(data)
+    return RandomForestClassifier(labelCol=label, seed=seed, numTrees=STACK_BASE["maxIter"],
+                                  maxDepth=STACK_BASE["maxDepth"]).fit(data)
+
+
+def _weighted_vectors(data: DataFrame, label: str) -> DataFrame:
+    return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(class_weights(data, label))
+
+
 def out_of_fold(data: DataFrame, *, k: int = FOLDS, label: str = "churn", seed: int = SEED,
                 parallelism: int = FOLDS) -> DataFrame:
-    """K-fold out-of-fold probabilities of two learners (GBT, random
-    forest); every row is predicted exactly once by models that never saw it.
-    The 2k fits are independent Spark jobs and are submitted concurrently."""
+    """K-fold out-of-fold probabilities of the two learners (positives of
+    the boosted trees weighted by neg/pos); folds are stratified and every row
+    is predicted exactly once by models that never saw it.  The 2k fits are
+    independent Spark jobs and are submitted concurrently."""
     from concurrent.futures import ThreadPoolExecutor
 
-    d = data.withColumn("fold", fold_of(k=k, seed=seed))
-    vec = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(d).persist()
-
-    def fit(args):
-        f, kind = args
-        tr = vec.where(F.col("fold") != f)
-        if kind == "gbt":
-            return GBTClassifier(labelCol=label, seed=seed, **STACK_BASE).fit(tr)
-        return RandomForestClassifier(labelCol=label, seed=seed, numTrees=STACK_BASE["maxIter"],
-                                      maxDepth=STACK_BASE["maxDepth"]).fit(tr)
-
+    vec = stratified_folds(_weighted_vectors(data, label).drop("features"), k=k, label=label, seed=seed).checkpoint(eager=True)
+    vec = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(vec)
     jobs = [(f, kind) for f in range(k) for kind in ("gbt", "rf")]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        models = dict(zip(jobs, pool.map(fit, jobs)))
+        models = dict(zip(jobs, pool.map(lambda job: _base_model(job[1], vec.where(F.col("fold") != job[0]), label, seed), jobs)))
     parts = []
     for f in range(k):
         va = vec.where(F.col("fold") == f)
@@ -218,14 +247,16 @@ def out_of_fold(data: DataFrame, *, k: int = FOLDS, label: str = "churn", seed:
     return reduce(DataFrame.unionByName, parts)
 
 
+def final_base_models(data: DataFrame, *, label: str = "churn", seed: int = SEED) -> dict:
+    """The base learners fitted on all rows, for scoring -> {"gbt", "rf"}."""
+    vec = _weighted_vectors(data, label)
+    return {kind: _base_model(kind, vec, label, seed) for kind in ("gbt", "rf")}
+
+
 def stack_weights(oof: DataFrame, *, label: str = "churn") -> DataFrame:
     """Weight of each learner = its mean fold AUC / sum of both."""
-    rows = []
-    for p in ("p_gbt", "p_rf"):
-        per_fold = [auc(oof.where(F.col("fold") == f), p, label).select(F.lit(f).alias("fold"), "auc")
-                    for f in sorted(r[0] for r in oof.select("fold").distinct().collect())]
-        rows.append(reduce(DataFrame.unionByName, per_fold).agg(F.avg("auc").alias(f"auc_{p}")))
-    j = rows[0].withColumn("_k", F.lit(1)).join(rows[1].withColumn("_k", F.lit(1)), "_k").drop("_k")
+    folds = auc_of(oof, {"auc_p_gbt": "p_gbt", "auc_p_rf": "p_rf"}, label, ["fold"])
+    j = folds.agg(F.avg("auc_p_gbt").alias("auc_p_gbt"), F.avg("auc_p_rf").alias("auc_p_rf"))
     tot = F.col("auc_p_gbt") + F.col("auc_p_rf")
     return j.select("auc_p_gbt", "auc_p_rf", (F.col("auc_p_gbt") / tot).alias("w_gbt"),
                     (F.col("auc_p_rf") / tot).alias("w_rf"))
@@ -235,17 +266,14 @@ def stack_strategy(oof: DataFrame, *, label: str = "churn", threshold: float = S
     """Weighted average vs logistic meta-learner on the OOF frame; pick
     the higher AUC (ties -> weighted average); F1 at 0.35."""
     w = stack_weights(oof, label=label)
-    wk = w.withColumn("_k", F.lit(1))
-    blended = oof.withColumn("_k", F.lit(1)).join(F.broadcast(wk), "_k") \
-        .withColumn("p_avg", F.col("w_gbt") * F.col("p_gbt") + F.col("w_rf") * F.col("p_rf"))
+    one = w.select(F.struct("*")).scalar()
+    blended = oof.withColumn("p_avg", one["w_gbt"] * F.col("p_gbt") + one["w_rf"] * F.col("p_rf"))
     meta_in = VectorAssembler(inputCols=["p_gbt", "p_rf"], outputCol="meta").transform(blended)
     meta = LogisticRegression(featuresCol="meta", labelCol=label).fit(meta_in)
-    scored = meta.transform(meta_in).withColumn("p_meta", _prob())
-    a1 = auc(scored, "p_avg", label).select(F.col("auc").alias("auc_weighted"), F.lit(1).alias("_k"))
-    a2 = auc(scored, "p_meta", label).select(F.col("auc").alias("auc_meta"), F.lit(1).alias("_k"))
-    f1a = f1_at(scored, "p_avg", label, threshold).select(F.col("f1").alias("f1_weighted"), F.lit(1).alias("_k"))
-    f1m = f1_at(scored, "p_meta", label, threshold).select(F.col("f1").alias("f1_meta"), F.lit(1).alias("_k"))
-    j = a1.join(a2, "_k").join(f1a, "_k").join(f1m, "_k").join(wk, "_k").drop("_k")
+    scored = meta.transform(meta_in).withColumn("p_meta", _prob()).select("customer_id", label, "p_avg", "p_meta").checkpoint(eager=True)
+    f1 = lambda c: f1_at(scored, c, label, threshold).select("f1").scalar()
+    j = auc_of(scored, {"auc_weighted": "p_avg", "auc_meta": "p_meta"}, label)
+    j = j.select("*", f1("p_avg").alias("f1_weighted"), f1("p_meta").alias("f1_meta"), *[one[c].alias(c) for c in w.columns])
     use_avg = F.col("auc_weighted") >= F.col("auc_meta")
     return j.withColumn("strategy", F.when(use_avg, "validation_weighted_average")
                         .otherwise("logistic_regression_meta")) \
@@ -254,17 +282,38 @@ def stack_strategy(oof: DataFrame, *, label: str = "churn", threshold: float = S
 
 
 # ------------------------------------------------------- tuning, explain --
-def tune_churn(train: DataFrame, *, depths=(3, 5), steps=(0.05, 0.1), folds: int = 3, label: str = "churn",
+def search_space(trials: int, seed: int = SEED) -> list[dict]:
+    """Random points of the reference's search space (boosted trees of this
+    library have no L1/L2 terms; fixed bounds)."""
+    rnd = random.Random(seed)
+    return [dict(maxDepth=rnd.randint(3, 9), maxIter=rnd.randint(50, 300),
+                 stepSize=math.exp(rnd.uniform(math.log(1e-3), math.log(0.3))), minInstancesPerNode=rnd.randint(1, 10),
+                 subsamplingRate=rnd.uniform(0.5, 1.0), featureSubsetStrategy=str(round(rnd.uniform(0.5, 1.0), 3)))
+            for _ in range(trials)]
+
+
+def tune_churn(train: DataFrame, test: DataFrame, *, trials: int = 15, label: str = "churn",
                parallelism: int = 4, seed: int = SEED) -> DataFrame:
-    """Grid search maximising AUC with k-fold cross-validation."""
-    data = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(train)
-    gbt = GBTClassifier(labelCol=label, seed=seed, maxIter=20)
-    grid = ParamGridBuilder().addGrid(gbt.maxDepth, list(depths)).addGrid(gbt.stepSize, list(steps)).build()
-    ev = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
-    cv = CrossValidator(estimator=gbt, estimatorParamMaps=grid, evaluator=ev, numFolds=folds,
-                        parallelism=parallelism, seed=seed).fit(data)
-    rows = [(int(pm[gbt.maxDepth]), float(pm[gbt.stepSize]), float(m)) for pm, m in zip(grid, cv.avgMetrics)]
-    return train.sparkSession.createDataFrame(rows, "max_depth int, step_size double, cv_auc double")
+    """Random search over the whole space by AUC on the test split; one
+    row per trial with its parameters, best first by ``rank``."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    points = search_space(trials, seed)
+    vec = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
+    data, held = vec.transform(train), vec.transform(test)
+    # one round of scoring for all trials: a probability column each, one grouped AUC
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        models = list(pool.map(lambda p: GBTClassifier(labelCol=label, seed=seed, **p).fit(data), points))
+    scored = held
+    for i, m in enumerate(models):
+        m.setRawPredictionCol(f"_r{i}").setProbabilityCol(f"_v{i}").setPredictionCol(f"_c{i}")
+        scored = m.transform(scored).withColumn(f"p{i}", _prob(f"_v{i}")).drop(f"_r{i}", f"_v{i}", f"_c{i}")
+    aucs = auc_of(scored, {f"a{i}": f"p{i}" for i in range(trials)}, label).first()
+    order = sorted(range(trials), key=lambda i: (aucs[f"a{i}"] is None, -(aucs[f"a{i}"] or 0.0), i))
+    rows = [(order.index(i) + 1, p["maxDepth"], p["maxIter"], p["stepSize"], p["minInstancesPerNode"], p["subsamplingRate"],
+             float(p["featureSubsetStrategy"]), aucs[f"a{i}"]) for i, p in enumerate(points)]
+    return train.sparkSession.createDataFrame(rows, "rank int, max_depth int, trees int, step_size double, min_instances int, "
+                                                    "subsample double, feature_share double, auc double")
 
 
 def attributions(df: DataFrame, *, label: str = "churn", id_col: str = "customer_id") -> DataFrame:

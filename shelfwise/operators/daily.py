@@ -46,16 +46,6 @@ def platform_daily(txns: DataFrame) -> DataFrame:
                 .agg(F.sum("quantity").cast("long").alias("y")))
 
 
-def rolling_mean(value: str, order: str, key: str, rows: int, full_window: bool = False):
-    """Mean over the current and previous ``rows - 1`` rows.  With
-    ``full_window`` the first ``rows - 1`` rows of each series are NULL."""
-    w = Window.partitionBy(key).orderBy(order).rowsBetween(-(rows - 1), 0)
-    m = F.avg(value).over(w)
-    if full_window:
-        m = F.when(F.count(value).over(w) == rows, m)
-    return m
-
-
 def timeseries_features(txns: DataFrame, *, windows=ROLL_WINDOWS, lags=LAGS,
                         gap_fill: bool = False) -> DataFrame:
     """Silver daily_sku_features: daily aggregates, rolling means of quantity

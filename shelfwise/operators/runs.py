@@ -25,7 +25,7 @@ def record_run(spark: SparkSession, runs_path: str, experiment: str, *, params:
                metrics: dict | None = None, status: str = "FINISHED", run_id: str | None = None) -> str:
     rid = run_id or uuid.uuid4().hex
     row = (experiment, rid, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), status,
-           json.dumps(params or {}, sort_keys=True), {k: float(v) for k, v in (metrics or {}).items()})
+           json.dumps(params or {}, sort_keys=True), {k: None if v is None else float(v) for k, v in (metrics or {}).items()})
     spark.createDataFrame([row], RUN_SCHEMA).write.mode("append").parquet(runs_path)
     return rid
 
@@ -66,6 +66,7 @@ def retrain_challenger(features: DataFrame, model_dir: str, runs_path: str, *,
     path = os.path.join(model_dir, rid)
     model.write().overwrite().save(path)
     record_run(spark, runs_path, experiment, run_id=rid, params=ch.CHALLENGER,
-               metrics={"auc": a.auc or 0.0, "f1": f.f1 or 0.0})
+               metrics={"auc": a.auc, "f1": f.f1}   # undefined stays NULL
+              )
     return spark.createDataFrame([(a.auc, f.f1, a.n_pos, a.n_neg, rid, path)],
                                  "auc double, f1 double, n_pos long, n_neg long, run_id string, model_path string")

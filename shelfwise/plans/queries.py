@@ -250,6 +250,18 @@ def q_dq_gate(spark, root):
     return finalize(dq.gate(dq.run_suites(_bronze(spark, root))))
 
 
+@register("dq_missing_columns")
+def q_dq_missing(spark, root):
+    """M1's failing branch: the customer suite over the inventory table."""
+    return finalize(dq.run_suite(v.inventory(spark, root), "inventory", dq.SUITES["customers"]))
+
+
+@register("dataset_sizes")
+def q_sizes(spark, root):
+    """Rows and fields of every table."""
+    return finalize(q_profile(spark, root).select("dataset", "row_count", "field_count"))
+
+
 @register("dataset_profile")
 def q_profile(spark, root):
     from functools import reduce
@@ -543,6 +555,13 @@ def q_segment_summary(spark, root):
     return finalize(sg.normalised_profile(sg.segment_summary(sg.segment_customers(_seg_rfm(spark, root)))))
 
 
+@register("market_segment_profile")
+def q_market_profile(spark, root):
+    """D16 + D27 over the market segments."""
+    rows = _seg_rfm(spark, root).join(v.customers(spark, root).select("customer_id", "segment"), "customer_id")
+    return finalize(sg.normalised_profile(sg.segment_summary(rows)))
+
+
 @register("density_outliers")
 def q_density(spark, root):
     z = sg.scaled_table(_seg_rfm(spark, root))
@@ -622,6 +641,15 @@ def q_accuracy(spark, root):
     return finalize(err.join(fc.coverage(b, ["series"]), "series"))
 
 
+@register("forecast_degradation")
+def q_degradation(spark, root):
+    """Error of the horizon's second half against its first."""
+    b = _backfill(spark, root).where(F.col("actual").isNotNull())
+    late = F.datediff("ds", b.select(F.min("ds")).scalar()) >= fc.HORIZON // 2
+    half = b.groupBy("series").agg(F.avg(F.when(~late, F.col("mape"))).alias("baseline_mape"), F.avg(F.when(late, F.col("mape"))).alias("current_mape"))
+    return finalize(half.withColumn("degraded", fc.degradation("current_mape", "baseline_mape")))
+
+
 @register("lag_forecaster_metrics")
 def q_lag_forecaster(spark, root):
     _, metrics, _ = fc.lag_forecaster(_sku_series(spark, root), ["sku_id"])
@@ -646,53 +674,37 @@ def q_churn_set_legacy(spark, root):
     return finalize(_churn_data(spark, root, legacy=True))
 
 
-def _session_memo(spark, key, build):
-    """Session-scoped memo for artefacts several queries share (the holdout
-    split, the champion model): built once per session and input root."""
-    memo = getattr(spark, "_shelfwise_memo", None)
-    if memo is None:
-        memo = {}
-        spark._shelfwise_memo = memo
-    if key not in memo:
-        memo[key] = build()
-    return memo[key]
-
-
 def _split(spark, root):
     from ..session import checkpoint_dir
-
-    def build():
-        checkpoint_dir(spark)
-        return ch.holdout(_churn_data(spark, root)).checkpoint(eager=True)
-    return _session_memo(spark, ("churn_split", root), build)
+    checkpoint_dir(spark)
+    return ch.holdout(_churn_data(spark, root)).checkpoint(eager=True)
 
 
-def _champion(spark, root):
-    return _session_memo(spark, ("churn_champion", root),
-                         lambda: ch.train_churn(_split(spark, root).where("is_train")))
+def _champion(d):
+    return ch.train_churn(d.where("is_train"))
 
 
 @register("churn_scores")
 def q_churn_scores(spark, root):
-    return ch.score_churn(_champion(spark, root), _split(spark, root))
+    d = _split(spark, root)
+    return ch.score_churn(_champion(d), d)
 
 
 @register("churn_holdout_metrics")
 def q_churn_metrics(spark, root):
     d = _split(spark, root)
-    test = ch.score_churn(_champion(spark, root), d.where(~F.col("is_train")))
-    a = ch.auc(test, "churn_probability", "churn").withColumn("_k", F.lit(1))
-    f = ch.f1_at(test, "churn_probability", "churn").withColumn("_k", F.lit(1))
-    return a.join(f, "_k").drop("_k")
+    test = ch.score_churn(_champion(d), d.where(~F.col("is_train")))
+    f1 = ch.f1_at(test, "churn_probability", "churn")
+    one = f1.select(F.struct("*")).scalar()
+    return ch.auc(test, "churn_probability", "churn").select("*", *[one[c].alias(c) for c in f1.columns])
 
 
 @register("churn_champion_challenger")
 def q_churn_cc(spark, root):
     """K15 + K17: champion (single GBT) vs a retrained weighted challenger on the test split."""
     d = _split(spark, root)
-    train = d.where("is_train")
-    champ = _champion(spark, root)
-    chall = ch.train_churn(ch.class_weights(train), params=ch.CHALLENGER, weighted=True)
+    champ = _champion(d)
+    chall = ch.train_churn(ch.class_weights(d.where("is_train")), params=ch.CHALLENGER, weighted=True)
     test = d.where(~F.col("is_train"))
     s1 = ch.score_churn(champ, test).select("customer_id", "churn", F.col("churn_probability").alias("champion"))
     s2 = ch.score_churn(chall, test).select("customer_id", F.col("churn_probability").alias("challenger"))
@@ -702,23 +714,43 @@ def q_churn_cc(spark, root):
 @register("churn_stacking")
 def q_churn_stacking(spark, root):
     """K11 + K12 on the training split."""
-    d = _split(spark, root)
-    oof = ch.out_of_fold(d.where("is_train"))
-    from ..session import checkpoint_dir
-    checkpoint_dir(spark)
+    oof = ch.out_of_fold(_split(spark, root).where("is_train"))
     return ch.stack_strategy(oof.checkpoint(eager=True))
 
 
 @register("churn_fpr_gap")
 def q_churn_fpr(spark, root):
     d = _split(spark, root)
-    return ch.fpr_gap(ch.score_churn(_champion(spark, root), d.where(~F.col("is_train"))),
-                      "churn_probability", "churn")
+    return ch.fpr_gap(ch.score_churn(_champion(d), d.where(~F.col("is_train"))), "churn_probability", "churn")
+
+
+@register("fpr_gap_recency")
+def q_fpr_recency(spark, root):
+    """K23 of an arithmetic score against the time-split label."""
+    scored = _churn_data(spark, root).withColumn("score", F.col("recency") / (F.col("recency") + 60.0))
+    return finalize(ch.fpr_gap(scored, "score", "churn"))
+
+
+@register("holdout_split")
+def q_holdout(spark, root):
+    """K7: rows of either class on either side of the split."""
+    d = ch.holdout(_churn_data(spark, root))
+    return finalize(d.groupBy("churn", "is_train").agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("churn_feature_matrix")
+def q_feature_matrix(spark, root):
+    """B18 + H16: numeric features as a vector, read back as a feature map."""
+    from pyspark.ml.functions import vector_to_array
+    d = ch.feature_matrix(_churn_data(spark, root)).withColumn("x", vector_to_array("features"))
+    values = ch.feature_map(list(ch.FEATURES), [F.col("x")[i] for i in range(len(ch.FEATURES))])
+    return finalize(d.select("customer_id", F.explode(values).alias("feature", "value")))
 
 
 @register("churn_tuning")
 def q_churn_tuning(spark, root):
-    return ch.tune_churn(_split(spark, root).where("is_train"))
+    d = _split(spark, root)
+    return ch.tune_churn(d.where("is_train"), d.where(~F.col("is_train")))
 
 
 @register("churn_attributions")

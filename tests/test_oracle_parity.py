@@ -19,9 +19,9 @@ def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
-        return None if math.isnan(v) else round(v, 5)
+        return None if math.isnan(v) else round(v, 6)
     if isinstance(v, decimal.Decimal):
-        return round(float(v), 5)
+        return round(float(v), 6)
     if isinstance(v, bool):
         return int(v)
     if isinstance(v, (dt.datetime, dt.date)):

@@ -145,7 +145,7 @@ def test_feature_tables_job_writes_outputs_and_lineage(spark):
     assert "month" in daily.columns and daily.count() == counts["silver/daily_sku_features"]
     assert spark.read.parquet(os.path.join(out, "gold/product_catalog")).count() > 0
     ev = spark.read.parquet(os.path.join(out, "_lineage"))
-    assert ev.where("event_type = 'COMPLETE'").count() == 3
+    assert ev.where("event_type = 'COMPLETE'").count() == 4
 
 
 def test_cluster_conf_scales_with_input():
