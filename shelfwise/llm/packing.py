@@ -24,68 +24,88 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from .common import saved, shuffle_parts, text_column
+from .common import saved, shuffle_parts, slices, text_column
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
-CACHE_WORDS = 300_000
+CACHE_WORDS = 1_000_000
 _loaded: dict[str, tuple] = {}
 
 
 def _tokenizer(name: str):
-    """(tokenizer, ids of words seen so far) of this worker."""
+    """(tokenizer, its word model, ids of words seen so far) of this worker."""
     if name not in _loaded:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
         from tokenizers import Tokenizer
         path = name if os.path.isabs(name) else public_tokenizers.path(name)
-        _loaded[name] = Tokenizer.from_file(path), {"": b""}
+        tok = Tokenizer.from_file(path)
+        _loaded[name] = tok, tok.model, {}
     return _loaded[name]
 
 
-def _encode(tok, words: list[str]) -> list[bytes]:
-    return [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch(words, add_special_tokens=False)]
+# byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_CHAR = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 
 
-def token_bytes(texts: list[str], name: str = TOKENIZER) -> list[bytes]:
-    """Ids of each text as little-endian 32-bit words.
+def _latin(word: str) -> bool:
+    return word.isalpha() and (word.isascii() or max(word) < "\u0100")
 
-    The vocabulary's normaliser and splitter never join across a blank, so a
-    text's ids are those of its blank-separated words in turn.  Each distinct
-    word is encoded once while it is in the worker's bounded cache.
-    """
-    tok, cache = _tokenizer(name)
-    out, i = [], 0
-    while i < len(texts):
-        split, size = [], 0
-        while i < len(texts) and (not split or size < 1 << 20):
-            t = texts[i]
-            size += len(t)
-            i += 1
-            split.append(t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "))
-        new = set().union(*split).difference(cache)
-        if len(cache) + len(new) > CACHE_WORDS:
-            cache.clear()
-            cache[""] = b""
-            new = set().union(*split).difference(cache)
-        new = list(new)
-        ends: dict[str, list[str]] = {}
-        for w in new:                            # word + closing punctuation: encoded apart anyway
-            core = w.rstrip(_TAIL)
-            if core and core.isascii() and core.isalpha():
-                ends[w] = [core.lower(), w[len(core):]]
-        parts = {p for pair in ends.values() for p in pair}.union(w for w in new if w not in ends).difference(cache)
-        parts = list(parts)
-        cache.update(zip(parts, _encode(tok, parts)))
-        for w, (core, tail) in ends.items():
-            cache[w] = cache[core] + cache[tail]
-        out.extend(b"".join([cache[w] for w in words]) for words in split)
+
+def _encode(tok, model, words: list[str]) -> list[bytes]:
+    """Ids of words.  A run of Latin letters is one word to the tokenizer, so its
+    bytes, lower-cased, go to the model directly."""
+    out = [np.array([t.id for t in model.tokenize(w.lower().encode().decode("latin-1").translate(_BYTE_CHAR))], "<u4").tobytes() if _latin(w) else None for w in words]
+    rest = [i for i, x in enumerate(out) if x is None]
+    for i, e in zip(rest, tok.encode_batch([words[i] for i in rest], add_special_tokens=False)):
+        out[i] = np.array(e.ids, "<u4").tobytes()
     return out
 
 
-_TAIL = ".,;:!?*#&%$|()"
+_TAIL = ".,;:!?*#&%$|()"                          # never joined to a letter before it
+_SLICE = 4 << 20
+
+
+def token_ids(col: pa.Array, name: str = TOKENIZER) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, offsets) of a column of texts.
+
+    The vocabulary's normaliser lower-cases, and neither it nor its splitter ever
+    joins across a blank or a letter and the punctuation after it; so a text's
+    ids are those of its blank-separated words in turn, and of a word's letters
+    and closing punctuation.  Each distinct word is encoded once while it is in
+    the worker's bounded cache.
+    """
+    tok, model, cache = _tokenizer(name)
+    if not pc.any(pc.match_substring(col, "<|")).as_py():      # special tokens are told apart by case
+        col = pc.ascii_lower(col)
+    for blank in "\n\t\r":
+        col = pc.replace_substring(col, blank, " ")
+    lists = pc.split_pattern(col, " ")
+    words = lists.flatten().dictionary_encode()
+    distinct = words.dictionary
+    cores = pc.utf8_rtrim(distinct, _TAIL).to_numpy(zero_copy_only=False).tolist()
+    distinct = distinct.to_numpy(zero_copy_only=False).tolist()
+    ends = [w[len(c):] if len(c) < len(w) and _latin(c) else "" for w, c in zip(distinct, cores)]
+    cores = [c if e else w for w, c, e in zip(distinct, cores, ends)]
+    if len(cache) + len(cores) > CACHE_WORDS:
+        cache.clear()
+    new = [w for w in {*cores, *ends} if w not in cache]
+    cache.update(zip(new, _encode(tok, model, new)))
+    ids = [cache[c] + cache[e] if e else cache[c] for c, e in zip(cores, ends)]
+    size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    table, first = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
+    index = words.indices.to_numpy()
+    n = size[index]
+    upto = np.append(0, np.cumsum(n))
+    at = np.repeat(first[index] - upto[:-1], n) + np.arange(upto[-1])
+    off = lists.offsets.to_numpy()
+    return table[at], upto[off - off[0]]
+
+
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -94,15 +114,15 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER
     ``with_ids`` the ids themselves (little-endian 32-bit words)."""
     def run(batches):
         for b in batches:
-            col, doc = text_column(b.column("text")), b.column("doc_id")
-            for at in range(0, len(col), 512):
-                part = col.slice(at, 512).to_pylist()
+            col, doc = text_column(b.column("text")), b.column("doc_id").to_pylist()
+            for i, j, _, _ in slices(col, _SLICE):
+                ids, off = token_ids(col.slice(i, j - i), tokenizer)
                 rows = []
-                for d, ids in zip(doc.slice(at, 512).to_pylist(), token_bytes(part, tokenizer)):
-                    ids += b"\0\0\0\0"
-                    for k, s in enumerate(range(0, len(ids), 4 * capacity)):
-                        own = ids[s:s + 4 * capacity]
-                        rows.append((d, k, s // 4, len(own) // 4, zlib.crc32(own), own if with_ids else None))
+                for d, s, e in zip(doc[i:j], off[:-1].tolist(), off[1:].tolist()):
+                    own = ids[s:e].tobytes() + b"\0\0\0\0"
+                    for k, at in enumerate(range(0, len(own), 4 * capacity)):
+                        part = own[at:at + 4 * capacity]
+                        rows.append((d, k, at // 4, len(part) // 4, zlib.crc32(part), part if with_ids else None))
                 cols = list(zip(*rows))
                 arrays = [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), *(pa.array(c, pa.int64()) for c in cols[2:5])]
                 names = ["doc_id", "piece", "start", "length", "ids_crc32"]
