@@ -293,7 +293,7 @@ def search_space(trials: int, seed: int = SEED) -> list[dict]:
 
 
 def tune_churn(train: DataFrame, test: DataFrame, *, trials: int = 15, label: str = "churn",
-               parallelism: int = 4, seed: int = SEED) -> DataFrame:
+               parallelism: int = 8, seed: int = SEED) -> DataFrame:
     """Random search over the whole space by AUC on the test split; one
     row per trial with its parameters, best first by ``rank``."""
     from concurrent.futures import ThreadPoolExecutor
