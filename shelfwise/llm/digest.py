@@ -186,7 +186,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     parts = shuffle_parts(spark)
-    part = F.when(F.col("doc_id").isNull(), 0).otherwise(range_bucket(F.col("doc_id"), quantiles(rows, "doc_id", parts)))
+    # more ranges than tasks, so that a task's several ranges even out
+    part = F.when(F.col("doc_id").isNull(), 0).otherwise(range_bucket(F.col("doc_id"), quantiles(rows, "doc_id", 4 * parts)))
     rows = rows.withColumn("part", part)
     # first row of every range: found by id alone, then read with its text (equal ids: by hash of the text)
     heads = rows.groupBy("part").agg(F.min("doc_id").alias("low"), F.count_if(F.col("doc_id").isNull()).alias("nulls"))
