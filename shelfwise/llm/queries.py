@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 
-from . import decontaminate, digest, packing, passages, quality, repeats, sharding, simhash, toxicity, urls
+from . import decontaminate, digest, oracles, packing, passages, quality, repeats, sharding, simhash, toxicity, urls
 from .common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,7 +29,7 @@ def op9(spark, sf_dir):
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-@register("op10_benchmark_decontamination")
+@register("op10_benchmark_decontamination", oracles.CONTAINED_ITEMS)
 def op10(spark, sf_dir):
     out = decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "item_id", "containment")
@@ -40,7 +40,7 @@ def op8(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-@register("op5_byte_sharding")
+@register("op5_byte_sharding", oracles.BYTE_SHARDS)
 def op5(spark, sf_dir):
     out = sharding.byte_shards(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -72,7 +72,7 @@ def op6(spark, sf_dir):
     return digest.compared(table(spark, sf_dir, "documents"))
 
 
-@register("op4_suffix_array_dedup")
+@register("op4_suffix_array_dedup", oracles.REPEATED_STRINGS)
 def op4(spark, sf_dir):
     return repeats.report(table(spark, sf_dir, "documents"))
 
