@@ -210,7 +210,8 @@ def packed(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         raise ValueError(f"lengths must be within 1 and {capacity}")
     runs = np.array(sorted(plan(counts, capacity)), np.int64).reshape(-1, 6)
     prefix = tally.select("_b", "length", (F.sum("count").over(W.partitionBy("length").orderBy("_b")) - F.col("count")).alias("_before"))
-    ranked = (own.join(prefix, ["_b", "length"])
+    # the prefix sums grow with the buckets: shuffled, however small their file looks
+    ranked = (own.join(prefix.hint("merge"), ["_b", "length"])
               .withColumn("_rank", F.col("_before") + F.row_number().over(W.partitionBy("_b", "length").orderBy("doc_id", "piece")) - 1)
               .select(*rows.columns, "_rank"))
     span = int(runs[:, 2].max()) + 1 if len(runs) else 1
