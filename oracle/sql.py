@@ -549,7 +549,9 @@ ORACLE["elasticity_kpis"] = _REPORT + f"""
 SELECT {r6('avg(elasticity)')} AS mean_elasticity, count(*) FILTER (WHERE label = 'elastic') AS elastic_count,
        {r6('avg(r_squared)')} AS mean_r_squared FROM report"""
 
-_CP = """cp AS (SELECT category, "timestamp" AS period, sum(quantity) AS qty, avg(unit_price) AS price
+_CP = """cp AS (SELECT category, "timestamp" AS period, sum(quantity) AS qty,
+       CAST((CAST(sum(CAST(unit_price AS DECIMAL(24,10))) * 10000000000 AS HUGEINT) * 2 + count(unit_price) * 10000)
+            // (count(unit_price) * 20000) AS DOUBLE) / 1000000 AS price
            FROM lines GROUP BY category, "timestamp")"""
 
 ORACLE["category_periods"] = with_views("transactions", "products", extra=_LINES + ",\n" + _CP) + f"""

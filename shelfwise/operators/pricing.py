@@ -137,10 +137,13 @@ def elasticity_kpis(report: DataFrame) -> DataFrame:
 
 def category_periods(lines: DataFrame, *, grain: str | None = None) -> DataFrame:
     """Per (category, period) total quantity and mean unit price.  The
-    period is the raw timestamp (reference) or ``date_trunc(grain, ts)``."""
+    period is the raw timestamp (reference) or ``date_trunc(grain, ts)``.  The
+    mean is an exact DECIMAL sum divided once, so it doesn't depend on the order
+    of the lines."""
     p = F.col("timestamp") if grain is None else F.date_trunc(grain, "timestamp")
     return lines.groupBy("category", p.alias("period")).agg(
-        F.sum("quantity").alias("qty"), F.avg("unit_price").alias("price"))
+        F.sum("quantity").alias("qty"),
+        F.round(F.sum(F.col("unit_price").cast("decimal(24,10)")) / F.count("unit_price"), 6).cast("double").alias("price"))
 
 
 def cross_elasticity(lines: DataFrame, *, grain: str | None = None, min_periods: int = MIN_PERIODS,
