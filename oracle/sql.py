@@ -271,7 +271,8 @@ FROM lite GROUP BY 1"""
 
 def _describe(col: str) -> str:
     x = f"CAST({col} AS DOUBLE)"
-    return (f"SELECT '{col}' AS \"column\", count({x}) AS count, {r6(f'avg({x})')} AS mean, "
+    return (f"SELECT '{col}' AS \"column\", count({x}) AS count, "
+            f"CAST((CAST(sum(CAST({col} AS DECIMAL(20,4))) * 10000 AS HUGEINT) * 200 + count({col})) // (2 * count({col})) AS DOUBLE) / 1000000 AS mean, "
             f"{r6(f'stddev_samp({x})')} AS std, {r6(f'min({x})')} AS min, "
             f"{r6(f'quantile_cont({x}, 0.25)')} AS p25, {r6(f'quantile_cont({x}, 0.5)')} AS p50, "
             f"{r6(f'quantile_cont({x}, 0.75)')} AS p75, {r6(f'max({x})')} AS max")

@@ -7,7 +7,7 @@ sum, and an aggregate picks the order statistics on either side of each quantile
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F  # noqa: F401
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.prefix import running_sum
 
@@ -44,11 +44,19 @@ def exact_quantiles(df: DataFrame, column: str, qs=(0.25, 0.5, 0.75)) -> DataFra
     return quantile_table(df, [column], qs).select(F.explode(rows).alias("r")).select("r.*")
 
 
+def _mean(df: DataFrame, column: str) -> Column:
+    """Mean of a column; of integers and decimals an exact sum divided once, which
+    doesn't depend on the order of the rows."""
+    if isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType)):
+        return F.avg(column)
+    return F.round(F.sum(F.col(column).cast("decimal(20,4)")) / F.count(column), 6).cast("double")
+
+
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """Per column count, mean, sample std, min, 25/50/75 % (exact), max."""
-    stats = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).agg(*[
-        F.struct(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-                 F.min(c).alias("min"), F.max(c).alias("max")).alias(c) for c in columns])
+    x = {c: F.col(c).cast("double") for c in columns}
+    stats = df.agg(*[F.struct(F.count(c).alias("count"), _mean(df, c).alias("mean"), F.stddev_samp(x[c]).alias("std"),
+                              F.min(x[c]).alias("min"), F.max(x[c]).alias("max")).alias(c) for c in columns])
     rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("s")) for c in columns])
     return (stats.select(F.explode(rows).alias("r")).select("r.column", "r.s.*")
             .join(quantile_table(df, columns).toDF("column", "p25", "p50", "p75"), "column", "left")
