@@ -51,6 +51,24 @@ def test_abc_edges(spark, make_txns):
     assert {x.sku_id: x.abc_class for x in inv.abc_classes(t2).collect()} == {1: "B", 2: "C"}
 
 
+def test_abc_bounds_keep_their_decimals(spark, make_txns):
+    t = make_txns([(1, 1, 1, "2024-01-01 00:00:00", 1, 0, 72), (2, 1, 2, "2024-01-01 00:00:00", 1, 0, 28)])
+    assert {x.sku_id: x.abc_class for x in inv.abc_classes(t, a="0.75").collect()} == {1: "A", 2: "C"}
+
+
+def test_unknown_sku_gets_the_full_default_record(spark, make_txns):
+    t = make_txns([(1, 1, 1, "2024-01-01 00:00:00", 4, 0, 40)])
+    products = spark.createDataFrame([(1, "c", Decimal("10.00"), Decimal("6.00"))], "sku_id long, category string, base_price decimal(12,2), cost_price decimal(12,2)")
+    inventory = spark.createDataFrame([(1, 50, 20, 5)], "sku_id long, current_stock int, reorder_point int, supplier_lead_time_days int")
+    keys = spark.createDataFrame([(1,), (77,)], "sku_id long")
+    r = {x.sku_id: x for x in inv.lookup_with_defaults(keys, products, inventory, t).collect()}
+    safety = 1.65 * 2.0 * math.sqrt(7)
+    assert r[1].current_stock == 50 and r[77].current_stock == 0
+    assert r[77].recommended_reorder_qty == round(math.sqrt(2 * 5 * 365 * 50 / (10 * 0.2)))
+    assert r[77].safety_stock == round(safety) and abs(r[77].reorder_point - (35 + safety)) < 1e-9
+    assert (r[77].stockout_risk, r[77].days_of_supply, r[77].abc_class, r[77].dead_stock) == (1.0, 0.0, "C", True)
+
+
 def test_inventory_defaults_single_day_and_dead_stock(spark, make_txns):
     t = make_txns([(1, 1, 1, "2024-01-01 00:00:00", 4, 0, 40), (2, 1, 1, "2024-01-01 00:00:00", 2, 0, 20),
                    (3, 1, 2, "2024-04-10 00:00:00", 3, 0, 30)])

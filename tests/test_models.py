@@ -119,3 +119,38 @@ def test_retrain_challenger_records_run(spark):
     assert m.auc is None or 0.0 <= m.auc <= 1.0
     assert os.path.isdir(m.model_path)
     assert spark.read.parquet(os.path.join(base, "runs")).count() == 1
+
+
+def test_splits_and_folds_are_stratified_to_the_row(spark):
+    df = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(203)], "customer_id long, churn int")
+    n = {(r.churn, r.is_train): r["count"] for r in ch.holdout(df).groupBy("churn", "is_train").count().collect()}
+    assert n == {(0, True): 145, (0, False): 37, (1, True): 16, (1, False): 5}
+    folds = ch.stratified_folds(df).groupBy("fold", "churn").count().collect()
+    for y in (0, 1):
+        sizes = [r["count"] for r in folds if r.churn == y]
+        assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
+
+
+def test_grouped_auc_matches_single(spark):
+    rows = [(g, float((7 * i + g) % 5), int((i + g) % 3 == 0)) for g in range(3) for i in range(20)]
+    df = spark.createDataFrame(rows, "g int, s double, y int")
+    got = {r.g: r.auc for r in ch.auc_by(df, "s", "y", ["g"]).collect()}
+    for g, a in got.items():
+        assert abs(a - ch.auc(df.where(F.col("g") == g), "s", "y").first().auc) < 1e-12
+
+
+def test_series_need_keys(spark):
+    import pytest
+    s = spark.createDataFrame([(1.0,)], "y double").withColumn("ds", F.current_date())
+    for call in (lambda: fc.forecast(s, []), lambda: fc.lag_windows(s, []), lambda: fc.chrono_split(s, []), lambda: fc.time_index(s, []), lambda: fc.minmax_scaled("y", [])):
+        with pytest.raises(ValueError):
+            call()
+
+
+def test_small_categories_stay_without_estimate(spark):
+    rows = [("big", i, 1.0 + i % 7, 2.0 + i % 3) for i in range(40)] + [("small", i, 1.0, 2.0) for i in range(3)]
+    lines = spark.createDataFrame([(c, i, i, x, y, x, 1.0, 0.1 * (i % 4)) for c, i, x, y in rows],
+                                  "category string, transaction_id long, sku_id long, log_price double, log_demand double, unit_price double, quantity double, discount double")
+    r = {x.category: x for x in pr.elasticity_report(lines).collect()}
+    assert r["small"].n == 3 and r["small"].ols is None and r["small"].elasticity is None and r["small"].label is None
+    assert r["big"].n == 40 and r["big"].ols is not None

@@ -154,3 +154,13 @@ def test_cluster_conf_scales_with_input():
     big = cluster_conf(100 * 1024 ** 4, executors=1000, cores_per_executor=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 40
     assert int(big["spark.sql.shuffle.partitions"]) == 409600
+
+
+def test_cluster_without_shared_folder_is_an_error():
+    from types import SimpleNamespace
+
+    from shelfwise.session import checkpoint_dir
+    conf = {"spark.master": "spark://host:7077"}
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=conf.get), sparkContext=SimpleNamespace(getCheckpointDir=lambda: None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(cluster)
