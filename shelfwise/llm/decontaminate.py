@@ -150,7 +150,7 @@ def contained(docs: DataFrame, items: DataFrame, words: int = WORDS, threshold:
     vocab = bench.select(F.explode("grams").alias("gram")).distinct()
     n = vocab.count()
     if n <= broadcast_rows:
-        found = _doc_sets(docs, sizes or [words], np.sort(np.array([r.gram for r in vocab.collect()], np.int64).view(U64)))
+        found = _doc_sets(docs, sizes or [words], np.sort(vocab.toArrow().column("gram").to_numpy().astype(np.int64).view(U64)))
     else:
         rows = _doc_sets(docs, sizes, None).select("doc_id", "text_key", F.explode("grams").alias("gram"))
         found = (rows.join(vocab, "gram", "left_semi").groupBy("doc_id", "text_key")

@@ -31,7 +31,7 @@ from .common import saved, shuffle_parts, slices, text_column
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 400_000
 _loaded: dict[str, tuple] = {}
 
 
@@ -130,6 +130,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER
                     arrays.append(pa.array(cols[5], pa.binary()))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(arrays, names)
+        _tokenizer(tokenizer)[-1].clear()        # workers live on and serve other stages
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return plain.mapInArrow(run, _PIECE + (", ids binary" if with_ids else ""))
 

@@ -169,10 +169,9 @@ def scored(docs: DataFrame, model: LineModel) -> DataFrame:
 def kept(docs: DataFrame, model: LineModel, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` whose text scores at least ``threshold``."""
     names = docs.columns
-    schema = docs.schema
 
     def run(batches):
         for b in batches:
-            keep = np.concatenate([model.scores(data, off) for _, _, data, off in slices(b.column(names.index("text")))] or [np.zeros(0)]) >= threshold
-            yield b.filter(pa.array(keep))
-    return docs.mapInArrow(run, schema)
+            for i, j, data, off in slices(b.column(names.index("text"))):     # small output batches
+                yield b.slice(i, j - i).filter(pa.array(model.scores(data, off) >= threshold))
+    return docs.mapInArrow(run, docs.schema)

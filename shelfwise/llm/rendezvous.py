@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import U64, shuffle_parts
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 
 class TextChunks:

@@ -155,28 +155,29 @@ class Chunk:
 
 
 def _send(buckets: int, length: int, seed: int):
+    def one(chunk, rows, answers):
+        c = Chunk(rows, length, seed)
+        h = c.hashes()
+        bucket, _ = split(h, buckets)
+        send = wanted(answers, h, buckets, c.texts())
+        at, out = 0, []
+        for i, p in c.runs:
+            sel = np.flatnonzero(send[at:at + len(p.start)])
+            out.append((p.bytes(sel), p.strings[sel], p.place[sel] - p.start[sel], c.doc[i + p.text[sel]], bucket[at + sel]))
+            at += len(p.start)
+        rows, strings, place, doc, bucket = map(np.concatenate, zip(*out))
+        names, inverse, least = _least(_names(rows, strings), doc)
+        first = np.zeros(len(names), np.int64)
+        first[inverse[::-1]] = np.arange(len(inverse))[::-1]
+        rows, strings, place, bucket = rows[first], strings[first], place[first], bucket[first]
+        live = np.arange(rows.shape[1]) < (strings + length - 1)[:, None]
+        return by_bucket(chunk, bucket, {
+            "bytes": lambda g: rows[g][live[g]].tobytes(), "strings": lambda g: blob(strings[g].astype(np.uint8)),
+            "places": lambda g: blob(place[g].astype(np.uint8)), "docs": lambda g: blob(least[g])})
+
     def run(batches):
-        for chunk, rows, answers in chunks(batches):
-            c = Chunk(rows, length, seed)
-            h = c.hashes()
-            bucket, _ = split(h, buckets)
-            send = wanted(answers, h, buckets, c.texts())
-            at, out = 0, []
-            for i, p in c.runs:
-                sel = np.flatnonzero(send[at:at + len(p.start)])
-                out.append((p.bytes(sel), p.strings[sel], p.place[sel] - p.start[sel], c.doc[i + p.text[sel]], bucket[at + sel]))
-                at += len(p.start)
-            if not out:
-                continue
-            rows, strings, place, doc, bucket = map(np.concatenate, zip(*out))
-            names, inverse, least = _least(_names(rows, strings), doc)
-            first = np.zeros(len(names), np.int64)
-            first[inverse[::-1]] = np.arange(len(inverse))[::-1]
-            rows, strings, place, bucket = rows[first], strings[first], place[first], bucket[first]
-            live = np.arange(rows.shape[1]) < (strings + length - 1)[:, None]
-            yield by_bucket(chunk, bucket, {
-                "bytes": lambda g: rows[g][live[g]].tobytes(), "strings": lambda g: blob(strings[g].astype(np.uint8)),
-                "places": lambda g: blob(place[g].astype(np.uint8)), "docs": lambda g: blob(least[g])})
+        for x in chunks(batches):
+            yield one(*x)
     return run
 
 
@@ -213,8 +214,11 @@ def _answer(length: int, seed: int):
             g = first[several[a:b]]
             owner[several[a:b]] = smallest_owner(rows[g], strings[g], least[several[a:b]], length)
             a = b
-        bits = (owner[inverse] < doc[:, None]) & (np.arange(owner.shape[1]) < strings[:, None])
-        mask = bits @ (U64(1) << np.arange(owner.shape[1], dtype=U64))
+        mask, power = np.empty(len(doc), U64), U64(1) << np.arange(owner.shape[1], dtype=U64)
+        for a in range(0, len(doc), 1 << 14):
+            part = slice(a, a + (1 << 14))
+            bits = (owner[inverse[part]] < doc[part, None]) & (np.arange(owner.shape[1]) < strings[part, None])
+            mask[part] = bits @ power
         out = []
         for a, b in zip(np.append(0, ends[:-1]), ends):
             hit = a + np.flatnonzero(mask[a:b])
@@ -223,24 +227,24 @@ def _answer(length: int, seed: int):
     return run
 
 
-def _covered(c: Chunk, answers) -> list[tuple[int, Pieces, np.ndarray]]:
-    """(first row, run of texts, whether each byte is cut)."""
+def _covered(c: Chunk, answers):
+    """(first row, run of texts, whether each byte is cut), run by run."""
     length = c.length
-    names = [_names(p.bytes(), p.strings) for _, p in c.runs]
-    every = np.concatenate(names or [np.zeros(0, U64)])
+    every = np.concatenate([_names(p.bytes(), p.strings) for _, p in c.runs] or [np.zeros(0, U64)])
     doc = np.concatenate([c.doc[i + p.text] for i, p in c.runs] or [np.zeros(0, np.int64)])
     _, inverse, least = _least(every, doc)
+    later = doc > least[inverse]
     key, mask = unblob([a["names"] for a in answers], U64), unblob([a["masks"] for a in answers], U64)
     order = np.argsort(key)
     key, mask = key[order], mask[order]
-    out, at = [], 0
-    for (i, p), name in zip(c.runs, names):
-        sel = slice(at, at + len(name))
-        at += len(name)
-        known, where = found(key, name)
-        own = np.zeros(len(name), U64)
+    at = 0
+    for i, p in c.runs:
+        part = slice(at, at + len(p.start))
+        at += len(p.start)
+        known, where = found(key, every[part])
+        own = np.zeros(len(p.start), U64)
         own[known] = mask[where[known]]
-        own[doc[sel] > least[inverse[sel]]] = ~U64(0)
+        own[later[part]] = ~U64(0)
         hit = np.flatnonzero(own)
         most = int(p.strings.max()) if len(p.strings) else 0
         k = np.arange(most)
@@ -249,15 +253,13 @@ def _covered(c: Chunk, answers) -> list[tuple[int, Pieces, np.ndarray]]:
         begins = p.start[hit[piece]] + at_string
         step[begins] += 1                              # every string begins once
         step[begins + length] -= 1
-        out.append((i, p, np.cumsum(step[:len(p.data)]) > 0))
-    return out
+        yield i, p, np.cumsum(step[:len(p.data)]) > 0
 
 
 def _report(length: int, seed: int):
     def run(batches):
         for _, rows, answers in chunks(batches):
-            c = Chunk(rows, length, seed)
-            for i, p, cut in _covered(c, answers):
+            for i, p, cut in _covered(Chunk(rows, length, seed), answers):
                 n = len(p.off) - 1
                 total = np.append(0, np.cumsum(cut))[p.off]
                 spans = np.bincount(Words(cut.view(np.uint8), p.off, _ONE, hashes=False).text, minlength=n)
@@ -275,8 +277,7 @@ _ONE[1] = True
 def _rows(length: int, seed: int, names: list[str]):
     def run(batches):
         for _, rows, answers in chunks(batches):
-            c = Chunk(rows, length, seed)
-            for i, p, cut in _covered(c, answers):
+            for i, p, cut in _covered(Chunk(rows, length, seed), answers):
                 n = len(p.off) - 1
                 kept, at = p.data[~cut].tobytes(), p.off - np.append(0, np.cumsum(cut))[p.off]
                 cols = {k: rows.field(k).slice(i, n) for k in names}
