@@ -185,5 +185,5 @@ def contained(docs: DataFrame, items: DataFrame, words: int = WORDS, threshold:
 def decontaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item."""
     hit = contained(docs, items, **options).select(F.col("doc_id").alias("_hit_id"), F.col("text_key").alias("_hit_key")).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("_hit_id")) & (F.xxhash64(docs["text"]) == F.col("_hit_key"))
+    same = docs["doc_id"].eqNullSafe(hit["_hit_id"]) & (F.xxhash64(docs["text"]) == hit["_hit_key"])
     return docs.join(hit, same, "left_anti")

@@ -61,7 +61,8 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, fp (the fingerprint's 64 bits as a signed long)."""
     def run(batches):
         for b in batches:
-            fp = [fingerprint(t.encode(), shingle) for t in text_column(b.column("text")).to_pylist()]
+            text = text_column(b.column("text"))
+            fp = [fingerprint(t.encode(), shingle) for at in range(0, len(text), 256) for t in text.slice(at, 256).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(np.array(fp, U64).view(np.int64))], ["doc_id", "fp"])
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
 

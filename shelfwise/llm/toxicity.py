@@ -118,18 +118,26 @@ def fit(rows: DataFrame, counts: tuple[int, int] | None = None, steps: int = STE
     text = np.concatenate([w.text + i for i, w in parts])
     seen = np.zeros((2, (1 << BITS) + 1))                  # documents of either label that hold a feature
     for row in feats:
-        own = np.unique(text.astype(np.int64) << 32 | row)
+        own = np.unique(text.astype(np.int64) << 32 | row)    # one feature kind at a time
         seen += np.stack([np.bincount((own & 0xFFFFFFFF)[label[own >> 32] == y], minlength=seen.shape[1]) for y in (0, 1)])
     offending = _evidence(seen[1], seen[0], n_toxic, len(label) - n_toxic) >= evidence
     offending[-1] = False
     y = (offending[feats].any(0) & (label[text] == 1)).astype(np.int64)
     first, adam = _firsts(text), Adam(0.3)
-    ids, at = np.unique(feats, return_inverse=True)
-    at = at.reshape(feats.shape)
+    used = np.zeros((1 << BITS) + 1, bool)
+    used[feats] = True
+    ids = np.flatnonzero(used)
+    place = (np.cumsum(used) - 1).astype(np.int32)
+    for row in feats:                                       # from here on rows of the used part of the table
+        row[:] = place[row]
+    at = feats
     weight, present = np.zeros(len(ids)), (ids != 1 << BITS).astype(float)
     for t in range(1, steps + 1):
         adam.t = t
-        by_score, by_trans, by_start = model.chain.gradient(weight[at].sum(0) + model.bias, first, y)
+        score = np.full(len(y), model.bias)
+        for row in at:
+            score += weight[row]
+        by_score, by_trans, by_start = model.chain.gradient(score, first, y)
         grad = sum(np.bincount(row, by_score, len(ids)) for row in at)
         weight = adam.step("w", weight, (grad - 0.05 * weight) * present) * present
         model.bias = float(adam.step("b", model.bias, by_score.sum()))

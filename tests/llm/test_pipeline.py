@@ -51,7 +51,17 @@ def test_stages(spark):
 
 def test_odd_documents(spark, make_docs):
     texts = [None, "", "a b c", "a b c", "x" * 30_000, "same words here and there " * 9, "same words here and there " * 9 + "more", "\n\n", "é" * 200]
-    check_stages(spark, make_docs(texts), SF)
+    docs = make_docs(texts).selectExpr("*", "1 as chunk", "2 as fp", "3 as score", "4 as _hit_id", "5 as rows", "'x' as label", "array(6) as grams", "7 as offset")
+    check_stages(spark, docs, SF)
+
+
+def test_rows_with_equal_or_no_id(spark, make_docs):
+    """Repeated rows and rows without an id pass through every stage."""
+    text = "words of a document that is not long"
+    out = make_docs([text, text, "other words " * 30, "other words " * 30, None], [5, 5, None, None, 9])
+    for name, stage in cp.STAGES:
+        out = saved(spark, stage(spark, out, SF), "stage")
+        assert out.count() in (4, 5)
 
 
 def test_empty_documents(spark, make_docs):
