@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.exprs import clip, elapsed_days
 from ..functions.prefix import running_sum
+from ..session import checkpoint_dir
 from .daily import sku_daily
 
 # Fixed values of the reference's inventory policy.
@@ -94,7 +95,7 @@ def inventory_report(products: DataFrame, inventory: DataFrame, txns: DataFrame,
     the fixed 7 days.  ``as_of`` (default: latest transaction) replaces the
     wall clock for dead-stock ageing.
     """
-    daily = sku_daily(txns)
+    daily = _sku_days(txns)
     ref = daily.select(F.max("last_ts")).scalar() if as_of is None \
         else F.lit(as_of).cast("timestamp_ntz")
     base = (products.select("sku_id", "cost_price")
@@ -103,6 +104,13 @@ def inventory_report(products: DataFrame, inventory: DataFrame, txns: DataFrame,
     return _decisions(base, ref, lead_days=lead_days, z=z, order_cost=order_cost, hold_rate=hold_rate)
 
 
+def _sku_days(txns: DataFrame) -> DataFrame:
+    """The SKU-day table (far smaller than the lines), written once: statistics,
+    ABC ranking and the reference date all read it."""
+    checkpoint_dir(txns.sparkSession)
+    return sku_daily(txns).checkpoint(eager=True)
+
+
 def _sales(daily: DataFrame) -> DataFrame:
     """Demand statistics and ABC class of every sold SKU."""
     rev = daily.groupBy("sku_id").agg(F.sum("daily_revenue").alias("revenue"))
@@ -192,7 +200,7 @@ def product_catalog(products: DataFrame, inventory: DataFrame, txns: DataFrame)
 def lookup_with_defaults(keys: DataFrame, products: DataFrame, inventory: DataFrame, txns: DataFrame) -> DataFrame:
     """The report of requested SKUs; an unknown SKU gets the full record that
     follows from the defaults (cost 10, stock 0, demand 5 a day, deviation 2)."""
-    daily = sku_daily(txns)
+    daily = _sku_days(txns)
     base = (keys.select("sku_id").join(products.select("sku_id", "cost_price"), "sku_id", "left")
             .join(inventory.select("sku_id", "current_stock", "supplier_lead_time_days"), "sku_id", "left")
             .join(_sales(daily), "sku_id", "left"))

@@ -410,17 +410,24 @@ from ..streaming import ingest as si  # noqa: E402
 from ..streaming import monitors as mo  # noqa: E402
 
 
+def _messages(spark, root):
+    """JSON messages of the transactions, dealt evenly: parsing is the costly part
+    and a table of few row groups would leave it to few tasks."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return si.damaged_messages(v.transactions(spark, root).repartition(n))
+
+
 @register("event_validation")
 def q_event_validation(spark, root):
     """N1-N3 on a batch of JSON messages derived from the transactions."""
-    decoded = si.decode_events(si.damaged_messages(v.transactions(spark, root)))
+    decoded = si.decode_events(_messages(spark, root))
     return finalize(decoded.select("transaction_id", "sku_id", "quantity", "total_amount", "discount_applied",
                                    F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "_extra", "_dlq_reason"))
 
 
 @register("dead_letter_counts")
 def q_dead_letter_counts(spark, root):
-    decoded = si.decode_events(si.damaged_messages(v.transactions(spark, root)))
+    decoded = si.decode_events(_messages(spark, root))
     return decoded.groupBy(F.coalesce("_dlq_reason", F.lit("valid")).alias("outcome")) \
         .agg(F.count(F.lit(1)).alias("n"))
 
