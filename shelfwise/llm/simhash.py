@@ -214,7 +214,8 @@ def min_labels(spark: SparkSession, nodes: DataFrame, edges: DataFrame) -> DataF
     """(v, label): smallest start label reachable over undirected ``edges`` (a, b)
     for every linked node; ``nodes`` is (v, label).  Each round takes the least
     neighbour label (map-side aggregated, so a hub costs one row a task) and then
-    follows labels to the labels of their owners."""
+    follows labels to the labels of their owners.  No two nodes may start with one
+    label, since a label names its owner."""
     both = saved(spark, edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
     ends = both.select(F.col("a").alias("v")).distinct()
     state = saved(spark, nodes.join(ends, "v").select("v", "label"), "labels")
@@ -232,14 +233,22 @@ def min_labels(spark: SparkSession, nodes: DataFrame, edges: DataFrame) -> DataF
             return state
 
 
+def _labelled(own: DataFrame, max_bits: int, bucket_rows: int) -> DataFrame:
+    """(fp, label): for every distinct ``own.fp`` the smallest (none, id, v) of its
+    component: whether the fingerprint has no doc_id, its smallest one, itself.
+    The last makes labels of null and of repeated ids differ."""
+    spark = own.sparkSession
+    least = F.min("doc_id")
+    label = F.struct(least.isNull().alias("none"), F.coalesce(least, F.lit(0).cast("long")).alias("id"), F.col("v"))
+    nodes = saved(spark, own.groupBy(F.col("fp").alias("v")).agg(label.alias("label")), "distinct-simhash")
+    labels = min_labels(spark, nodes, links(nodes.select(F.col("v").alias("fp")), max_bits, bucket_rows))
+    return nodes.join(labels.withColumnRenamed("label", "far"), "v", "left").select(F.col("v").alias("fp"), F.least("label", "far").alias("label"))
+
+
 def components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """doc_id, fp, component_id for every row of ``docs``."""
-    spark = docs.sparkSession
-    own = saved(spark, fingerprints(docs, shingle), "simhash")
-    none = F.lit((1 << 63) - 1)                 # label of fingerprints without any doc_id
-    nodes = saved(spark, own.groupBy(F.col("fp").alias("v")).agg(F.coalesce(F.min("doc_id"), none).alias("label")), "distinct-simhash")
-    labels = min_labels(spark, nodes, links(nodes.select(F.col("v").alias("fp")), max_bits, bucket_rows))
-    named = nodes.join(labels.withColumnRenamed("label", "far"), "v", "left").select(F.col("v").alias("fp"), F.nullif(F.least("label", "far"), none).alias("component_id"))
+    own = saved(docs.sparkSession, fingerprints(docs, shingle), "simhash")
+    named = _labelled(own, max_bits, bucket_rows).select("fp", F.when(~F.col("label.none"), F.col("label.id")).alias("component_id"))
     return own.join(named, "fp").select("doc_id", "fp", "component_id")
 
 

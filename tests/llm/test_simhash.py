@@ -87,3 +87,42 @@ def test_tree_finds_every_pair_and_split_buckets_lose_none(spark):
         link = simhash.links(nodes.selectExpr("v as fp"), 3, bucket_rows=rows)
         labels = {r.v: r.label for r in simhash.min_labels(spark, nodes, link).collect()}
         assert {x: labels.get(x, x) for x in signed} == want
+
+
+def near_texts(n):
+    """Texts whose fingerprints are distinct and one to three bits from the first one's."""
+    base = [f"w{i}" for i in range(400)]
+    out, fps = [" ".join(base)], [plain_fp(" ".join(base))]
+    for i in range(400):
+        text = " ".join(base[:i] + ["changed"] + base[i + 1:])
+        fp = plain_fp(text)
+        if len(out) < n and fp not in fps and (fp ^ fps[0]).bit_count() <= 3:
+            out.append(text)
+            fps.append(fp)
+    assert len(out) == n
+    return out
+
+
+def row_components(rows):
+    """[(id, text)] -> (id, component) of rows linked by their fingerprints, smallest id or None."""
+    fps = [plain_fp(t) for _, t in rows]
+    root = plain_components(dict(enumerate(fps)))
+    ids = {}
+    for i, (d, _) in enumerate(rows):
+        ids.setdefault(root[i], []).append(d)
+    return sorted(((d, min((x for x in ids[root[i]] if x is not None), default=None)) for i, (d, _) in enumerate(rows)), key=str)
+
+
+def test_linked_null_and_repeated_ids_beside_other_components(spark, make_docs):
+    near = near_texts(4)
+    other = [" ".join(f"{c}{i}" for i in range(300)) for c in "xyz"]
+    copy = other[0] + " more"
+    cases = [
+        [(None, near[0]), (None, near[1]), (None, near[2]), (None, other[0]), (7, other[1])],
+        [(5, near[0]), (5, near[1]), (5, other[0]), (9, copy), (2, other[2])],
+        [(None, near[0]), (None, near[1]), (8, near[2]), (3, other[0]), (4, copy), (None, other[1]), (None, other[1] + " more"), (8, other[2])],
+    ]
+    for rows in cases:
+        ids, texts = zip(*rows)
+        got = sorted(((r.doc_id, r.component_id) for r in simhash.components(make_docs(texts, ids)).collect()), key=str)
+        assert got == row_components(rows)
