@@ -3,7 +3,7 @@ the features' owners around.
 
 Texts are gathered into chunks of about ``chunk_bytes`` by hash (one exchange,
 which every later step over the texts reads again).  A chunk announces each of
-its features once, as a 32-bit signature in the feature's bucket, so a feature
+its features once, as a 24-bit signature in the feature's bucket, so a feature
 that a third of all texts have is one entry a chunk; a bucket answers every
 chunk with the signatures that some other chunk announced too.  Two features
 with one signature in one bucket only make the answer larger than needed.
@@ -40,24 +40,35 @@ class TextChunks:
         lists = answers.groupBy(F.col("chunk").alias("to")).agg(F.collect_list(F.struct(*cols)).alias("answers"))
         return self.texts.join(lists.hint("shuffle_hash"), F.col("chunk") == F.col("to"), "left").select("chunk", "rows", "answers")
 
-    def shared(self, features) -> DataFrame:
-        """chunk, bucket, sigs: what other chunks hold too of ``features(rows)``,
-        a function of a chunk's rows to feature hashes."""
+    def shared(self, features, heavy: int | None = None) -> DataFrame:
+        """chunk, bucket, sigs, hot: what other chunks hold too of ``features(rows)``,
+        a function of a chunk's rows to feature hashes, and what is given more
+        than ``heavy`` times over all chunks."""
         buckets = self.buckets
 
         def announce(batches):
             for chunk, rows, _ in chunks(batches):
-                bucket, sig = split(np.unique(features(rows)), buckets)
-                yield by_bucket(chunk, bucket, {"sigs": lambda g: blob(sig[g])})
-        told = self.texts.mapInArrow(announce, "chunk long, bucket long, sigs binary")
-        return told.groupBy("bucket").applyInArrow(_shared, "chunk long, bucket long, sigs binary")
-
-
-def _shared(t: pa.Table) -> pa.Table:
-    parts = [np.unique(np.frombuffer(x, np.uint32)) for x in t.column("sigs").to_pylist()]
-    sigs, times = np.unique(np.concatenate(parts), return_counts=True)
-    sigs = sigs[times > 1]
-    return pa.table({"chunk": t.column("chunk"), "bucket": t.column("bucket"), "sigs": pa.array([blob(p[found(sigs, p)[0]]) for p in parts], pa.binary())})
+                keys, times = np.unique(features(rows), return_counts=True)
+                bucket, sig = split(keys, buckets)
+                times = np.minimum(times, 65535).astype(np.uint16)
+                yield by_bucket(chunk, bucket, {"sigs": lambda g: planes(sig[g]), "times": lambda g: b"" if heavy is None else planes(times[g])})
+        told = self.texts.mapInArrow(announce, "chunk long, bucket long, sigs binary, times binary")
+        return told.groupBy("bucket").applyInArrow(_shared(heavy), "chunk long, bucket long, sigs binary, hot binary")
+
+
+def _shared(heavy: int | None):
+    def run(t: pa.Table) -> pa.Table:
+        given = [unplanes([x], np.uint32) for x in t.column("sigs").to_pylist()]
+        parts = [np.unique(x) for x in given]
+        every, holders = np.unique(np.concatenate(parts), return_counts=True)
+        hot = every[:0]
+        if heavy is not None:
+            total = np.bincount(np.searchsorted(every, np.concatenate(given)), unplanes(t.column("times").to_pylist(), np.uint16), len(every))
+            hot = every[total > heavy]
+        sigs = every[holders > 1]
+        return pa.table({"chunk": t.column("chunk"), "bucket": t.column("bucket"),
+                         **{c: pa.array([planes(p[found(x, p)[0]]) for p in parts], pa.binary()) for c, x in (("sigs", sigs), ("hot", hot))}})
+    return run
 
 
 def chunks(batches):
@@ -69,19 +80,32 @@ def chunks(batches):
 
 
 def split(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket, 32-bit signature within it) of feature hashes."""
-    return (h >> U64(32)) % U64(buckets), (h & U64(0xFFFFFFFF)).astype(np.uint32)
+    """(bucket, 24-bit signature within it) of feature hashes."""
+    return (h >> U64(32)) % U64(buckets), (h & U64(0xFFFFFF)).astype(np.uint32)
 
 
-def wanted(answers: list[dict], h: np.ndarray, buckets: int, owner: np.ndarray) -> np.ndarray:
-    """Which features other chunks share, or two of the chunk's own texts (``owner``)."""
+def told(answers: list[dict], h: np.ndarray, buckets: int, column: str) -> np.ndarray:
+    """Which features the answers name in ``column``."""
     bucket, sig = split(h, buckets)
-    known = np.sort(np.concatenate([np.frombuffer(a["sigs"], np.uint32).astype(U64) | U64(a["bucket"] << 32) for a in answers] or [np.zeros(0, U64)]))
-    keys, inverse = np.unique(h, return_inverse=True)
-    low, high = np.full(len(keys), len(owner)), np.full(len(keys), -1)
-    np.minimum.at(low, inverse, owner)
-    np.maximum.at(high, inverse, owner)
-    return found(known, sig.astype(U64) | bucket << U64(32))[0] | (low < high)[inverse]
+    known = np.sort(np.concatenate([unplanes([a[column]], np.uint32).astype(U64) | U64(a["bucket"] << 32) for a in answers] or [np.zeros(0, U64)]))
+    return found(known, sig.astype(U64) | bucket << U64(32))[0]
+
+
+def repeated(h: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Which features two texts or more (``owner``, ascending) have."""
+    order = np.argsort(h, kind="stable")
+    a, r = h[order], owner[order]
+    new = np.append(True, a[1:] != a[:-1])[:len(a)]
+    first = np.flatnonzero(new)
+    out = np.zeros(len(h), bool)
+    if len(h):
+        out[order] = (r[first] != r[np.append(first[1:], len(a)) - 1])[np.cumsum(new) - 1]
+    return out
+
+
+def wanted(answers: list[dict], h: np.ndarray, buckets: int, owner: np.ndarray) -> np.ndarray:
+    """Which features other chunks share, or two of the chunk's own texts (``owner``, ascending)."""
+    return told(answers, h, buckets, "sigs") | repeated(h, owner)
 
 
 def found(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -98,6 +122,16 @@ def unblob(parts, dtype) -> np.ndarray:
     return np.concatenate([np.frombuffer(p, dtype) for p in parts] or [np.zeros(0, dtype)])
 
 
+def planes(x: np.ndarray) -> bytes:
+    """Like ``blob``, first bytes first: equal high bytes compress away."""
+    return blob(np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.dtype.itemsize).T)
+
+
+def unplanes(parts, dtype) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    return np.concatenate([np.ascontiguousarray(np.frombuffer(p, np.uint8).reshape(size, -1).T).view(dtype).ravel() for p in parts] or [np.zeros(0, dtype)])
+
+
 def by_bucket(chunk: int, bucket: np.ndarray, columns: dict) -> pa.RecordBatch:
     """One row per bucket; ``columns`` are functions of the indexes that fall in it."""
     order = np.argsort(bucket, kind="stable")

@@ -18,7 +18,10 @@ Successive strings of a text that share a minimizer form one piece of at most
    distinct piece once with the smallest document that has it; so a passage or
    copy that a third of all documents hold is one row a chunk.  A bucket sorts
    the suffixes of pieces with one minimizer and answers which strings have a
-   smaller document elsewhere.
+   smaller document elsewhere.  Around a minimizer that over ``heavy`` distinct
+   pieces hold, each has other neighbours (a common short line, the edges of a
+   common long one): there the strings themselves are dealt, by their hash, once
+   a chunk with the smallest and the largest document that has them.
 3. The chunk marks those strings in that smallest document, all strings of the
    piece in its other documents, and cuts what they cover.
 
@@ -36,10 +39,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import _BYTE, _MUL, U64, Words, mix, sliding_min, slices
-from .rendezvous import CHUNK_BYTES, TextChunks, blob, by_bucket, chunks, found, split, unblob, wanted
+from .rendezvous import CHUNK_BYTES, TextChunks, blob, by_bucket, chunks, found, planes, split, told, unblob, unplanes, wanted
 
 LENGTH = 50
 SEED = 20
+HEAVY = 2000
 _LAST = (1 << 63) - 1
 _PLACE = U64((1 << 24) - 1)
 _BLOCK = 1 << 22
@@ -138,6 +142,18 @@ def smallest_owner(rows: np.ndarray, strings: np.ndarray, doc: np.ndarray, lengt
     return out
 
 
+def strings_of(p: Pieces, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(piece, place in the run, 64-bit name) of every string of some pieces."""
+    n = p.strings[which]
+    piece = np.repeat(which, n)
+    begin = p.start[piece] + np.arange(len(piece)) - np.repeat(np.cumsum(n) - n, n)
+    name = np.empty(len(begin), U64)
+    for a in range(0, len(begin), 1 << 16):
+        part = begin[a:a + (1 << 16)]
+        name[a:a + (1 << 16)] = _names(np.lib.stride_tricks.sliding_window_view(p.data, p.length)[part], np.zeros(len(part), np.int64))
+    return piece, begin, name
+
+
 class Chunk:
     """A chunk's texts as runs of pieces."""
 
@@ -150,6 +166,18 @@ class Chunk:
     def hashes(self) -> np.ndarray:
         return np.concatenate([p.hash for _, p in self.runs] or [np.zeros(0, U64)])
 
+    def distinct(self) -> np.ndarray:
+        """The minimizer's hash of every distinct piece."""
+        h = self.hashes()
+        _, inverse, times = np.unique(h, return_inverse=True, return_counts=True)
+        many, at, names = times[inverse] > 1, 0, []
+        for _, p in self.runs:
+            sel = np.flatnonzero(many[at:at + len(p.start)])
+            names.append(_names(p.bytes(sel), p.strings[sel]))
+            at += len(p.start)
+        _, first = np.unique(np.concatenate(names or [np.zeros(0, U64)]), return_index=True)
+        return np.append(h[~many], h[many][first])
+
     def texts(self) -> np.ndarray:
         return np.concatenate([p.text + i for i, p in self.runs] or [np.zeros(0, np.int64)])
 
@@ -159,11 +187,14 @@ def _send(buckets: int, length: int, seed: int):
         c = Chunk(rows, length, seed)
         h = c.hashes()
         bucket, _ = split(h, buckets)
-        send = wanted(answers, h, buckets, c.texts())
-        at, out = 0, []
+        hot = told(answers, h, buckets, "hot")
+        send = wanted(answers, h, buckets, c.texts()) & ~hot
+        at, out, single = 0, [], []
         for i, p in c.runs:
             sel = np.flatnonzero(send[at:at + len(p.start)])
             out.append((p.bytes(sel), p.strings[sel], p.place[sel] - p.start[sel], c.doc[i + p.text[sel]], bucket[at + sel]))
+            piece, _, name = strings_of(p, np.flatnonzero(hot[at:at + len(p.start)]))
+            single.append((name, c.doc[i + p.text[piece]], p.hash[piece]))
             at += len(p.start)
         rows, strings, place, doc, bucket = map(np.concatenate, zip(*out))
         names, inverse, least = _least(_names(rows, strings), doc)
@@ -171,9 +202,18 @@ def _send(buckets: int, length: int, seed: int):
         first[inverse[::-1]] = np.arange(len(inverse))[::-1]
         rows, strings, place, bucket = rows[first], strings[first], place[first], bucket[first]
         live = np.arange(rows.shape[1]) < (strings + length - 1)[:, None]
-        return by_bucket(chunk, bucket, {
-            "bytes": lambda g: rows[g][live[g]].tobytes(), "strings": lambda g: blob(strings[g].astype(np.uint8)),
-            "places": lambda g: blob(place[g].astype(np.uint8)), "docs": lambda g: blob(least[g])})
+        name, doc, seeds = map(np.concatenate, zip(*single))
+        name, inverse, low = _least(name, doc)
+        high, seed_of = np.full(len(name), -_LAST - 1), np.zeros(len(name), U64)
+        np.maximum.at(high, inverse, doc)
+        seed_of[inverse] = seeds
+        n = len(bucket)                                # first the pieces, then the strings on their own
+        own = lambda f: lambda g: f(g[g < n])
+        alone = lambda x: lambda g: planes(x[g[g >= n] - n])
+        return by_bucket(chunk, np.append(bucket, split(name, buckets)[0]), {
+            "bytes": own(lambda g: rows[g][live[g]].tobytes()), "strings": own(lambda g: blob(strings[g].astype(np.uint8))),
+            "places": own(lambda g: blob(place[g].astype(np.uint8))), "docs": own(lambda g: blob(least[g])),
+            "names": alone(name), "leasts": alone(low), "mosts": alone(high ^ low), "seeds": alone(seed_of.astype(np.uint32))})
 
     def run(batches):
         for x in chunks(batches):
@@ -223,7 +263,18 @@ def _answer(length: int, seed: int):
         for a, b in zip(np.append(0, ends[:-1]), ends):
             hit = a + np.flatnonzero(mask[a:b])
             out.append((blob(name[hit]), blob(mask[hit])))
-        return pa.table({"chunk": t.column("chunk"), "names": pa.array([x for x, _ in out], pa.binary()), "masks": pa.array([x for _, x in out], pa.binary())})
+        # strings on their own: cut in the documents after the least of all chunks
+        cols = {k: [unplanes([x], kind) for x in t.column(k).to_pylist()] for k, kind in (("names", U64), ("leasts", np.int64), ("mosts", np.int64), ("seeds", np.uint32))}
+        ends = np.cumsum([len(x) for x in cols["names"]])
+        name, least, most, of = (np.concatenate(x) for x in cols.values())
+        _, inverse, low = _least(name, least)
+        low, cut = low[inverse], []
+        for a, b in zip(np.append(0, ends[:-1]), ends):
+            hit = a + np.flatnonzero((most ^ least)[a:b] > low[a:b])
+            cut.append((planes(name[hit]), planes(low[hit]), planes(np.unique(of[hit]))))
+        given = [(chunk, x + y) for chunk, x, y in zip(t.column("chunk").to_pylist(), out, cut) if any(x + y)]
+        rows = [x for _, x in given]
+        return pa.table({"chunk": pa.array([chunk for chunk, _ in given], pa.int64()), **{k: pa.array([x[j] for x in rows], pa.binary()) for j, k in enumerate(("names", "masks", "strings", "lows", "seeds"))}})
     return run
 
 
@@ -237,6 +288,10 @@ def _covered(c: Chunk, answers):
     key, mask = unblob([a["names"] for a in answers], U64), unblob([a["masks"] for a in answers], U64)
     order = np.argsort(key)
     key, mask = key[order], mask[order]
+    string, low = unplanes([a["strings"] for a in answers], U64), unplanes([a["lows"] for a in answers], np.int64)
+    order = np.argsort(string)
+    string, low = string[order], low[order]
+    hot = np.unique(unplanes([a["seeds"] for a in answers], np.uint32))
     at = 0
     for i, p in c.runs:
         part = slice(at, at + len(p.start))
@@ -253,6 +308,12 @@ def _covered(c: Chunk, answers):
         begins = p.start[hit[piece]] + at_string
         step[begins] += 1                              # every string begins once
         step[begins + length] -= 1
+        piece, begin, name = strings_of(p, np.flatnonzero(found(hot, p.hash.astype(np.uint32))[0]))
+        known, where = found(string, name)
+        after = np.flatnonzero(known)
+        begins = begin[after[c.doc[i + p.text[piece[after]]] > low[where[after]]]]
+        step[begins] += 1                              # and once more around a heavy minimizer
+        step[begins + length] -= 1
         yield i, p, np.cumsum(step[:len(p.data)]) > 0
 
 
@@ -290,23 +351,23 @@ def _rows(length: int, seed: int, names: list[str]):
     return run
 
 
-def _run(docs: DataFrame, finish, schema: str, length: int, seed: int, chunk_bytes: int) -> DataFrame:
+def _run(docs: DataFrame, finish, schema: str, length: int, seed: int, chunk_bytes: int, heavy: int) -> DataFrame:
     texts = TextChunks(docs, chunk_bytes)
-    shared = texts.shared(lambda rows: Chunk(rows, length, seed).hashes())
-    sent = (texts.answered(shared, "bucket", "sigs")
-            .mapInArrow(_send(texts.buckets, length, seed), "chunk long, bucket long, bytes binary, strings binary, places binary, docs binary"))
-    judged = sent.groupBy("bucket").applyInArrow(_answer(length, seed), "chunk long, names binary, masks binary")
-    return texts.answered(judged, "names", "masks").mapInArrow(finish, schema)
+    shared = texts.shared(lambda rows: Chunk(rows, length, seed).distinct(), heavy)
+    sent = (texts.answered(shared, "bucket", "sigs", "hot")
+            .mapInArrow(_send(texts.buckets, length, seed), "chunk long, bucket long, bytes binary, strings binary, places binary, docs binary, names binary, leasts binary, mosts binary, seeds binary"))
+    judged = sent.groupBy("bucket").applyInArrow(_answer(length, seed), "chunk long, names binary, masks binary, strings binary, lows binary, seeds binary")
+    return texts.answered(judged, "names", "masks", "strings", "lows", "seeds").mapInArrow(finish, schema)
 
 
-def report(docs: DataFrame, length: int = LENGTH, seed: int = SEED, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def report(docs: DataFrame, length: int = LENGTH, seed: int = SEED, chunk_bytes: int = CHUNK_BYTES, heavy: int = HEAVY) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return _run(rows, _report(length, seed), REPORT, length, seed, chunk_bytes)
+    return _run(rows, _report(length, seed), REPORT, length, seed, chunk_bytes, heavy)
 
 
-def removed(docs: DataFrame, length: int = LENGTH, seed: int = SEED, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def removed(docs: DataFrame, length: int = LENGTH, seed: int = SEED, chunk_bytes: int = CHUNK_BYTES, heavy: int = HEAVY) -> DataFrame:
     """Every row of ``docs`` with the rest of its text (and n_chars, where there
     is one, counted anew); a character that a cut divides goes whole."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return _run(docs, _rows(length, seed, docs.columns), schema, length, seed, chunk_bytes)
+    return _run(docs, _rows(length, seed, docs.columns), schema, length, seed, chunk_bytes, heavy)

@@ -3,8 +3,9 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 
-from shelfwise.llm import repeats as rp
+from shelfwise.llm import rendezvous as rdv, repeats as rp
 from shelfwise.llm.common import table
 from shelfwise.llm.queries import QUERIES
 
@@ -93,3 +94,34 @@ def test_long_text_in_blocks():
     spread = lambda p: sorted((s + k, m, h) for s, n, m, h in zip(p.start.tolist(), p.strings.tolist(), p.place.tolist(), p.hash.tolist()) for k in range(n))
     assert spread(whole) == spread(cut)
     assert [x for x, _, _ in spread(whole)] == [*range(0, 1151), *range(1230, 4951)]
+
+
+def test_heavy_minimizers(spark, make_docs):
+    rnd = random.Random(13)
+    prose = lambda n: "".join(rnd.choice("abcdefgh \n") for _ in range(n))
+    lines = ["a common line of thirty bytes.", prose(25), prose(49), prose(90)]
+    some = [prose(60) for _ in range(20)]
+    texts = [prose(rnd.randrange(60)) + rnd.choice(some) + rnd.choice(lines) + rnd.choice(some)[:rnd.randrange(60)] + prose(rnd.randrange(40)) for _ in range(400)]
+    ids = [None if i % 40 == 0 else i // 2 for i in rnd.sample(range(400), 400)]
+    frame = make_docs(texts, ids)
+    want = brute(list(zip(ids, texts)))
+    for chunk in (8 << 20, 3000, 1):
+        assert rows(rp.report(frame, chunk_bytes=chunk, heavy=20)) == want
+
+
+def test_no_group_grows_with_a_minimizer():
+    """A short common line: its strings go to many buckets, none of them pieces."""
+    rnd = random.Random(17)
+    line = "the same line in every document"
+    texts = ["".join(rnd.choice("abcdefgh") for _ in range(60)) + line + "".join(rnd.choice("abcdefgh") for _ in range(60)) for _ in range(3000)]
+    struct = pa.StructArray.from_arrays([pa.array(range(3000)), pa.array(texts)], ["doc_id", "text"])
+    batch = pa.RecordBatch.from_arrays([pa.array([0]), pa.ListArray.from_arrays([0, 3000], struct)], ["chunk", "rows"])
+    told, times = np.unique(rp.Chunk(struct, 50, 20).distinct(), return_counts=True)
+    bucket, sig = rdv.split(told, 64)
+    announced = pa.Table.from_batches([rdv.by_bucket(0, bucket, {"sigs": lambda g: rdv.planes(sig[g]), "times": lambda g: rdv.planes(times[g].astype(np.uint16))})])
+    hot = [rdv._shared(rp.HEAVY)(announced.slice(i, 1)).to_pylist()[0] for i in range(announced.num_rows)]
+    full = batch.append_column("answers", pa.array([hot]))
+    sent = pa.Table.from_batches(list(rp._send(64, 50, 20)([full])))
+    pieces = [len(x) for x in sent.column("strings").to_pylist()]
+    strings = [len(x) // 8 for x in sent.column("names").to_pylist()]
+    assert max(pieces) <= rp.HEAVY and sum(strings) > 3000 * 20 and max(strings) < 3 * sum(strings) / 64
