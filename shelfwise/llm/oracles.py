@@ -47,3 +47,47 @@ dg AS (SELECT DISTINCT doc_id, k, array_to_string(w[j:j + k - 1], ' ') AS g FROM
 SELECT dg.doc_id, ig.item_id, CAST(count(*) AS DOUBLE) / n.n AS containment
 FROM dg JOIN ig ON dg.g = ig.g AND dg.k = ig.k JOIN n ON n.item_id = ig.item_id
 GROUP BY dg.doc_id, ig.item_id, n.n HAVING CAST(count(*) AS DOUBLE) / n.n >= 0.8"""
+
+
+def _leaf_field(expr: str) -> str:
+    return f"coalesce(octet_length(encode(CAST({expr} AS VARCHAR))) || ':' || CAST({expr} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_leaf_field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+#: Trees level by level from whole tables of nodes; every row then walks up them.
+MERKLE_MANIFEST = f"""WITH RECURSIVE {_CRC_TABLE},
+x AS (SELECT doc_id, lang, {_leaf("text")} AS leaf, {_leaf(f"translate(text, '{_UPPER}', '{_UPPER.lower()}')")} AS changed, hex(encode(CAST(doc_id AS VARCHAR))) AS h FROM documents),
+r AS (SELECT doc_id, coalesce('=' || lang, '-') AS key, leaf, CASE WHEN {_CRC} % 3 = 0 THEN changed ELSE leaf END AS altered,
+             row_number() OVER (PARTITION BY lang ORDER BY doc_id, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM x, crc_table),
+up(key, lev, pos, n, d) AS (
+  SELECT key, 0, pos, n, leaf FROM r
+  UNION ALL SELECT key, lev + 1, pos // 8, (n + 7) // 8, sha256(string_agg(d, '' ORDER BY pos)) FROM up WHERE n > 1 GROUP BY key, lev, pos // 8, n),
+sub AS (SELECT key, lev, d, row_number() OVER (ORDER BY encode(key)) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1),
+top(lev, pos, n, d) AS (
+  SELECT 0, pos, n, d FROM sub
+  UNION ALL SELECT lev + 1, pos // 8, (n + 7) // 8, sha256(string_agg(d, '' ORDER BY pos)) FROM top WHERE n > 1 GROUP BY lev, pos // 8, n),
+root AS (SELECT d AS root FROM top WHERE n = 1),
+nodes AS (SELECT key, lev, pos, d FROM up WHERE n > 1 UNION ALL SELECT '', lev, pos, d FROM top WHERE n > 1),
+step AS (SELECT key, lev, pos, pos // 8 AS run, d FROM nodes),
+walk(id, key, lev, pos, own, tail) AS (
+  SELECT row_number() OVER (), key, 0, pos, altered, '' FROM r
+  UNION ALL
+  SELECT w.id, w.key, w.lev + 1, w.pos // 8, sha256(string_agg(CASE WHEN s.pos = w.pos THEN w.own ELSE s.d END, '' ORDER BY s.pos)),
+         w.tail || coalesce(string_agg(s.d, '' ORDER BY s.pos) FILTER (WHERE s.pos <> w.pos), '')
+  FROM walk w JOIN step s ON s.key = w.key AND s.lev = w.lev AND s.run = w.pos // 8
+  GROUP BY w.id, w.key, w.lev, w.pos, w.tail),
+numbered AS (SELECT *, row_number() OVER () AS id FROM r),
+climbed AS (SELECT id, arg_max(own, lev) AS own, arg_max(tail, lev) AS tail FROM walk GROUP BY id),
+crown(id, lev, pos, own, tail) AS (
+  SELECT c.id, 0, sub.pos, c.own, c.tail FROM climbed c JOIN numbered m ON m.id = c.id JOIN sub ON sub.key = m.key
+  UNION ALL
+  SELECT w.id, w.lev + 1, w.pos // 8, sha256(string_agg(CASE WHEN s.pos = w.pos THEN w.own ELSE s.d END, '' ORDER BY s.pos)),
+         w.tail || coalesce(string_agg(s.d, '' ORDER BY s.pos) FILTER (WHERE s.pos <> w.pos), '')
+  FROM crown w JOIN step s ON s.key = '' AND s.lev = w.lev AND s.run = w.pos // 8
+  GROUP BY w.id, w.lev, w.pos, w.tail),
+done AS (SELECT id, arg_max(own, lev) AS own, arg_max(tail, lev) AS tail FROM crown GROUP BY id)
+SELECT m.doc_id, m.leaf, sub.d AS subroot, root.root, sha256(done.tail) AS proof_sha256, done.own AS folded_root, done.own = root.root AS verified
+FROM done JOIN numbered m ON m.id = done.id JOIN sub ON sub.key = m.key, root"""

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 
-from . import decontaminate, digest, oracles, packing, passages, quality, repeats, sharding, simhash, toxicity, urls
+from . import decontaminate, digest, manifest, neural_lm, oracles, packing, passages, quality, repeats, sharding, simhash, toxicity, urls, whitening
 from .common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,4 +82,19 @@ def op1(spark, sf_dir):
     return passages.fuzzy_passages(table(spark, sf_dir, "documents"))
 
 
+@register("op11_embedding_whitening")
+def op11(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@register("op12_log_bilinear_scores")
+def op12(spark, sf_dir):
+    return neural_lm.scored(table(spark, sf_dir, "documents"), crc_mod("doc_id", 10) == 0)
+
+
+@register("op13_merkle_manifest", oracles.MERKLE_MANIFEST)
+def op13(spark, sf_dir):
+    return manifest.manifest(table(spark, sf_dir, "documents"))
+
+
 register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
