@@ -57,6 +57,10 @@ def words(text: bytes) -> list[bytes]:
     return text.translate(_LOWER).split()           # bytes.split: x20 and x09-x0D
 
 
+def _texts(col: pa.Array, at: int, n: int = 64) -> list[bytes]:
+    return col.slice(at, n).cast(pa.large_binary()).to_pylist()
+
+
 def word_class(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % CLASSES
 
@@ -73,8 +77,8 @@ def token_counts(texts: DataFrame) -> DataFrame:
             text = text_column(b.column("text"))
             seen[END] += len(text)
             for at in range(0, len(text), 64):
-                for t in text.slice(at, 64).to_pylist():
-                    seen.update(words(t.encode()))
+                for t in _texts(text, at):
+                    seen.update(words(t))
                 if len(seen) > _HELD:
                     yield handed()
                     seen.clear()
@@ -143,41 +147,30 @@ def coded(docs: DataFrame, held_out, vocab) -> DataFrame:
 
     def run(batches):
         v: Vocabulary = vocab.value
-        symbol, count, first = v.symbols, v.known, len(v.symbols)
+        place, first = {w: i for i, w in enumerate(v.known)}, len(v.symbols)
+        inside = np.log10(v.class_count + SMOOTH * (v.class_types + 1)) if v.tokens else np.zeros(CLASSES)
         total = np.log10(v.base_total()) if v.tokens else 0.0
-        inside = np.log10(v.class_count + SMOOTH * (v.class_types + 1))
-        memo: dict[bytes, tuple[int, float, float, bool]] = {}
-
-        def entry(w):
-            """(symbol, base, form, in the dictionary); a tail word lacks its own log."""
-            c = count.get(w)
-            own = np.log10(c + SMOOTH) if c is not None else 0.0
-            s = symbol.get(w)
-            return (s, own, 0.0, True) if s is not None else (first + word_class(w), own, own - inside[word_class(w)], c is not None)
+        # by place in the dictionary: symbol, log10 of the smoothed count, log10 of the share of the class
+        symbol = np.array([v.symbols[w] if w in v.symbols else first + word_class(w) for w in v.known], np.int64)
+        own = np.log10(np.array(list(v.known.values()), float) + SMOOTH) if v.tokens else np.zeros(len(symbol))
+        share = np.where(symbol < first, 0.0, own - inside[np.maximum(symbol - first, 0)])
         for b in batches:
             text = text_column(b.column("text"))
             for at in range(0, len(text), 64):
                 rows = []
-                for t in text.slice(at, 64).to_pylist():
-                    ws = words(t.encode())
+                for t in _texts(text, at):
+                    ws = words(t)
                     ws.append(END)
-                    codes, base, form, known, tail = [], 0.0, 0.0, 0, {}
-                    for w in ws:
-                        e = memo.get(w)
-                        if e is None:
-                            e = entry(w)
-                            if e[3] or len(memo) < 4 * DICTIONARY:
-                                memo[w] = e
-                        codes.append(e[0])
-                        base += e[1]
-                        form += e[2]
-                        if e[3]:
-                            known += 1
-                        else:
-                            tail[w] = tail.get(w, 0) + 1
-                    if not v.tokens:
-                        base, form = 0.0, 0.0
-                    rows.append((len(ws), np.array(codes, "<u2").tobytes(), float(base - len(ws) * total), float(form), known if v.tokens else 0,
+                    ids = np.array([place.get(w, -1) for w in ws], np.int64)
+                    out = np.flatnonzero(ids < 0)
+                    found = ids[ids >= 0] if len(out) else ids
+                    tail = Counter([ws[i] for i in out.tolist()])
+                    codes = symbol[ids]
+                    base, form = own[found].sum(), share[found].sum()
+                    if len(out):                    # the words' own logs come with their counts
+                        codes[out] = [first + word_class(ws[i]) for i in out.tolist()]
+                        form -= inside[codes[out] - first].sum()
+                    rows.append((len(ws), codes.astype("<u2").tobytes(), float(base - len(ws) * total), float(form), len(found) if v.tokens else 0,
                                  [{"word": w, "n": n} for w, n in tail.items()] if v.tokens else []))
                 m = len(rows)
                 cols = list(zip(*rows))
@@ -216,10 +209,10 @@ def _blocks(batches, limit: int):
 
 # ------------------------------------------------------------------- model --
 class LogBilinear:
-    """R (one row more, the place before a text), C1 over C2, T and b."""
+    """R (one row more, the place before a text), C1 over C2, and T with b as last column."""
 
     def __init__(self, size: int, width: int = WIDTH):
-        self.shapes = {"r": (size + 1, width), "c": (2 * width, width), "t": (size, width), "b": (size,)}
+        self.shapes = {"r": (size + 1, width), "c": (2 * width, width), "t": (size, width + 1)}
         for name, shape in self.shapes.items():
             setattr(self, name, np.zeros(shape, np.float32))
 
@@ -228,8 +221,8 @@ class LogBilinear:
         self, rng = cls(len(mass)), np.random.default_rng(11)
         self.r[:] = rng.normal(0, 0.1, self.r.shape)
         self.t[:] = rng.normal(0, 0.1, self.t.shape)
+        self.t[:, -1] = np.log(mass / mass.sum())
         self.c[:] = np.concatenate([np.eye(self.c.shape[1]), 0.5 * np.eye(self.c.shape[1])])
-        self.b[:] = np.log(mass / mass.sum())
         return self
 
     def flat(self) -> np.ndarray:
@@ -259,8 +252,8 @@ class LogBilinear:
             at = fresh[i:i + rows]
             stop = fresh[i + rows] if i + rows < len(fresh) else len(own)
             lead = order[at]
-            logits = self.context(one[lead], two[lead]) @ self.t.T
-            logits += self.b
+            logits = self.context(one[lead], two[lead]) @ self.t[:, :-1].T
+            logits += self.t[:, -1]
             logits -= logits.max(axis=1, keepdims=True)
             which = np.repeat(np.arange(len(at)), np.diff(np.append(at, stop)))
             tokens = order[at[0]:stop]
@@ -277,7 +270,7 @@ class _AdaGrad:
 
     def rows(self, name: str, at: np.ndarray, grad: np.ndarray) -> None:
         """Step on the rows ``at`` (repeated ones add up)."""
-        order = np.argsort(at, kind="stable")
+        order = np.argsort(at.astype(np.uint16), kind="stable")
         own = at[order]
         cut = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
         grad, own = np.add.reduceat(grad[order], cut, axis=0), own[cut]
@@ -291,7 +284,7 @@ class _AdaGrad:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    return 0.5 + 0.5 * np.tanh(0.5 * x)
 
 
 def learn(model: LogBilinear, noise: np.ndarray, blocks, rng: np.random.Generator, rate: float = RATE) -> int:
@@ -309,15 +302,17 @@ def learn(model: LogBilinear, noise: np.ndarray, blocks, rng: np.random.Generato
             ra, rb = model.r[a], model.r[b]
             q = ra @ model.c[:d] + rb @ model.c[d:]
             ty, tf = model.t[y], model.t[fake]
-            real = _sigmoid((q * ty).sum(1) + model.b[y] - offset[y]) - 1
-            wrong = _sigmoid(q @ tf.T + model.b[fake] - offset[fake])
-            by_q = real[:, None] * ty + wrong @ tf
-            to_a, to_b = by_q @ model.c[:d].T, by_q @ model.c[d:].T
+            real = _sigmoid((q * ty[:, :-1]).sum(1) + ty[:, -1] - offset[y])[:, None] - 1
+            wrong = _sigmoid(q @ tf[:, :-1].T + (tf[:, -1] - offset[fake]))
+            by_q = real * ty[:, :-1] + wrong @ tf[:, :-1]
             by_c = np.concatenate([ra.T @ by_q, rb.T @ by_q])
-            both = np.concatenate([y, fake])
-            step.rows("t", both, np.concatenate([real[:, None] * q, wrong.T @ q]))
-            step.rows("b", both, np.concatenate([real, wrong.sum(0)]))
-            step.rows("r", np.concatenate([a, b]), np.concatenate([to_a, to_b]))
+            to_t = np.empty((len(y) + NOISE, d + 1), np.float32)
+            np.multiply(real, q, out=to_t[:len(y), :d])
+            np.matmul(wrong.T, q, out=to_t[len(y):, :d])
+            to_t[:len(y), d], to_t[len(y):, d] = real[:, 0], wrong.sum(0)
+            to_r = np.concatenate([by_q @ model.c[:d].T, by_q @ model.c[d:].T])
+            step.rows("t", np.concatenate([y, fake]), to_t)
+            step.rows("r", np.concatenate([a, b]), to_r)
             step.whole("c", by_c)
         seen += len(w)
     return seen
@@ -385,7 +380,7 @@ def scored(docs: DataFrame, held_out, symbols: int = SYMBOLS, dictionary: int =
                 part = b.slice(i, j - i)
                 total = part.column("form").to_numpy()
                 if net is not None:
-                    w, one, two, end = _contexts(part.column("ids").to_pylist(), len(net.b))
+                    w, one, two, end = _contexts(part.column("ids").to_pylist(), len(net.t))
                     upto = np.concatenate([[0.0], np.cumsum(net.log_probs(w, one, two))])
                     total = total + np.diff(upto[np.concatenate([[0], end])]) / np.log(10)
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in names[:-1]] + [pa.array(total)], names)

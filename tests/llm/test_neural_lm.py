@@ -78,7 +78,7 @@ def test_log_probs_equal_the_plain_softmax():
     w, one, two = (rng.integers(0, 8, 500).astype(np.int32) for _ in range(3))
     d = model.c.shape[1]
     for i, got in enumerate(model.log_probs(w, one, two, 3)):
-        z = (model.r[one[i]] @ model.c[:d] + model.r[two[i]] @ model.c[d:]) @ model.t.T + model.b
+        z = (model.r[one[i]] @ model.c[:d] + model.r[two[i]] @ model.c[d:]) @ model.t[:, :-1].T + model.t[:, -1]
         assert abs(got - (z[w[i]] - np.log(np.exp(z).sum()))) < 1e-4
 
 
