@@ -273,7 +273,7 @@ class _AdaGrad:
         order = np.argsort(at.astype(np.uint16), kind="stable")
         own = at[order]
         cut = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-        grad, own = np.add.reduceat(grad[order], cut, axis=0), own[cut]
+        grad, own = np.add.reduceat(grad.take(order, 0), cut, axis=0), own[cut]
         square = self.square[name]
         square[own] += grad * grad
         getattr(self.model, name)[own] -= self.rate * grad / np.sqrt(square[own])
@@ -299,10 +299,10 @@ def learn(model: LogBilinear, noise: np.ndarray, blocks, rng: np.random.Generato
             at = mixed[i:i + BATCH]
             y, a, b = w[at], one[at], two[at]
             fake = np.minimum(np.searchsorted(upto, rng.random(NOISE), "right"), len(noise) - 1)
-            ra, rb = model.r[a], model.r[b]
+            ra, rb = model.r.take(a, 0), model.r.take(b, 0)
             q = ra @ model.c[:d] + rb @ model.c[d:]
-            ty, tf = model.t[y], model.t[fake]
-            real = _sigmoid((q * ty[:, :-1]).sum(1) + ty[:, -1] - offset[y])[:, None] - 1
+            ty, tf = model.t.take(y, 0), model.t.take(fake, 0)
+            real = _sigmoid(np.einsum("ij,ij->i", q, ty[:, :-1]) + ty[:, -1] - offset[y])[:, None] - 1
             wrong = _sigmoid(q @ tf[:, :-1].T + (tf[:, -1] - offset[fake]))
             by_q = real * ty[:, :-1] + wrong @ tf[:, :-1]
             by_c = np.concatenate([ra.T @ by_q, rb.T @ by_q])
