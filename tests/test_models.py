@@ -154,3 +154,32 @@ def test_small_categories_stay_without_estimate(spark):
     r = {x.category: x for x in pr.elasticity_report(lines).collect()}
     assert r["small"].n == 3 and r["small"].ols is None and r["small"].elasticity is None and r["small"].label is None
     assert r["big"].n == 40 and r["big"].ols is not None
+
+
+def test_halving_rungs_triple_and_end_without_limit():
+    assert ch.halving_rungs(15, 300) == [(15, 20), (5, 60), (1, 300)]
+    assert ch.halving_rungs(27, 300) == [(27, 20), (9, 60), (3, 180), (1, 300)]
+    assert ch.halving_rungs(4, 10) == [(4, 10)]
+
+
+def test_search_by_halving_is_no_worse_than_full_fits(spark, monkeypatch):
+    import random
+    rnd = random.Random(5)
+    rows = []
+    for i in range(900):
+        x = [rnd.random() for _ in range(4)]
+        rows.append((i, *x, int((x[0] > 0.6) ^ (x[1] < 0.3) if rnd.random() < 0.85 else rnd.random() < 0.5)))
+    df = ch.holdout(spark.createDataFrame(rows, "customer_id long, age double, recency double, frequency double, monetary double, churn int"))
+    points = [dict(p, maxIter=25 + 5 * i, maxDepth=min(p["maxDepth"], 5)) for i, p in enumerate(ch.search_space(6))]
+    monkeypatch.setattr(ch, "search_space", lambda trials, seed=0: points)
+    monkeypatch.setattr(ch, "HALVING_TREES", 5)
+    monkeypatch.setattr(ch.halving_rungs, "__kwdefaults__", {"first": 5, "factor": 3})
+    train, test = df.where("is_train"), df.where(~F.col("is_train"))
+    got = ch.tune_churn(train, test, trials=6).orderBy("rank").collect()
+    assert [r["rank"] for r in got] == [1, 2, 3, 4, 5, 6] and got[0].rung == 3 and sum(r.rung > 1 for r in got) == 2
+    assert all(r.fitted_trees <= r.trees for r in got) and all(r.fitted_trees <= 5 for r in got if r.rung == 1)
+    full = []
+    for p in points:
+        scored = ch.score_churn(ch.train_churn(train, params={k: v for k, v in p.items()}), test)
+        full.append(ch.auc_of(scored, {"a": "churn_probability"}, "churn").first().a)
+    assert got[0].auc >= max(full) - 0.02
