@@ -442,6 +442,14 @@ def q_latency(spark, root):
     return finalize(mo.latency_percentiles(v.events(spark, root)))
 
 
+@register("latency_sliding")
+def q_latency_sliding(spark, root):
+    """N7 over sliding windows; the events come as two batches whose sketches are merged."""
+    e = v.events(spark, root)
+    late = F.pmod(F.xxhash64("ts", "event_type"), F.lit(2)) == 0
+    return finalize(mo.sliding_percentiles(mo.merged_sketches(mo.latency_sketches(e.where(~late)), mo.latency_sketches(e.where(late)))))
+
+
 @register("error_ratio")
 def q_error_ratio(spark, root):
     return finalize(mo.error_ratio(v.events(spark, root)))

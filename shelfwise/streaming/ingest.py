@@ -16,8 +16,11 @@ from __future__ import annotations
 
 import os
 import threading
+import time
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 # The reference's stream record contract.
 REQUIRED_FIELDS = ("transaction_id", "customer_id", "sku_id", "timestamp", "quantity", "total_amount")
@@ -26,6 +29,10 @@ FLOAT_FIELDS = ("total_amount", "discount_applied")
 OPTIONAL_DEFAULTS = {"discount_applied": 0.0}
 MICRO_BATCH = 100          # reference micro-batch size (records)
 
+COUNTED = ("consumed", "valid", "dlq", "undecodable")
+OBSERVED = "ingest"
+STOPPED = "the ingestion was stopped before this batch"
+
 VALID_COLUMNS = ("transaction_id", "customer_id", "sku_id", "timestamp", "quantity", "total_amount",
                  "discount_applied", "_extra")
 
@@ -105,37 +112,105 @@ def kafka_source(spark: SparkSession, bootstrap_servers: str, topic: str, *,
     return r.load().select(F.col("value").cast("string").alias("value"))
 
 
+def ingest_counts() -> list[Column]:
+    """What is counted of every micro-batch while it is written."""
+    reason = F.col("_dlq_reason")
+    return [F.count(F.lit(1)).alias("consumed"), F.count_if(reason.isNull()).alias("valid"),
+            F.count_if(reason.isNotNull()).alias("dlq"), F.count_if(reason == "JSON decode error").alias("undecodable")]
+
+
 def write_batch(decoded: DataFrame, batch_id: int, bronze_path: str, dlq_path: str, metrics_path: str,
                 query_id: str = "batch") -> None:
     """N2/N5 for one micro-batch.  Outputs land in ``query_id=<id>/batch_id=<n>``
-    folders with overwrite, so replaying a batch is idempotent."""
-    decoded = decoded.persist()
+    folders with overwrite, so replaying a batch is idempotent.  The counts are
+    observed on the rows that the first write reads; their one-row table is part of
+    the batch, so a replay rewrites it too."""
+    spark = decoded.sparkSession
+    seen = Observation(f"batch-{batch_id}")
+    decoded = decoded.persist()          # two sinks, parsed once
     try:
-        valid, dlq = split_valid(decoded)
+        valid, dlq = split_valid(decoded.observe(seen, *ingest_counts()))[0], split_valid(decoded)[1]
         part = os.path.join(f"query_id={query_id}", f"batch_id={batch_id}")
         valid.write.mode("overwrite").parquet(os.path.join(bronze_path, part))
         dlq.write.mode("overwrite").parquet(os.path.join(dlq_path, part))
-        (decoded.agg(F.count(F.lit(1)).alias("consumed"),
-                     F.count_if(F.col("_dlq_reason").isNull()).alias("valid"),
-                     F.count_if(F.col("_dlq_reason").isNotNull()).alias("dlq"),
-                     F.count_if(F.col("_dlq_reason") == "JSON decode error").alias("undecodable"))
-                .withColumn("processed_at", F.current_timestamp())
-                .write.mode("overwrite").parquet(os.path.join(metrics_path, part)))
+        counts = seen.get
+        (spark.createDataFrame([tuple(counts[c] for c in COUNTED)], ", ".join(f"{c} long" for c in COUNTED))
+              .withColumn("processed_at", F.current_timestamp())
+              .write.mode("overwrite").parquet(os.path.join(metrics_path, part)))
     finally:
         decoded.unpersist()
 
 
+class SessionCounters(StreamingQueryListener):
+    """Counts of every batch of one query, as its progress reports the metrics
+    observed on the stream; a replayed batch replaces its own entry."""
+
+    def __init__(self) -> None:
+        self.batches: dict[tuple[str, int], dict[str, int]] = {}
+        self.last_rows = time.monotonic()
+        self.changed = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        row = progress.observedMetrics.get(OBSERVED)
+        counts = {c: row[c] for c in COUNTED} if row is not None else {}
+        with self.changed:
+            if counts.get("consumed"):
+                self.batches[(str(progress.id), progress.batchId)] = counts
+                self.last_rows = time.monotonic()
+            self.changed.notify_all()
+
+    def onQueryIdle(self, event) -> None:
+        with self.changed:
+            self.changed.notify_all()
+
+    def onQueryTerminated(self, event) -> None:
+        with self.changed:
+            self.changed.notify_all()
+
+    def totals(self) -> dict[str, int]:
+        with self.changed:
+            own = list(self.batches.values())
+        return {c: sum(b[c] for b in own) for c in COUNTED} | {"batches": len(own)}
+
+
+class _Gate:
+    """Lets batches through one by one until it is shut; shutting waits for the batch
+    inside to be written."""
+
+    def __init__(self) -> None:
+        self.inside, self.shut_now = threading.Lock(), False
+
+    def __enter__(self) -> "_Gate":
+        self.inside.acquire()
+        if self.shut_now:               # nothing of this batch is written: it is replayed later
+            self.inside.release()
+            raise RuntimeError(STOPPED)
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.inside.release()
+
+    def shut(self) -> None:
+        with self.inside:
+            self.shut_now = True
+
+
 def start_ingestion(source: DataFrame, *, bronze_path: str, dlq_path: str, metrics_path: str,
-                    checkpoint: str, trigger: dict | None = None, value_col: str = "value"):
+                    checkpoint: str, trigger: dict | None = None, value_col: str = "value", gate: _Gate | None = None):
     """Start the validated ingestion query.  ``trigger`` defaults to
     ``availableNow`` (drain what is there, then stop); pass
     ``{"processingTime": "1 second"}`` for a continuous poll."""
-    decoded = decode_events(source, value_col)
-    started, query_id = threading.Event(), []
+    decoded = decode_events(source, value_col).observe(OBSERVED, *ingest_counts())
+    started, query_id, gate = threading.Event(), [], gate or _Gate()
 
     def sink(df, batch_id):
         started.wait()          # the query's id is known once start() returns
-        write_batch(df, batch_id, bronze_path, dlq_path, metrics_path, query_id[0])
+        with gate:
+            write_batch(df, batch_id, bronze_path, dlq_path, metrics_path, query_id[0])
 
     w = decoded.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
     query = w.trigger(**(trigger or {"availableNow": True})).start()
@@ -144,6 +219,67 @@ def start_ingestion(source: DataFrame, *, bronze_path: str, dlq_path: str, metri
     return query
 
 
+def ingest_within(source: DataFrame, *, max_messages: int | None = None, max_seconds: float | None = None,
+                  idle_seconds: float | None = None, trigger: dict | None = None, **paths) -> dict:
+    """Ingest until a budget is spent -- so many messages, so long, or so long
+    without one -- then stop after the running batch is written; without a budget,
+    until the query ends by itself.  Micro-batches are whole, so the last one may pass
+    the message budget.  Returns the session's totals and ``stopped`` (messages,
+    duration, idle or end).  The next session goes on from the checkpoint."""
+    spark = source.sparkSession
+    counters, gate, begun = SessionCounters(), _Gate(), time.monotonic()
+    spark.streams.addListener(counters)
+    try:
+        query = start_ingestion(source, trigger=trigger or {"processingTime": "200 milliseconds"}, gate=gate, **paths)
+
+        def spent() -> str | None:
+            if max_messages is not None and counters.totals()["consumed"] >= max_messages:
+                return "messages"
+            now = time.monotonic()
+            if max_seconds is not None and now - begun >= max_seconds:
+                return "duration"
+            status = query.status
+            if status["isDataAvailable"] or status["message"].startswith("Initializing"):
+                counters.last_rows = now        # a long batch is not idleness
+            elif idle_seconds is not None and now - counters.last_rows >= idle_seconds:
+                return "idle"
+            return None if query.isActive else "end"
+        while not (why := spent()):
+            with counters.changed:
+                counters.changed.wait(0.1)
+        if query.isActive:
+            gate.shut()                 # waits for the running batch
+            _committed(query)
+            query.stop()
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as e:
+            if STOPPED not in str(e):   # the shut gate turned a batch away
+                raise
+        _settled(counters, query)
+    finally:
+        spark.streams.removeListener(counters)
+    return counters.totals() | {"stopped": why}
+
+
+def _committed(query, seconds: float = 10.0) -> None:
+    """Wait until the written batch is in the query's progress, so that the next
+    session needn't replay it (a replay would rewrite the same files)."""
+    last, until = (query.lastProgress or {}).get("batchId"), time.monotonic() + seconds
+    while query.isActive and query.status["isTriggerActive"] and time.monotonic() < until:
+        if (query.lastProgress or {}).get("batchId") != last:
+            return
+        time.sleep(0.05)
+
+
+def _settled(counters: SessionCounters, query, seconds: float = 5.0) -> None:
+    """Progress reaches listeners on a thread of its own: wait for the last report."""
+    reported = {p["batchId"] for p in query.recentProgress if p["numInputRows"]}
+    until = time.monotonic() + seconds
+    while reported - {b for _, b in counters.batches} and time.monotonic() < until:
+        time.sleep(0.05)
+
+
 def session_stats(spark: SparkSession, metrics_path: str) -> DataFrame:
     """Consumed / valid / dlq / batches over all recorded micro-batches."""
     m = spark.read.parquet(metrics_path)

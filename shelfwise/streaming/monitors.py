@@ -6,6 +6,8 @@ series (event type = endpoint proxy), as alert rules evaluate per series.
 """
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.prefix import running_sum
@@ -170,3 +172,41 @@ def streaming_latency(events: DataFrame, *, watermark: str = "10 minutes", key:
                   F.count(F.lit(1)).alias("n"))
              .select(key, F.col("w.start").alias("window_start"), "n",
                      F.col("q")[0].alias("p50"), F.col("q")[1].alias("p95"), F.col("q")[2].alias("p99")))
+
+
+# --------------------------------------------------- sliding percentiles --
+KLL_K = 1024
+
+
+def rank_error(k: int = KLL_K) -> float:
+    """How far the rank of a returned quantile may be off, as a share of the window's
+    values (99 % confidence); up to ``k`` values the sketch is exact."""
+    return 2.296 / k ** 0.9723
+
+
+def latency_sketches(events: DataFrame, *, key: str = "event_type", value: str = "latency_ms", k: int = KLL_K) -> DataFrame:
+    """One mergeable sketch of the values per series and 30-second bucket
+    (``bucket`` counts them from the epoch).  A row per bucket, whatever the number of
+    events; sketches of other batches -- late data too -- join by ``merged_sketches``."""
+    bucket = F.floor(F.unix_timestamp(_ts()) / RATE_STEP_S).cast("long")
+    return (events.groupBy(key, bucket.alias("bucket"))
+                  .agg(F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(k)).alias("sketch")))
+
+
+def merged_sketches(*tables: DataFrame, key: str = "event_type") -> DataFrame:
+    """Sketch tables of several batches as one: equal buckets are merged."""
+    stacked = reduce(DataFrame.unionByName, tables)
+    return stacked.groupBy(key, "bucket").agg(F.sum("n").cast("long").alias("n"), F.kll_merge_agg_double("sketch").alias("sketch"))
+
+
+def sliding_percentiles(sketches: DataFrame, *, key: str = "event_type") -> DataFrame:
+    """p50/p95/p99 over trailing 5-minute windows every 30 s and the SLO flags, from
+    bucket sketches merged over the ten windows each lies in; ranks are within
+    ``rank_error`` of the exact ones (a value of the data, not interpolated)."""
+    starts = F.sequence(F.col("bucket") - (WINDOWS_PER_EVENT - 1), F.col("bucket"))
+    windows = (sketches.select(key, F.explode(starts).alias("_ws"), "n", "sketch").groupBy(key, "_ws")
+                       .agg(F.sum("n").cast("long").alias("n"), F.kll_merge_agg_double("sketch").alias("sketch")))
+    at = lambda q: F.when(F.kll_sketch_get_n_double("sketch") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(q)))
+    out = windows.select(key, F.timestamp_seconds(F.col("_ws") * RATE_STEP_S).cast("timestamp_ntz").alias("window_start"),
+                         "n", at(0.5).alias("p50"), at(0.95).alias("p95"), at(0.99).alias("p99"))
+    return out.select("*", (F.col("p95") > P95_LIMIT_MS).alias("p95_breach"), (F.col("p99") > P99_LIMIT_MS).alias("p99_breach"))
