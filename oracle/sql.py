@@ -628,6 +628,12 @@ SELECT event_type, to_timestamp((floor(epoch(ts) / 300) * 300)::DOUBLE)::TIMESTA
        quantile_cont(latency_ms, 0.95) > 500 AS p95_breach, quantile_cont(latency_ms, 0.99) > 1000 AS p99_breach
 FROM ev GROUP BY 1, 2"""
 
+# windows of up to 1,024 values: the sketches are exact there
+ORACLE["latency_sliding"] = f"WITH {_EV},\n{_SLIDE}\n" + """
+SELECT event_type, window_start, count(*) AS n, quantile_disc(latency_ms, 0.5) AS p50, quantile_disc(latency_ms, 0.95) AS p95,
+       quantile_disc(latency_ms, 0.99) AS p99, quantile_disc(latency_ms, 0.95) > 500 AS p95_breach, quantile_disc(latency_ms, 0.99) > 1000 AS p99_breach
+FROM slid GROUP BY event_type, window_start"""
+
 _ERR = f"""err AS (
   SELECT window_start, count(*) FILTER (WHERE is_error) AS errors, count(*) AS n FROM slid GROUP BY window_start)"""
 ORACLE["error_ratio"] = f"WITH {_EV},\n{_SLIDE},\n{_ERR}\n" + f"""
@@ -774,6 +780,26 @@ SELECT sku_id, strftime(max(ds), '%Y-%m-%d') AS ds, {r6('arg_max(yhat, ds)')} AS
        {r6('arg_max(yhat - 1.2816 * sigma, ds)')} AS yhat_lower, {r6('arg_max(yhat + 1.2816 * sigma, ds)')} AS yhat_upper
 FROM fc_k GROUP BY sku_id"""
 
+# trend, weekdays and yearly harmonics by Gauss-Jordan elimination on the normal equations
+_DESIGN = ("[1.0::DOUBLE, date_diff('day', first_ds, ds) / 365.25, " + ", ".join(f"(isodow(ds) = {d})::INT::DOUBLE" for d in range(2, 8))
+           + ", " + ", ".join(f"{f}(date_diff('day', DATE '1970-01-01', ds) * 2 * pi() * {h} / 365.25)" for h in (1, 2) for f in ("sin", "cos")) + "]")
+ORACLE["category_seasonal_regression"] = "WITH RECURSIVE " + with_views("transactions", "products").split("WITH ", 1)[1].rstrip() + f""",
+ser AS (SELECT category, CAST("timestamp" AS DATE) AS ds, CAST(sum(quantity) AS DOUBLE) AS y FROM transactions JOIN products USING (sku_id) GROUP BY 1, 2),
+s AS (SELECT *, min(ds) OVER (PARTITION BY category) AS first_ds, max(ds) OVER (PARTITION BY category) AS last_ds FROM ser),
+x AS (SELECT *, {_DESIGN} AS x FROM s),
+cell AS (SELECT category, i, j, sum(x[i] * CASE WHEN j = 13 THEN y ELSE x[j] END) AS v FROM x, range(1, 13) a(i), range(1, 14) b(j) GROUP BY category, i, j),
+ln AS (SELECT category, i, list(v ORDER BY j) AS r FROM cell GROUP BY category, i),
+el(category, k, m) AS (
+  SELECT category, 1, list(r ORDER BY i) FROM ln GROUP BY category
+  UNION ALL SELECT category, k + 1, list_transform(m, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda e: e / m[k][k])
+                                                                      ELSE list_transform(r, lambda e, j: e - r[k] * m[k][j] / m[k][k]) END) FROM el WHERE k <= 12),
+beta AS (SELECT category, list_transform(m, lambda r: r[13]) AS b FROM el WHERE k = 13),
+fit AS (SELECT x.category, any_value(x.first_ds) AS first_ds, any_value(x.last_ds) AS last_ds, any_value(b) AS b,
+               sqrt(sum((y - list_dot_product(x, b)) ** 2) / (count(*) - 12)) AS sigma FROM x JOIN beta ON beta.category = x.category GROUP BY x.category),
+fut AS (SELECT *, last_ds + CAST(h AS INTEGER) AS ds FROM fit, range(1, 31) t(h)),
+yh AS (SELECT category, ds, sigma, list_dot_product(b, {_DESIGN}) AS yhat FROM fut)
+SELECT category, strftime(ds, '%Y-%m-%d') AS ds, {r6('yhat')} AS yhat, {r6('yhat - 1.2816 * sigma')} AS yhat_lower, {r6('yhat + 1.2816 * sigma')} AS yhat_upper FROM yh"""
+
 ORACLE["series_index_scaled"] = _SKU_SER + f"""
 SELECT sku_id, strftime(ds, '%Y-%m-%d') AS ds, CAST(y AS BIGINT) AS y,
        CAST(row_number() OVER (PARTITION BY sku_id ORDER BY ds) - 1 AS BIGINT) AS time_idx,
@@ -957,7 +983,8 @@ FROM sm"""
 ORACLE["cross_elasticity_matrix"] = ORACLE["cross_elasticity"].rsplit("SELECT focal, competitor, n AS n_periods", 1)[0].rstrip() + f""",
 mx AS (SELECT focal, competitor, {r6('CASE WHEN n >= 20 THEN coalesce(theta, 0.0) END')} AS e FROM dml_x
        UNION ALL SELECT DISTINCT focal, focal, 0.0 FROM dml_x)
-PIVOT mx ON competitor USING first(e) GROUP BY focal"""
+SELECT focal, {", ".join(f"max(CASE WHEN competitor = '{c}' THEN e END) AS {c}" for c in ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"))}
+FROM mx GROUP BY focal"""
 
 ORACLE["fpr_gap_recency"] = f"""WITH d AS ({ORACLE['churn_training_set']}),
 p AS (SELECT CASE WHEN age < 30 THEN 'young' WHEN age > 50 THEN 'old' END AS cohort,
@@ -974,10 +1001,29 @@ ORACLE["churn_feature_matrix"] = f"""WITH d AS ({ORACLE['churn_training_set']})
 SELECT customer_id, 'age' AS feature, age AS value FROM d UNION ALL SELECT customer_id, 'recency', recency FROM d
 UNION ALL SELECT customer_id, 'frequency', frequency FROM d UNION ALL SELECT customer_id, 'monetary', monetary FROM d"""
 
-ORACLE["dq_missing_columns"] = """SELECT 'inventory' AS "table", e.kind AS expectation, e.col AS "column",
-       CAST(NULL AS BIGINT) AS failed_rows, FALSE AS success
-FROM (VALUES ('exists', 'customer_id'), ('exists', 'age'), ('exists', 'region'), ('between', 'age'),
-             ('not_null', 'customer_id'), ('unique', 'customer_id')) e(kind, col)"""
+ORACLE["dq_missing_columns"] = with_views("transactions") + """,
+u AS (SELECT count(*) AS dup FROM transactions WHERE customer_id IN (SELECT customer_id FROM transactions GROUP BY customer_id HAVING count(*) > 1))
+SELECT 'transactions' AS "table", 'exists' AS expectation, c AS "column", CAST(NULL AS BIGINT) AS failed_rows, c = 'customer_id' AS success
+FROM (VALUES ('customer_id'), ('age'), ('region')) x(c)
+UNION ALL SELECT 'transactions', 'between', 'age', NULL, FALSE
+UNION ALL SELECT 'transactions', 'not_null', 'customer_id', count(*) FILTER (WHERE customer_id IS NULL), count(*) FILTER (WHERE customer_id IS NULL) = 0 FROM transactions
+UNION ALL SELECT 'transactions', 'unique', 'customer_id', dup, dup = 0 FROM u"""
+
+# the expected fields, declared here; their JSON text is in canonical form already
+_FIELDS = {
+    "customers": "customer_id bigint, age int, gender string, segment string, region string",
+    "products": "sku_id bigint, category string, base_price decimal(12;2), cost_price decimal(12;2)",
+    "transactions": "transaction_id bigint, customer_id bigint, sku_id bigint, timestamp timestamp_ntz, quantity int, "
+                    "discount_applied decimal(4;2), total_amount decimal(15;2)",
+    "inventory": "sku_id bigint, current_stock int, reorder_point int, supplier_lead_time_days int",
+}
+_FIELD_ROWS = ", ".join(f"('{t}', {i}, '{f.split()[0]}', '{f.split()[1].replace(';', ',')}')" for t, fs in _FIELDS.items() for i, f in enumerate(fs.split(", ")))
+ORACLE["dataset_profile"] = with_views("transactions", "products", "customers", "inventory") + f""",
+f AS (SELECT t AS dataset, count(*) AS field_count, '[' || string_agg('{{"name":"' || c || '","type":"' || k || '"}}', ',' ORDER BY i) || ']' AS fields
+      FROM (VALUES {_FIELD_ROWS}) x(t, i, c, k) GROUP BY t),
+n AS (SELECT 'customers' AS dataset, count(*) AS row_count FROM customers UNION ALL SELECT 'products', count(*) FROM products
+      UNION ALL SELECT 'transactions', count(*) FROM transactions UNION ALL SELECT 'inventory', count(*) FROM inventory)
+SELECT dataset, row_count, field_count, fields, substr(sha256(fields), 1, 12) AS schema_hash FROM f JOIN n USING (dataset)"""
 
 ORACLE["dataset_sizes"] = with_views("transactions", "products", "customers", "inventory") + """
 SELECT 'customers' AS dataset, count(*) AS row_count, CAST(5 AS BIGINT) AS field_count FROM customers

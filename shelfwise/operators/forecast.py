@@ -10,12 +10,16 @@ second forecaster.
 """
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .linear import dot, gram, solve
+
 # Fixed values of the reference's forecasting setup.
 HORIZON = 30            # platform forecast horizon (days)
 Z_BAND = 1.2816         # 80 % interval
@@ -173,3 +177,40 @@ def lag_forecaster(series: DataFrame, keys: list[str], *, lookback: int = LOOKBA
     rmse = RegressionEvaluator(labelCol="label", predictionCol="yhat", metricName="rmse")
     metrics = forecast_errors(pred, "label", "yhat")
     return pred, metrics, rmse
+
+
+# ------------------------------------------------ joint seasonal regression --
+YEAR_DAYS = 365.25
+HARMONICS = 2
+
+
+def seasonal_design(ds: str, origin: str, harmonics: int = HARMONICS) -> list[Column]:
+    """Constant, trend in years since ``origin``, six weekdays against Monday, and the
+    yearly sine and cosine pairs of a day."""
+    day = F.datediff(F.col(ds), F.lit("1970-01-01").cast("date"))
+    angle = lambda h: day * F.lit(2 * math.pi * h / YEAR_DAYS)
+    return [F.lit(1.0), F.datediff(F.col(ds), F.col(origin)) / F.lit(YEAR_DAYS),
+            *[(F.weekday(ds) == d).cast("double") for d in range(1, 7)],
+            *[f(angle(h)) for h in range(1, harmonics + 1) for f in (F.sin, F.cos)]]
+
+
+def fit_seasonal_regression(series: DataFrame, keys: list[str], ds: str = "ds", y: str = "y", *, harmonics: int = HARMONICS) -> DataFrame:
+    """L2 as one regression: trend, weekdays and yearly harmonics fitted together, so
+    that none takes what belongs to another.  Per series: first and last ds, n, beta,
+    sigma.  One exchange by series; the Gram matrix is one aggregate over it, solved
+    in expressions (``linear``)."""
+    keys = _named(keys)
+    s = series.select(*keys, F.to_date(ds).alias("ds"), F.col(y).cast("double").alias("y"))
+    s = s.withColumn("first_ds", F.min("ds").over(Window.partitionBy(*keys)))
+    xs = seasonal_design("ds", "first_ds", harmonics)
+    sums = gram(s, [*keys, "first_ds"], xs, F.col("y"), [F.max("ds").alias("last_ds")])
+    model = solve(sums, len(xs))
+    sigma = F.when(F.col("n") > len(xs), F.sqrt(F.col("rss") / (F.col("n") - len(xs)))).otherwise(F.lit(0.0))
+    return model.select(*keys, "first_ds", "last_ds", "n", "beta", sigma.alias("sigma"))
+
+
+def predict_seasonal_regression(model: DataFrame, keys: list[str], *, horizon: int = HORIZON, z: float = Z_BAND, harmonics: int = HARMONICS) -> DataFrame:
+    """``horizon`` days after each series' last -> keys, ds, yhat, yhat_lower, yhat_upper."""
+    fut = model.select("*", F.explode(F.sequence(F.date_add("last_ds", 1), F.date_add("last_ds", horizon))).alias("ds"))
+    fut = fut.withColumn("yhat", dot("beta", seasonal_design("ds", "first_ds", harmonics)))
+    return fut.select(*keys, "ds", "yhat", (F.col("yhat") - F.lit(z) * F.col("sigma")).alias("yhat_lower"), (F.col("yhat") + F.lit(z) * F.col("sigma")).alias("yhat_upper"))

@@ -252,8 +252,9 @@ def q_dq_gate(spark, root):
 
 @register("dq_missing_columns")
 def q_dq_missing(spark, root):
-    """M1's failing branch: the customer suite over the inventory table."""
-    return finalize(dq.run_suite(v.inventory(spark, root), "inventory", dq.SUITES["customers"]))
+    """M1's failing branch: the customer suite over the transactions, which have the
+    customer's id but neither age nor region."""
+    return finalize(dq.run_suite(v.transactions(spark, root), "transactions", dq.SUITES["customers"]))
 
 
 @register("dataset_sizes")
@@ -612,6 +613,14 @@ def q_platform_forecast(spark, root):
     return finalize(fc.forecast(_platform_series(spark, root), ["series"], horizon=fc.HORIZON, monthly=True))
 
 
+@register("category_seasonal_regression")
+def q_category_regression(spark, root):
+    """L2 fitted jointly: 30 days ahead of every category's daily demand."""
+    t = v.transactions(spark, root).select("sku_id", F.to_date("timestamp").alias("ds"), "quantity")
+    daily = (t.join(v.products(spark, root).select("sku_id", "category"), "sku_id").groupBy("category", "ds").agg(F.sum("quantity").alias("y")))
+    return finalize(fc.predict_seasonal_regression(fc.fit_seasonal_regression(daily, ["category"]), ["category"]))
+
+
 @register("forecast_horizon_end")
 def q_horizon_end(spark, root):
     return finalize(fc.horizon_end(fc.forecast(_sku_series(spark, root), ["sku_id"], horizon=7, monthly=True), ["sku_id"]))
