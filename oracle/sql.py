@@ -544,6 +544,16 @@ ORACLE["price_elasticity"] = _REPORT + f"""
 SELECT category, n, {r6('ols')} AS ols, {r6('linear_dml')} AS linear_dml, nonlinear_dml, {r6('elasticity')} AS elasticity,
        {r6('r_squared')} AS r_squared, {r6('avg_price')} AS avg_price, {r6('avg_demand')} AS avg_demand, label
 FROM report"""
+# residuals row by row: both regressions of every fold solved by Cramer's rule on centred sums of the other folds
+ORACLE["price_elasticity_two_controls"] = with_views("transactions", "products", extra=_LINES) + f""",
+r AS (SELECT category, log_demand AS y, log_price AS t, discount AS a, CAST(month("timestamp") AS DOUBLE) AS b, (transaction_id * 7 + sku_id * 13) % 2 AS f FROM lines),
+o AS (SELECT r.category, g.f, avg(y) AS my, avg(t) AS mt, avg(a) AS ma, avg(b) AS mb, covar_pop(a, a) AS aa, covar_pop(b, b) AS bb, covar_pop(a, b) AS ab,
+             covar_pop(a, y) AS ay, covar_pop(b, y) AS yb, covar_pop(a, t) AS at_, covar_pop(b, t) AS bt FROM r, range(2) g(f) WHERE r.f <> g.f GROUP BY r.category, g.f),
+c AS (SELECT *, (ay * bb - yb * ab) / (aa * bb - ab * ab) AS y1, (yb * aa - ay * ab) / (aa * bb - ab * ab) AS y2,
+             (at_ * bb - bt * ab) / (aa * bb - ab * ab) AS t1, (bt * aa - at_ * ab) / (aa * bb - ab * ab) AS t2 FROM o),
+e AS (SELECT r.category, y - my - y1 * (a - ma) - y2 * (b - mb) AS ry, t - mt - t1 * (a - ma) - t2 * (b - mb) AS rt FROM r JOIN c ON r.category = c.category AND r.f = c.f)
+SELECT category, count(*) AS n, {r6('sum(ry * rt) / sum(rt * rt)')} AS elasticity FROM e GROUP BY category"""
+
 ORACLE["price_elasticity_focal"] = ORACLE["price_elasticity"] + " WHERE category = (SELECT min(category) FROM products)"
 
 ORACLE["elasticity_kpis"] = _REPORT + f"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import customer as cu
+from ..operators.linear import cross_fitted
 from ..sources import views as v
 from ..sources.tables import read_table
 from .catalog import finalize, register
@@ -353,6 +354,14 @@ def q_elasticity(spark, root):
     return finalize(pr.elasticity_report(_lines(spark, root)))
 
 
+@register("price_elasticity_two_controls")
+def q_elasticity_controls(spark, root):
+    """J2 with two controls: the discount and the month's place in the year."""
+    lines = _lines(spark, root).withColumn("season", F.month("timestamp").cast("double"))
+    out = cross_fitted(lines, ["category"], "log_demand", "log_price", ["discount", "season"], pr.line_fold(lines), pr.FOLDS)
+    return finalize(out.select("category", "n", F.col("theta").alias("elasticity")))
+
+
 @register("price_elasticity_focal")
 def q_elasticity_focal(spark, root):
     """The report of one category -- the first by name."""

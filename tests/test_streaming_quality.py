@@ -193,3 +193,29 @@ def test_percentiles_match_numpy_with_ties_and_nulls(spark):
     assert r.n == len(vals) + 1
     for q, x in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99)):
         assert abs(r[q] - np.quantile(vals, x)) < 1e-12
+
+
+def test_sliding_percentiles_stay_within_the_rank_bound_and_merge_late_data(spark):
+    import bisect
+    import datetime as dt
+    import random
+    rnd = random.Random(8)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(t0 + dt.timedelta(seconds=rnd.random() * 600), "a", rnd.lognormvariate(3, 1)) for _ in range(30_000)]
+    schema = "ts timestamp_ntz, event_type string, latency_ms double"
+    early, late = spark.createDataFrame(rows[:20_000], schema), spark.createDataFrame(rows[20_000:], schema)
+    k = 256
+    parts = [mo.latency_sketches(early, k=k), mo.latency_sketches(late, k=k)]
+    got = mo.sliding_percentiles(mo.merged_sketches(*parts)).collect()
+    starts = {r.window_start: r for r in got}
+    assert min(starts) == t0 - dt.timedelta(seconds=270) and len(starts) == 29
+    for start, r in starts.items():
+        own = sorted(x for ts, _, x in rows if start <= ts < start + dt.timedelta(minutes=5))
+        assert r.n == len(own)
+        for q, value in ((0.5, r.p50), (0.95, r.p95), (0.99, r.p99)):
+            low, high = bisect.bisect_left(own, value) / len(own), bisect.bisect_right(own, value) / len(own)
+            assert low - mo.rank_error(k) <= q <= high + mo.rank_error(k)
+        assert r.p95_breach == (r.p95 > 500) and r.p99_breach == (r.p99 > 1000)
+    few = spark.createDataFrame([(t0, "b", float(i)) for i in range(1, 101)] + [(t0, "c", None)], schema)
+    exact = {r.event_type: r for r in mo.sliding_percentiles(mo.latency_sketches(few)).where(F.col("window_start") == F.lit(t0)).collect()}
+    assert (exact["b"].p50, exact["b"].p95, exact["b"].p99) == (50.0, 95.0, 99.0) and exact["c"].n == 1 and exact["c"].p50 is None
