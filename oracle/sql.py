@@ -1046,3 +1046,17 @@ h AS (SELECT series, date_diff('day', (SELECT min(ds) FROM bf WHERE actual IS NO
 SELECT series, {r6('avg(mape) FILTER (WHERE NOT late)')} AS baseline_mape, {r6('avg(mape) FILTER (WHERE late)')} AS current_mape,
        avg(mape) FILTER (WHERE late) > avg(mape) FILTER (WHERE NOT late) * 1.15 AS degraded
 FROM h GROUP BY series"""
+
+_ARITHMETIC = "WITH d AS (" + ORACLE["churn_training_set"] + """),
+e AS (SELECT customer_id, feature, CAST(((customer_id * k + CAST(floor(v) AS BIGINT)) % 11 + 11) % 11 - 5 AS DOUBLE) AS attribution FROM (
+  SELECT customer_id, 'age' AS feature, 3 AS k, age AS v FROM d UNION ALL SELECT customer_id, 'recency', 4, recency FROM d
+  UNION ALL SELECT customer_id, 'frequency', 5, frequency FROM d UNION ALL SELECT customer_id, 'monetary', 6, monetary FROM d))
+"""
+ORACLE["attribution_ranks"] = _ARITHMETIC + """
+SELECT customer_id, feature, attribution, CAST(row_number() OVER (PARTITION BY customer_id ORDER BY abs(attribution) DESC, feature) AS INTEGER) AS rank FROM e"""
+ORACLE["attribution_importance"] = _ARITHMETIC + f"""
+SELECT feature, {r6('avg(abs(attribution))')} AS mean_abs_attribution FROM e GROUP BY feature ORDER BY avg(abs(attribution)) DESC, feature LIMIT 3"""
+ORACLE["risk_tiers"] = "WITH d AS (" + ORACLE["churn_training_set"] + """)
+SELECT customer_id, CASE WHEN (customer_id * 7) % 101 >= 70 THEN 'High' WHEN (customer_id * 7) % 101 >= 40 THEN 'Medium' ELSE 'Low' END AS risk_segment FROM d"""
+ORACLE["published_orders"] = """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS orders, count(*) FILTER (WHERE o_orderdate <= DATE '1997-01-01') AS with_priority,
+       CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders GROUP BY 1"""

@@ -11,12 +11,13 @@ from __future__ import annotations
 
 import math
 import random
+import uuid
 from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.exprs import elapsed_days
 from ..functions.prefix import running_sum
@@ -367,11 +368,14 @@ def attributions(df: DataFrame, *, label: str = "churn", id_col: str = "customer
     # standardised features have mean 0, so coef * (z - 0)
     entries = F.array(*[F.struct(F.lit(f).alias("feature"), (F.col("z")[i] * F.lit(coefs[i])).alias("attribution"),
                                  F.col("z")[i].alias("value")) for i, f in enumerate(FEATURES)])
-    long = zarr.select(id_col, F.explode(entries).alias("e")).select(id_col, "e.*")
-    from pyspark.sql import Window
+    return ranked(zarr.select(id_col, F.explode(entries).alias("e")).select(id_col, "e.*"), id_col)
+
+
+def ranked(attr: DataFrame, id_col: str = "customer_id") -> DataFrame:
+    """Rank of each feature within its row, largest |attribution| first."""
+    # one partition per entity with as many rows as features: bounded
     w = Window.partitionBy(id_col).orderBy(F.abs("attribution").desc(), "feature")
-    # one partition per entity with len(FEATURES) rows: bounded
-    return long.withColumn("rank", F.row_number().over(w))
+    return attr.withColumn("rank", F.row_number().over(w))
 
 
 def global_importance(attr: DataFrame, top: int = 10) -> DataFrame:
@@ -380,6 +384,27 @@ def global_importance(attr: DataFrame, top: int = 10) -> DataFrame:
         .orderBy(F.col("mean_abs_attribution").desc(), "feature").limit(top)
 
 
+def tree_importance(model, names: tuple[str, ...] = FEATURES, *, per_tree: bool = False) -> DataFrame:
+    """Impurity importance of a fitted tree ensemble from its node table -> feature,
+    splits, importance (sum 1).  The saved model's nodes are read as a DataFrame; a
+    split's gain counts by the rows that reached it.  Boosted trees add their gains up;
+    with ``per_tree`` (forests) every tree's gains sum to one first."""
+    from ..session import checkpoint_dir
+    from pyspark.sql import SparkSession
+    spark = SparkSession.active()
+    path = f"{checkpoint_dir(spark)}/trees-{uuid.uuid4().hex}"
+    model.write().save(path)
+    node = spark.read.parquet(f"{path}/data").select(F.col("treeID").alias("tree"), "nodeData.*").where(F.col("split.featureIndex") >= 0)
+    gains = node.groupBy("tree", F.col("split.featureIndex").alias("i")).agg(F.count(F.lit(1)).alias("splits"), F.sum(F.col("gain") * F.col("rawCount")).alias("gain"))
+    # a tree has at most one row per feature here
+    whole = F.sum("gain").over(Window.partitionBy("tree")) if per_tree else F.lit(1.0)
+    share = gains.withColumn("share", F.col("gain") / F.nullif(whole, F.lit(0.0)))
+    total = share.groupBy("i").agg(F.sum("splits").alias("splits"), F.sum("share").alias("share"))
+    every = F.sum("share").over(Window.partitionBy())      # a row per feature
+    labels = F.array(*[F.lit(n) for n in names])
+    return total.select(F.get(labels, F.col("i")).alias("feature"), "splits", (F.col("share") / every).alias("importance"))
+
+
 def feature_map(names: list[str], values: list[Column]) -> Column:
     """{feature: value} map column."""
     return F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*values))

@@ -791,6 +791,56 @@ def q_churn_attr(spark, root):
     return ch.attributions(_churn_data(spark, root))
 
 
+@register("churn_tree_importance")
+def q_churn_trees(spark, root):
+    """Gain of every feature in the fitted trees, beside the attributions."""
+    return ch.tree_importance(ch.train_churn(_churn_data(spark, root)))
+
+
+def _arithmetic_attributions(spark, root):
+    """Attributions by arithmetic on the features, in place of a model's."""
+    d = _churn_data(spark, root)
+    parts = F.array(*[F.struct(F.lit(f).alias("feature"), (F.pmod(F.col("customer_id") * (i + 3) + F.floor(F.col(f)).cast("long"), F.lit(11)) - 5).cast("double").alias("attribution"))
+                      for i, f in enumerate(ch.FEATURES)])
+    return ch.ranked(d.select("customer_id", F.explode(parts).alias("e")).select("customer_id", "e.*"))
+
+
+@register("attribution_ranks")
+def q_attribution_ranks(spark, root):
+    """E10 on arithmetic attributions."""
+    return finalize(_arithmetic_attributions(spark, root))
+
+
+@register("attribution_importance")
+def q_attribution_importance(spark, root):
+    """F4 on arithmetic attributions: the top three features."""
+    return finalize(ch.global_importance(_arithmetic_attributions(spark, root), 3))
+
+
+@register("risk_tiers")
+def q_risk_tiers(spark, root):
+    """B13 over an arithmetic score of every customer, both limits met."""
+    d = _churn_data(spark, root).withColumn("p", F.pmod(F.col("customer_id") * 7, F.lit(101)) / F.lit(100.0))
+    return finalize(d.select("customer_id", ch.risk_tier("p").alias("risk_segment")))
+
+
+@register("published_orders")
+def q_published(spark, root):
+    """Orders loaded in three increments, each published with its mark (one
+    repeated, so it finds nothing new; the last without a priority), read back as one."""
+    import uuid
+
+    from ..session import checkpoint_dir
+    from ..sources import ingest as ig
+    o = read_table(spark, root, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
+    base = f"{checkpoint_dir(spark)}/published-{uuid.uuid4().hex}"
+    for upto in ("1995-01-01", "1995-01-01", "1997-01-01"):
+        ig.load_published(o.where(F.col("o_orderdate") <= F.lit(upto).cast("date")), base, "orders", "o_orderdate")
+    ig.load_published(o.drop("o_orderpriority"), base, "orders", "o_orderdate")
+    return finalize(ig.read_published(spark, base, "orders").groupBy(F.year("o_orderdate").alias("year"))
+                    .agg(F.count(F.lit(1)).alias("orders"), F.count("o_orderpriority").alias("with_priority"), F.sum("o_orderkey").alias("keys")))
+
+
 @register("churn_global_importance")
 def q_churn_importance(spark, root):
     return ch.global_importance(ch.attributions(_churn_data(spark, root)))

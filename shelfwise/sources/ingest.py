@@ -104,6 +104,69 @@ def ingest_incremental(spark: SparkSession, path: str, table: str, ts_col: str,
     return incremental(df, ts_col, read_mark(spark, state_dir, table))
 
 
+# ------------------------------------------------------ published versions --
+# A table is a folder of data folders and one of records; a record is a single row in a
+# single file that Spark's commit renames into place.  Rows and mark become visible
+# together with it, and readers use only folders that a record names.
+_RECORD = "n long, folder string, kind string, mark string, row_count long"
+
+
+def _records(spark: SparkSession, root: str, table: str) -> list:
+    """The table's records in order; one row per load, whatever the rows loaded."""
+    try:
+        return spark.read.schema(_RECORD).parquet(os.path.join(root, table, "records")).orderBy("n").collect()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+
+
+def published_mark(spark: SparkSession, root: str, table: str) -> str | None:
+    """The newest published record's mark (text form) or None before the first load."""
+    marks = [r["mark"] for r in _records(spark, root, table) if r["mark"] is not None]
+    return marks[-1] if marks else None
+
+
+def publish(spark: SparkSession, root: str, table: str, n: int, folder: str, kind: str, mark: str | None, rows: int) -> None:
+    """Make a written folder part of the table.  Load ``n`` exists once: a second writer
+    of the same number fails instead of publishing beside the first."""
+    record = spark.createDataFrame([(n, folder, kind, mark, rows)], _RECORD)
+    record.coalesce(1).write.mode("errorifexists").parquet(os.path.join(root, table, "records", f"load={n:012d}"))
+
+
+def load_published(source: DataFrame, root: str, table: str, ts_col: str | None = None, *, kind: str = "append") -> dict:
+    """Write the rows of ``source`` newer than the table's mark and publish rows
+    and mark by one record -> {"n", "folder", "mark", "rows"}.  A load that dies before
+    its record leaves a folder that nothing names: the next one loads the same rows
+    again, and they are there once.  ``kind="replace"`` publishes a full new version."""
+    spark = source.sparkSession
+    records = _records(spark, root, table)
+    old = next((r["mark"] for r in reversed(records) if r["mark"] is not None), None) if kind == "append" else None
+    new = source
+    if ts_col is not None and old is not None:
+        new = source.where(F.col(ts_col) > F.lit(old).cast(source.schema[ts_col].dataType))
+    n = (records[-1]["n"] if records else 0) + 1
+    folder = os.path.join(root, table, "data", f"v={uuid.uuid4().hex}")
+    new.write.parquet(folder)
+    wrote = spark.read.schema(source.schema).parquet(folder)
+    # what was written, not what the source holds by now
+    top = F.max(ts_col).cast("string") if ts_col is not None else F.lit(None).cast("string")
+    got = wrote.agg(top.alias("mark"), F.count(F.lit(1)).alias("rows")).first()
+    mark = got["mark"] if got["mark"] is not None else old
+    publish(spark, root, table, n, folder, kind, mark, got["rows"])
+    return {"n": n, "folder": folder, "mark": mark, "rows": got["rows"]}
+
+
+def read_published(spark: SparkSession, root: str, table: str, *, upto: int | None = None) -> DataFrame:
+    """The table as published: the newest full version and the loads since, or as it
+    was after load ``upto``."""
+    records = [r for r in _records(spark, root, table) if upto is None or r["n"] <= upto]
+    if not records:
+        raise FileNotFoundError(f"{table}: nothing published under {root}")
+    first = max((i for i, r in enumerate(records) if r["kind"] == "replace"), default=0)
+    return spark.read.option("mergeSchema", True).parquet(*[r["folder"] for r in records[first:]])
+
+
 # ------------------------------------------------------------------ sinks --
 def write_bronze(df: DataFrame, root: str, table: str, *, version: str | None = None) -> str:
     """A5: write a new versioned directory (a job never overwrites the path

@@ -183,3 +183,21 @@ def test_search_by_halving_is_no_worse_than_full_fits(spark, monkeypatch):
         scored = ch.score_churn(ch.train_churn(train, params={k: v for k, v in p.items()}), test)
         full.append(ch.auc_of(scored, {"a": "churn_probability"}, "churn").first().a)
     assert got[0].auc >= max(full) - 0.02
+
+
+def test_tree_importance_equals_the_models_own(spark):
+    import random
+    rnd = random.Random(1)
+    rows = [(i, *(x := [rnd.random() for _ in range(4)]), int(x[2] + 0.3 * x[0] + 0.2 * rnd.random() > 0.8)) for i in range(400)]
+    df = spark.createDataFrame(rows, "customer_id long, age double, recency double, frequency double, monetary double, churn int")
+    model = ch.train_churn(df, params=dict(maxIter=6, maxDepth=4, stepSize=0.1))
+    got = {r.feature: r.importance for r in ch.tree_importance(model).collect()}
+    want = model.featureImportances.toArray()
+    assert abs(sum(got.values()) - 1) < 1e-9
+    for name, w in zip(ch.FEATURES, want):
+        assert abs(got.get(name, 0.0) - w) < 1e-9
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+    forest = RandomForestClassifier(labelCol="churn", numTrees=5, maxDepth=4, seed=2).fit(VectorAssembler(inputCols=list(ch.FEATURES), outputCol="features").transform(df))
+    got = {r.feature: r.importance for r in ch.tree_importance(forest, per_tree=True).collect()}
+    assert all(abs(got.get(n, 0.0) - w) < 1e-9 for n, w in zip(ch.FEATURES, forest.featureImportances.toArray()))

@@ -164,3 +164,38 @@ def test_cluster_without_shared_folder_is_an_error():
     cluster = SimpleNamespace(conf=SimpleNamespace(get=conf.get), sparkContext=SimpleNamespace(getCheckpointDir=lambda: None))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_dir(cluster)
+
+
+def test_a_crash_between_rows_and_mark_loads_no_row_twice(spark, monkeypatch):
+    root = tempfile.mkdtemp(prefix="shelfwise-pub-")
+    day = lambda d: dt.datetime(2024, 1, d)
+    src = lambda last: spark.createDataFrame([(i, day(i)) for i in range(1, last + 1)], "id long, ts timestamp_ntz")
+    assert ig.published_mark(spark, root, "t") is None
+    first = ig.load_published(src(3), root, "t", "ts")
+    assert (first["n"], first["rows"]) == (1, 3)
+    ids = lambda **kw: sorted(r.id for r in ig.read_published(spark, root, "t", **kw).collect())
+
+    def dies(*a, **kw):
+        raise RuntimeError("lost driver")
+    with monkeypatch.context() as m:
+        m.setattr(ig, "publish", dies)
+        for _ in range(2):
+            try:
+                ig.load_published(src(5), root, "t", "ts")
+            except RuntimeError:
+                pass
+    assert ids() == [1, 2, 3]                                       # orphan folders are not the table's
+    assert ig.published_mark(spark, root, "t") == first["mark"]
+    again = ig.load_published(src(6), root, "t", "ts")
+    assert (again["n"], again["rows"]) == (2, 3) and ids() == [1, 2, 3, 4, 5, 6]
+    empty = ig.load_published(src(6), root, "t", "ts")              # nothing new: the mark stays
+    assert empty["rows"] == 0 and ids() == [1, 2, 3, 4, 5, 6] and empty["mark"] == again["mark"]
+    ig.load_published(src(2), root, "t", "ts", kind="replace")      # a full new version, read as the newest
+    assert ids() == [1, 2] and ids(upto=2) == [1, 2, 3, 4, 5, 6]
+    assert ig.load_published(src(4), root, "t", "ts")["rows"] == 2 and ids() == [1, 2, 3, 4]
+    from pyspark.errors import AnalysisException
+    try:
+        ig.publish(spark, root, "t", 1, "x", "append", None, 0)
+        raise AssertionError("a load number was published twice")
+    except AnalysisException:
+        pass
