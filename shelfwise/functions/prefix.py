@@ -26,15 +26,17 @@ def _ranged(df: DataFrame, order_cols: list, num_partitions: int | None) -> Data
 
 
 def running_sum(df: DataFrame, order_cols: list, value_col, out_col,
-                num_partitions: int | None = None, lead_col=None, lead_out=None) -> DataFrame:
+                num_partitions: int | None = None, lead_col=None, lead_out=None, total_out=None) -> DataFrame:
     """Inclusive running sums of integral or double columns in the total order
     given by ``order_cols`` (which must break all ties).  ``value_col`` and
     ``out_col`` are a name or equally long lists of names.  Returns ``df`` plus
     the output columns (long for integral inputs, double otherwise).  With
     ``lead_col`` (name or list), ``lead_out`` holds the next row's values in
-    the same global order (NULL after the last row)."""
+    the same global order (NULL after the last row).  ``total_out`` (name or list)
+    adds the sums over all rows, from the ranges' totals: no second pass."""
     vals = [value_col] if isinstance(value_col, str) else list(value_col)
     outs = [out_col] if isinstance(out_col, str) else list(out_col)
+    totals = [] if total_out is None else ([total_out] if isinstance(total_out, str) else list(total_out))
     leads = [] if lead_col is None else ([lead_col] if isinstance(lead_col, str) else list(lead_col))
     louts = [] if not leads else ([lead_out] if isinstance(lead_out, str) else list(lead_out))
     zero = [F.lit(0).cast("bigint" if isinstance(df.schema[v].dataType, _INTEGRAL) else "double") for v in vals]
@@ -51,10 +53,13 @@ def running_sum(df: DataFrame, order_cols: list, value_col, out_col,
                                          *[F.min_by(F.struct(c), "_nth").alias(f"_head{i}") for i, c in enumerate(leads)])
     by_range = W.orderBy("_range")
     before = by_range.rowsBetween(W.unboundedPreceding, -1)
+    every = by_range.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     ranges = ranges.select("_range", *[F.coalesce(F.sum(f"_total{j}").over(before), z).alias(f"_before{j}") for j, z in enumerate(zero)],
+                           *[F.sum(f"_total{j}").over(every).alias(f"_all{j}") for j in range(len(totals))],
                            *[F.lead(f"_head{i}").over(by_range).alias(f"_after{i}") for i in range(len(leads))])
     out = local.join(ranges, "_range")
     return out.select(*df.columns, *[(F.col(f"_local{j}") + F.col(f"_before{j}")).alias(o) for j, o in enumerate(outs)],
+                      *[F.col(f"_all{j}").alias(o) for j, o in enumerate(totals)],
                       *[F.coalesce(f"_next{i}", f"_after{i}")[c].alias(lo) for i, (c, lo) in enumerate(zip(leads, louts))])
 
 

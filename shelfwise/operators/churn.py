@@ -183,9 +183,8 @@ def precision_top(scored: DataFrame, score: str, label: str, id_col: str, frac:
     ranked with a distributed running count."""
     ones = scored.select(F.col(score).alias("_s"), F.col(id_col).alias("_id"), F.col(label).alias("_y"),
                          F.lit(1).cast("long").alias("_one"))
-    ranked = running_sum(ones, [F.col("_s").desc(), F.col("_id").asc()], "_one", "_rank")
-    n = scored.select(F.count(F.lit(1))).scalar()
-    k = F.ceil(n * F.lit(frac))
+    ranked = running_sum(ones, [F.col("_s").desc(), F.col("_id").asc()], "_one", "_rank", total_out="_n")
+    k = F.ceil(F.col("_n") * F.lit(frac))
     return ranked.where(F.col("_rank") <= k).agg(F.avg(F.col("_y").cast("double")).alias("precision_top"),
                                                  F.count(F.lit(1)).alias("n_top"))
 

@@ -136,9 +136,8 @@ def pareto_share(sku_rev: DataFrame, top_frac: float = 0.2) -> DataFrame:
     """Revenue share of the top ``top_frac`` of SKUs by revenue.  Ranks are
     a distributed running count, so no single-partition window is needed."""
     ones = sku_rev.withColumn("_one", F.lit(1).cast("long"))
-    ranked = running_sum(ones, [F.col("revenue").desc(), F.col("sku_id").asc()], "_one", "rank")
-    n = sku_rev.select(F.count(F.lit(1))).scalar()
-    cutoff = F.ceil(n * F.lit(top_frac))
+    ranked = running_sum(ones, [F.col("revenue").desc(), F.col("sku_id").asc()], "_one", "rank", total_out="_n")
+    cutoff = F.ceil(F.col("_n") * F.lit(top_frac))
     return ranked.agg(
         F.sum(F.when(F.col("rank") <= cutoff, F.col("revenue"))).alias("_top"),
         F.sum("revenue").alias("_all"),

@@ -62,9 +62,8 @@ def abc_classes(txns: DataFrame | None, *, a: str = ABC_A, b: str = ABC_B,
     already computed (sku_id, revenue) table."""
     rev = (sku_revenue(txns) if revenue is None else revenue) \
         .withColumn("_cents", (F.col("revenue") * 100).cast("long"))
-    cum = running_sum(rev, [F.col("revenue").desc(), F.col("sku_id").asc()], "_cents", "_cum")
-    total = rev.select(F.sum("_cents")).scalar()
-    cumd, totd = F.col("_cum").cast("decimal(19,0)"), total.cast("decimal(19,0)")
+    cum = running_sum(rev, [F.col("revenue").desc(), F.col("sku_id").asc()], "_cents", "_cum", total_out="_total")
+    cumd, totd = F.col("_cum").cast("decimal(19,0)"), F.col("_total").cast("decimal(19,0)")
     share = cumd / totd
     upto = lambda bound: cumd <= totd * F.lit(bound).cast("decimal(9,8)")
     cls = F.when(upto(a), "A").when(upto(b), "B").otherwise("C")
@@ -87,21 +86,23 @@ def safety_stock(demand_std: Column, *, z=Z_SCORE, lead=LEAD_DAYS) -> Column:
 
 def inventory_report(products: DataFrame, inventory: DataFrame, txns: DataFrame, *,
                      as_of=None, lead_days: int | None = LEAD_DAYS, z: float = Z_SCORE,
-                     order_cost: float = ORDER_COST, hold_rate: float = HOLDING_RATE) -> DataFrame:
+                     order_cost: float = ORDER_COST, hold_rate: float = HOLDING_RATE, classes: bool = True) -> DataFrame:
     """One row per SKU with reorder quantity, safety stock, reorder point,
     stockout risk, days of supply, ABC class and dead-stock flag.
 
     ``lead_days=None`` uses each SKU's own supplier_lead_time_days instead of
     the fixed 7 days.  ``as_of`` (default: latest transaction) replaces the
-    wall clock for dead-stock ageing.
+    wall clock for dead-stock ageing.  Without ``classes`` there is no ABC ranking and
+    no column for it.
     """
     daily = _sku_days(txns)
     ref = daily.select(F.max("last_ts")).scalar() if as_of is None \
         else F.lit(as_of).cast("timestamp_ntz")
     base = (products.select("sku_id", "cost_price")
             .join(inventory.select("sku_id", "current_stock", "supplier_lead_time_days"), "sku_id", "left")
-            .join(_sales(daily), "sku_id", "left"))
-    return _decisions(base, ref, lead_days=lead_days, z=z, order_cost=order_cost, hold_rate=hold_rate)
+            .join(_sales(daily) if classes else demand_stats(None, daily=daily).withColumn("abc_class", F.lit(None).cast("string")), "sku_id", "left"))
+    out = _decisions(base, ref, lead_days=lead_days, z=z, order_cost=order_cost, hold_rate=hold_rate)
+    return out if classes else out.drop("abc_class")
 
 
 def _sku_days(txns: DataFrame) -> DataFrame:
@@ -160,6 +161,12 @@ def inventory_kpis(report: DataFrame) -> DataFrame:
                       F.avg("days_of_supply").alias("avg_days_of_supply"))
 
 
+def abc_membership(products: DataFrame, txns: DataFrame) -> DataFrame:
+    """(sku_id, abc_class) of every product; unsold ones are C."""
+    return (products.select("sku_id").join(abc_classes(txns).select("sku_id", "abc_class"), "sku_id", "left")
+                    .select("sku_id", F.coalesce("abc_class", F.lit("C")).alias("abc_class")))
+
+
 def abc_summary(report: DataFrame) -> DataFrame:
     """SKUs per ABC class.  Membership stays the keyed (sku_id, abc_class)
     report; a single joined string of all members would grow with the catalog."""

@@ -115,12 +115,12 @@ def q_inventory_report_lead(spark, root):
 
 @register("inventory_kpis")
 def q_inventory_kpis(spark, root):
-    return finalize(inv.inventory_kpis(_report(spark, root)))
+    return finalize(inv.inventory_kpis(inv.inventory_report(v.products(spark, root), v.inventory(spark, root), v.transactions(spark, root), classes=False)))
 
 
 @register("abc_summary")
 def q_abc_summary(spark, root):
-    return finalize(inv.abc_summary(_report(spark, root)))
+    return finalize(inv.abc_summary(inv.abc_membership(v.products(spark, root), v.transactions(spark, root))))
 
 
 @register("sales_velocity")
