@@ -53,14 +53,17 @@ def request_rate(events: DataFrame, *, key: str = "event_type") -> DataFrame:
     """Requests per second over trailing 5-minute windows every 30 s, from a
     series' first window to the last window of any series; idle windows have
     rate 0.  The spine of windows grows with the time span, not with the events."""
-    c = _sliding_counts(events, [key], {"n": F.count(F.lit(1))})
-    last = c.select(F.max("window_start")).scalar()
-    spine = (c.groupBy(key).agg(F.min("window_start").alias("_first"))
-              .select(key, F.explode(F.sequence("_first", last, F.make_dt_interval(secs=F.lit(RATE_STEP_S)))).alias("window_start")))
-    n = F.coalesce("n", F.lit(0).cast("long"))
-    return (spine.join(c.select(key, "window_start", "n"), [key, "window_start"], "left")
-                 .select(key, "window_start", (F.col("window_start") + F.make_dt_interval(secs=F.lit(RATE_WINDOW_S))).alias("window_end"),
-                         n.alias("n"), (n / F.lit(RATE_WINDOW_S)).alias("rate")))
+    bucket = F.floor(F.unix_timestamp(_ts()) / RATE_STEP_S)
+    per = events.groupBy(key, bucket.alias("_bk")).agg(F.count(F.lit(1)).alias("n"))
+    # both ends of the spine from the bucket counts, whose exchange all three readers share
+    last = per.select(F.max("_bk")).scalar()
+    spine = (per.groupBy(key).agg((F.min("_bk") - (WINDOWS_PER_EVENT - 1)).alias("_first"))
+                .select(key, F.explode(F.sequence("_first", last)).alias("_ws"), F.lit(0).cast("long").alias("n")))
+    held = per.select(key, F.explode(F.sequence(F.col("_bk") - (WINDOWS_PER_EVENT - 1), F.col("_bk"))).alias("_ws"), "n")
+    out = spine.unionByName(held).groupBy(key, "_ws").agg(F.sum("n").alias("n"))
+    start = F.timestamp_seconds(F.col("_ws") * RATE_STEP_S).cast("timestamp_ntz")
+    end = F.timestamp_seconds(F.col("_ws") * RATE_STEP_S + RATE_WINDOW_S).cast("timestamp_ntz")
+    return out.select(key, start.alias("window_start"), end.alias("window_end"), "n", (F.col("n") / F.lit(RATE_WINDOW_S)).alias("rate"))
 
 
 def latency_percentiles(events: DataFrame, *, key: str = "event_type", value: str = "latency_ms") -> DataFrame:
