@@ -18,8 +18,8 @@ min-label rounds with pointer jumping join the buckets' links into components.
 
 Defined cases: null and empty texts have fingerprint zero and link like any
 other; repeated rows of one doc_id come back as often as they came in; a null
-doc_id has its fingerprint but never names a component while an id is there;
-an empty table gives an empty result; other input columns are ignored.
+doc_id has its fingerprint but never names a component while an id is there; one
+row of a component is kept, whatever ids its rows share; an empty table gives an empty result; other input columns are ignored.
 """
 from __future__ import annotations
 
@@ -57,14 +57,16 @@ def fingerprint(text: bytes, k: int = SHINGLE) -> int:
     return int(np.packbits(ones * 2 > len(h)).view(">u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the fingerprint's 64 bits as a signed long)."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, fp (the fingerprint's 64 bits as a signed long) and the ``carried``
+    columns of type long."""
     def run(batches):
         for b in batches:
             text = text_column(b.column("text"))
             fp = [fingerprint(t.encode(), shingle) for at in range(0, len(text), 256) for t in text.slice(at, 256).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(np.array(fp, U64).view(np.int64))], ["doc_id", "fp"])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(np.array(fp, U64).view(np.int64)), *[b.column(c) for c in carried]], ["doc_id", "fp", *carried])
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carried)
+    return rows.mapInArrow(run, ", ".join(["doc_id long, fp long", *[f"{c} long" for c in carried]]))
 
 
 def popcount(x: np.ndarray) -> np.ndarray:
@@ -252,8 +254,16 @@ def components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS
     return own.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def deduplicated(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names its component (one document of
-    each group, the smallest id; rows without an id are kept)."""
-    drop = components(docs, shingle, max_bits).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
+def deduplicated(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """One row of every component of ``docs``: the one of the smallest doc_id (null
+    ids last), of several such the smallest hash of the text, then the first row.  Rows
+    go, not ids: another text of a dropped row's id stays, equal rows leave one.  Rows are
+    named by their place in ``docs``, which must read alike twice (a stored table)."""
+    spark, names = docs.sparkSession, docs.columns
+    placed = docs.withColumn("_row", F.monotonically_increasing_id())
+    own = saved(spark, fingerprints(placed.withColumn("_hash", F.xxhash64(F.col("text").cast("string"))), shingle, ("_hash", "_row")), "simhash")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_hash", "_row"))
+    named = _labelled(own, max_bits, bucket_rows)
+    # copies meet in a map-side minimum, then one row per fingerprint meets its component's
+    best = own.groupBy("fp").agg(least.alias("best")).join(named, "fp").groupBy("label").agg(F.min("best").alias("best"))
+    return placed.join(best.select(F.col("best._row").alias("_row")), "_row", "left_semi").select(*names)

@@ -126,3 +126,18 @@ def test_linked_null_and_repeated_ids_beside_other_components(spark, make_docs):
         ids, texts = zip(*rows)
         got = sorted(((r.doc_id, r.component_id) for r in simhash.components(make_docs(texts, ids)).collect()), key=str)
         assert got == row_components(rows)
+
+
+def test_one_row_of_each_component_stays_and_other_rows_of_its_id_too(spark, make_docs, tmp_path):
+    near = " ".join(f"word{i}" for i in range(200))
+    other = " ".join(f"thing{i * i}" for i in range(150))
+    lone = " ".join(f"lone{i * 7}" for i in range(120))
+    rows = [(1, near), (1, near), (7, near), (7, other), (None, lone), (None, lone), (9, near + " more"), (None, other), (3, None), (2, ""), (None, None)]
+    path = str(tmp_path / "docs")
+    make_docs([t for _, t in rows], [i for i, _ in rows]).repartition(3).write.parquet(path)
+    docs = spark.read.parquet(path)
+    kept = simhash.deduplicated(docs)
+    assert kept.columns == docs.columns
+    # one of two equal rows of id 1; id 7 loses its copy but not its own text; one of two equal null ids; smallest id of the empty texts
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(1, near), (7, other), (None, lone), (2, "")], key=str)
+    assert simhash.deduplicated(spark.read.schema(docs.schema).parquet(path).limit(0)).count() == 0
