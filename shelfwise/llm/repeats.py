@@ -1,11 +1,12 @@
 """Suffix-array dedup: cut every byte covered by a string of ``length`` bytes
 that also starts in a document with a smaller doc_id, keeping first copies.
 
-Longest-previous-factor by suffix order: among the suffixes that begin with the
-same ``length`` bytes (neighbours in suffix order whose common prefixes reach
-that far) one has an earlier match when the previous or the next smaller document
-in that order lies within the run, that is when its document isn't the run's
-smallest.
+A bucket's suffixes are sorted, to a depth of ``length`` bytes, and get the
+common prefix with their neighbour.  The longest previous factor of a suffix is
+the longest prefix that a suffix of a smaller document shares; the previous and
+the next smaller position (the nearest suffixes of smaller documents on either
+side) have it, and the least common prefix on the way there is its length.  A
+string has an earlier match where its suffix's factor reaches ``length``.
 
 Strings are dealt out by their minimizer, the seed of ``seed`` bytes with the
 least hash within the string: equal strings have the same one at the same place.
@@ -123,22 +124,59 @@ def _least(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return keys, inverse, least
 
 
-def smallest_owner(rows: np.ndarray, strings: np.ndarray, doc: np.ndarray, length: int) -> np.ndarray:
-    """(pieces, most strings) smallest document of every string of the pieces,
-    by sorting their suffixes."""
-    most = rows.shape[1] - length + 1
-    piece, at = np.nonzero(np.arange(most) < strings[:, None])
-    text = np.lib.stride_tricks.sliding_window_view(rows, length, axis=1)[piece, at]
-    words = -(-length // 8) * 8
-    keys = np.zeros((len(text), words), np.uint8)
+def _toward_smaller(common: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """What every suffix has in common with the previous one of a smaller
+    document (0: none), where ``common`` is that with the suffix before it.
+    All step at once past documents that aren't smaller: what the one before
+    stepped past isn't smaller either."""
+    before, least = np.arange(len(doc)) - 1, common.copy()
+    least[:1] = 0
+    todo = np.flatnonzero(least > 0)
+    while True:
+        todo = todo[doc[before[todo]] >= doc[todo]]
+        if not len(todo):
+            return least
+        via = before[todo]
+        least[todo], before[todo] = np.minimum(least[todo], least[via]), before[via]
+        todo = todo[least[todo] > 0]
+
+
+def previous_factors(common: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Longest previous factor of every suffix: the longest prefix that one of a
+    smaller document shares.  Of these the previous and the next in suffix order
+    have most in common with it."""
+    back = np.append(0, common[:0:-1])                 # the same array read from the end
+    return np.maximum(_toward_smaller(common, doc), _toward_smaller(back, doc[::-1])[::-1]) if len(doc) else common
+
+
+def suffix_order(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, bytes in common with the one before in that order) of equally long rows."""
+    n, length = text.shape
+    keys = np.zeros((n, -(-length // 8) * 8), np.uint8)
     keys[:, :length] = text
     keys = keys.view(">u8").astype(U64)
-    order = np.lexsort(keys.T[::-1])                   # suffix order to the depth asked for
-    new = np.ones(len(order), bool)                    # common prefix with the one before is shorter
-    new[1:] = (keys[order[1:]] != keys[order[:-1]]).any(1)
-    least = np.minimum.reduceat(doc[piece][order], np.flatnonzero(new)) if len(order) else np.zeros(0, np.int64)
-    out = np.full((len(rows), most), _LAST)
-    out[piece[order], at[order]] = least[np.cumsum(new) - 1]
+    order = np.lexsort(keys.T[::-1])
+    keys = keys[order]
+    differ = keys[1:] ^ keys[:-1]
+    word = (differ != 0).argmax(1)
+    rest = differ[np.arange(len(word)), word]
+    common = np.zeros(n, np.int64)
+    common[1:] = 8 * word
+    for bit in range(8, 64, 8):
+        common[1:] += rest < U64(1) << U64(bit)        # zero bytes before the first that differs
+    common[1:][rest == 0] = length
+    return order, common
+
+
+def earlier(rows: np.ndarray, strings: np.ndarray, doc: np.ndarray, length: int) -> np.ndarray:
+    """(pieces, most strings) whether a piece of a smaller document has the string:
+    the longest previous factor of its suffix reaches ``length``."""
+    most = rows.shape[1] - length + 1
+    piece, at = np.nonzero(np.arange(most) < strings[:, None])
+    order, common = suffix_order(np.lib.stride_tricks.sliding_window_view(rows, length, axis=1)[piece, at])
+    piece, at = piece[order], at[order]
+    out = np.zeros((len(rows), most), bool)
+    out[piece, at] = previous_factors(common, doc[piece]) >= length
     return out
 
 
@@ -241,7 +279,7 @@ def _answer(length: int, seed: int):
         first[inverse] = np.arange(len(inverse))
         own_seed = seeds[first]
         _, by_seed, times = np.unique(own_seed, return_inverse=True, return_counts=True)
-        owner = np.repeat(least[:, None], length - seed + 1, axis=1)
+        had = np.zeros((len(names), length - seed + 1), bool)
         # pieces that differ but share a minimizer may share strings: sort their suffixes,
         # whole minimizers at a time
         several = np.flatnonzero(times[by_seed] > 1)
@@ -252,12 +290,13 @@ def _answer(length: int, seed: int):
             later = edge[edge >= a + 20_000]
             b = int(later[0]) if len(later) else len(several)
             g = first[several[a:b]]
-            owner[several[a:b]] = smallest_owner(rows[g], strings[g], least[several[a:b]], length)
+            had[several[a:b]] = earlier(rows[g], strings[g], least[several[a:b]], length)
             a = b
-        mask, power = np.empty(len(doc), U64), U64(1) << np.arange(owner.shape[1], dtype=U64)
+        # a piece's strings are cut in all its documents, or in all but the smallest
+        mask, power = np.empty(len(doc), U64), U64(1) << np.arange(had.shape[1], dtype=U64)
         for a in range(0, len(doc), 1 << 14):
             part = slice(a, a + (1 << 14))
-            bits = (owner[inverse[part]] < doc[part, None]) & (np.arange(owner.shape[1]) < strings[part, None])
+            bits = (had[inverse[part]] | (least[inverse[part]] < doc[part])[:, None]) & (np.arange(had.shape[1]) < strings[part, None])
             mask[part] = bits @ power
         out = []
         for a, b in zip(np.append(0, ends[:-1]), ends):

@@ -96,6 +96,41 @@ def test_long_text_in_blocks():
     assert [x for x, _, _ in spread(whole)] == [*range(0, 1151), *range(1230, 4951)]
 
 
+def common_prefix(x, y):
+    return next((k for k, (a, b) in enumerate(zip(x, y)) if a != b), min(len(x), len(y)))
+
+
+def test_previous_factors_by_their_definition():
+    rnd = np.random.default_rng(23)
+    for length in (3, 8, 9, 50):
+        for n in [0, 1, 2, *rnd.integers(3, 60, 40)]:
+            text = rnd.integers(97, 99, (n, length)).astype(np.uint8)
+            for i in range(1, n):                      # long prefixes in common, and whole strings
+                if rnd.random() < 0.7:
+                    keep = rnd.integers(0, length + 1)
+                    text[i, :keep] = text[rnd.integers(0, i), :keep]
+            doc = rnd.integers(0, rnd.integers(1, 12), n)
+            order, common = rp.suffix_order(text)
+            raw = [text[i].tobytes() for i in order]
+            assert raw == sorted(x.tobytes() for x in text)
+            assert common.tolist() == [common_prefix(raw[i - 1], raw[i]) if i else 0 for i in range(n)]
+            want = [max((common_prefix(raw[i], raw[j]) for j in range(n) if doc[order[j]] < doc[order[i]]), default=0) for i in range(n)]
+            assert rp.previous_factors(common, doc[order]).tolist() == want
+
+
+def test_earlier_strings_of_pieces():
+    rnd = np.random.default_rng(29)
+    for _ in range(30):
+        n, length, width = int(rnd.integers(1, 25)), 6, 9
+        strings, doc = rnd.integers(1, width - length + 2, n), rnd.integers(0, 6, n)
+        rows = rp._cleared(rnd.integers(97, 99, (n, width)).astype(np.uint8), strings + length - 1)
+        cut = [[rows[i, k:k + length].tobytes() for k in range(strings[i])] for i in range(n)]
+        got = rp.earlier(rows, strings, doc, length)
+        for i in range(n):
+            want = [any(s in cut[j] for j in range(n) if doc[j] < doc[i]) for s in cut[i]]
+            assert got[i].tolist() == want + [False] * (width - length + 1 - len(want))
+
+
 def test_heavy_minimizers(spark, make_docs):
     rnd = random.Random(13)
     prose = lambda n: "".join(rnd.choice("abcdefgh \n") for _ in range(n))
