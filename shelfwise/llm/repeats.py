@@ -124,21 +124,34 @@ def _least(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return keys, inverse, least
 
 
-def _toward_smaller(common: np.ndarray, doc: np.ndarray) -> np.ndarray:
+def _scanned(common: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """``_toward_smaller`` by one scan with a stack of smaller documents."""
+    out, stack = [], []
+    for d, least in zip(doc.tolist(), common.tolist()):
+        while stack and stack[-1][0] >= d:
+            least = min(least, stack.pop()[1])
+        out.append(least if stack else 0)
+        stack.append((d, out[-1]))
+    return np.array(out, np.int64)
+
+
+def _toward_smaller(common: np.ndarray, doc: np.ndarray, steps: int = 32) -> np.ndarray:
     """What every suffix has in common with the previous one of a smaller
     document (0: none), where ``common`` is that with the suffix before it.
     All step at once past documents that aren't smaller: what the one before
-    stepped past isn't smaller either."""
+    stepped past isn't smaller either.  Few need more than some steps; where
+    any does, the scan takes over, so that no order costs more than that."""
     before, least = np.arange(len(doc)) - 1, common.copy()
     least[:1] = 0
     todo = np.flatnonzero(least > 0)
-    while True:
+    for _ in range(steps):
         todo = todo[doc[before[todo]] >= doc[todo]]
         if not len(todo):
             return least
         via = before[todo]
         least[todo], before[todo] = np.minimum(least[todo], least[via]), before[via]
         todo = todo[least[todo] > 0]
+    return _scanned(common, doc)
 
 
 def previous_factors(common: np.ndarray, doc: np.ndarray) -> np.ndarray:

@@ -116,6 +116,15 @@ def test_previous_factors_by_their_definition():
             assert common.tolist() == [common_prefix(raw[i - 1], raw[i]) if i else 0 for i in range(n)]
             want = [max((common_prefix(raw[i], raw[j]) for j in range(n) if doc[order[j]] < doc[order[i]]), default=0) for i in range(n)]
             assert rp.previous_factors(common, doc[order]).tolist() == want
+            for steps in (0, 1, 3):
+                assert rp._toward_smaller(common, doc[order], steps).tolist() == rp._toward_smaller(common, doc[order]).tolist()
+
+
+def test_no_order_of_documents_is_slow():
+    up = np.arange(30_000)
+    for doc in (np.append(up, up[::-1]), np.append(up + 1, 0), up * 0):
+        common = np.append(0, np.full(len(doc) - 1, 50))
+        assert rp._toward_smaller(common, doc).tolist() == rp._scanned(common, doc).tolist()
 
 
 def test_earlier_strings_of_pieces():
