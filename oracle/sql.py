@@ -1060,3 +1060,10 @@ ORACLE["risk_tiers"] = "WITH d AS (" + ORACLE["churn_training_set"] + """)
 SELECT customer_id, CASE WHEN (customer_id * 7) % 101 >= 70 THEN 'High' WHEN (customer_id * 7) % 101 >= 40 THEN 'Medium' ELSE 'Low' END AS risk_segment FROM d"""
 ORACLE["published_orders"] = """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS orders, count(*) FILTER (WHERE o_orderdate <= DATE '1997-01-01') AS with_priority,
        CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders GROUP BY 1"""
+
+ORACLE["bucketed_feature_lookup"] = with_views("transactions", "customers", extra="""f AS (
+  SELECT customer_id, min("timestamp") AS first_ts FROM transactions GROUP BY customer_id),
+ok AS (SELECT c.*, f.first_ts FROM customers c JOIN f ON c.customer_id = f.customer_id
+       WHERE f.first_ts >= (SELECT max(first_ts) FROM f) - INTERVAL 3650 DAY)""") + """
+SELECT o.o_orderkey, o.o_custkey * 2 AS customer_id, CAST(ok.age AS BIGINT) AS age, ok.gender, ok.segment, ok.first_ts AS event_timestamp
+FROM orders o LEFT JOIN ok ON o.o_custkey * 2 = ok.customer_id"""

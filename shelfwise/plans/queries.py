@@ -906,3 +906,18 @@ def q_capped_costs(spark, root):
     cost = (F.col("base_price") * (F.lit("0.4").cast("decimal(3,1)") + (F.col("sku_id") % 10).cast("decimal(2,0)") * F.lit("0.1").cast("decimal(2,1)"))).cast("decimal(12,2)")
     p = v.products(spark, root).withColumn("cost", cost)
     return finalize(p.select("sku_id", "base_price", "cost", inv.capped_cost("base_price", "cost").alias("capped_cost")))
+
+
+@register("bucketed_feature_lookup")
+def q_bucketed_lookup(spark, root):
+    """The demographics view's snapshot stored in buckets of the customer,
+    every order's requested id (twice the ordering customer's) looked up in it."""
+    import uuid
+
+    from ..session import checkpoint_dir
+    from ..sources import bucketed as bk
+    keys = read_table(spark, root, "orders").select("o_orderkey", (F.col("o_custkey") * 2).alias("customer_id"))
+    view = fv.customer_demographics(v.customers(spark, root), v.baskets(spark, root))
+    base = f"{checkpoint_dir(spark)}/bucketed-{uuid.uuid4().hex}"
+    bk.write_bucketed(fv.latest_snapshot(view), base, "customer_demographics", "customer_id")
+    return finalize(keys.join(bk.read_bucketed(spark, base, "customer_demographics"), "customer_id", "left"))

@@ -18,9 +18,6 @@ from ..operators.lineage import write_with_lineage
 from ..sources import views as v
 
 
-SKU_BUCKETS = 8          # files per month of the daily table
-
-
 def build_feature_tables(spark: SparkSession, root: str, out_dir: str) -> dict:
     """Write silver/customer_features, silver/daily_sku_features (by month)
     and gold/product_catalog, gold/demand_forecast under ``out_dir``; returns output row counts."""
@@ -30,8 +27,9 @@ def build_feature_tables(spark: SparkSession, root: str, out_dir: str) -> dict:
     customers = cu.customer_features(v.customers(spark, root), cu.basket_features(b),
                                      cu.category_features(t, v.products(spark, root)))
     daily = dl.timeseries_features(t).withColumn("month", F.date_format("date", "yyyy-MM"))
-    # a task writes the months it was dealt: without this every task has a file in every month
-    daily = daily.repartition("month", F.pmod(F.xxhash64("sku_id"), F.lit(SKU_BUCKETS)))
+    # a task writes ranges of (month, sku): few files a month while it is small, and as many
+    # tasks a month as its share of the rows asks for; AQE sizes the ranges by bytes
+    daily = daily.repartitionByRange("month", "sku_id")
     platform = dl.platform_daily(t).select(F.lit("platform").alias("series"), "ds", "y")
     demand = fc.forecast(platform, ["series"], monthly=True).drop("series")
     catalog = inv.product_catalog(v.products(spark, root), v.inventory(spark, root), t)
