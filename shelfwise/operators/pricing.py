@@ -245,26 +245,43 @@ def nonlinear_dml(lines: DataFrame, *, k: int = FOLDS, max_iter: int = NUISANCE_
     final stage regresses ry / rt on the same features with weight rt^2 (the
     residual-on-residual loss) and its mean prediction over a category's lines is
     the category's effect.  One model per fold and stage covers every category
-    (category is a feature), so the number of fits doesn't grow with the catalog."""
+    (category is a feature), so the number of fits doesn't grow with the catalog.
+
+    Lines with the same features and fold are one weighted row: no split divides
+    them, so squared loss needs only their number, means, variance and covariance,
+    and the trees are those over the lines."""
+    from concurrent.futures import ThreadPoolExecutor
     from functools import reduce
 
-    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    from pyspark.ml.feature import StringIndexerModel, VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
-    d = lines.select("category", "discount", "log_price", "log_demand",
-                     F.pmod(line_fold(lines), F.lit(k)).alias("_f"))
-    d = StringIndexer(inputCol="category", outputCol="_cat").fit(d).transform(d)
+    from ..session import checkpoint_dir
+
+    checkpoint_dir(lines.sparkSession)
+    n = F.count(F.lit(1))
+    # a missing label stays one in its cell, for the fit to refuse
+    mean = lambda c: F.when(F.count(c) == n, F.avg(c))
+    d = lines.groupBy("category", "discount", F.pmod(line_fold(lines), F.lit(k)).alias("_f")).agg(
+        n.alias("_n"), mean("log_demand").alias("_y"), mean("log_price").alias("_t"),
+        F.var_pop("log_price").alias("_tt"), F.covar_pop("log_demand", "log_price").alias("_yt")).checkpoint(eager=True)
+    # the most frequent category first, as over the lines
+    by_lines = d.where("category is not null").groupBy("category").agg(F.sum("_n").alias("_n")).orderBy(F.desc("_n"), "category")
+    labels = [r.category for r in by_lines.collect()]
+    d = StringIndexerModel.from_labels(labels, inputCol="category", outputCol="_cat").transform(d)
     d = VectorAssembler(inputCols=["discount", "_cat"], outputCol="_x").transform(d)
-    bins = max(32, d.select(F.countDistinct("category")).first()[0])
-    trees = lambda label, out, n, depth: GBTRegressor(featuresCol="_x", labelCol=label, predictionCol=out, maxIter=n,
-                                                      maxDepth=depth, maxBins=bins, seed=seed)
-    parts = []
-    for f in range(k):
-        train, test = d.where(F.col("_f") != f), d.where(F.col("_f") == f)
-        my, mt = trees("log_demand", "_py", max_iter, max_depth).fit(train), trees("log_price", "_pt", max_iter, max_depth).fit(train)
-        parts.append(mt.transform(my.transform(test)).select(
-            "category", "_x", (F.col("log_demand") - F.col("_py")).alias("_ry"), (F.col("log_price") - F.col("_pt")).alias("_rt")))
+    trees = lambda label, out, n, depth, weight: GBTRegressor(featuresCol="_x", labelCol=label, predictionCol=out, maxIter=n, maxDepth=depth,
+                                                              maxBins=max(32, len(labels)), seed=seed, weightCol=weight)
+    # the folds' fits are independent jobs, submitted concurrently
+    jobs = [(f, label) for f in range(k) for label in ("_y", "_t")]
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        models = dict(zip(jobs, pool.map(lambda job: trees(job[1], f"_p{job[1]}", max_iter, max_depth, "_n").fit(d.where(F.col("_f") != job[0])), jobs)))
+    parts = [models[(f, "_t")].transform(models[(f, "_y")].transform(d.where(F.col("_f") == f))) for f in range(k)]
     res = reduce(DataFrame.unionByName, parts)
-    res = res.withColumn("_w", F.col("_rt") * F.col("_rt")).withColumn("_ratio", F.col("_ry") / F.nullif(F.col("_rt"), F.lit(0.0)))
-    final = trees("_ratio", "_effect", final_iter, final_depth).setWeightCol("_w").fit(res.where("_w > 0"))
-    return final.transform(res).groupBy("category").agg(F.avg("_effect").alias("nonlinear_dml"), F.count(F.lit(1)).alias("n"))
+    ry, rt = F.col("_y") - F.col("_p_y"), F.col("_t") - F.col("_p_t")
+    # a cell's sums of rt^2 and ry * rt; their ratio is its weighted mean of ry / rt
+    res = (res.withColumn("_w", F.col("_n") * (F.col("_tt") + rt * rt))
+              .withColumn("_ratio", F.col("_n") * (F.col("_yt") + ry * rt) / F.nullif(F.col("_w"), F.lit(0.0))))
+    final = trees("_ratio", "_effect", final_iter, final_depth, "_w").fit(res.where("_w > 0"))
+    return final.transform(res).groupBy("category").agg((F.sum(F.col("_n") * F.col("_effect")) / F.sum("_n")).alias("nonlinear_dml"),
+                                                        F.sum("_n").alias("n"))

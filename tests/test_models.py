@@ -201,3 +201,27 @@ def test_tree_importance_equals_the_models_own(spark):
     forest = RandomForestClassifier(labelCol="churn", numTrees=5, maxDepth=4, seed=2).fit(VectorAssembler(inputCols=list(ch.FEATURES), outputCol="features").transform(df))
     got = {r.feature: r.importance for r in ch.tree_importance(forest, per_tree=True).collect()}
     assert all(abs(got.get(n, 0.0) - w) < 1e-9 for n, w in zip(ch.FEATURES, forest.featureImportances.toArray()))
+
+
+def test_nonlinear_dml_fits_cells_as_it_would_lines(spark, monkeypatch):
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+    rng = np.random.default_rng(3)
+    rows = [("ab"[i % 3 % 2], i, i // 7, float(t := rng.normal()), float(-0.5 * t - (i % 3 % 2) * t + rng.normal(0, 0.1)), i % 4 / 10) for i in range(600)]
+    lines = spark.createDataFrame(rows, "category string, transaction_id long, sku_id long, log_price double, log_demand double, discount double")
+    seen = []
+    fit = GBTRegressor._fit
+    monkeypatch.setattr(GBTRegressor, "_fit", lambda self, data: (seen.append(data.count()), fit(self, data))[1])
+    got = {r.category: (r.nonlinear_dml, r.n) for r in pr.nonlinear_dml(lines, max_iter=4, final_iter=3).collect()}
+    assert len(seen) == 5 and max(seen) <= 16           # 2 categories, 4 discounts, 2 folds
+    monkeypatch.undo()
+    d = lines.withColumn("_f", F.pmod(pr.line_fold(lines), F.lit(2)))
+    d = StringIndexer(inputCol="category", outputCol="_cat").fit(d).transform(d)
+    d = VectorAssembler(inputCols=["discount", "_cat"], outputCol="x").transform(d)
+    trees = lambda label, out, n, depth: GBTRegressor(featuresCol="x", labelCol=label, predictionCol=out, maxIter=n, maxDepth=depth, seed=42)
+    parts = [trees("log_price", "pt", 4, 3).fit(d.where(F.col("_f") != f)).transform(
+        trees("log_demand", "py", 4, 3).fit(d.where(F.col("_f") != f)).transform(d.where(F.col("_f") == f))) for f in (0, 1)]
+    res = parts[0].unionByName(parts[1]).withColumn("rt", F.expr("log_price - pt")).withColumn("ratio", F.expr("(log_demand - py) / rt")).withColumn("w", F.expr("rt * rt"))
+    want = trees("ratio", "effect", 3, 2).setWeightCol("w").fit(res).transform(res).groupBy("category").agg(F.avg("effect").alias("e"), F.count(F.lit(1)).alias("n"))
+    for r in want.collect():
+        assert got[r.category][1] == r.n and abs(got[r.category][0] - r.e) < 1e-9
