@@ -7,7 +7,7 @@ days, never by the number of rows.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..functions.exprs import calendar_flags
 
@@ -19,19 +19,21 @@ LAGS = (1, 7, 14)            # lags in rows, leading gaps filled with 0
 def sku_daily(txns: DataFrame) -> DataFrame:
     """One row per (sku_id, date) with daily_qty, daily_revenue and
     daily_txn_count (distinct baskets), plus first/last transaction times."""
-    # two plain aggregation levels instead of a distinct count mixed with other
-    # aggregates (which would make Spark expand every row): (sku, day, basket)
-    # first, then (sku, day) -- both with map-side partial aggregation
-    per_basket = (txns.withColumn("date", F.to_date("timestamp"))
-                      .groupBy("sku_id", "date", "transaction_id")
-                      .agg(F.sum("quantity").alias("_q"), F.sum("total_amount").alias("_r"),
-                           F.min("timestamp").alias("_f"), F.max("timestamp").alias("_l")))
-    return (per_basket.groupBy("sku_id", "date")
-                      .agg(F.sum("_q").cast("long").alias("daily_qty"),
-                           F.sum("_r").alias("daily_revenue"),
-                           F.count(F.lit(1)).alias("daily_txn_count"),
-                           F.min("_f").alias("first_ts"),
-                           F.max("_l").alias("last_ts")))
+    # a basket counts by its first line of the SKU and day, found by a sort that
+    # spills; hash aggregation by basket would hold every line of a task, as
+    # almost no lines share one.  Readers without the count drop the window.
+    basket = Window.partitionBy("sku_id", "date", "transaction_id").orderBy("transaction_id")
+    revenue = F.sum("total_amount")
+    kind = txns.schema["total_amount"].dataType
+    if isinstance(kind, T.DecimalType):
+        revenue = revenue.cast(T.DecimalType(min(kind.precision + 20, 38), kind.scale))
+    return (txns.withColumn("date", F.to_date("timestamp")).withColumn("_nth", F.row_number().over(basket))
+                .groupBy("sku_id", "date")
+                .agg(F.sum("quantity").cast("long").alias("daily_qty"),
+                     revenue.alias("daily_revenue"),
+                     F.count_if(F.col("_nth") == 1).alias("daily_txn_count"),
+                     F.min("timestamp").alias("first_ts"),
+                     F.max("timestamp").alias("last_ts")))
 
 
 def daily_demand(txns: DataFrame) -> DataFrame:

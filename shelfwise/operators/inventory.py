@@ -109,7 +109,7 @@ def _sku_days(txns: DataFrame) -> DataFrame:
     """The SKU-day table (far smaller than the lines), written once: statistics,
     ABC ranking and the reference date all read it."""
     checkpoint_dir(txns.sparkSession)
-    return sku_daily(txns).checkpoint(eager=True)
+    return sku_daily(txns).drop("daily_txn_count").checkpoint(eager=True)
 
 
 def _sales(daily: DataFrame) -> DataFrame:

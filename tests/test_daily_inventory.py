@@ -111,3 +111,20 @@ def test_exact_quantiles_match_numpy(spark):
     got = {r.q: r.value for r in ex.exact_quantiles(df, "x", (0.1, 0.25, 0.5, 0.9)).collect()}
     for q, v in got.items():
         assert abs(v - float(np.quantile(vals, q))) < 1e-12
+
+
+def test_baskets_of_a_sku_day_count_without_an_aggregate_by_basket(spark, capsys):
+    rows = [(1, 7, dt.datetime(2024, 1, 1, 9), 2, Decimal("3.00")), (1, 7, dt.datetime(2024, 1, 1, 9), 1, Decimal("1.50")),
+            (2, 7, dt.datetime(2024, 1, 1, 8), None, None), (1, 7, dt.datetime(2024, 1, 2, 9), 4, Decimal("2.00")),
+            (None, 7, dt.datetime(2024, 1, 1, 7), 1, Decimal("1.00")), (None, 7, dt.datetime(2024, 1, 1, 7), 1, Decimal("1.00"))]
+    txns = spark.createDataFrame(rows, "transaction_id long, sku_id long, timestamp timestamp_ntz, quantity int, total_amount decimal(15,2)")
+    got = dl.sku_daily(txns)
+    assert dict(got.dtypes)["daily_revenue"] == "decimal(35,2)"
+    assert [tuple(r) for r in got.orderBy("date").collect()] == [
+        (7, dt.date(2024, 1, 1), 5, Decimal("6.50"), 3, dt.datetime(2024, 1, 1, 7), dt.datetime(2024, 1, 1, 9)),
+        (7, dt.date(2024, 1, 2), 4, Decimal("2.00"), 1, dt.datetime(2024, 1, 2, 9), dt.datetime(2024, 1, 2, 9))]
+    got.explain()
+    inv.demand_stats(txns).explain()
+    plans = capsys.readouterr().out
+    keyed = [line for line in plans.splitlines() if "Aggregate(" in line and "transaction_id" in line.split("functions")[0]]
+    assert not keyed and plans.count("Window ") == 1          # the statistics read no count
