@@ -53,24 +53,26 @@ def churn_dataset(customers: DataFrame, baskets: DataFrame, *, cutoff=None,
     latest = baskets.select(F.max("timestamp")).scalar()
     if legacy_label:
         cut = latest
-        hist = baskets
     else:
         cut = F.timestamp_add("DAY", F.lit(-days), latest) if cutoff is None else F.lit(cutoff).cast("timestamp_ntz")
-        hist = baskets.where(F.col("timestamp") <= cut)
-    agg = hist.groupBy("customer_id").agg(F.max("timestamp").alias("_last"),
-                                          F.sum("n_lines").alias("frequency"),
-                                          F.sum("amount_sum").alias("monetary"))
+    if legacy_label:
+        agg = baskets.groupBy("customer_id").agg(F.max("timestamp").alias("_last"), F.sum("n_lines").alias("frequency"),
+                                                 F.sum("amount_sum").alias("monetary"), F.lit(None).cast("boolean").alias("_active"))
+    else:
+        # both sides of the cutoff in one pass over the baskets
+        before = F.col("timestamp") <= cut
+        after = (F.col("timestamp") > cut) & (F.col("timestamp") <= F.timestamp_add("DAY", F.lit(days), cut))
+        agg = baskets.groupBy("customer_id").agg(F.max(F.when(before, F.col("timestamp"))).alias("_last"),
+                                                 F.sum(F.when(before, F.col("n_lines"))).alias("frequency"),
+                                                 F.sum(F.when(before, F.col("amount_sum"))).alias("monetary"),
+                                                 F.bool_or(after).alias("_active"))
     feats = (customers.select("customer_id", "age").join(agg, "customer_id", "left")
              .select("customer_id", F.col("age").cast("double").alias("age"),
                      F.coalesce(elapsed_days(cut, F.col("_last")), F.lit(0)).cast("double").alias("recency"),
                      F.coalesce("frequency", F.lit(0)).cast("double").alias("frequency"),
-                     F.coalesce(F.col("monetary").cast("double"), F.lit(0.0)).alias("monetary")))
-    if legacy_label:
-        return feats.withColumn("churn", (F.col("recency") > days).cast("int"))
-    after = (baskets.where((F.col("timestamp") > cut) & (F.col("timestamp") <= F.timestamp_add("DAY", F.lit(days), cut)))
-             .select("customer_id").distinct().withColumn("_active", F.lit(1)))
-    return feats.join(after, "customer_id", "left") \
-        .withColumn("churn", F.when(F.col("_active").isNull(), 1).otherwise(0)).drop("_active")
+                     F.coalesce(F.col("monetary").cast("double"), F.lit(0.0)).alias("monetary"), "_active"))
+    churn = F.col("recency") > days if legacy_label else ~F.coalesce("_active", F.lit(False))
+    return feats.withColumn("churn", churn.cast("int")).drop("_active")
 
 
 def feature_matrix(df: DataFrame, label: str = "churn", id_col: str = "customer_id",

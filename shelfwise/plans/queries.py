@@ -1,6 +1,8 @@
 """Registered queries, one per operator family of the inventory."""
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from ..operators import customer as cu
@@ -707,10 +709,15 @@ def q_churn_set_legacy(spark, root):
     return finalize(_churn_data(spark, root, legacy=True))
 
 
-def _split(spark, root):
+def _churn_rows(spark, root):
+    """The churn rows (one a customer), written once for fits that read them often."""
     from ..session import checkpoint_dir
     checkpoint_dir(spark)
-    return ch.holdout(_churn_data(spark, root)).checkpoint(eager=True)
+    return _churn_data(spark, root).checkpoint(eager=True)
+
+
+def _split(spark, root):
+    return ch.holdout(_churn_rows(spark, root)).checkpoint(eager=True)
 
 
 def _champion(d):
@@ -736,8 +743,11 @@ def q_churn_metrics(spark, root):
 def q_churn_cc(spark, root):
     """K15 + K17: champion (single GBT) vs a retrained weighted challenger on the test split."""
     d = _split(spark, root)
-    champ = _champion(d)
-    chall = ch.train_churn(ch.class_weights(d.where("is_train")), params=ch.CHALLENGER, weighted=True)
+    # two independent fits, submitted concurrently
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        champ, chall = (job.result() for job in [
+            pool.submit(_champion, d),
+            pool.submit(lambda: ch.train_churn(ch.class_weights(d.where("is_train")), params=ch.CHALLENGER, weighted=True))])
     test = d.where(~F.col("is_train"))
     s1 = ch.score_churn(champ, test).select("customer_id", "churn", F.col("churn_probability").alias("champion"))
     s2 = ch.score_churn(chall, test).select("customer_id", F.col("churn_probability").alias("challenger"))
@@ -767,7 +777,7 @@ def q_fpr_recency(spark, root):
 @register("holdout_split")
 def q_holdout(spark, root):
     """K7: rows of either class on either side of the split."""
-    d = ch.holdout(_churn_data(spark, root))
+    d = ch.holdout(_churn_rows(spark, root))
     return finalize(d.groupBy("churn", "is_train").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -788,13 +798,13 @@ def q_churn_tuning(spark, root):
 
 @register("churn_attributions")
 def q_churn_attr(spark, root):
-    return ch.attributions(_churn_data(spark, root))
+    return ch.attributions(_churn_rows(spark, root))
 
 
 @register("churn_tree_importance")
 def q_churn_trees(spark, root):
     """Gain of every feature in the fitted trees, beside the attributions."""
-    return ch.tree_importance(ch.train_churn(_churn_data(spark, root)))
+    return ch.tree_importance(ch.train_churn(_churn_rows(spark, root)))
 
 
 def _arithmetic_attributions(spark, root):
@@ -843,7 +853,7 @@ def q_published(spark, root):
 
 @register("churn_global_importance")
 def q_churn_importance(spark, root):
-    return ch.global_importance(ch.attributions(_churn_data(spark, root)))
+    return ch.global_importance(ch.attributions(_churn_rows(spark, root)))
 
 
 def _scored_docs(spark, root):

@@ -225,3 +225,18 @@ def test_nonlinear_dml_fits_cells_as_it_would_lines(spark, monkeypatch):
     want = trees("ratio", "effect", 3, 2).setWeightCol("w").fit(res).transform(res).groupBy("category").agg(F.avg("effect").alias("e"), F.count(F.lit(1)).alias("n"))
     for r in want.collect():
         assert got[r.category][1] == r.n and abs(got[r.category][0] - r.e) < 1e-9
+
+
+def test_churn_rows_come_from_one_aggregate_by_customer(spark, capsys):
+    import datetime as dt
+    from decimal import Decimal
+    day = lambda d: dt.datetime(2024, 1, 1) + dt.timedelta(days=d)
+    baskets = spark.createDataFrame([(1, day(0), 2, Decimal("3.00")), (1, day(110), 1, Decimal("2.00")), (2, day(10), 1, Decimal("1.00")), (2, day(11), None, None),
+                                     (3, day(200), 5, Decimal("9.00")), (None, day(111), 1, Decimal("1.00")), (4, None, 1, Decimal("1.00"))],
+                                    "customer_id long, timestamp timestamp_ntz, n_lines int, amount_sum decimal(15,2)")
+    customers = spark.createDataFrame([(i, 30) for i in (1, 2, 3, 4, 5, None)], "customer_id long, age int")
+    d = ch.churn_dataset(customers, baskets)                # cutoff: day 110
+    d.explain()
+    assert capsys.readouterr().out.count("HashAggregate(keys=[customer_id") == 2      # partial and final
+    got = {r.customer_id: (r.recency, r.frequency, r.monetary, r.churn) for r in d.collect()}
+    assert got == {1: (0.0, 3.0, 5.0, 1), 2: (99.0, 1.0, 1.0, 1), 3: (0.0, 0.0, 0.0, 0), 4: (0.0, 0.0, 0.0, 1), 5: (0.0, 0.0, 0.0, 1), None: (0.0, 0.0, 0.0, 1)}
