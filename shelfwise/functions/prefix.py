@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from ..session import checkpoint_dir
 
+RANGE_ROWS = 1 << 17    # a task sorts one range, or the few that share its hash, however large the input
+
 _INTEGRAL = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
 
 
@@ -25,6 +27,12 @@ def _ranged(df: DataFrame, order_cols: list, num_partitions: int | None) -> Data
     return ranged.withColumn("_range", F.spark_partition_id()).checkpoint(eager=True)
 
 
+def range_count(df: DataFrame, range_rows: int = RANGE_ROWS) -> int:
+    """The session's number of shuffle partitions, or more where their ranges
+    would hold over ``range_rows`` rows."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // range_rows))
+
+
 def running_sum(df: DataFrame, order_cols: list, value_col, out_col,
                 num_partitions: int | None = None, lead_col=None, lead_out=None, total_out=None) -> DataFrame:
     """Inclusive running sums of integral or double columns in the total order
@@ -68,10 +76,12 @@ def forward_fill_rows(df: DataFrame, order_cols: list, is_source: str, payload:
     """As-of carry of whole rows: every row receives the ``payload`` columns of
     the last row at or before it (global order ``order_cols``) whose boolean
     ``is_source`` is true; NULLs before the first source row.  Adds
-    ``<col><suffix>`` for every payload column."""
+    ``<col><suffix>`` for every payload column.  The number of ranges, and of the
+    tasks over them, follows the rows (``range_count``)."""
+    num_partitions = num_partitions or range_count(df)
     inside = W.partitionBy("_range").orderBy(*order_cols)
     own = F.when(F.col(is_source), F.struct(*payload))
-    local = _ranged(df, order_cols, num_partitions).select(
+    local = _ranged(df, order_cols, num_partitions).repartition(num_partitions, "_range").select(
         "*", F.last(own, ignorenulls=True).over(inside.rowsBetween(W.unboundedPreceding, 0)).alias("_carried"),
         F.row_number().over(inside).alias("_nth"))
     # one row per range, carried over ranges without a source row

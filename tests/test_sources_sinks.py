@@ -199,3 +199,21 @@ def test_a_crash_between_rows_and_mark_loads_no_row_twice(spark, monkeypatch):
         raise AssertionError("a load number was published twice")
     except AnalysisException:
         pass
+
+
+def test_forward_fill_ranges_follow_the_rows(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from shelfwise.functions import prefix
+
+    monkeypatch.setattr(prefix.range_count, "__defaults__", (100,))
+    rows = [(i % 7, i, i % 5 == 0, i) for i in range(4000)] + [(None, 1, False, None)]
+    df = spark.createDataFrame(rows, "k long, t long, src boolean, p long")
+    out = prefix.forward_fill_rows(df, [F.col("k"), F.col("t")], "src", ["p"])
+    tasks = out.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) > 16 and max(r["count"] for r in tasks) < 1500   # 8 shuffle partitions in this session
+    last, want = None, {}
+    for k, t, src, p in sorted(rows, key=lambda r: (-1 if r[0] is None else r[0], r[1])):
+        last = p if src else last
+        want[(k, t)] = last
+    assert {(r.k, r.t): r.p_asof for r in out.collect()} == want
